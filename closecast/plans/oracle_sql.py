@@ -159,3 +159,71 @@ def with_snapshots(body: str, extra_ctes: str = "", days=None) -> str:
 
 
 SNAPSHOT_SELECT = "SELECT " + ", ".join(ALL_COLUMNS) + " FROM snapshots"
+
+
+# -- shared oracle fragments ---------------------------------------------------
+SPLIT_CTES = """
+month_rank AS (
+  SELECT accounting_month, dense_rank() OVER (ORDER BY accounting_month DESC) AS rdesc
+  FROM (SELECT DISTINCT accounting_month FROM snapshots)
+),
+split AS (
+  SELECT s.*, CASE WHEN r.rdesc <= 4 THEN 'test' WHEN r.rdesc <= 8 THEN 'validation' ELSE 'train' END AS split
+  FROM snapshots s JOIN month_rank r ON s.accounting_month = r.accounting_month
+),
+fb AS (
+  SELECT COALESCE(CAST(SUM(CAST(actual_month_end_net_revenue AS DECIMAL(38,4))) AS DOUBLE)
+                  / CAST(COUNT(actual_month_end_net_revenue) AS DOUBLE), 0.0) AS fallback
+  FROM split WHERE split = 'train' AND isfinite(actual_month_end_net_revenue)
+),
+scored AS (
+  SELECT sp.*,
+    COALESCE(CASE WHEN isfinite(prior_month_net_revenue) THEN prior_month_net_revenue END, fb.fallback)
+      AS predicted_month_end_net_revenue,
+    COALESCE(CASE WHEN isfinite(prior_year_same_month_net_revenue) THEN prior_year_same_month_net_revenue END, fb.fallback)
+      AS pred_seasonal
+  FROM split sp, fb
+)"""
+
+
+def metric_sql(y: str = "actual_month_end_net_revenue", p: str = "predicted_month_end_net_revenue",
+               rounded: bool = True) -> str:
+    """SELECT-list of n + the seven metrics (report precision when rounded)."""
+    def r(expr, places):
+        return f"round({expr}, {places})" if rounded else expr
+
+    e = f"({y} - {p})"
+    return ",\n".join([
+        "COUNT(*) AS n",
+        r(f"CASE WHEN SUM(abs({y})) < 1e-9 THEN NULL ELSE SUM(abs({e})) / SUM(abs({y})) END", 6) + " AS wape",
+        r(f"CASE WHEN abs(SUM({y})) < 1e-9 THEN NULL ELSE SUM({p} - {y}) / SUM({y}) END", 6) + " AS bias",
+        r(f"AVG(abs({e}))", 4) + " AS mae",
+        r(f"sqrt(AVG({e} * {e}))", 4) + " AS rmse",
+        r(f"AVG(abs({e}) / CASE WHEN abs({y}) < 1e-9 THEN 1e-9 ELSE abs({y}) END)", 6) + " AS mape",
+        r(f"AVG(2.0 * abs({p} - {y}) / CASE WHEN abs({y}) + abs({p}) = 0 THEN 1.0 ELSE abs({y}) + abs({p}) END)", 6)
+        + " AS smape",
+        r(f"CASE WHEN COUNT(*) <= 1 THEN NULL WHEN MIN({y}) = MAX({y}) THEN "
+          f"(CASE WHEN SUM({e} * {e}) = 0 THEN 1.0 ELSE 0.0 END) "
+          f"ELSE 1.0 - SUM({e} * {e}) / (var_pop({y}) * COUNT(*)) END", 6) + " AS r2",
+    ])
+
+
+def wape_sql(y: str = "actual_month_end_net_revenue", p: str = "predicted_month_end_net_revenue") -> str:
+    return f"CASE WHEN SUM(abs({y})) < 1e-9 THEN NULL ELSE SUM(abs({y} - {p})) / SUM(abs({y})) END"
+
+
+def spark_percentile_sql(list_expr: str, q: str) -> str:
+    """Linear-interpolated percentile of a sorted DuckDB list, using the
+    weights (hi - pos) * lo + (pos - lo) * hi of Spark's exact ``percentile``."""
+    n = f"len({list_expr})"
+    pos = f"(({n} - 1) * {q})"
+    lo = f"floor({pos})"
+    hi = f"ceil({pos})"
+    lo_v = f"{list_expr}[CAST({lo} AS BIGINT) + 1]"
+    hi_v = f"{list_expr}[CAST({hi} AS BIGINT) + 1]"
+    return (f"(CASE WHEN {n} = 0 THEN NULL WHEN {lo} = {hi} OR {lo_v} = {hi_v} THEN {lo_v} "
+            f"ELSE ({hi} - {pos}) * {lo_v} + ({pos} - {lo}) * {hi_v} END)")
+
+# Non-DOUBLE snapshot columns (``isnan`` only applies to the others).
+NON_DOUBLE = {"facility_id", "accounting_month", "snapshot_date", "snapshot_day", "service_line_group",
+              "generic_payer_group", "encounter_class_group", "month", "quarter"}
