@@ -75,8 +75,8 @@ def psi_by_feature(reference: DataFrame, current: DataFrame, columns: list[str],
     feats = [c for c in columns if c in reference.columns and c in current.columns]
     spark = reference.sparkSession
     counts = binned_counts(reference, current, feats, bins, relative_error)
-    e = F.greatest(F.col("expected") / F.col("n_ref"), F.lit(RATE_FLOOR))
-    a = F.greatest(F.col("actual") / F.col("n_cur"), F.lit(RATE_FLOOR))
+    e = F.greatest(F.try_divide(F.col("expected"), F.col("n_ref")), F.lit(RATE_FLOOR))
+    a = F.greatest(F.try_divide(F.col("actual"), F.col("n_cur")), F.lit(RATE_FLOOR))
     psi = counts.groupBy("feature").agg(F.sum((a - e) * F.log(a / e)).alias("psi"))
     all_feats = spark.createDataFrame([(f,) for f in feats], "feature string")
     sizes = (_long(reference, feats, "ref").unionByName(_long(current, feats, "cur"))
@@ -112,8 +112,8 @@ def drift_summary(report: DataFrame) -> DataFrame:
 def js_distance(reference: DataFrame, current: DataFrame, columns: list[str], bins: int = BINS) -> DataFrame:
     """Jensen-Shannon distance per feature on the same bins (natural log)."""
     counts = binned_counts(reference, current, columns, bins)
-    p = F.col("expected") / F.col("n_ref")
-    q = F.col("actual") / F.col("n_cur")
+    p = F.try_divide(F.col("expected"), F.col("n_ref"))
+    q = F.try_divide(F.col("actual"), F.col("n_cur"))
     m = (p + q) / 2
 
     def kl_term(x):
@@ -144,8 +144,8 @@ def data_quality_drift(reference: DataFrame, current: DataFrame, columns: list[s
     Rows: ``check, column, reference_value, current_value, drifted``.
     """
     cols = [c for c in columns if c in reference.columns and c in current.columns]
-    r = missing_shares(reference, cols).select("column", (F.col("missing") / F.col("n")).alias("ref_share"))
-    c = missing_shares(current, cols).select("column", (F.col("missing") / F.col("n")).alias("cur_share"))
+    r = missing_shares(reference, cols).select("column", F.try_divide(F.col("missing"), F.col("n")).alias("ref_share"))
+    c = missing_shares(current, cols).select("column", F.try_divide(F.col("missing"), F.col("n")).alias("cur_share"))
     miss = r.join(c, "column").select(
         F.lit("missing_share").alias("check"), "column",
         F.round("ref_share", 6).alias("reference_value"), F.round("cur_share", 6).alias("current_value"),

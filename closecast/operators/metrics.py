@@ -14,8 +14,14 @@ from closecast.schema import FACILITY, PREDICTION, SNAPSHOT_DAY, TARGET
 
 METRIC_NAMES = ["wape", "bias", "mae", "rmse", "mape", "smape", "r2"]
 _EPS = 1e-9
-# Report precision: ratios to 6 places, money-valued errors to 4 (cents/100).
-REPORT_PLACES = {"wape": 6, "bias": 6, "mae": 4, "rmse": 4, "mape": 6, "smape": 6, "r2": 6}
+
+
+def report_round(x: Column) -> Column:
+    """Report precision by magnitude: 6 places below 1e4, 3 below 1e8, else
+    whole units, so the printed digits stay well above floating-point noise
+    (a MAPE over near-zero actuals can reach 1e11)."""
+    a = F.abs(x)
+    return (F.when(a < 1e4, F.round(x, 6)).when(a < 1e8, F.round(x, 3)).otherwise(F.round(x, 0)))
 
 
 def metric_exprs(y: str = TARGET, p: str = PREDICTION) -> dict[str, Column]:
@@ -46,10 +52,10 @@ def metric_exprs(y: str = TARGET, p: str = PREDICTION) -> dict[str, Column]:
 
 
 def _agg_list(y: str, p: str, rounded: bool) -> list[Column]:
-    """count + metrics; ``rounded`` applies the report precision (REPORT_PLACES)."""
+    """count + metrics; ``rounded`` applies the report precision."""
     out = [F.count(F.lit(1)).alias("n")]
     for name, expr in metric_exprs(y, p).items():
-        out.append((F.round(expr, REPORT_PLACES[name]) if rounded else expr).alias(name))
+        out.append((report_round(expr) if rounded else expr).alias(name))
     return out
 
 

@@ -189,8 +189,11 @@ scored AS (
 def metric_sql(y: str = "actual_month_end_net_revenue", p: str = "predicted_month_end_net_revenue",
                rounded: bool = True) -> str:
     """SELECT-list of n + the seven metrics (report precision when rounded)."""
-    def r(expr, places):
-        return f"round({expr}, {places})" if rounded else expr
+    def r(expr, _places):
+        if not rounded:
+            return expr
+        return (f"(CASE WHEN abs({expr}) < 1e4 THEN round({expr}, 6) WHEN abs({expr}) < 1e8 "
+                f"THEN round({expr}, 3) ELSE round({expr}, 0) END)")
 
     e = f"({y} - {p})"
     return ",\n".join([

@@ -49,14 +49,14 @@ _DAILY_SUMS = [
 ]
 
 
-def daily_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+FACT_COLUMNS = ["l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_quantity",
+                "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def daily_facts(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     """Step 1: facts -> one row per (nation, month, day-of-month)."""
-    li = read_table(
-        spark, sf_dir, "lineitem",
-        ["l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_quantity",
-         "l_returnflag", "l_linestatus", "l_shipdate"],
-    ).where(F.col("l_shipdate").isNotNull())
-    sup = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
+    li = lineitem.select(*FACT_COLUMNS).where(F.col("l_shipdate").isNotNull())
+    sup = supplier.select("s_suppkey", "s_nationkey")
     facts = li.join(bounded_broadcast(sup), li.l_suppkey == sup.s_suppkey, "inner")
 
     gross = F.col("l_extendedprice").cast("decimal(12,2)")
@@ -114,12 +114,25 @@ def closed_month_bounds(daily: DataFrame) -> tuple | None:
 
 
 def build_snapshots(spark: SparkSession, sf_dir: str, days: list[int] | None = None) -> DataFrame:
+    """Full 46-column snapshot table from the source tables under ``sf_dir``."""
+    return build_snapshots_from(
+        read_table(spark, sf_dir, "lineitem", FACT_COLUMNS),
+        read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"]),
+        read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"]),
+        read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"]),
+        days,
+    )
+
+
+def build_snapshots_from(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame, region: DataFrame,
+                         days: list[int] | None = None) -> DataFrame:
     """Full 46-column snapshot table (training mode: target included)."""
+    spark = lineitem.sparkSession
     days = sorted(set(days or SNAPSHOT_DAYS))
     if not days or min(days) < 1 or max(days) > 28:
         raise ValueError("snapshot days must be unique values in 1..28")
     ensure_checkpoint_dir(spark)
-    daily = daily_facts(spark, sf_dir).checkpoint(eager=True)
+    daily = daily_facts(lineitem, supplier).checkpoint(eager=True)
     bounds = closed_month_bounds(daily)
     if bounds is None:
         return spark.createDataFrame([], snapshot_schema())
@@ -178,7 +191,7 @@ def build_snapshots(spark: SparkSession, sf_dir: str, days: list[int] | None = N
         hist.withColumn("snapshot_day", F.explode(day_arr))
         .join(mtd, ["nk", "month_start", "snapshot_day"], "left")
     )
-    dims = _dimensions(spark, sf_dir)
+    dims = _dimensions(nation, region)
     snap = snap.join(dims, "nk", "left")
 
     def measure(c: str):
@@ -230,10 +243,10 @@ def build_snapshots(spark: SparkSession, sf_dir: str, days: list[int] | None = N
     return out.select(*ALL_COLUMNS)
 
 
-def _dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dimensions(nation: DataFrame, region: DataFrame) -> DataFrame:
     """Nation -> the three dimension columns (region name, payer, class)."""
-    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
-    region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
+    nation = nation.select("n_nationkey", "n_regionkey")
+    region = region.select("r_regionkey", "r_name")
     return nation.join(bounded_broadcast(region), nation.n_regionkey == region.r_regionkey, "left").select(
         F.col("n_nationkey").alias("nk"),
         F.col("r_name").alias("service_line_group"),
