@@ -1 +1,178 @@
-"""Rows-only registered queries: model training, explanation, streaming."""
+"""Registered queries for model training, scoring with intervals, explanation
+and streaming. Trained models are not SQL-expressible: these are rows-only,
+except the bundle round trip whose output equals the SQL baseline."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from closecast.operators import explain as X
+from closecast.operators import metrics as M
+from closecast.operators import scoring as B
+from closecast.operators.models import ModelConfig, build_estimator, interval_columns, tune_learning_rate
+from closecast.plans.common import naive_bundle, snapshots
+from closecast.plans.registry import ORACLE_SQL, register
+from closecast.plans.training import TEST_PROFILE_CANDIDATES, memo_training
+from closecast.schema import KEYS, PREDICTION, TARGET
+from closecast.sources.snapshot_io import scratch_path
+
+
+def _trained(spark, sf_dir):
+    return memo_training(spark, sf_dir, snapshots(spark, sf_dir), TEST_PROFILE_CANDIDATES)
+
+
+@register("train_candidates")
+def q_train_candidates(spark, sf_dir):
+    """Contract -> blocked split -> the test-profile candidates
+    (baselines, elastic net, histogram boosting) -> ranked comparison table."""
+    out = _trained(spark, sf_dir)
+    return out.selection.ranking
+
+
+@register("candidate_metrics_by_day")
+def q_candidate_metrics_by_day(spark, sf_dir):
+    """Per-candidate test metrics by snapshot day."""
+    out = _trained(spark, sf_dir)
+    frames = [r.by_day.withColumn("model", F.lit(n)) for n, r in out.results.items()]
+    res = frames[0]
+    for f in frames[1:]:
+        res = res.unionByName(f)
+    return res
+
+
+@register("tune_grid")
+def q_tune_grid(spark, sf_dir):
+    """Learning-rate sweep of histogram boosting, scored on the validation block."""
+    from closecast.operators.splits import blocked_temporal_split
+
+    return tune_learning_rate(blocked_temporal_split(snapshots(spark, sf_dir)))
+
+
+def _learned_champion(out):
+    """The champion if it is a learned model, else the best-ranked learned one."""
+    ranked = [r["model"] for r in out.selection.ranking.orderBy("rank").select("model").collect()]
+    for name in ranked:
+        if name not in ("naive_prior", "seasonal_naive"):
+            return name
+    return None
+
+
+@register("permutation_importance")
+def q_permutation_importance(spark, sf_dir):
+    """Permutation importance of the best learned model on the test block."""
+    out = _trained(spark, sf_dir)
+    name = _learned_champion(out)
+    if name is None:
+        return spark.createDataFrame([("prior_period_baseline", 1.0, 0.0)],
+                                     "feature string, importance_mean double, importance_std double")
+    fm, reg = out.results[name].model.stages
+    names = fm.feature_names()
+    test = fm.transform(out.split.test).select(*names, TARGET)
+    return X.permutation_importance(reg, test, names, n_repeats=5)
+
+
+@register("native_importance")
+def q_native_importance(spark, sf_dir):
+    """Built-in importances of the boosted-tree candidate."""
+    out = _trained(spark, sf_dir)
+    fm, reg = out.results["hist_gradient_boosting"].model.stages
+    return X.native_importance(reg, fm.feature_names())
+
+
+@register("shap_global")
+def q_shap_global(spark, sf_dir):
+    """Mean |SHAP| of the boosted-tree candidate over the first 200 test rows."""
+    out = _trained(spark, sf_dir)
+    fm, reg = out.results["hist_gradient_boosting"].model.stages
+    names = fm.feature_names()
+    test = fm.transform(out.split.test).select(*KEYS, *names)
+    return X.shap_global(reg, test, names, max_samples=200, n_permutations=10, top=12)
+
+
+_FOREST: dict = {}
+
+
+def _forest(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FOREST:
+        from closecast.operators.models import fit_features
+        from closecast.operators.splits import blocked_temporal_split
+
+        split = blocked_temporal_split(snapshots(spark, sf_dir))
+        cache = fit_features(split)
+        rf = build_estimator("random_forest", ModelConfig()).fit(cache.train)
+        _FOREST[key] = (split, cache, rf)
+    return _FOREST[key]
+
+
+@register("score_interval")
+def q_score_interval(spark, sf_dir):
+    """B1/B2: random-forest scoring of the test block with per-tree spread and
+    +-1.96 std bounds, plus lineage columns."""
+    from pyspark.ml import PipelineModel
+
+    split, cache, rf = _forest(spark, sf_dir)
+    bundle = B.ModelBundle("random_forest", PipelineModel(stages=[cache.model, rf]), run_id="forest-run")
+    bundle.interval = rf
+    return B.batch_score(bundle, split.test)
+
+
+@register("interval_coverage")
+def q_interval_coverage(spark, sf_dir):
+    """Share of test actuals inside the forest's interval, by snapshot day."""
+    split, cache, rf = _forest(spark, sf_dir)
+    scored, cols = interval_columns(rf.transform(cache.test), rf)
+    with_bounds = scored.select(TARGET, "snapshot_day", *cols)
+    return M.interval_coverage(with_bounds, group_col="snapshot_day")
+
+
+@register("bundle_roundtrip", ORACLE_SQL["batch_score"])
+def q_bundle_roundtrip(spark, sf_dir):
+    """Save the baseline bundle with the ML writer, load it, score raw rows."""
+    path = scratch_path(spark, "bundle").replace(".parquet", "")
+    B.save_bundle(naive_bundle(spark, sf_dir), path)
+    loaded = B.load_bundle(path)
+    return B.batch_score(loaded, snapshots(spark, sf_dir), scored_at="2001-11-01 00:00:00")
+
+
+__all__ = ["os", "PREDICTION"]
+
+
+# ---------------------------------------------------------------- streaming
+@register("stream_score", ORACLE_SQL["batch_score"])
+def q_stream_score(spark, sf_dir):
+    """Streaming scoring of the snapshot files (availableNow): equals batch scoring."""
+    from closecast.plans.snapshots import snapshot_table
+    from closecast.streaming.score import read_scored, start_stream_score
+
+    snaps = snapshot_table(spark, sf_dir)
+    source = snaps.inputFiles()[0].split("/accounting_month=")[0]
+    out = scratch_path(spark, "stream_score").replace(".parquet", "")
+    q = start_stream_score(spark, source, naive_bundle(spark, sf_dir), out, out + "_ckpt",
+                           scored_at="2001-11-01 00:00:00")
+    q.awaitTermination()
+    return read_scored(spark, out)
+
+
+_MTD_SQL = """
+SELECT strftime(d, '%Y-%m-%d') AS event_date, event_type, n_events, CAST(vs AS DOUBLE) AS value_sum,
+       CAST(SUM(n_events) OVER w AS BIGINT) AS mtd_events, CAST(SUM(vs) OVER w AS DOUBLE) AS mtd_value
+FROM (SELECT CAST(date_trunc('day', ts) AS DATE) AS d, event_type, COUNT(*) AS n_events,
+             SUM(CAST(value AS DECIMAL(12,2))) AS vs
+      FROM events GROUP BY 1, 2)
+WINDOW w AS (PARTITION BY event_type, date_trunc('month', d) ORDER BY d
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
+@register("stream_mtd", _MTD_SQL)
+def q_stream_mtd(spark, sf_dir):
+    """Watermarked daily event windows, rolled up month-to-date."""
+    from closecast.streaming.mtd import month_to_date, start_daily_rollup
+
+    out = scratch_path(spark, "stream_mtd").replace(".parquet", "")
+    src = os.path.join(sf_dir, "events.parque[t]")  # glob: the single events file
+    q = start_daily_rollup(spark, src, out, out + "_ckpt")
+    q.awaitTermination()
+    return month_to_date(spark, out)
