@@ -891,5 +891,118 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 register("flagship_scorecard", ORACLE_SQL["kpi_scorecard"])(flagship)
 
+
+
+# ---------------------------------------------------------------- backtest / preview / sinks
+_FOLD_CTES = _folds_sql("expanding").split("\nSELECT fold_id, role, COUNT", 1)[0].lstrip("\n, ")
+
+
+@register("backtest_baselines", W(f"""
+SELECT f.fold_id, COUNT(*) AS n,
+       round({O.wape_sql(p='COALESCE(CASE WHEN isfinite(s.prior_month_net_revenue) THEN s.prior_month_net_revenue END, f.fallback)')}, 6) AS wape_naive_prior,
+       round({O.wape_sql(p='COALESCE(CASE WHEN isfinite(s.prior_year_same_month_net_revenue) THEN s.prior_year_same_month_net_revenue END, f.fallback)')}, 6) AS wape_seasonal_naive
+FROM snapshots s JOIN cal c ON s.accounting_month = c.accounting_month AND c.role = 'validation'
+JOIN (SELECT c2.fold_id, COALESCE(CAST(SUM(CAST(t.{Y} AS DECIMAL(38,4))) AS DOUBLE) / CAST(COUNT(t.{Y}) AS DOUBLE), 0.0) AS fallback
+      FROM snapshots t JOIN cal c2 ON t.accounting_month = c2.accounting_month AND c2.role = 'train'
+      WHERE isfinite(t.{Y}) GROUP BY c2.fold_id) f ON f.fold_id = c.fold_id
+GROUP BY f.fold_id""", _FOLD_CTES))
+def q_backtest_baselines(spark, sf_dir):
+    """T5: fit the two baselines on each expanding fold's training months and
+    score its validation months; one WAPE per fold and model."""
+    from closecast.operators.baselines import exact_mean
+    from closecast.operators.metrics import metric_exprs
+
+    tagged = T.backtest_folds(snapshots(spark, sf_dir), "expanding")
+    fb = (tagged.where("role = 'train'").groupBy("fold_id")
+          .agg(F.coalesce(exact_mean(Y), F.lit(0.0)).alias("fallback")))
+    val = tagged.where("role = 'validation'").join(F.broadcast(fb), "fold_id")
+    from closecast.functions.columns import finite_or_null
+
+    val = val.withColumn("p_naive", F.coalesce(finite_or_null(F.col("prior_month_net_revenue")), F.col("fallback"))) \
+             .withColumn("p_seasonal", F.coalesce(finite_or_null(F.col("prior_year_same_month_net_revenue")),
+                                                  F.col("fallback")))
+    return val.groupBy("fold_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(metric_exprs(Y, "p_naive")["wape"], 6).alias("wape_naive_prior"),
+        F.round(metric_exprs(Y, "p_seasonal")["wape"], 6).alias("wape_seasonal_naive"))
+
+
+_PREVIEW_RATIOS = ["mtd_collection_ratio", "mtd_denial_ratio", "mtd_adjustment_ratio",
+                   "fraction_month_elapsed", "mtd_gross_run_rate"]
+
+
+@register("feature_preview", W(f"""
+SELECT {len([c for c in ALL_COLUMNS if c in DIMENSIONS + OPERATIONAL + HISTORICAL])} AS n_raw,
+       {len(_NUMERIC)} + (SELECT COUNT(*) FROM (""" + " UNION ".join(
+    f"SELECT DISTINCT '{d}' AS d, CAST({d} AS VARCHAR) AS c FROM split WHERE split = 'train' AND {d} IS NOT NULL"
+    for d in DIMENSIONS) + f""")) AS n_engineered,
+       {_cols(f"round(COALESCE({_feat_value(c, 'x.')}, med.{c}), 4) AS example_{c}" for c in _PREVIEW_RATIOS)}
+FROM (SELECT * FROM split WHERE split = 'train' ORDER BY {_cols(KEYS)} LIMIT 1) x, med""", _MEDIAN_CTES))
+def q_feature_preview(spark, sf_dir):
+    """raw / engineered feature counts and the derived ratios of the first
+    training row (key order)."""
+    snaps = snapshots(spark, sf_dir)
+    train = T.blocked_temporal_split(snaps).train
+    model = LeakageSafeFeatures(outputCol="").fit(train)
+    raw = [c for c in DIMENSIONS + OPERATIONAL + HISTORICAL if c in snaps.columns]
+    first = model.transform(train.orderBy(*KEYS).limit(1))
+    return first.select(
+        F.lit(len(raw)).alias("n_raw"), F.lit(len(model.feature_names())).alias("n_engineered"),
+        *[F.round(c, 4).alias(f"example_{c}") for c in _PREVIEW_RATIOS])
+
+
+@register("predictions_sink", ORACLE_SQL["batch_score"])
+def q_predictions_sink(spark, sf_dir):
+    """A5: scored predictions written partitioned by month and cutoff day
+    (dynamic overwrite), read back in the prediction schema."""
+    preds = B.batch_score(naive_bundle(spark, sf_dir), snapshots(spark, sf_dir), scored_at="2001-11-01 00:00:00")
+    root = IO.scratch_path(spark, "lake").replace(".parquet", "")
+    path = IO.write_predictions(preds, root)
+    back = spark.read.parquet(path)
+    return back.select(*[F.col(c).cast(t) for c, t in preds.dtypes])
+
+
+@register("evaluation_reports", W(f"""
+SELECT facility_id, {O.metric_sql()} FROM scored GROUP BY facility_id""", SPLIT))
+def q_evaluation_reports(spark, sf_dir):
+    """K4 + A7: the continuous-evaluation job writes its four reports; the
+    by-facility CSV is read back with its declared schema."""
+    import os
+
+    from closecast.plans.evaluation import run_continuous_evaluation
+
+    snaps = snapshots(spark, sf_dir)
+    preds = B.batch_score(naive_bundle(spark, sf_dir), snaps.drop(TARGET), scored_at="2001-11-01 00:00:00")
+    out = IO.scratch_path(spark, "evaluation").replace(".parquet", "")
+    run_continuous_evaluation(preds, snaps, out)
+    schema = "facility_id string, n bigint, " + ", ".join(f"{m} double" for m in M.METRIC_NAMES)
+    return spark.read.schema(schema).option("header", True).csv(os.path.join(out, "evaluation_by_facility.csv"))
+
+
+@register("lake_roundtrip", W(O.SNAPSHOT_SELECT))
+def q_lake_roundtrip(spark, sf_dir):
+    """A3/A4: write to the lake path (local fallback root here) and read back."""
+    root = IO.scratch_path(spark, "lake_root").replace(".parquet", "")
+    uri = IO.write_lake(snapshots(spark, sf_dir), "curated/revenue_snapshots.parquet", local_root=root)
+    assert uri
+    return IO.read_lake(spark, "curated/revenue_snapshots.parquet", local_root=root).select(*ALL_COLUMNS)
+
+
+@register("default_datasets", W("""
+SELECT 'full' AS dataset, COUNT(*) AS n_rows FROM snapshots
+UNION ALL SELECT 'sample', LEAST(COUNT(*), 200) FROM snapshots
+UNION ALL SELECT 'invalid', LEAST(COUNT(*), 20) FROM snapshots"""))
+def q_default_datasets(spark, sf_dir):
+    """Full Parquet, first-200 CSV sample and planted-fault CSV; row counts read back."""
+    root = IO.scratch_path(spark, "datasets").replace(".parquet", "")
+    paths = IO.materialise_default_datasets(snapshots(spark, sf_dir), root)
+    full = IO.read_snapshots(spark, paths["full"]).agg(F.count(F.lit(1)).alias("n_rows"))
+    sample = IO.read_snapshots(spark, paths["sample"]).agg(F.count(F.lit(1)).alias("n_rows"))
+    invalid = IO.read_snapshots(spark, paths["invalid"]).agg(F.count(F.lit(1)).alias("n_rows"))
+    return (full.select(F.lit("full").alias("dataset"), "n_rows")
+            .unionByName(sample.select(F.lit("sample").alias("dataset"), "n_rows"))
+            .unionByName(invalid.select(F.lit("invalid").alias("dataset"), "n_rows")))
+
+
 # rows-only queries (ML training, explanation, streaming) live in their own module
 from closecast.plans import registry_ml  # noqa: E402,F401

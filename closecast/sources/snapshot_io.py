@@ -117,3 +117,27 @@ def invalid_sample(snapshots: DataFrame, n: int = 20) -> DataFrame:
         else:
             cols.append(F.col(c))
     return head.select(*cols)
+
+
+def read_lake(spark: SparkSession, relative: str, lake_root: str | None = None, local_root: str | None = None) -> DataFrame:
+    """A3: Parquet from the lake (or the local fallback root)."""
+    return spark.read.parquet(lake_uri(relative, lake_root, local_root))
+
+
+def write_lake(df: DataFrame, relative: str, lake_root: str | None = None, local_root: str | None = None) -> str:
+    """A4: Parquet to the lake (or the local fallback root); returns the location."""
+    uri = lake_uri(relative, lake_root, local_root)
+    df.write.mode("overwrite").parquet(uri)
+    return uri
+
+
+def materialise_default_datasets(snapshots: DataFrame, root: str, sample_rows: int = 200) -> dict[str, str]:
+    """Full Parquet table, a first-``sample_rows`` CSV sample and the
+    planted-fault CSV, written under ``root``."""
+    full = os.path.join(root, "revenue_snapshots.parquet")
+    sample = os.path.join(root, "revenue_snapshots_sample.csv")
+    invalid = os.path.join(root, "revenue_snapshots_invalid.csv")
+    write_snapshots(snapshots, full)
+    snapshots.orderBy(*KEYS).limit(sample_rows).coalesce(1).write.mode("overwrite").option("header", True).csv(sample)
+    invalid_sample(snapshots).coalesce(1).write.mode("overwrite").option("header", True).csv(invalid)
+    return {"full": full, "sample": sample, "invalid": invalid}
