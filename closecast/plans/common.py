@@ -6,8 +6,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closecast.operators.baselines import naive_prior, seasonal_naive
-from closecast.operators.splits import SplitConfig, blocked_temporal_split, with_split_column
+from closecast.operators.baselines import (
+    BASELINE_FEATURES,
+    FeatureColumnBaselineModel,
+    fallback_mean,
+    naive_prior,
+)
+from closecast.operators.splits import SplitConfig, blocked_months, blocked_temporal_split, ordered_months, with_split_column
 from closecast.plans.snapshots import snapshot_table
 from closecast.schema import PREDICTION
 
@@ -22,23 +27,44 @@ def split_frame(spark: SparkSession, sf_dir: str, config: SplitConfig | None = N
     return with_split_column(snapshots(spark, sf_dir), config)
 
 
+def months(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The sorted month list of the (immutable) snapshot table, collected once."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MONTHS:
+        _MONTHS[key] = ordered_months(snapshots(spark, sf_dir))
+    return _MONTHS[key]
+
+
+_MONTHS: dict[tuple, list[str]] = {}
+
+
+def split_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots + blocked ``split`` column, using the memoised month list."""
+    _, val_m, test_m = blocked_months(months(spark, sf_dir))
+    month = F.col("accounting_month")
+    return snapshots(spark, sf_dir).withColumn(
+        "split", F.when(month.isin(test_m), F.lit("test")).when(month.isin(val_m), F.lit("validation"))
+        .otherwise(F.lit("train")))
+
+
 def baseline_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots + ``split`` + naive (PREDICTION) and seasonal (``pred_seasonal``)
-    baselines fitted on the training block and applied to every row."""
-    snaps = snapshots(spark, sf_dir)
-    split = blocked_temporal_split(snaps)
-    naive = naive_prior().fit(split.train)
-    seas = seasonal_naive().fit(split.train)
-    seas.set(seas.predictionCol, SEASONAL)
-    tagged = with_split_column(snaps)
+    baselines fitted on the training block and applied to every row.
+
+    Both baselines share one fit: the training-target mean (one aggregate)."""
+    tagged = split_tagged(spark, sf_dir)
+    fb = float(fallback_mean(tagged.where(F.col("split") == "train")).first()["fallback"])
+    naive = FeatureColumnBaselineModel()._set(featureName=BASELINE_FEATURES["naive_prior"], fallback=fb)
+    seas = FeatureColumnBaselineModel()._set(featureName=BASELINE_FEATURES["seasonal_naive"], fallback=fb,
+                                             predictionCol=SEASONAL)
     return PipelineModel(stages=[naive, seas]).transform(tagged)
 
 
 def naive_bundle(spark: SparkSession, sf_dir: str, run_id: str = "baseline-run"):
     from closecast.operators.scoring import ModelBundle
 
-    split = blocked_temporal_split(snapshots(spark, sf_dir))
-    model = PipelineModel(stages=[naive_prior().fit(split.train)])
+    train = split_tagged(spark, sf_dir).where(F.col("split") == "train").drop("split")
+    model = PipelineModel(stages=[naive_prior().fit(train)])
     return ModelBundle("naive_prior", model, run_id=run_id)
 
 

@@ -26,7 +26,7 @@ from closecast.operators.baselines import fallback_mean
 from closecast.operators.features import LeakageSafeFeatures, fit_statistics, with_derived
 from closecast.operators.joins import eval_coverage, predictions_vs_actuals
 from closecast.plans import oracle_sql as O
-from closecast.plans.common import SEASONAL, baseline_scored, naive_bundle, snapshots
+from closecast.plans.common import SEASONAL, baseline_scored, naive_bundle, snapshots, split_tagged
 from closecast.plans.snapshots import build_snapshots
 from closecast.schema import (
     ALL_COLUMNS,
@@ -40,7 +40,7 @@ from closecast.schema import (
     TARGET,
 )
 from closecast.sources import snapshot_io as IO
-from closecast.sources.tables import read_table
+from closecast.sources.tables import ensure_parallelism, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -741,7 +741,7 @@ def _status(x: str) -> str:
 
 
 def _drift_frames(spark, sf_dir):
-    tagged = T.with_split_column(snapshots(spark, sf_dir))
+    tagged = split_tagged(spark, sf_dir)
     return tagged.where("split = 'train'"), tagged.where("split = 'test'")
 
 
@@ -844,14 +844,14 @@ def _redact_sql(col: str) -> str:
     f"COALESCE(regexp_matches(text, '{p}'), false)" for _, p in ts.SENSITIVE_PATTERNS) + ") AS has_secret FROM documents")
 def q_contains_secret(spark, sf_dir):
     """Y1 over every document (whole texts)."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = ensure_parallelism(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return docs.select("doc_id", ts.contains_secret(F.col("text")).alias("has_secret"))
 
 
 @register("redact_documents", f"SELECT doc_id, {_redact_sql('text')} AS redacted FROM documents")
 def q_redact_documents(spark, sf_dir):
     """Y2 over every document."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = ensure_parallelism(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return docs.select("doc_id", ts.redact(F.col("text")).alias("redacted"))
 
 
@@ -859,7 +859,7 @@ def q_redact_documents(spark, sf_dir):
                            "WHERE findings <> ''")
 def q_scan_findings(spark, sf_dir):
     """Pattern names found per document (documents with findings)."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = ensure_parallelism(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     f = docs.select("doc_id", ts.findings(F.col("text")).alias("f"))
     return f.where(F.size("f") > 0).select("doc_id", F.array_join("f", ",").alias("findings"))
 
@@ -872,11 +872,11 @@ SELECT source, item_id, findings FROM (
 ) WHERE findings <> ''""")
 def q_scan_corpus(spark, sf_dir):
     """Scan documents, pages and conversation turns; report texts with findings."""
-    conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "text"]).select(
+    conv = ensure_parallelism(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "text"])).select(
         F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"), "text")
     return ts.scan_corpus([
-        ("documents", read_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text"),
-        ("pages", read_table(spark, sf_dir, "pages", ["page_id", "html"]), "page_id", "html"),
+        ("documents", ensure_parallelism(read_table(spark, sf_dir, "documents", ["doc_id", "text"])), "doc_id", "text"),
+        ("pages", ensure_parallelism(read_table(spark, sf_dir, "pages", ["page_id", "html"])), "page_id", "html"),
         ("conversations", conv, "id", "text"),
     ])
 
