@@ -19,7 +19,21 @@ from pyspark.sql import functions as F
 from closecast.schema import DEMO_CUTOFF_DAY, FACILITY, KEYS, MONTH, PREDICTION, SNAPSHOT_DAY, TARGET
 
 BASELINE_MODELS = {"naive_prior", "seasonal_naive"}
-SCORED_AT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+SCORED_AT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def scored_at_utc(spark: SparkSession, scored_at: str | None = None):
+    """ISO-8601 UTC text for one batch: the given UTC wall-clock time, or now.
+
+    Built from a TIMESTAMP_NTZ UTC wall clock, so it does not depend on the
+    session time zone.
+    """
+    if scored_at:
+        wall = F.lit(scored_at).cast("timestamp_ntz")
+    else:
+        tz = spark.conf.get("spark.sql.session.timeZone")
+        wall = F.convert_timezone(F.lit(tz), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+    return F.concat(F.date_format(wall, SCORED_AT_FORMAT), F.lit("+00:00"))
 
 
 @dataclass
@@ -31,7 +45,7 @@ class ModelBundle:
     model_version: str = "0.1.0"
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
     trained_at: str = field(default_factory=lambda: _dt.datetime.now(_dt.UTC).isoformat())
-    interval: object | None = None  # per-tree leaf table for random forests (B2)
+    interval: object | None = None  # fitted random forest whose trees give the spread (B2)
 
     @property
     def is_baseline(self) -> bool:
@@ -71,12 +85,11 @@ def batch_score(bundle: ModelBundle, frame: DataFrame, cutoff_day: int | None =
 
         scored, icols = interval_columns(scored, bundle.interval)
         cols += icols
-    ts = F.lit(scored_at).cast("timestamp") if scored_at else F.current_timestamp()
     cutoff = F.lit(cutoff_day).cast("bigint") if cutoff_day is not None else F.col(SNAPSHOT_DAY).cast("bigint")
     cols += [
         F.lit(bundle.model_name).alias("model_name"), F.lit(bundle.model_version).alias("model_version"),
         F.lit(bundle.run_id).alias("run_id"), cutoff.alias("cutoff_day"),
-        F.date_format(ts, SCORED_AT_FORMAT).alias("scored_at"),
+        scored_at_utc(frame.sparkSession, scored_at).alias("scored_at"),
     ]
     return scored.select(*cols)
 

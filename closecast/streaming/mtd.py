@@ -1,6 +1,6 @@
 """stream_mtd: month-to-date event totals from a stream of timestamped events.
 
-Events are aggregated into daily tumbling windows per event type with a
+Events (wall-clock UTC timestamps) are aggregated into daily tumbling windows per event type with a
 watermark (late rows beyond it are dropped by Spark and counted from the
 query progress). Updated windows are appended per micro-batch to an update
 log (``batch_id=N``, idempotent overwrite); readers keep the newest version of
@@ -15,19 +15,32 @@ import os
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-EVENTS_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def utc_event_time(ts_ntz):
+    """Event-time instant of a wall-clock (TIMESTAMP_NTZ) value read as UTC.
+
+    Built from date / time fields, so it does not depend on the session time
+    zone; daily windows on it are UTC-aligned.
+    """
+    days = F.datediff(F.to_date(ts_ntz), F.lit("1970-01-01").cast("date")).cast("long")
+    secs = days * 86400 + F.hour(ts_ntz) * 3600 + F.minute(ts_ntz) * 60
+    micros = secs * 1_000_000 + (F.date_part(F.lit("SECOND"), ts_ntz) * 1_000_000).cast("long")
+    return F.timestamp_micros(micros)
 
 
 def start_daily_rollup(spark: SparkSession, source: str, out_dir: str, checkpoint_dir: str,
                        watermark: str = "1 day", available_now: bool = True):
     events = spark.readStream.schema(EVENTS_SCHEMA).parquet(source)
-    daily = (events.withWatermark("ts", watermark)
-             .groupBy(F.window("ts", "1 day").alias("w"), "event_type")
-             .agg(F.count(F.lit(1)).alias("n_events"),
+    daily = (events.withColumn("event_time", utc_event_time(F.col("ts")))
+             .withWatermark("event_time", watermark)
+             .groupBy(F.window("event_time", "1 day").alias("w"), "event_type")
+             .agg(F.min(F.to_date("ts")).alias("day_start"), F.count(F.lit(1)).alias("n_events"),
                   F.sum(F.col("value").cast("decimal(12,2)")).alias("value_sum")))
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        (batch.select(F.col("w.start").alias("day_start"), "event_type", "n_events", "value_sum")
+        (batch.select("day_start", "event_type", "n_events", "value_sum")
          .write.mode("overwrite").parquet(os.path.join(out_dir, f"batch_id={epoch}")))
 
     writer = daily.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
