@@ -1,8 +1,10 @@
 """stream_mtd: month-to-date event totals from a stream of timestamped events.
 
-Events (wall-clock UTC timestamps) are aggregated into daily tumbling windows per event type with a
-watermark (late rows beyond it are dropped by Spark and counted from the
-query progress). Updated windows are appended per micro-batch to an update
+Events (wall-clock UTC timestamps) are aggregated into daily tumbling windows
+per event type with a watermark. Late rows are dropped by Spark's stateful
+aggregation, which checks them against the watermark of the previous
+micro-batch (a one-batch lag); the job counts them as input rows that reached
+no window. Updated windows are appended per micro-batch to an update
 log (``batch_id=N``, idempotent overwrite); readers keep the newest version of
 each (day, type) and roll days up to month-to-date with a window whose
 partition is one type-month (at most 31 rows).
@@ -31,8 +33,12 @@ def utc_event_time(ts_ntz):
 
 
 def start_daily_rollup(spark: SparkSession, source: str, out_dir: str, checkpoint_dir: str,
-                       watermark: str = "1 day", available_now: bool = True):
-    events = spark.readStream.schema(EVENTS_SCHEMA).parquet(source)
+                       watermark: str = "1 day", available_now: bool = True,
+                       max_files_per_trigger: int | None = None):
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    events = reader.parquet(source)
     daily = (events.withColumn("event_time", utc_event_time(F.col("ts")))
              .withWatermark("event_time", watermark)
              .groupBy(F.window("event_time", "1 day").alias("w"), "event_type")
@@ -48,21 +54,25 @@ def start_daily_rollup(spark: SparkSession, source: str, out_dir: str, checkpoin
     return writer.start()
 
 
-def dropped_by_watermark(query) -> int:
-    """Late rows dropped by the watermark, summed over the query's progress."""
-    total = 0
-    for p in query.recentProgress or []:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else getattr(p, "stateOperators", []):
-            v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else getattr(
-                op, "numRowsDroppedByWatermark", 0)
-            total += int(v or 0)
-    return total
+def dropped_by_watermark(spark: SparkSession, query, out_dir: str) -> int:
+    """Late rows dropped by the watermark: every input row either lands in a
+    daily window of the output or was dropped, so this is the input row count
+    from the query progress minus the events counted in the output."""
+    seen = sum(int(p.numInputRows if hasattr(p, "numInputRows") else p.get("numInputRows", 0))
+               for p in query.recentProgress or [])
+    counted = latest_daily(spark, out_dir).agg(F.sum("n_events")).first()[0] or 0
+    return seen - int(counted)
 
 
-def month_to_date(spark: SparkSession, out_dir: str) -> DataFrame:
+def latest_daily(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Newest version of every (day, event type) in the update log."""
     log = spark.read.parquet(out_dir)
     newest = Window.partitionBy("day_start", "event_type").orderBy(F.col("batch_id").desc())
-    daily = log.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn", "batch_id")
+    return log.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn", "batch_id")
+
+
+def month_to_date(spark: SparkSession, out_dir: str) -> DataFrame:
+    daily = latest_daily(spark, out_dir)
     day = F.to_date("day_start")
     w = (Window.partitionBy("event_type", F.trunc(day, "month")).orderBy(day)
          .rowsBetween(Window.unboundedPreceding, 0))
