@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from closecast.functions.columns import percentile_expr, percentile_mode
 from closecast.schema import DIMENSIONS
 
 BINS = 10
@@ -44,10 +45,7 @@ def binned_counts(reference: DataFrame, current: DataFrame, columns: list[str],
     ref = _long(reference, feats, "ref")
     cur = _long(current, feats, "cur")
     levels = F.array(*[F.lit(q) for q in quantile_levels(bins)])
-    if relative_error is None:
-        qs = F.percentile("x", levels)
-    else:
-        qs = F.percentile_approx("x", levels, int(1.0 / relative_error))
+    qs = percentile_expr(F.col("x"), levels, percentile_mode(reference, relative_error))
     edges = ref.groupBy("feature").agg(F.array_distinct(qs.cast("array<double>")).alias("edges"))
     inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
     edges = edges.select("feature", F.size("edges").alias("n_edges"), inner.alias("inner"))

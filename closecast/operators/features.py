@@ -19,7 +19,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from closecast.functions.columns import finite_or_null
+from closecast.functions.columns import finite_or_null, percentile_expr, percentile_mode
 from closecast.operators.contracts import check_forbidden
 from closecast.schema import DERIVED, DIMENSIONS, FEATURES, HISTORICAL, OPERATIONAL, TARGET
 
@@ -60,18 +60,17 @@ def numeric_inputs(df_cols: list[str]) -> list[str]:
 def fit_statistics(df: DataFrame, relative_error: float | None = None) -> DataFrame:
     """M18 + M19 in one aggregate: a one-row frame of medians and category arrays.
 
-    Exact medians by default (``percentile``); with ``relative_error`` the
-    bounded-memory ``approx_percentile`` sketch is used instead.
+    Exact medians (``percentile``) when the frame is provably small; above
+    ``EXACT_PERCENTILE_MAX_ROWS`` rows, or when ``relative_error`` is given,
+    the bounded-memory ``approx_percentile`` sketch is used instead.
     """
     enriched = with_derived(df)
     numeric = numeric_inputs(enriched.columns)
+    mode = percentile_mode(df, relative_error)
     aggs = []
     for c in numeric:
         v = finite_or_null(F.col(f"`{c}`").cast("double"))
-        if relative_error is None:
-            med = F.percentile(v, F.lit(0.5))
-        else:
-            med = F.percentile_approx(v, F.lit(0.5), int(1.0 / relative_error))
+        med = percentile_expr(v, F.lit(0.5), mode)
         aggs.append(F.coalesce(med.cast("double"), F.lit(0.0)).alias(f"median__{c}"))
     for c in DIMENSIONS:
         if c in df.columns:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closecast.functions import calendar as cal
-from closecast.functions.columns import finite_or_null
+from closecast.functions.columns import finite_or_null, percentile_expr, percentile_mode
 from closecast.operators.baselines import exact_mean
 from closecast.operators.features import fit_statistics
 from closecast.operators.metrics import METRIC_NAMES, metric_exprs, metrics_overall
@@ -31,11 +31,24 @@ def month_index(snaps: DataFrame) -> DataFrame:
         F.substring(MONTH, 1, 4).cast("bigint").alias("year"), F.substring(MONTH, 6, 2).cast("bigint").alias("month"))
 
 
-def facility_month_series(snaps: DataFrame, y: str = TARGET) -> DataFrame:
-    """One target per facility-month (``min`` = ``first`` under the contract)."""
+def facility_month_series(snaps: DataFrame, y: str = TARGET, facility: str | None = None) -> DataFrame:
+    """One target per facility-month (``min`` = ``first`` under the
+    contract); all facilities, or one (P5) when ``facility`` is given."""
+    if facility is not None:
+        snaps = facility_rows(snaps, facility)
     return snaps.groupBy(FACILITY, MONTH).agg(F.min(y).alias("first_target"))
 
 
+def facility_rows(snaps: DataFrame, facility: str) -> DataFrame:
+    """P5: rows of one facility; unknown facility raises ``KeyError``.
+
+    The existence probe is ``limit(1)``, so it stops at the first match."""
+    rows = snaps.where(F.col(FACILITY) == facility)
+    if rows.limit(1).count() == 0:
+        raise KeyError(f"unknown facility {facility!r}")
+    return rows
+
+
 def month_history(series: DataFrame, value: str, partition: str = FACILITY, order: str = MONTH) -> DataFrame:
     """G4/W1/W2 on any month series: lag 1, lag 12 and trailing means over
     strictly prior rows (exact DECIMAL window sums, partial windows allowed)."""
@@ -105,7 +118,7 @@ def outlier_count(df: DataFrame, col: str = "month_to_date_gross_charges", q: fl
                   factor: float = 1.5) -> DataFrame:
     """Rows above ``factor`` x the q-quantile. The quantile is one scalar
     (first job); the count is a filtered aggregate on it (second job)."""
-    p = df.agg(F.percentile(col, F.lit(q)).alias("p")).first()["p"]
+    p = df.agg(percentile_expr(F.col(col), F.lit(q), percentile_mode(df)).alias("p")).first()["p"]
     thr = F.lit(p).cast("double")
     return df.agg(F.count_if(F.col(col) > F.lit(factor) * thr).alias("n_outliers")).select(
         F.round(thr, 4).alias("p99_gross"), "n_outliers")
