@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# fixed values: pattern names and patterns, in declared (application) order
+# fixed values: patterns in declared (application) order, with their finding labels
 SENSITIVE_PATTERNS: list[tuple[str, str]] = [
-    ("azure_subscription_guid",
+    ("subscription_guid",
      r"\b[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\b"),
     ("connection_string", r"(?i)(AccountKey|SharedAccessKey|Password)=[^;\s]+"),
     ("bearer_token", r"Bearer\s+[A-Za-z0-9\-\._~\+\/]+=*"),

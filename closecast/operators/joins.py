@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closecast.schema import KEYS, PREDICTION, TARGET
+from closecast.schema import KEYS, TARGET
 
 # Rows above which a dimension is never hinted for broadcast; the planner (and
 # AQE at runtime) then chooses a shuffle join, with skew-join splitting enabled.
@@ -46,5 +46,3 @@ def eval_coverage(predictions: DataFrame, actuals: DataFrame, keys: list[str] |
     missing_pred = a.join(p, join_keys, "left_anti").withColumn("gap", F.lit("actual_without_prediction"))
     return missing_actual.unionByName(missing_pred)
 
-
-__all__ = ["bounded_broadcast", "predictions_vs_actuals", "eval_coverage", "PREDICTION"]

@@ -13,7 +13,7 @@ from closecast.functions import calendar as cal
 from closecast.functions.columns import finite_or_null, percentile_expr, percentile_mode
 from closecast.operators.baselines import exact_mean
 from closecast.operators.features import fit_statistics
-from closecast.operators.metrics import METRIC_NAMES, metric_exprs, metrics_overall
+from closecast.operators.metrics import METRIC_NAMES, metrics_overall
 from closecast.schema import FACILITY, MONTH, OPERATIONAL, PREDICTION, SNAPSHOT_DATE, SNAPSHOT_DAY, TARGET
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closecast.operators.metrics import METRIC_NAMES, metric_exprs
-from closecast.schema import CHALLENGER_THRESHOLD, PREDICTION, TARGET
+from closecast.schema import CHALLENGER_THRESHOLD, TARGET
 
 
 def comparison_table(metric_rows: dict[str, DataFrame]) -> DataFrame:
@@ -86,5 +86,3 @@ def promotion_gate(scored: DataFrame, incumbent_col: str, candidate_col: str, y:
                     F.round(imp, 6).alias("improvement"),
                     F.coalesce(imp > threshold, F.lit(False)).alias("promote"))
 
-
-__all__ = ["PREDICTION"]

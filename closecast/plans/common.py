@@ -12,9 +12,8 @@ from closecast.operators.baselines import (
     fallback_mean,
     naive_prior,
 )
-from closecast.operators.splits import SplitConfig, blocked_months, blocked_temporal_split, ordered_months, with_split_column
+from closecast.operators.splits import SplitConfig, blocked_months, ordered_months, with_split_column
 from closecast.plans.snapshots import snapshot_table
-from closecast.schema import PREDICTION
 
 SEASONAL = "pred_seasonal"
 
@@ -67,5 +66,3 @@ def naive_bundle(spark: SparkSession, sf_dir: str, run_id: str = "baseline-run")
     model = PipelineModel(stages=[naive_prior().fit(train)])
     return ModelBundle("naive_prior", model, run_id=run_id)
 
-
-__all__ = ["F", "PREDICTION"]

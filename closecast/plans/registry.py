@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from closecast.functions import calendar as cal
 from closecast.functions import textscan as ts
 from closecast.operators import contracts as C
 from closecast.operators import drift as D
@@ -34,7 +33,6 @@ from closecast.schema import (
     DIMENSIONS,
     HISTORICAL,
     KEYS,
-    MTD_MEASURES,
     OPERATIONAL,
     PREDICTION,
     TARGET,

@@ -15,7 +15,7 @@ from closecast.operators.models import ModelConfig, build_estimator, interval_co
 from closecast.plans.common import naive_bundle, snapshots
 from closecast.plans.registry import ORACLE_SQL, register
 from closecast.plans.training import TEST_PROFILE_CANDIDATES, memo_training
-from closecast.schema import KEYS, PREDICTION, TARGET
+from closecast.schema import KEYS, TARGET
 from closecast.sources.snapshot_io import scratch_path
 
 
@@ -137,8 +137,6 @@ def q_bundle_roundtrip(spark, sf_dir):
     return B.batch_score(loaded, snapshots(spark, sf_dir), scored_at="2001-11-01 00:00:00")
 
 
-__all__ = ["os", "PREDICTION"]
-
 
 # ---------------------------------------------------------------- streaming
 @register("stream_score", ORACLE_SQL["batch_score"])

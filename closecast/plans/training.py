@@ -13,18 +13,11 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from closecast.operators import contracts as C
 from closecast.operators import selection as S
 from closecast.operators.baselines import BASELINE_FEATURES
-from closecast.operators.models import (
-    FeatureCache,
-    ModelConfig,
-    TrainingResult,
-    build_estimator,
-    fit_features,
-)
+from closecast.operators.models import FeatureCache, ModelConfig, TrainingResult, build_estimator, fit_features
 from closecast.operators.metrics import metrics_by_day, metrics_by_facility, metrics_overall
 from closecast.operators.scoring import ModelBundle
 from closecast.operators.splits import SplitConfig, TemporalSplit, blocked_temporal_split
@@ -97,5 +90,3 @@ def memo_training(spark, sf_dir: str, snapshots: DataFrame, candidates: list[str
             _MEMO[key] = run_training_pipeline(snapshots, ModelConfig(candidates=list(candidates)))
         return _MEMO[key]
 
-
-__all__ = ["F", "TEST_PROFILE_CANDIDATES", "memo_training", "run_training_pipeline"]
