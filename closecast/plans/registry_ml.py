@@ -5,6 +5,7 @@ except the bundle round trip whose output equals the SQL baseline."""
 from __future__ import annotations
 
 import os
+import threading
 
 from pyspark.sql import functions as F
 
@@ -92,10 +93,16 @@ def q_shap_global(spark, sf_dir):
 
 
 _FOREST: dict = {}
+_FOREST_LOCK = threading.Lock()
 
 
 def _forest(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
+    with _FOREST_LOCK:
+        return _forest_locked(spark, sf_dir, key)
+
+
+def _forest_locked(spark, sf_dir, key):
     if key not in _FOREST:
         from closecast.operators.models import fit_features
         from closecast.operators.splits import blocked_temporal_split

@@ -81,3 +81,15 @@ def test_folds_are_time_ordered(snaps):
 def test_too_few_months_raises():
     with pytest.raises(ValueError):
         T.blocked_months(["2023-01", "2023-02"], T.SplitConfig(1, 1, 1))
+
+
+def test_fold_windows_match_the_published_rule():
+    cfg = T.SplitConfig(n_test_months=3, n_val_months=3, n_backtest_folds=2)
+    # rolling: min_train = max(h, M - k*h) = 12 -> train [0,12) val [12,15); train [3,15) val [15,18)
+    assert T.rolling_fold_windows(18, cfg) == [(0, 12, 12, 15), (3, 15, 15, 18)]
+    # expanding: first = M - k*h = 12 -> train [0,12) val [12,15); train [0,15) val [15,18)
+    assert T.expanding_fold_windows(18, cfg) == [(0, 12, 12, 15), (0, 15, 15, 18)]
+    # too few months for k folds: expanding falls back to first = h and stops when out of months
+    assert T.expanding_fold_windows(5, cfg) == []
+    assert T.expanding_fold_windows(7, cfg) == [(0, 1, 1, 4), (0, 4, 4, 7)]  # first = 7 - 6 = 1
+    assert T.rolling_fold_windows(5, cfg) == []
