@@ -154,21 +154,24 @@ def train_all(split: TemporalSplit, config: ModelConfig | None = None) -> dict[s
 
 
 def tune_learning_rate(split: TemporalSplit, rates=(0.03, 0.05, 0.1, 0.2), block: str = "validation",
-                       config: ModelConfig | None = None) -> DataFrame:
+                       config: ModelConfig | None = None, cache: FeatureCache | None = None,
+                       fitted: dict | None = None) -> DataFrame:
     """Hist-gradient-boosting learning-rate sweep scored by WAPE on the
     validation block (``block='test'`` reproduces the optimistic variant).
-    The settings are fitted concurrently on one cached feature frame."""
+    The settings are fitted concurrently on one cached feature frame;
+    ``fitted`` may pass models already trained for some rates (same data)."""
     from concurrent.futures import ThreadPoolExecutor
 
     from closecast.operators.metrics import metric_exprs
 
     config = config or ModelConfig()
-    cache = fit_features(split)
+    cache = cache or fit_features(split)
     target = cache.validation if block == "validation" else cache.test
+    fitted = fitted or {}
 
     def one(lr):
         cfg = ModelConfig(**{**config.__dict__, "hgb_params": {**config.hgb_params, "learning_rate": lr}})
-        m = build_estimator("hist_gradient_boosting", cfg).fit(cache.train)
+        m = fitted.get(lr) or build_estimator("hist_gradient_boosting", cfg).fit(cache.train)
         w = m.transform(target).agg(F.round(metric_exprs()["wape"], 6).alias("wape"))
         return w.select(F.lit(f"learning_rate={lr}").alias("setting"), F.lit(lr).alias("learning_rate"), "wape")
 

@@ -45,10 +45,12 @@ def q_candidate_metrics_by_day(spark, sf_dir):
 
 @register("tune_grid")
 def q_tune_grid(spark, sf_dir):
-    """Learning-rate sweep of histogram boosting, scored on the validation block."""
-    from closecast.operators.splits import blocked_temporal_split
-
-    return tune_learning_rate(blocked_temporal_split(snapshots(spark, sf_dir)))
+    """Learning-rate sweep of histogram boosting, scored on the validation
+    block; the default-rate model of the training run is reused."""
+    out = _trained(spark, sf_dir)
+    default_lr = ModelConfig().hgb_params["learning_rate"]
+    hgb = out.results["hist_gradient_boosting"].model.stages[-1]
+    return tune_learning_rate(out.split, cache=out.features, fitted={default_lr: hgb})
 
 
 def _learned_champion(out):
