@@ -60,15 +60,27 @@ def cmd_build(spark, args) -> int:
 
 
 def cmd_validate(spark, args) -> int:
+    from pyspark.sql import functions as F
+
     from closecast.operators import contracts as C
     from closecast.sources.snapshot_io import read_snapshots, write_snapshots
 
-    df = read_snapshots(spark, args.input, with_target=not args.inference)
-    good, bad = C.quarantine(df, require_target=not args.inference)
+    need_target = not args.inference
+    if args.input.rstrip("/").lower().endswith(".csv"):
+        # text input: coerce to the contract types, report unparseable values too
+        text = spark.read.option("header", True).csv(args.input)
+        df = C.coerce_to_schema(text, need_target).drop("coerce_failures")
+        n_coerce = C.coerced_contract_failures(text, need_target).where(
+            F.col("check").startswith("coerce_dtype")).count()
+    else:
+        df, n_coerce = read_snapshots(spark, args.input, with_target=need_target), 0
+    good, bad = C.quarantine(df, require_target=need_target)
     n_bad = bad.count()
     if args.quarantine and n_bad:
         write_snapshots(bad, args.quarantine, partition_by=None)
     errors = []
+    if n_coerce:
+        errors.append(f"{n_coerce} values do not parse as their contract type")
     if n_bad:
         errors.append(f"{n_bad} rows fail the contract")
     try:

@@ -89,3 +89,13 @@ def test_history_is_strictly_prior(snaps):
 def test_read_rejects_unknown_suffix(spark):
     with pytest.raises(ValueError):
         IO.read_snapshots(spark, "/tmp/x.json")
+
+
+def test_coercion_failures_are_reported(spark, snaps):
+    text = snaps.limit(5).select(*[F.col(c).cast("string").alias(c) for c in snaps.columns])
+    broken = text.withColumn("month_to_date_payments",
+                             F.when(F.col("snapshot_day") == 7, F.lit("n/a")).otherwise(F.col("month_to_date_payments")))
+    fails = C.coerced_contract_failures(broken).collect()
+    bad = [r for r in fails if r["check"].startswith("coerce_dtype")]
+    assert bad and all(r["column"] == "month_to_date_payments" and r["failure_case"] == "n/a" for r in bad)
+    assert C.coerced_contract_failures(text).count() == C.contract_failures(snaps.limit(5)).count()

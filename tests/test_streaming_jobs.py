@@ -58,3 +58,14 @@ def test_cli_build_validate_predict_evaluate(spark, tmp_path):
     assert set(os.listdir(rep)) >= {"evaluation_overall.json", "evaluation_by_facility.csv",
                                     "evaluation_by_snapshot_day.csv", "kpi_scorecard.csv"}
     assert jobs.main(["drift", "--reference", snaps, "--current", snaps, "--output", str(tmp_path / "drift")]) == 0
+
+
+def test_cli_validates_text_input_with_coercion(spark, tmp_path, snaps):
+    csv = str(tmp_path / "bad.csv")
+    broken = snaps.where(F.col("actual_month_end_net_revenue") > 0).limit(10).withColumn(
+        "month_to_date_payments", F.lit("n/a"))
+    broken.coalesce(1).write.option("header", True).csv(csv)
+    assert jobs.main(["validate-data", "--input", csv]) == 1
+    good = str(tmp_path / "good.csv")
+    snaps.where(F.col("actual_month_end_net_revenue") > 0).limit(10).coalesce(1).write.option("header", True).csv(good)
+    assert jobs.main(["validate-data", "--input", good]) == 0
