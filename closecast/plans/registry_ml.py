@@ -183,3 +183,11 @@ def q_stream_mtd(spark, sf_dir):
     q = start_daily_rollup(spark, src, out, out + "_ckpt")
     q.awaitTermination()
     return month_to_date(spark, out)
+
+
+@register("backtest_models")
+def q_backtest_models(spark, sf_dir):
+    """T5: baselines and elastic net refitted on each expanding fold, scored on its validation months."""
+    from closecast.plans.training import backtest_candidates
+
+    return backtest_candidates(snapshots(spark, sf_dir), ["naive_prior", "seasonal_naive", "elastic_net"])

@@ -48,3 +48,11 @@ def test_one_champion(spark):
 def test_feature_preview_counts(spark, name):
     r = q(spark, name).first()
     assert r["n_raw"] == 41 and r["n_engineered"] > 43
+
+
+def test_model_backtest_agrees_with_sql_checked_baseline_backtest(spark):
+    models = {(r["fold_id"], r["model"]): r["wape"] for r in q(spark, "backtest_models").collect()}
+    for r in q(spark, "backtest_baselines").collect():
+        assert models[(r["fold_id"], "naive_prior")] == pytest.approx(r["wape_naive_prior"], abs=2e-6)
+        assert models[(r["fold_id"], "seasonal_naive")] == pytest.approx(r["wape_seasonal_naive"], abs=2e-6)
+    assert {k[1] for k in models} == {"naive_prior", "seasonal_naive", "elastic_net"}
