@@ -161,3 +161,38 @@ def data_quality_drift(reference: DataFrame, current: DataFrame, columns: list[s
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def psi_by_group(reference: DataFrame, current: DataFrame, col: str, group_col: str, bins: int = BINS,
+                 relative_error: float | None = None) -> DataFrame:
+    """PSI of ``col`` for every group of ``current`` (e.g. each month) against
+    one reference distribution. The reference edges (at most ``bins`` + 1
+    values) are computed once; each group's counts come from one grouped
+    aggregate over a complete (group, bin) grid."""
+    x = F.col(col).cast("double")
+    ref = reference.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    cur = current.select(F.col(group_col).alias("g"), x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    levels = F.array(*[F.lit(q) for q in quantile_levels(bins)])
+    qs = percentile_expr(F.col("x"), levels, percentile_mode(reference, relative_error))
+    edges = ref.agg(F.array_distinct(qs.cast("array<double>")).alias("e")).first()["e"]  # <= bins + 1 values
+    groups = current.select(F.col(group_col).alias("g")).distinct()
+    if not edges:
+        return groups.select("g", F.lit(None).cast("double").alias("psi")).withColumnRenamed("g", group_col)
+    if len(edges) < 2:
+        return groups.select(F.col("g").alias(group_col), F.lit(0.0).alias("psi"))
+    inner = F.array(*[F.lit(e) for e in edges[1:-1]])
+    nb = len(edges) - 1
+    bin_of = F.size(F.filter(inner, lambda e: e <= F.col("x")))
+    ref_counts = ref.groupBy(bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("expected"))
+    n_ref = ref_counts.agg(F.sum("expected")).first()[0]
+    cur_counts = cur.groupBy("g", bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("actual"))
+    n_cur = cur.groupBy("g").agg(F.count(F.lit(1)).alias("n_cur"))
+    grid = groups.select("g", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("bin"))
+    full = (grid.join(F.broadcast(ref_counts), "bin", "left").join(cur_counts, ["g", "bin"], "left")
+            .join(n_cur, "g", "left"))
+    e = F.greatest(F.coalesce(F.col("expected"), F.lit(0)) / F.lit(float(n_ref)), F.lit(RATE_FLOOR))
+    a = F.greatest(F.try_divide(F.coalesce(F.col("actual"), F.lit(0)), F.col("n_cur")), F.lit(RATE_FLOOR))
+    psi = full.groupBy("g").agg(F.sum((a - e) * F.log(a / e)).alias("psi"), F.max("n_cur").alias("n_cur"))
+    return psi.select(F.col("g").alias(group_col),
+                      F.when(F.coalesce(F.col("n_cur"), F.lit(0)) == 0, F.lit(None).cast("double"))
+                      .otherwise(F.col("psi")).alias("psi"))

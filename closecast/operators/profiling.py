@@ -164,15 +164,19 @@ def baseline_comparison(scored: DataFrame, block: str = "test") -> DataFrame:
     return a.unionByName(b)
 
 
-def retrain_trigger(scored: DataFrame, tolerance: float = 0.10, sustained: int = 3) -> DataFrame:
-    """Per evaluation month, WAPE vs the training-period WAPE; a breach is
-    worse than (1 + tolerance) x reference; retrain after ``sustained``
-    breaching months in a row.
-
-    One aggregate to month grain (sums of |error| and |actual| per month and
-    block); the reference level and the run length are windows over that
-    month table, which has one row per month whatever the data volume.
+def retrain_trigger(scored: DataFrame, tolerance: float = 0.10, sustained: int = 3,
+                    drift_band: float = 0.25) -> DataFrame:
+    """Per evaluation month, two signals against the training period:
+    accuracy (WAPE worse than (1 + tolerance) x the training WAPE) and
+    prediction drift (PSI of the month's predictions vs the training
+    predictions at or above the "drifted" band). Retrain after ``sustained``
+    consecutive months with either breach.
+
+    One aggregate to month grain; the reference level and the run length are
+    windows over that month table (one row per month whatever the volume).
     """
+    from closecast.operators.drift import psi_by_group
+
     err = F.abs(F.col(TARGET) - F.col(PREDICTION))
     monthly = scored.groupBy(MONTH, "split").agg(
         F.count(F.lit(1)).alias("n"), F.sum(err).alias("e"), F.sum(F.abs(TARGET)).alias("a"))
@@ -182,9 +186,15 @@ def retrain_trigger(scored: DataFrame, tolerance: float = 0.10, sustained: int =
            / F.sum(F.when(is_train, F.col("a"))).over(everything))
     m = monthly.withColumn("ref_wape", ref).where(~is_train).withColumn(
         "wape", F.when(F.col("a") >= 1e-9, F.col("e") / F.col("a")))
-    breach = F.coalesce(F.col("wape") > (1 + tolerance) * F.col("ref_wape"), F.lit(False))
+    drift = psi_by_group(scored.where(F.col("split") == "train"), scored.where(F.col("split") != "train"),
+                         PREDICTION, MONTH)
+    m = m.join(drift, MONTH, "left")
+    accuracy_breach = F.coalesce(F.col("wape") > (1 + tolerance) * F.col("ref_wape"), F.lit(False))
+    drift_breach = F.coalesce(F.col("psi") >= drift_band, F.lit(False))
     w = Window.orderBy(MONTH).rowsBetween(-(sustained - 1), 0)
-    m = m.withColumn("breach", breach)
+    m = m.withColumn("breach", accuracy_breach | drift_breach)
     n_breach = F.sum(F.col("breach").cast("int")).over(w).cast("bigint")
     return m.select(MONTH, "n", F.round("wape", 6).alias("wape"), F.round("ref_wape", 6).alias("reference_wape"),
-                    "breach", n_breach.alias("breaches_last_3"), (n_breach >= sustained).alias("retrain"))
+                    F.round("psi", 6).alias("prediction_psi"), accuracy_breach.alias("accuracy_breach"),
+                    drift_breach.alias("drift_breach"), "breach",
+                    n_breach.alias("breaches_last_3"), (n_breach >= sustained).alias("retrain"))

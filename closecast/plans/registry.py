@@ -811,15 +811,47 @@ def q_data_quality_drift(spark, sf_dir):
     return D.data_quality_drift(ref, cur, ALL_COLUMNS)
 
 
-@register("retrain_trigger", W(f"""
-SELECT accounting_month, n, round(wape, 6) AS wape, round(ref_wape, 6) AS reference_wape, breach,
-       CAST(SUM(CAST(breach AS INTEGER)) OVER (ORDER BY accounting_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT)
-         AS breaches_last_3,
-       SUM(CAST(breach AS INTEGER)) OVER (ORDER BY accounting_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) >= 3 AS retrain
-FROM (SELECT accounting_month, COUNT(*) AS n, {O.wape_sql()} AS wape,
-             (SELECT {O.wape_sql()} FROM scored WHERE split = 'train') AS ref_wape,
-             COALESCE({O.wape_sql()} > 1.1 * (SELECT {O.wape_sql()} FROM scored WHERE split = 'train'), false) AS breach
-      FROM scored WHERE split <> 'train' GROUP BY accounting_month)""", SPLIT))
+def _retrain_sql() -> str:
+    levels = D.quantile_levels()
+    pct = ", ".join(O.spark_percentile_sql("l", repr(x)) for x in levels)
+    p = "predicted_month_end_net_revenue"
+    ctes = SPLIT + f""",
+rl AS (SELECT list_sort(list({p})) AS l FROM scored WHERE split = 'train' AND {p} IS NOT NULL AND NOT isnan({p})),
+ed AS (SELECT list_sort(list_distinct([{pct}])) AS edges FROM rl),
+inn AS (SELECT edges[2:len(edges) - 1] AS inner, len(edges) - 1 AS nb FROM ed),
+rc AS (SELECT len(list_filter(inn.inner, lambda v: v <= s.{p})) AS bin, COUNT(*) AS expected
+       FROM scored s, inn WHERE s.split = 'train' AND s.{p} IS NOT NULL AND NOT isnan(s.{p}) GROUP BY 1),
+nr AS (SELECT SUM(expected) AS n_ref FROM rc),
+cc AS (SELECT s.accounting_month, len(list_filter(inn.inner, lambda v: v <= s.{p})) AS bin, COUNT(*) AS actual
+       FROM scored s, inn WHERE s.split <> 'train' AND s.{p} IS NOT NULL AND NOT isnan(s.{p}) GROUP BY 1, 2),
+nc AS (SELECT accounting_month, COUNT(*) AS n_cur FROM scored
+       WHERE split <> 'train' AND {p} IS NOT NULL AND NOT isnan({p}) GROUP BY 1),
+gr AS (SELECT g.accounting_month, CAST(unnest(range(0, inn.nb)) AS INTEGER) AS bin
+       FROM (SELECT DISTINCT accounting_month FROM scored WHERE split <> 'train') g, inn),
+mp AS (SELECT gr.accounting_month, SUM(
+          (greatest(COALESCE(cc.actual, 0) / nc.n_cur, 1e-6) - greatest(COALESCE(rc.expected, 0) / nr.n_ref, 1e-6))
+          * ln(greatest(COALESCE(cc.actual, 0) / nc.n_cur, 1e-6) / greatest(COALESCE(rc.expected, 0) / nr.n_ref, 1e-6)))
+          AS psi
+       FROM gr LEFT JOIN rc ON gr.bin = rc.bin LEFT JOIN cc ON gr.accounting_month = cc.accounting_month AND gr.bin = cc.bin
+       LEFT JOIN nc ON gr.accounting_month = nc.accounting_month, nr GROUP BY gr.accounting_month),
+mon AS (SELECT accounting_month, COUNT(*) AS n, {O.wape_sql()} AS wape,
+               (SELECT {O.wape_sql()} FROM scored WHERE split = 'train') AS ref_wape
+        FROM scored WHERE split <> 'train' GROUP BY accounting_month),
+j AS (SELECT mon.*, mp.psi, COALESCE(mon.wape > 1.1 * mon.ref_wape, false) AS accuracy_breach,
+             COALESCE(mp.psi >= 0.25, false) AS drift_breach
+      FROM mon LEFT JOIN mp ON mon.accounting_month = mp.accounting_month)"""
+    body = """
+SELECT accounting_month, n, round(wape, 6) AS wape, round(ref_wape, 6) AS reference_wape, round(psi, 6) AS prediction_psi,
+       accuracy_breach, drift_breach, accuracy_breach OR drift_breach AS breach,
+       CAST(SUM(CAST(accuracy_breach OR drift_breach AS INTEGER)) OVER (ORDER BY accounting_month
+            ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS breaches_last_3,
+       SUM(CAST(accuracy_breach OR drift_breach AS INTEGER)) OVER (ORDER BY accounting_month
+            ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) >= 3 AS retrain
+FROM j"""
+    return W(body, ctes)
+
+
+@register("retrain_trigger", _retrain_sql())
 def q_retrain_trigger(spark, sf_dir):
     """Monthly accuracy vs the training-period level; retrain after 3 breaching months in a row."""
     return PR.retrain_trigger(baseline_scored(spark, sf_dir))

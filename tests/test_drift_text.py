@@ -70,3 +70,14 @@ def test_clean_text_has_no_findings(spark):
     df = spark.createDataFrame([("plain words only",), (None,)], "t string")
     rows = df.select(ts.contains_secret(df["t"]).alias("s")).collect()
     assert [r["s"] for r in rows] == [False, False]
+
+
+def test_psi_by_group_matches_per_group_psi(spark):
+    rng = np.random.default_rng(5)
+    ref = rng.normal(size=600)
+    cur = [("a", float(v)) for v in rng.normal(size=300)] + [("b", float(v)) for v in rng.normal(2, 1, size=300)]
+    got = {r["g"]: r["psi"] for r in D.psi_by_group(one_col(spark, ref), spark.createDataFrame(cur, "g string, x double"),
+                                                    "x", "g").collect()}
+    assert got["a"] == pytest.approx(numpy_psi(ref, [v for g, v in cur if g == "a"]), rel=1e-9)
+    assert got["b"] == pytest.approx(numpy_psi(ref, [v for g, v in cur if g == "b"]), rel=1e-9)
+    assert got["b"] > 0.25 > got["a"]
