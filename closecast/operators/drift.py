@@ -37,11 +37,10 @@ def _long(df: DataFrame, columns: list[str], side: str) -> DataFrame:
     return stacked.where(F.col("x").isNotNull() & ~F.isnan("x")).withColumn("side", F.lit(side))
 
 
-def binned_counts(reference: DataFrame, current: DataFrame, columns: list[str], bins: int = BINS,
-                  relative_error: float | None = None) -> DataFrame:
-    """Per (feature, bin): expected / actual counts over a complete bin list,
-    plus n_edges and the per-side totals."""
-    feats = [c for c in columns if c in reference.columns and c in current.columns]
+def _raw_counts(reference: DataFrame, current: DataFrame, feats: list[str], bins: int,
+                relative_error: float | None) -> tuple[DataFrame, DataFrame]:
+    """(per (feature, bin) counts of both sides, per-feature edges). Features
+    whose reference has a single distinct value land in bin 0."""
     ref = _long(reference, feats, "ref")
     cur = _long(current, feats, "cur")
     levels = F.array(*[F.lit(q) for q in quantile_levels(bins)])
@@ -49,17 +48,24 @@ def binned_counts(reference: DataFrame, current: DataFrame, columns: list[str],
     edges = ref.groupBy("feature").agg(F.array_distinct(qs.cast("array<double>")).alias("edges"))
     inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
     edges = edges.select("feature", F.size("edges").alias("n_edges"), inner.alias("inner"))
-
     both = ref.unionByName(cur).join(F.broadcast(edges), "feature", "inner")
     bin_idx = F.size(F.filter("inner", lambda e: e <= F.col("x")))
     counts = both.groupBy("feature", bin_idx.alias("bin")).agg(
         F.count_if(F.col("side") == "ref").alias("expected"),
-        F.count_if(F.col("side") == "cur").alias("actual"),
-    )
+        F.count_if(F.col("side") == "cur").alias("actual"))
+    return counts, edges
+
+
+def binned_counts(reference: DataFrame, current: DataFrame, columns: list[str], bins: int = BINS,
+                  relative_error: float | None = None) -> DataFrame:
+    """Per (feature, bin): expected / actual counts over a complete bin list,
+    plus n_edges and the per-side totals (from the small per-bin table, so the
+    rows are unpivoted and scanned once)."""
+    feats = [c for c in columns if c in reference.columns and c in current.columns]
+    counts, edges = _raw_counts(reference, current, feats, bins, relative_error)
+    totals = counts.groupBy("feature").agg(F.sum("expected").alias("n_ref"), F.sum("actual").alias("n_cur"))
     grid = edges.where(F.col("n_edges") >= 2).select(
         "feature", "n_edges", F.explode(F.sequence(F.lit(0), F.col("n_edges") - 2)).alias("bin"))
-    totals = both.groupBy("feature").agg(
-        F.count_if(F.col("side") == "ref").alias("n_ref"), F.count_if(F.col("side") == "cur").alias("n_cur"))
     return (grid.join(counts, ["feature", "bin"], "left").join(totals, "feature", "left")
             .select("feature", "bin", "n_edges",
                     F.coalesce("expected", F.lit(0)).alias("expected"),
@@ -72,15 +78,16 @@ def psi_by_feature(reference: DataFrame, current: DataFrame, columns: list[str],
     0.0 when the reference has fewer than two distinct edges)."""
     feats = [c for c in columns if c in reference.columns and c in current.columns]
     spark = reference.sparkSession
-    counts = binned_counts(reference, current, feats, bins, relative_error)
-    e = F.greatest(F.try_divide(F.col("expected"), F.col("n_ref")), F.lit(RATE_FLOOR))
-    a = F.greatest(F.try_divide(F.col("actual"), F.col("n_cur")), F.lit(RATE_FLOOR))
-    psi = counts.groupBy("feature").agg(F.sum((a - e) * F.log(a / e)).alias("psi"))
+    counts, edges = _raw_counts(reference, current, feats, bins, relative_error)
+    totals = counts.groupBy("feature").agg(F.sum("expected").alias("n_ref"), F.sum("actual").alias("n_cur"))
+    grid = edges.where(F.col("n_edges") >= 2).select(
+        "feature", F.explode(F.sequence(F.lit(0), F.col("n_edges") - 2)).alias("bin"))
+    full = grid.join(counts, ["feature", "bin"], "left").join(totals, "feature")
+    e = F.greatest(F.try_divide(F.coalesce(F.col("expected"), F.lit(0)), F.col("n_ref")), F.lit(RATE_FLOOR))
+    a = F.greatest(F.try_divide(F.coalesce(F.col("actual"), F.lit(0)), F.col("n_cur")), F.lit(RATE_FLOOR))
+    psi = full.groupBy("feature").agg(F.sum((a - e) * F.log(a / e)).alias("psi"))
     all_feats = spark.createDataFrame([(f,) for f in feats], "feature string")
-    sizes = (_long(reference, feats, "ref").unionByName(_long(current, feats, "cur"))
-             .groupBy("feature").agg(F.count_if(F.col("side") == "ref").alias("n_ref"),
-                                     F.count_if(F.col("side") == "cur").alias("n_cur")))
-    out = all_feats.join(sizes, "feature", "left").join(psi, "feature", "left")
+    out = all_feats.join(totals, "feature", "left").join(psi, "feature", "left")
     value = (F.when(F.coalesce(F.col("n_ref"), F.lit(0)) == 0, F.lit(None).cast("double"))
              .when(F.coalesce(F.col("n_cur"), F.lit(0)) == 0, F.lit(None).cast("double"))
              .otherwise(F.coalesce(F.col("psi"), F.lit(0.0))))
