@@ -889,7 +889,8 @@ def q_redact_documents(spark, sf_dir):
                            "WHERE findings <> ''")
 def q_scan_findings(spark, sf_dir):
     """Pattern names found per document (documents with findings)."""
-    docs = ensure_parallelism(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    # no parallelism guard: the findings filter is pushed to the scan anyway
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     f = docs.select("doc_id", ts.findings(F.col("text")).alias("f"))
     return f.where(F.size("f") > 0).select("doc_id", F.array_join("f", ",").alias("findings"))
 
@@ -902,11 +903,11 @@ SELECT source, item_id, findings FROM (
 ) WHERE findings <> ''""")
 def q_scan_corpus(spark, sf_dir):
     """Scan documents, pages and conversation turns; report texts with findings."""
-    conv = ensure_parallelism(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "text"])).select(
+    conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "text"]).select(
         F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"), "text")
     return ts.scan_corpus([
-        ("documents", ensure_parallelism(read_table(spark, sf_dir, "documents", ["doc_id", "text"])), "doc_id", "text"),
-        ("pages", ensure_parallelism(read_table(spark, sf_dir, "pages", ["page_id", "html"])), "page_id", "html"),
+        ("documents", read_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text"),
+        ("pages", read_table(spark, sf_dir, "pages", ["page_id", "html"]), "page_id", "html"),
         ("conversations", conv, "id", "text"),
     ])
 
