@@ -110,12 +110,16 @@ def cmd_predict(spark, args) -> int:
     from closecast.operators import contracts as C
     from closecast.operators.scoring import batch_score, load_bundle
     from closecast.schema import TARGET
-    from closecast.sources.snapshot_io import read_snapshots, write_predictions
+    from closecast.sources.snapshot_io import read_snapshots, write_csv, write_predictions
 
     bundle = load_bundle(args.bundle)
     raw = read_snapshots(spark, args.input, with_target=False)
     good, _bad = C.quarantine(raw.drop(TARGET) if TARGET in raw.columns else raw, require_target=False)
-    path = write_predictions(batch_score(bundle, good, cutoff_day=args.cutoff_day), args.output)
+    scored = batch_score(bundle, good, cutoff_day=args.cutoff_day)
+    if args.output.rstrip("/").lower().endswith(".csv"):
+        path = write_csv(scored, args.output)  # A6: batch-score CSV sink
+    else:
+        path = write_predictions(scored, args.output)
     print(json.dumps({"written": path}))
     return 0
 

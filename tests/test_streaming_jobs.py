@@ -52,6 +52,10 @@ def test_cli_build_validate_predict_evaluate(spark, tmp_path):
     scored = spark.read.parquet(os.path.join(preds, "predictions.parquet"))
     assert scored.count() == spark.read.parquet(snaps).count()
     assert scored.where(F.col("cutoff_day") != 15).isEmpty()
+    csv_out = str(tmp_path / "predictions.csv")
+    assert jobs.main(["predict", "--bundle", os.path.join(out, "champion"), "--input", snaps,
+                      "--output", csv_out]) == 0
+    assert spark.read.option("header", True).csv(csv_out).count() == scored.count()
     rep = str(tmp_path / "reports")
     assert jobs.main(["evaluate", "--predictions", os.path.join(preds, "predictions.parquet"),
                       "--actuals", snaps, "--output", rep, "--baseline-wape", "0.5"]) == 0
