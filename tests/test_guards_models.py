@@ -55,3 +55,20 @@ def test_every_learned_candidate_fits_and_scores(spark, snaps):
     row = scored.select(*cols, PREDICTION).first()
     assert row["prediction_std"] >= 0 and row["prediction_lower"] <= row[PREDICTION] <= row["prediction_upper"]
     assert isinstance(PipelineModel(stages=[cache.model, rf]), PipelineModel)
+
+
+def test_checkpoint_dir_is_read_from_the_session(spark):
+    from closecast.session import ensure_checkpoint_dir
+
+    current = spark.sparkContext.getCheckpointDir()
+    assert current  # set once (scratch dir in tests)
+    assert ensure_checkpoint_dir(spark) == current  # never replaced once configured
+
+
+def test_dense_index_survives_recomputation(spark):
+    from closecast.operators.explain import dense_index
+
+    idx = dense_index(spark.range(0, 500, numPartitions=5).withColumn("v", F.col("id") * 2))
+    first = {r["id"]: r["_i"] for r in idx.collect()}
+    again = {r["id"]: r["_i"] for r in idx.collect()}
+    assert first == again and sorted(first.values()) == list(range(500))
