@@ -44,6 +44,7 @@ class GeneratorConfig:
     missing_rate: float = 0.03
     outlier_rate: float = 0.01
     noise_scale: float = 0.04
+    num_partitions: int | None = None  # facility-range partitions (output must not depend on it)
 
 
 def _u(seed: int, name: str, *keys: Column) -> Column:
@@ -68,7 +69,7 @@ def facility_profiles(spark: SparkSession, cfg: GeneratorConfig) -> DataFrame:
     i = F.col("id")
     s = cfg.seed
     base = _uniform(s, "base", i)
-    return spark.range(cfg.n_facilities).select(
+    return spark.range(0, cfg.n_facilities, numPartitions=cfg.num_partitions).select(
         i.alias("fi"), F.format_string("FAC-%03d", i + 1).alias("facility_id"),
         base.alias("base"), (_uniform(s, "trend", i) * base).alias("trend"),
         *[_uniform(s, k, i).alias(k) for k in ("amp", "collection", "denial", "adjustment", "payer_mix",

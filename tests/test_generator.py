@@ -37,3 +37,10 @@ def test_target_constant_and_history_length(spark):
     first = df.where(F.col("accounting_month") == "2023-01")
     assert first.where(F.col("prior_month_net_revenue").isNotNull()).isEmpty()
     assert df.where((F.col("accounting_month") >= "2024-01") & F.col("prior_year_same_month_net_revenue").isNull()).isEmpty()
+
+
+def test_equal_under_1_7_64_partitions(spark):
+    frames = [generate_snapshots(spark, GeneratorConfig(**{**TEST_PROFILE.__dict__, "num_partitions": n}))
+              for n in (1, 7, 64)]
+    for other in frames[1:]:
+        assert frames[0].exceptAll(other).isEmpty() and other.exceptAll(frames[0]).isEmpty()
