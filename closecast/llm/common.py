@@ -90,8 +90,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_FOLDED_VALUE = _BYTE_VALUE[np.frombuffer(FOLD, dtype=np.uint8)]
+BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_FOLDED_VALUE = BYTE_VALUE[np.frombuffer(FOLD, dtype=np.uint8)]
 _BASE = 0x5851F42D4C957F2D
 
 

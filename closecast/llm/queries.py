@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from closecast.llm.common import table
 from closecast.llm.decontaminate import decontaminate
+from closecast.llm.order_minhash import near_duplicates
+from closecast.llm.quality import score_quality, train
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -49,3 +51,16 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each whole document hit by 10-word windows of the benchmark items."""
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), columns=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@register("op1_order_minhash")
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of near copies of each whole document: class id and links of its text."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each whole document by boosted trees learned outside fold 0."""
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, train(docs, table(spark, sf_dir, "labels")), columns=["doc_id"])
