@@ -48,6 +48,7 @@ THRESHOLD = 0.8
 FIRST_ROUND = 6  # sketches whose neighbours are compared before the rest
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
+_SALT = np.arange(1, 257, dtype=np.uint64) * _ODD
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -112,7 +113,7 @@ def order_sketches(hashes: np.ndarray, first: np.ndarray, sketches: int = SKETCH
         early = np.where(two >= 0, np.minimum(one, two), one)
         late = np.maximum(one, two)
         pair = mix(s[early] + _ODD) * np.uint64(3) + np.where(two >= 0, mix(s[late]), np.uint64(0))
-        out[full, t] = mix(pair + np.uint64(t + 1) * _ODD)
+        out[full, t] = mix(pair + _SALT[t])
     return out
 
 
