@@ -7,6 +7,7 @@ single text longer than the bound is a chunk by itself).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -15,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from closecast.session import ensure_checkpoint_dir
 
@@ -26,9 +28,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, lineage cut there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """``df`` written as a table in the shared checkpoint folder and read back: lineage is cut, columns are pruned."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class KeyFilter:
+    """A bitmap of fixed size over the hashed keys of a table.
+
+    It thins a large table before an exact join: keys outside the bitmap
+    cannot be in the table. It is 2^bits bits whatever the data, so it can be
+    broadcast; with more keys it lets more rows through, never fewer.
+    """
+
+    def __init__(self, keys: DataFrame, bits: int = 25):
+        self.bits = bits
+        place = self._place(*[F.col(c) for c in keys.columns])
+        parts = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).collect()  # at most 2^bits / 8 bytes
+        bitmap = np.zeros(1 << (bits - 3), dtype=np.uint8)
+        for r in parts:
+            own = np.frombuffer(bytes(r["m"]), dtype=np.uint8)
+            at = (r["b"] - 1) * len(own)
+            bitmap[at:at + len(own)] = own
+        self._bitmap = keys.sparkSession.sparkContext.broadcast(np.packbits(np.unpackbits(bitmap, bitorder="little")))
+
+    def _place(self, *cols):
+        return F.pmod(F.xxhash64(*cols), F.lit(1 << self.bits)) + 1
+
+    def split(self, df: DataFrame, *cols: str) -> DataFrame:
+        """``df`` with a boolean ``maybe``: False where the key is surely not in the table."""
+        bitmap = self._bitmap
+
+        def run(batches):
+            got = bitmap.value
+            for batch in batches:
+                p = np.asarray(batch.column("__place")) - 1
+                maybe = (got[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 > 0
+                keep = [i for i, c in enumerate(batch.schema.names) if c != "__place"]
+                yield pa.RecordBatch.from_arrays([batch.column(i) for i in keep] + [pa.array(maybe)], names=[batch.schema.names[i] for i in keep] + ["maybe"])
+
+        src = df.withColumn("__place", self._place(*[F.col(c) for c in cols]))
+        return src.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("maybe", T.BooleanType())]))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

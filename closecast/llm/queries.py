@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from closecast.llm.common import table
 from closecast.llm.decontaminate import decontaminate
+from closecast.llm.line_dedup import dedup_lines
 from closecast.llm.order_minhash import near_duplicates
 from closecast.llm.quality import score_quality, train
 
@@ -64,3 +66,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of each whole document by boosted trees learned outside fold 0."""
     docs = table(spark, sf_dir, "documents")
     return score_quality(docs, train(docs, table(spark, sf_dir, "labels")), columns=["doc_id"])
+
+
+@register("op10_line_dedup")
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without the lines that match an earlier line of the corpus."""
+    out = dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "text")
