@@ -43,7 +43,7 @@ class KeyFilter:
     """
 
     def __init__(self, keys: DataFrame, bits: int = 25):
-        self.bits = bits
+        self.bits, self._types = bits, [f.dataType for f in keys.schema.fields]
         place = self._place(*[F.col(c) for c in keys.columns])
         parts = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(
             F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).collect()  # at most 2^bits / 8 bytes
@@ -55,7 +55,8 @@ class KeyFilter:
         self._bitmap = keys.sparkSession.sparkContext.broadcast(np.packbits(np.unpackbits(bitmap, bitorder="little")))
 
     def _place(self, *cols):
-        return F.pmod(F.xxhash64(*cols), F.lit(1 << self.bits)) + 1
+        same = [c.cast(t) for c, t in zip(cols, self._types, strict=True)]  # the hash depends on the type
+        return F.pmod(F.xxhash64(*same), F.lit(1 << self.bits)) + 1
 
     def split(self, df: DataFrame, *cols: str) -> DataFrame:
         """``df`` with a boolean ``maybe``: False where the key is surely not in the table."""

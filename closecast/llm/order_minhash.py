@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closecast.llm.common import checkpointed, chunk_words, has_rows, mix, shuffle_partitions, signed, text_chunks
+from closecast.llm.common import KeyFilter, checkpointed, chunk_words, has_rows, mix, shuffle_partitions, signed, text_chunks
 from closecast.llm.components import components
 
 SHINGLE = 5
@@ -319,9 +319,10 @@ def _verified_links(docs: DataFrame, entries: DataFrame, threshold: float) -> Da
     """Links (a, b) between different texts; None where no two texts share a bucket."""
     if not has_rows(entries):
         return None
-    reps = entries.select("rep").distinct()
+    reps = checkpointed(entries.select("rep").distinct())
     # rows with equal ids count as one node: the longest of their word sequences stands for it
-    tokens = (docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(reps, "rep", "left_semi")
+    thin = KeyFilter(reps).split(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep").where("maybe").drop("maybe")
+    tokens = (thin.join(reps, "rep", "left_semi")
               .mapInArrow(_tokens, "rep long, tokens binary")
               .groupBy("rep").agg(F.max_by("tokens", F.struct(F.length("tokens"), "tokens")).alias("tokens")))
     tokens = checkpointed(tokens)

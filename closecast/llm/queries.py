@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from closecast.llm.common import table
 from closecast.llm.decontaminate import decontaminate
 from closecast.llm.line_dedup import dedup_lines
+from closecast.llm.mixing import mix_sources
 from closecast.llm.order_minhash import near_duplicates
 from closecast.llm.quality import score_quality, train
 
@@ -73,3 +74,31 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document without the lines that match an earlier line of the corpus."""
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), "text")
+
+
+OP2_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS source, md5(coalesce(doc_id::VARCHAR, '')) AS m FROM documents),
+sizes AS (SELECT source, floor(sqrt(count(*)) * 1000) AS root FROM d GROUP BY source),
+units AS (SELECT source, greatest(1, floor(root * 1000 / (SELECT sum(root) FROM sizes)))::BIGINT AS units FROM sizes),
+tot AS (SELECT sum(units)::BIGINT AS total FROM units),
+base AS (SELECT list(source ORDER BY source) AS names, list(units ORDER BY source) AS u, list(0::BIGINT ORDER BY source) AS zero, sum(units)::BIGINT AS total FROM units),
+edf(t, pick, done) AS (
+  SELECT -1::BIGINT, 0::BIGINT, zero FROM base
+  UNION ALL
+  SELECT t + 1, p, list_transform(done, lambda x, i: CASE WHEN i = p THEN x + 1 ELSE x END)
+  FROM (SELECT e.t, e.done, list_min(list_filter(list_transform(e.done, lambda x, i: CASE WHEN x * b.total // b.u[i] <= e.t + 1
+          THEN ((x + 1) * b.total + b.u[i] - 1) // b.u[i] * 1000000 + i ELSE NULL END), lambda c: c IS NOT NULL)) % 1000000 AS p
+        FROM edf e, base b WHERE e.t + 1 < b.total)
+),
+plan AS (SELECT b.names[pick] AS source, t AS slot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS turn FROM edf, base b WHERE t >= 0),
+k AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY m, doc_id NULLS FIRST) - 1 AS k FROM d)
+SELECT k.doc_id, k.source, k.k // 16 AS block, k.k % 16 AS in_block, (k.k // 16) // u.units * (SELECT total FROM tot) + p.slot AS slot
+FROM k JOIN units u USING (source) JOIN plan p ON p.source = k.source AND p.turn = (k.k // 16) % u.units
+"""
+
+
+@register("op2_mix_sources", OP2_SQL)
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block and slot of every document in the mix of its sources by square-root weights."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"))
+    return mix_sources(docs).select("doc_id", "source", "block", "in_block", "slot")
