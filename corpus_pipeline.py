@@ -1,10 +1,80 @@
-"""Corpus pipeline: documents through the training-data operators, stage by stage."""
+"""Corpus pipeline: documents through five training-data operators, stage by stage.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as Parquet and read again as the next stage's ``docs``. All stages but the last
+return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from closecast.llm.common import KeyFilter, checkpointed, table
+from closecast.llm.decontaminate import decontaminate
+from closecast.llm.line_dedup import dedup_lines
+from closecast.llm.mixing import mix_sources
+from closecast.llm.order_minhash import near_duplicates
+from closecast.llm.quality import score_quality, train
+from closecast.session import ensure_checkpoint_dir
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps (score 0.3 or more)."""
+    trees = train(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, trees).where("predicted = 1").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that match an earlier line of the corpus."""
+    return dedup_lines(docs).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest doc_id.
+
+    Of rows with equal ids one stays; rows without an id always stay.
+    """
+    groups = checkpointed(near_duplicates(docs).where("doc_id is not null").groupBy("doc_id").agg(
+        F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("n")).where("doc_id != class_id or n > 1"))
+    # texts whose id is surely not listed need no join
+    split = KeyFilter(groups.select("doc_id")).split(docs, "doc_id")
+    listed = split.where("maybe").drop("maybe")
+    kept = listed.join(groups.select("doc_id"), "doc_id", "left_anti").unionByName(
+        listed.join(groups.where("doc_id = class_id").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return split.where("not maybe").drop("maybe").unionByName(kept).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark")).where("not contaminated").select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its block and slot in the mix of the sources."""
+    return mix_sources(docs)
+
+
+STAGES = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+]
+
+#: Trees, set joins and sketches are not expressible in SQL; the stages are tested against brute force instead.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise ValueError("no stages yet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages applied to ``documents``, each written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        out = stage(spark, docs, sf_dir)
+        out.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+        docs = spark.read.schema(out.schema).parquet(f"{folder}/{name}")
+    return docs
