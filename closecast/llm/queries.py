@@ -13,6 +13,7 @@ from closecast.llm.line_dedup import dedup_lines
 from closecast.llm.mixing import mix_sources
 from closecast.llm.order_minhash import near_duplicates
 from closecast.llm.quality import score_quality, train
+from closecast.llm.substring_dedup import dedup_substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -102,3 +103,9 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Block and slot of every document in the mix of its sources by square-root weights."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"))
     return mix_sources(docs).select("doc_id", "source", "block", "in_block", "slot")
+
+
+@register("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each whole document covered by a 200-byte string that also starts elsewhere."""
+    return dedup_substrings(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
