@@ -32,6 +32,7 @@ copies of its text have ids; ties go to the smaller ``doc_id``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closecast.llm.common import KeyFilter, checkpointed, chunk_words, has_rows, mix, shuffle_partitions, signed, text_chunks
-from closecast.llm.components import components
+from closecast.llm.components import ROWS_PER_TASK, components
+from closecast.session import ensure_checkpoint_dir
 
 SHINGLE = 5
 SKETCHES = 24
@@ -300,57 +302,56 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, sketches: int
     rows = checkpointed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                         .mapInArrow(_sketched(sketches), "doc_id long, k1 long, k2 long, n_words long, keys array<long>"))
     # copies: one document stands for all of a text; copies have equal sketches
-    texts = rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.max("n_words").alias("n_words"), F.first("keys").alias("keys"))
+    texts = checkpointed(rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.max("n_words").alias("n_words"), F.first("keys").alias("keys")))
     entries = (texts.where("rep is not null and n_words > 0")
                .select("rep", "n_words", F.posexplode("keys").alias("t", "key")))
     shared = entries.groupBy("key").agg((F.min("rep") != F.max("rep")).alias("many")).where("many").select("key")
     entries = checkpointed(entries.join(shared, "key").select("key", "t", "n_words", "rep"))
-    links = _verified_links(docs, entries, threshold)
-    comp = rows.sparkSession.createDataFrame([], "node long, component long") if links is None else components(links)
-    degree = rows.sparkSession.createDataFrame([], "node long, n_links long") if links is None else (
-        links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
+    links, comp = _verified_links(docs, entries, threshold)
+    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     classes = (texts.select("k1", "k2", "rep").join(comp, F.col("rep") == F.col("node"), "left").drop("node")
                .join(degree, F.col("rep") == F.col("node"), "left")
                .select("k1", "k2", F.coalesce("component", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
     return rows.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "class_id", "n_links")
 
 
-def _verified_links(docs: DataFrame, entries: DataFrame, threshold: float) -> DataFrame | None:
-    """Links (a, b) between different texts; None where no two texts share a bucket."""
-    if not has_rows(entries):
-        return None
-    reps = checkpointed(entries.select("rep").distinct())
-    # rows with equal ids count as one node: the longest of their word sequences stands for it
+def _tokens_table(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep, tokens) of the texts that share a bucket, laid out by rep so that pairs join it without moving it."""
+    spark = docs.sparkSession
     thin = KeyFilter(reps).split(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep").where("maybe").drop("maybe")
-    tokens = (thin.join(reps, "rep", "left_semi")
-              .mapInArrow(_tokens, "rep long, tokens binary")
+    # rows with equal ids count as one node: the longest of their word sequences stands for it
+    tokens = (thin.join(reps, "rep", "left_semi").mapInArrow(_tokens, "rep long, tokens binary")
               .groupBy("rep").agg(F.max_by("tokens", F.struct(F.length("tokens"), "tokens")).alias("tokens")))
-    tokens = checkpointed(tokens)
-    links = tried = None
-    round_no = 0
+    name = f"closecast_tokens_{uuid.uuid4().hex}"
+    (tokens.write.option("compression", "none").option("path", f"{ensure_checkpoint_dir(spark)}/{name}")
+     .bucketBy(shuffle_partitions(spark), "rep").sortBy("rep").saveAsTable(name))
+    return spark.table(name)
+
+
+def _verified_links(docs: DataFrame, entries: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) between different texts, and the components (node, component) they form."""
+    spark = docs.sparkSession
+    tasks = 1 + entries.count() // ROWS_PER_TASK
+    links, comp = spark.createDataFrame([], _PAIR), spark.createDataFrame([], "node long, component long")
+    if not has_rows(entries):
+        return links, comp
+    tokens = _tokens_table(docs, checkpointed(entries.select("rep").distinct()))
+    tried, number = links, 0
     while True:
-        own = entries if round_no else entries.where(F.col("t") < FIRST_ROUND)
-        if links is None:
-            placed = own.withColumn("comp", F.col("rep"))
-        else:
-            # buckets within one component are done
-            placed = (own.join(components(links), F.col("rep") == F.col("node"), "left")
-                      .select("key", "n_words", "rep", F.coalesce("component", "rep").alias("comp")))
-            open_keys = placed.groupBy("key").agg((F.min("comp") != F.max("comp")).alias("open")).where("open").select("key")
-            placed = placed.join(open_keys, "key")
-            if round_no > 1:  # one member of each component of a bucket
-                placed = placed.groupBy("key", "comp").agg(F.min(F.struct("n_words", "rep")).alias("x")).select("key", "x.n_words", "x.rep", "comp")
-        pairs = _candidates(placed.select("key", "n_words", "rep", "comp"))
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
+        own = entries if number else entries.where(F.col("t") < FIRST_ROUND)
+        placed = (own.join(comp, F.col("rep") == F.col("node"), "left")
+                  .select("key", "n_words", "rep", F.coalesce("component", "rep").alias("comp")).coalesce(tasks))
+        if number > 1:  # one member of each component of a bucket
+            placed = (placed.groupBy("key", "comp").agg(F.min(F.struct("n_words", "rep")).alias("x"))
+                      .select("key", "x.n_words", "x.rep", "comp").coalesce(tasks))
+        pairs = checkpointed(_candidates(placed).join(tried, ["a", "b"], "left_anti"))
         found = checkpointed(
             pairs.join(tokens.select(F.col("rep").alias("a"), F.col("tokens").alias("ta")), "a")
             .join(tokens.select(F.col("rep").alias("b"), F.col("tokens").alias("tb")), "b")
             .mapInArrow(_verified(threshold), _PAIR))
-        new = has_rows(found)
-        tried = pairs if tried is None else tried.union(pairs)
-        links = found if links is None else links.union(found)
-        round_no += 1
-        if round_no > 2 and not new:
-            return links
+        number += 1
+        if has_rows(found):
+            comp = components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found))
+        elif number > 2:
+            return links, comp
+        tried, links = tried.union(pairs), links.union(found)
