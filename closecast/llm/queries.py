@@ -11,6 +11,7 @@ from closecast.llm.common import table
 from closecast.llm.decontaminate import decontaminate
 from closecast.llm.line_dedup import dedup_lines
 from closecast.llm.mixing import mix_sources
+from closecast.llm.nearest import nearest_vectors
 from closecast.llm.order_minhash import near_duplicates
 from closecast.llm.quality import score_quality, train
 from closecast.llm.substring_dedup import dedup_substrings
@@ -109,3 +110,20 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of each whole document covered by a 200-byte string that also starts elsewhere."""
     return dedup_substrings(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+OP7_SQL = """
+WITH v AS (SELECT vec_id, max(embedding::DOUBLE[]) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0 GROUP BY vec_id),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_reduce(list_prepend(0::DOUBLE, list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * v.e[i])), lambda a, b: a + b) AS score
+      FROM v q JOIN v ON v.vec_id <> q.vec_id AND len(v.e) = len(q.e) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@register("op7_nearest", OP7_SQL)
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows, by inner product, of every vector whose id is divisible by 20."""
+    return nearest_vectors(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
