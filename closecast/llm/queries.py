@@ -15,6 +15,7 @@ from closecast.llm.nearest import nearest_vectors
 from closecast.llm.order_minhash import near_duplicates
 from closecast.llm.quality import score_quality, train
 from closecast.llm.substring_dedup import dedup_substrings
+from closecast.llm.warc import archive_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -127,3 +128,22 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows, by inner product, of every vector whose id is divisible by 20."""
     return nearest_vectors(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS hex FROM p),
+b AS (SELECT page_id, payload_bytes, hex, array_to_string(list_transform(range(0, 8), lambda k:
+        array_to_string(list_transform(range(0, 4), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+          1 + ((('0x' || substr(hex, 1 + 5 * k::INT, 5))::BIGINT >> (15 - 5 * j)::INT) & 31)::INT, 1)), '')), '') AS payload_digest FROM d),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS top FROM b)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to FROM m
+"""
+
+
+@register("op4_warc", OP4_SQL)
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as deduplicated archives with revisit records, read back."""
+    out = archive_pages(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
