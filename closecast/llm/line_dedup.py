@@ -5,16 +5,17 @@ line goes when an earlier line of the corpus, by (doc_id, line number), has
 Jaccard similarity ``threshold`` or more with it, whether or not that line
 itself stays. The join is exact; its steps only skip what cannot match:
 
-1. Rarity: word counts over the whole corpus in 2^18 hashed counters (a table
-   of fixed size). Any fixed order of words keeps the join exact; this one
-   puts rare words first.
+1. Rarity: word counts over the whole corpus in 2^18 hashed counters, and a
+   bitmap of 2^24 hashed words seen twice (tables of fixed size). Any fixed order of words
+   keeps the join exact; this one puts rare words first. A word seen once
+   matches nothing and is not posted.
 2. Equal sets collapse first, with map-side minimums: one row per distinct
    set, with its earliest place. Later equal lines are settled by that.
 3. Prefix filter: sets that overlap enough share one of their first
    n - ceil(t n) + 1 words in rarity order. Each set is posted under those.
 4. In a posting group, each set looks among the earlier ones and keeps the
-   earliest that passes the length, positional and bitmap filters (a 64-bit
-   bitmap: each differing bit is a differing word). So a group gives at most one pair per
+   earliest that passes the length, positional and bitmap filters (128 bits of
+   parity: each differing bit is a differing word). So a group gives at most one pair per
    member, not all pairs. Only members whose pair fails the check, and that
    have others left, are compared with the rest in a second pass.
 5. Pairs are verified on the words of the whole lines.
@@ -32,6 +33,7 @@ recomputed where present.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +41,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from closecast.llm.common import KeyFilter, checkpointed, chunk_words, mix, shuffle_partitions, signed, text_chunks
+from closecast.llm.common import KeyFilter, checkpointed, chunk_words, has_rows, mix, shuffle_partitions, signed, text_chunks
 
 THRESHOLD = 0.8
 COUNTER_BITS = 18
+SEEN_BITS = 24
 _SLICES = 16
 _LAST = (1 << 63) - 1  # a null doc_id's place in the order
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -59,48 +62,78 @@ def line_borders(data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.append(starts[starts < len(buf)], len(buf)), row[starts < len(buf)]
 
 
+class Rarity(NamedTuple):
+    classes: np.ndarray  # 12-bit rarity class of each hashed counter
+    twice: np.ndarray  # packed bits: hashed words that may occur more than once
+
+
+def _seen(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
+
+
+def _merge(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+    """Sums of the counts; words seen on both sides have been seen twice."""
+    return [a[0] + b[0], a[1] | b[1], a[2] | b[2] | (a[1] & b[1])]
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    counts = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    once, twice = np.zeros(1 << SEEN_BITS, dtype=bool), np.zeros(1 << SEEN_BITS, dtype=bool)
     for batch in batches:
         for c in text_chunks(batch.column("text")):
             w = chunk_words(c.data, c.offsets)
-            total += np.bincount((w.hash >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(total))
-    yield _slices(total)
+            counts += np.bincount((w.hash >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(counts))
+            h = np.sort(w.hash)
+            new = np.concatenate([[True], h[1:] != h[:-1]])[:len(h)]
+            twice[_seen(h[~new])] = True
+            at = _seen(h[new])
+            twice[at[once[at]]] = True
+            once[at] = True
+            same = np.flatnonzero(np.diff(at) == 0)  # two words of one place
+            twice[at[same]] = True
+    yield _slices([np.split(counts, _SLICES), np.split(np.packbits(once), _SLICES), np.split(np.packbits(twice), _SLICES)], range(_SLICES))
 
 
-def _slices(total: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array([x.tobytes() for x in np.split(total, _SLICES)], pa.binary())],
-                                      names=["slice", "counts"])
+def _slices(parts: list[list[np.ndarray]], numbers) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(numbers), pa.int32())] + [pa.array([x.tobytes() for x in p], pa.binary()) for p in parts],
+                                      names=["slice", "counts", "once", "twice"])
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for k, x in zip(batch.column("slice").to_pylist(), batch.column("counts"), strict=True):
-            got = np.frombuffer(x.as_buffer(), dtype=np.int64)
-            total[k] = total[k] + got if k in total else got
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["slice", "counts"])
+def _parts(row: dict) -> list[np.ndarray]:
+    return [np.frombuffer(row["counts"], dtype=np.int64), np.frombuffer(row["once"], dtype=np.uint8), np.frombuffer(row["twice"], dtype=np.uint8)]
 
 
-def rarity_classes(docs: DataFrame) -> np.ndarray:
-    """12-bit rarity class of each of the 2^COUNTER_BITS hashed word counters, over all texts."""
-    schema = "slice int, counts binary"
-    parts = docs.select("text").mapInArrow(_counts, schema).repartition(_SLICES, "slice").mapInArrow(_summed, schema).collect()
-    counts = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
-    each = len(counts) // _SLICES
-    for r in parts:
-        counts[r["slice"] * each:(r["slice"] + 1) * each] = np.frombuffer(bytes(r["counts"]), dtype=np.int64)
-    return np.minimum(np.log2(counts + 1.0) * 100, 4095).astype(np.uint64)
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, list[np.ndarray]] = {}
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1).to_pylist()[0]
+            got = _parts(row)
+            total[row["slice"]] = _merge(total[row["slice"]], got) if row["slice"] in total else got
+    yield _slices([[x[p] for x in total.values()] for p in range(3)], total)
+
+
+def rarity(docs: DataFrame) -> Rarity:
+    """Rarity of hashed words over all texts; a fixed number of bytes comes back."""
+    schema = "slice int, counts binary, once binary, twice binary"
+    rows = docs.select("text").mapInArrow(_counts, schema).repartition(_SLICES, "slice").mapInArrow(_summed, schema).collect()
+    counts, twice = np.zeros(1 << COUNTER_BITS, dtype=np.int64), np.zeros(1 << (SEEN_BITS - 3), dtype=np.uint8)
+    for r in rows:
+        own = _parts({c: bytes(r[c]) for c in ("counts", "once", "twice")})
+        k = r["slice"]
+        counts[k * len(own[0]):(k + 1) * len(own[0])] = own[0]
+        twice[k * len(own[2]):(k + 1) * len(own[2])] = own[2]
+    return Rarity(np.minimum(np.log2(counts + 1.0) * 100, 4095).astype(np.uint64), twice)
 
 
 def prefix_length(n: np.ndarray, threshold: float) -> np.ndarray:
     return n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
 
 
-def _line_sets(classes, threshold: float):
+def _line_sets(rarity_of, threshold: float):
     """Per line with words: its place, a key of its word set, and what the filters need."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rarity = classes.value
+        classes, twice = rarity_of.value
         for batch in batches:
             doc_column, tag_column = np.asarray(batch.column("doc")), np.asarray(batch.column("tag"))
             for c in text_chunks(batch.column("text")):
@@ -109,7 +142,12 @@ def _line_sets(classes, threshold: float):
                     continue
                 w = chunk_words(c.data, borders)
                 line = np.repeat(np.arange(len(row)), np.diff(w.first))
-                rank = rarity[(w.hash >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)] << np.uint64(32) | w.hash & np.uint64(0xFFFFFFFF)
+                # the low hash bits name a word, the high ones its counter and its seen-twice bit
+                rank = classes[(w.hash >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)] << np.uint64(32) | w.hash & np.uint64(0xFFFFFFFF)
+                at = _seen(w.hash)
+                lone = (twice[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 0
+                # words seen once come first in the order, whatever their counter says
+                rank = np.where(lone, w.hash & np.uint64(0xFFFFFFFF), rank + np.uint64(1 << 32))
                 packed = np.sort(line.astype(np.uint64) << _ID_BITS | rank)  # a chunk has under 2^20 lines with words
                 packed = packed[np.concatenate([[True], packed[1:] != packed[:-1]])] if len(packed) else packed
                 line = (packed >> _ID_BITS).astype(np.int64)
@@ -120,80 +158,99 @@ def _line_sets(classes, threshold: float):
                 if len(full) == 0:
                     continue
                 begin = first[full]
+                spread = mix(rank)
                 key = mix(np.add.reduceat(mix(rank * _ODD + np.uint64(1)), begin) + n[full].astype(np.uint64))
-                sig = np.bitwise_or.reduceat(np.uint64(1) << (mix(rank) & np.uint64(63)), begin)
+                bit = np.uint64(1) << (spread & np.uint64(63))
+                half = (spread >> np.uint64(6)) & np.uint64(1) > 0
+                sig, sig2 = (np.bitwise_xor.reduceat(np.where(side, bit, np.uint64(0)), begin) for side in (half, ~half))
                 p = prefix_length(n[full], threshold)
                 ends = np.cumsum(p)
-                at = np.arange(ends[-1]) - np.repeat(ends - p, p) + np.repeat(begin, p)
-                raw = rank[at].view(np.uint8).reshape(-1, 8)[:, :6].tobytes()  # 44 bits fit 6 bytes
-                prefix = pa.Array.from_buffers(pa.binary(), len(full), [None, pa.py_buffer(np.concatenate([[0], ends * 6]).astype(np.int32)), pa.py_buffer(raw)])
+                pos = np.arange(ends[-1]) - np.repeat(ends - p, p)
+                posted = rank[pos + np.repeat(begin, p)]
+                keep = posted >> np.uint64(32) > 0
+                raw = (pos.astype(np.uint64) << _ID_BITS | posted)[keep]
+                own = np.bincount(np.repeat(np.arange(len(full)), p)[keep], minlength=len(full))
+                prefix = pa.Array.from_buffers(pa.binary(), len(full), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(own) * 8]).astype(np.int32)), pa.py_buffer(raw.tobytes())])
                 number = np.arange(len(row)) - np.searchsorted(row, row)
                 place = c.lo + row[full]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(doc_column[place]), pa.array(tag_column[place]), pa.array(number[full].astype(np.int32)), pa.array(signed(key)),
-                    pa.array(n[full].astype(np.int32)), pa.array(signed(sig)), prefix,
-                ], names=["doc", "tag", "line", "key", "n", "sig", "prefix"])
+                    pa.array(n[full].astype(np.int32)), pa.array(signed(sig)), pa.array(signed(sig2)), prefix,
+                ], names=["doc", "tag", "line", "key", "n", "sig", "sig2", "prefix"])
     return run
 
 
-_LINES = "doc long, tag long, line int, key long, n int, sig long, prefix binary"
-_POSTING = "token long, doc long, line int, n int, pos int, sig long"
+_LINES = "doc long, tag long, line int, key long, n int, sig long, sig2 long, prefix binary"
+_POSTING = "token long, doc long, line int, n int, pos int, sig long, sig2 long"
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 10_000):
             b = batch.slice(lo, 10_000)
-            raw = b"".join(x.as_py() for x in b.column("prefix"))
-            wide = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
-            wide[:, :6] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
-            p = np.array([len(x.as_buffer()) // 6 for x in b.column("prefix")], dtype=np.int64)
+            raw = [x.as_buffer() for x in b.column("prefix")]
+            p = np.array([len(x) // 8 for x in raw], dtype=np.int64)
+            wide = np.frombuffer(b"".join(raw), dtype=np.uint64)
             each = np.repeat(np.arange(len(p)), p)
-            pos = np.arange(len(each)) - np.repeat(np.cumsum(p) - p, p)
-            take = lambda c: np.asarray(b.column(c))[each]  # noqa: E731, B023
-            yield pa.RecordBatch.from_arrays([pa.array(wide.reshape(-1).view(np.int64)), pa.array(take("doc")), pa.array(take("line")), pa.array(take("n")),
-                                              pa.array(pos.astype(np.int32)), pa.array(take("sig"))], names=["token", "doc", "line", "n", "pos", "sig"])
+            names = ["doc", "line", "n", "sig", "sig2"]
+            own = {c: pa.array(np.asarray(b.column(c))[each]) for c in names}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(wide & np.uint64((1 << 44) - 1))), own["doc"], own["line"], own["n"], pa.array((wide >> _ID_BITS).astype(np.int32)), own["sig"], own["sig2"]],
+                names=["token", "doc", "line", "n", "pos", "sig", "sig2"])
+
 
+class _Posted(NamedTuple):
+    token: np.ndarray
+    doc: np.ndarray
+    line: np.ndarray
+    n: np.ndarray
+    pos: np.ndarray
+    sig: np.ndarray
+    sig2: np.ndarray
 
-def _passing(n, pos, sig, i, j, threshold: float) -> np.ndarray:
+
+def _passing(g: _Posted, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
     """Which of the pairs (i, j) may still overlap enough; exact for the first word that a pair shares."""
-    total = n[i] + n[j]
-    need = np.ceil(threshold / (1 + threshold) * total - 1e-9)
-    left = 1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1
-    ok = (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9) & (left >= need)
-    ok &= np.bitwise_count(sig[i] ^ sig[j]) <= total - 2 * need
+    a, b = g.n[i], g.n[j]
+    need = np.ceil(threshold / (1 + threshold) * (a + b) - 1e-9)
+    ok = (np.minimum(a, b) >= threshold * np.maximum(a, b) - 1e-9) & (np.minimum(a - g.pos[i], b - g.pos[j]) >= need)
+    i, j = i[ok], j[ok]
+    differ = np.bitwise_count(g.sig[i] ^ g.sig[j]).astype(np.int64) + np.bitwise_count(g.sig2[i] ^ g.sig2[j])
+    ok[ok] = differ <= (a + b)[ok] - 2 * need[ok]
     return ok
 
 
-def _small_groups(begin, size, n, pos, sig, threshold):
-    """Passing pairs (earlier, later) of all groups of one size, in one sweep per distance."""
+SMALL = 32
+
+
+def _small_groups(g: _Posted, nth: np.ndarray, threshold: float):
+    """Passing pairs (earlier, later) of groups of up to SMALL members: one sweep per distance. nth: place in the group, -1 elsewhere."""
     out_i, out_j = [], []
-    for s in np.unique(size):
-        g = begin[size == s]
-        for d in range(1, s):
-            j = (g[:, None] + np.arange(d, s)).ravel()
-            i = j - d
-            ok = _passing(n, pos, sig, i, j, threshold)
-            out_i.append(i[ok])
-            out_j.append(j[ok])
+    j = np.flatnonzero(nth > 0)
+    for d in range(1, SMALL):
+        j = j[nth[j] >= d]
+        if len(j) == 0:
+            break
+        ok = _passing(g, j - d, j, threshold)
+        out_i.append((j - d)[ok])
+        out_j.append(j[ok])
     return out_i, out_j
 
 
-def _large_group(begin, size, n, pos, sig, threshold, every, wanted):
-    """One group, member by member in blocks against all earlier ones; settled members need no further look unless ``every``."""
+def _large_group(g: _Posted, begin: int, size: int, threshold: float, every: bool, wanted: np.ndarray):
+    """One group, members in blocks against all earlier ones; unless ``every``, a member stops at its first pair."""
     out_i, out_j = [], []
     for j0 in range(begin, begin + size, 256):
         js = np.arange(j0, min(j0 + 256, begin + size))
         js = js[wanted[js]]
-        for i0 in range(begin, j0 + 256, 4096):
+        for i0 in range(begin, min(j0 + 256, begin + size), 2048):
             if len(js) == 0:
                 break
-            i = np.arange(i0, min(i0 + 4096, begin + size))
-            ii, jj = np.meshgrid(i, js, indexing="ij")
-            ii, jj = ii.ravel(), jj.ravel()
+            i = np.arange(i0, min(i0 + 2048, begin + size))
+            ii, jj = np.repeat(i, len(js)), np.tile(js, len(i))
             before = ii < jj
             ii, jj = ii[before], jj[before]
-            ok = _passing(n, pos, sig, ii, jj, threshold)
+            ok = _passing(g, ii, jj, threshold)
             ii, jj = ii[ok], jj[ok]
             if not every:
                 jj, at = np.unique(jj, return_index=True)  # the earliest of each
@@ -205,20 +262,21 @@ def _large_group(begin, size, n, pos, sig, threshold, every, wanted):
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Whole posting groups from batches sorted by token; a group's rows may span batches."""
-    names = ["token", "doc", "line", "n", "pos", "sig", "wanted"]
+    """Whole posting groups, about _BATCH rows at a time, from batches sorted by token."""
+    names = [*_Posted._fields, "wanted"]
     held: list[list[np.ndarray]] = []
+    rows = 0
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        now = [np.asarray(batch.column(c)) if c != "wanted" else np.asarray(batch.column(c).cast(pa.int8())) > 0 for c in names if c in batch.schema.names]
-        cut = int(np.searchsorted(now[0], now[0][-1]))
-        if cut == 0 and held and held[-1][0][-1] == now[0][0]:
-            held.append(now)
+        held.append([np.asarray(batch.column(c)) if c != "wanted" else np.asarray(batch.column(c).cast(pa.int8())) > 0 for c in names if c in batch.schema.names])
+        rows += batch.num_rows
+        if rows < _BATCH or held[0][0][0] == held[-1][0][-1]:
             continue
-        held.append([x[:cut] for x in now])
-        yield [np.concatenate(x) for x in zip(*held, strict=True)]
-        held = [[x[cut:] for x in now]]
+        whole = [np.concatenate(x) for x in zip(*held, strict=True)]
+        cut = int(np.searchsorted(whole[0], whole[0][-1]))
+        yield [x[:cut] for x in whole]
+        held, rows = [[x[cut:] for x in whole]], len(whole[0]) - cut
     if held:
         yield [np.concatenate(x) for x in zip(*held, strict=True)]
 
@@ -227,30 +285,27 @@ def _candidates(threshold: float, every: bool):
     """Pairs (later doc, line; earlier doc, line); ``every``: all that pass, for the wanted members only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in _groups(batches):
-            token, doc, line, n, pos, sig = got[:6]
-            wanted = got[6] if len(got) > 6 else np.ones(len(token), dtype=bool)
-            sig = sig.view(np.uint64)
-            n, pos = n.astype(np.int64), pos.astype(np.int64)
-            begin = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, dtype=np.int64)
-            size = np.diff(np.append(begin, len(token)))
-            small = (size > 1) & (size <= 32)
-            out_i, out_j = _small_groups(begin[small], size[small], n, pos, sig, threshold)
-            for b, s in zip(begin[size > 32], size[size > 32], strict=True):
-                x, y = _large_group(int(b), int(s), n, pos, sig, threshold, every, wanted)
+            g = _Posted(*got[:3], *(x.astype(np.int64) for x in got[3:5]), *(x.view(np.uint64) for x in got[5:7]))
+            wanted = got[7] if every else np.ones(len(g.token), dtype=bool)
+            begin = np.flatnonzero(np.concatenate([[True], g.token[1:] != g.token[:-1]]))
+            size = np.diff(np.append(begin, len(g.token)))
+            nth = np.where(np.repeat(size <= SMALL, size), np.arange(len(g.token)) - np.repeat(begin, size), -1)
+            out_i, out_j = _small_groups(g, nth, threshold)
+            for b, s in zip(begin[size > SMALL], size[size > SMALL], strict=True):
+                x, y = _large_group(g, int(b), int(s), threshold, every, wanted)
                 out_i += x
                 out_j += y
             if not out_i:
                 continue
             i, j = np.concatenate(out_i), np.concatenate(out_j)
             if every:
-                ok = wanted[j]
-                i, j = i[ok], j[ok]
+                i, j = i[wanted[j]], j[wanted[j]]
             else:
                 order = np.lexsort((i, j))
                 i, j = i[order], j[order]
-                one = np.concatenate([[True], j[1:] != j[:-1]]) if len(j) else np.zeros(0, dtype=bool)
+                one = np.concatenate([[True], j[1:] != j[:-1]])[:len(j)]
                 i, j = i[one], j[one]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[j]), pa.array(line[j]), pa.array(doc[i]), pa.array(line[i])], names=["doc", "line", "doc2", "line2"])
+            yield pa.RecordBatch.from_arrays([pa.array(g.doc[j]), pa.array(g.line[j]), pa.array(g.doc[i]), pa.array(g.line[i])], names=["doc", "line", "doc2", "line2"])
     return run
 
 
@@ -325,28 +380,28 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     spark = docs.sparkSession
     place = [F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("tag"), F.col("text")]
     src = docs.select(*place)
-    classes = spark.sparkContext.broadcast(rarity_classes(docs))
-    lines = checkpointed(src.mapInArrow(_line_sets(classes, threshold), _LINES))
+    rare = spark.sparkContext.broadcast(rarity(docs))
+    lines = checkpointed(src.mapInArrow(_line_sets(rare, threshold), _LINES))
     # one row per distinct set: its earliest place, and what its postings need (equal for equal sets)
-    sets = checkpointed(lines.groupBy("key").agg(
-        F.min(F.struct("doc", "line")).alias("at"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix"))
-        .select("key", "at.doc", "at.line", "n", "sig", "prefix"))
-    posted = (sets.select("doc", "line", "n", "sig", "prefix").mapInArrow(_postings, _POSTING)
-              .repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "doc", "line"))
-    pairs = checkpointed(posted.mapInArrow(_candidates(threshold, False), _PAIR).distinct())
+    sets = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "sig", "sig2", "prefix")])
+    postings = sets.select("at.doc", "at.line", "n", "sig", "sig2", "prefix").mapInArrow(_postings, _POSTING)
+    parts = shuffle_partitions(spark)
+    dealt = postings.repartition(parts, "token").sortWithinPartitions("token", "doc", "line")
+    pairs = checkpointed(dealt.mapInArrow(_candidates(threshold, False), _PAIR).distinct())
     settled = checkpointed(_matched(src, pairs, threshold))
     # members whose earliest pairs failed: compared with all earlier ones that pass the filters
     doubtful = checkpointed(pairs.select("doc", "line").distinct().join(settled, ["doc", "line"], "left_anti"))
-    if doubtful.take(1):
-        own = sets.join(doubtful, ["doc", "line"]).select("doc", "line", "n", "sig", "prefix").mapInArrow(_postings, _POSTING)
-        theirs = sets.select("doc", "line", "n", "sig", "prefix").mapInArrow(_postings, _POSTING)
-        theirs = theirs.join(own.select("token").distinct(), "token", "left_semi")
+    if has_rows(doubtful):
+        theirs = KeyFilter(doubtful).split(postings, "doc", "line")  # thinned before the exact join
+        own = theirs.where("maybe").join(doubtful, ["doc", "line"], "left_semi").select("token").distinct()
+        theirs = KeyFilter(checkpointed(own)).split(postings, "token").where("maybe").drop("maybe")
         again = theirs.join(doubtful.withColumn("wanted", F.lit(True)), ["doc", "line"], "left").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
-        again = again.select("token", "doc", "line", "n", "pos", "sig", "wanted").repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "doc", "line")
+        again = again.select("token", "doc", "line", "n", "pos", "sig", "sig2", "wanted").repartition(parts, "token").sortWithinPartitions("token", "doc", "line")
         more = checkpointed(again.mapInArrow(_candidates(threshold, True), _PAIR).distinct().join(pairs, ["doc", "line", "doc2", "line2"], "left_anti"))
-        settled = settled.union(_matched(src, more, threshold))
+        settled = settled.union(_matched(src, more, threshold)) if has_rows(more) else settled
     settled = settled.withColumn("gone", F.lit(True))
-    fate = sets.join(settled, ["doc", "line"], "left").select("key", F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.coalesce("gone", F.lit(False)).alias("gone"))
+    places = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("at")).select("key", "at.doc", "at.line")
+    fate = places.join(settled.distinct(), ["doc", "line"], "left").select("key", F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.coalesce("gone", F.lit(False)).alias("gone"))
     # a line goes if its set matches an earlier set, or if it is not the set's earliest place
     cut = (lines.select("doc", "tag", "line", "key").join(fate, "key")
            .where(F.col("gone") | (F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0")))

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from closecast.llm.common import table
 from closecast.llm.decontaminate import decontaminate
+from closecast.llm.langid import identify
+from closecast.llm.langid import train as train_languages
+from closecast.llm.licenses import scan_licenses
 from closecast.llm.line_dedup import dedup_lines
 from closecast.llm.mixing import mix_sources
 from closecast.llm.nearest import nearest_vectors
@@ -147,3 +150,23 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as deduplicated archives with revisit records, read back."""
     out = archive_pages(table(spark, sf_dir, "pages"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def document_path():
+    """A path for ``documents``, which have none: source / thousands of the id / lang (but for every tenth id) / id."""
+    inner = F.when(F.col("doc_id") % 10 != 0, F.coalesce("lang", F.lit("_")))
+    return F.concat_ws("/", F.coalesce("source", F.lit("_")), F.floor(F.col("doc_id") / 1000).cast("string"), inner, F.col("doc_id").cast("string"))
+
+
+@register("op6_licenses")
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Own or inherited licence of every whole document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", document_path().alias("path"))
+    return scan_licenses(docs, columns=["doc_id", "path"]).select("doc_id", "path", "license", "origin", "inherited_from", "score", "n_notices")
+
+
+@register("op9_language")
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document, learned outside fold 2 of 4."""
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, train_languages(docs), columns=["doc_id"]).select("doc_id", "held_out", "lang_pred", "score")
