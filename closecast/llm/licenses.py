@@ -7,14 +7,14 @@ template with the largest cosine, if that is at least ``threshold``. Only lines
 carry enough of some template's weight are compared: the cosine cannot exceed
 the norm of the template's shared part, so nothing that matches is skipped.
 
-A document's own licence is that of its best line. A document whose first line
-matches is a licence file of its directory. A document without a licence inherits
+A document's own licence is that of its best line. A document whose first or
+last line with words matches (a header or a footer) speaks for its directory. A document without a licence inherits
 from its nearest ancestor directory that has one: directories, not documents,
 are exploded into their ancestors and joined by path, then documents join
 their directory's answer.
 
 Defined cases: a null or empty text has no lines; equal cosines go to the
-earlier template name; of several licence files in a directory the one with
+earlier template name; of several such documents in a directory the one with
 the largest cosine counts, then the smaller path; a null path has no
 directory and inherits nothing; repeated rows get equal answers; an empty
 corpus gives no rows. Columns of the input pass through unless ``columns`` is given.
@@ -128,9 +128,9 @@ def weigh_templates(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES
     return Templates(names, vocabulary, weights / np.sqrt((weights ** 2).sum(axis=1, keepdims=True)), idf)
 
 
-def match_lines(t: Templates, data: bytes, offsets: np.ndarray, threshold: float = THRESHOLD) -> list[list[tuple[int, str, float]]]:
-    """Per text of a chunk: (line number, licence, cosine) of its matching lines."""
-    out: list[list[tuple[int, str, float]]] = [[] for _ in range(len(offsets) - 1)]
+def match_lines(t: Templates, data: bytes, offsets: np.ndarray, threshold: float = THRESHOLD) -> list[list[tuple[int, str, float, bool]]]:
+    """Per text of a chunk: (line number, licence, cosine, whether it is the first or last line) of its matching lines."""
+    out: list[list[tuple[int, str, float, bool]]] = [[] for _ in range(len(offsets) - 1)]
     row, w, line = _lines_of(data, offsets)
     if len(line) == 0:
         return out
@@ -154,18 +154,20 @@ def match_lines(t: Templates, data: bytes, offsets: np.ndarray, threshold: float
         cosine = t.weights[:, i[shared]] @ v[shared]
         best = int(cosine.argmax())
         if cosine[best] >= threshold:
-            out[row[k]].append((int(k - np.searchsorted(row, row[k])), t.names[best], min(1.0, round(float(cosine[best]), 9))))
+            begin, stop = np.searchsorted(row, (row[k], row[k] + 1))
+            edge = k == begin or w.first[k + 1] == w.first[stop]  # nothing but wordless lines may follow the last
+            out[row[k]].append((int(k - begin), t.names[best], min(1.0, round(float(cosine[best]), 9)), bool(edge)))
     return out
 
 
 _OWN = T.StructType([
     T.StructField("license", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("n_notices", T.LongType()),
-    T.StructField("notice_lines", T.ArrayType(T.LongType())), T.StructField("first_license", T.StringType()), T.StructField("first_score", T.DoubleType())])
+    T.StructField("notice_lines", T.ArrayType(T.LongType())), T.StructField("edge_license", T.StringType()), T.StructField("edge_score", T.DoubleType())])
 
 
 def _scanned(templates, threshold: float):
     kind = pa.struct([("license", pa.string()), ("score", pa.float64()), ("n_notices", pa.int64()), ("notice_lines", pa.list_(pa.int64())),
-                      ("first_license", pa.string()), ("first_score", pa.float64())])
+                      ("edge_license", pa.string()), ("edge_score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = templates.value
@@ -174,9 +176,9 @@ def _scanned(templates, threshold: float):
             for c in text_chunks(batch.column("__text")):
                 for found in match_lines(t, c.data, c.offsets, threshold):
                     best = min(found, key=lambda f: (-f[2], f[1]), default=None)
-                    first = next((f for f in found if f[0] == 0), None)
+                    edge = min((f for f in found if f[3]), key=lambda f: (-f[2], f[1]), default=None)
                     out.append({"license": best and best[1], "score": best and best[2], "n_notices": len(found), "notice_lines": [f[0] for f in found],
-                                "first_license": first and first[1], "first_score": first and first[2]})
+                                "edge_license": edge and edge[1], "edge_score": edge and edge[2]})
             keep = [i for i, c in enumerate(batch.schema.names) if c != "__text"]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in keep] + [pa.array(out, kind)], names=[batch.schema.names[i] for i in keep] + ["__own"])
     return run
@@ -192,10 +194,10 @@ def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES,
     scanned = checkpointed(src.mapInArrow(_scanned(weighed, threshold), schema).withColumn(
         "__dir", F.when(F.col("__path").contains("/"), F.regexp_extract("__path", r"^(.*)/[^/]*$", 1))))
     own = F.col("__own")
-    # directories with a licence file
-    files = scanned.where(own["first_license"].isNotNull() & F.col("__dir").isNotNull())
+    # directories that a document speaks for
+    files = scanned.where(own["edge_license"].isNotNull() & F.col("__dir").isNotNull())
     given = files.groupBy(F.col("__dir").alias("ancestor")).agg(
-        F.min(F.struct((-own["first_score"]).alias("s"), F.col("__path").alias("p"), own["first_license"].alias("l"))).alias("x")).select("ancestor", F.col("x.l").alias("given"))
+        F.min(F.struct((-own["edge_score"]).alias("s"), F.col("__path").alias("p"), own["edge_license"].alias("l"))).alias("x")).select("ancestor", F.col("x.l").alias("given"))
     # each distinct directory looks up its ancestors (itself first); a path has few
     dirs = scanned.where(F.col("__dir").isNotNull()).select("__dir").distinct()
     parts = F.split("__dir", "/")
