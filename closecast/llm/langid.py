@@ -121,12 +121,11 @@ def forward(pieces: list, prob: np.ndarray, words: int, longest: int) -> tuple[l
         ended = total[:, 0] == 0  # the word is over (or its sums are too small to hold): carry on
         total[ended] = alpha[-1][ended]
         alpha.append(total)
-        small = total.max(axis=1) < 1e-120
+        small = total < 1e-120
         if small.any():
-            scale = total[small].max(axis=1, keepdims=True)
-            for a in alpha[-longest:]:
-                a[small] /= scale
-            log_scale[small] += np.log(scale)
+            scale = np.where(small & (total > 0), total, 1.0)
+            alpha[-longest:] = [a / scale for a in alpha[-longest:]]
+            log_scale += np.log(scale)
     return alpha, log_scale
 
 
