@@ -18,47 +18,6 @@ def finite_or_null(c: str | Column) -> Column:
     return F.when(F.isnan(x) | (x == F.lit(_INF)) | (x == F.lit(-_INF)), F.lit(None)).otherwise(x)
 
 
-def to_double(c: str | Column) -> Column:
-    """Lenient numeric coercion: text -> number, bad text -> NULL, then finite-only."""
-    return finite_or_null(F.expr("try_cast({} AS DOUBLE)".format(c)) if isinstance(c, str) else c.try_cast("double"))
-
-
-def safe_div(num: Column, den: Column) -> Column:
-    """num / den, NULL when den is 0 or NULL (never raises under ANSI mode)."""
-    return F.try_divide(num, den)
-
-
 def no_negative_zero(c: Column) -> Column:
     """Map -0.0 to 0.0 so equal values hash and print the same."""
     return F.when(c == 0, F.lit(0.0)).otherwise(c)
-
-
-def round_half_up(c: Column, places: int) -> Column:
-    return no_negative_zero(F.round(c, places))
-
-
-# Above this many rows exact percentiles (which keep every distinct value of a
-# column in one aggregation buffer) give way to the bounded-memory sketch.
-EXACT_PERCENTILE_MAX_ROWS = 5_000_000
-SKETCH_ACCURACY = 10_000  # approx_percentile accuracy: relative rank error 1e-4
-
-
-def percentile_mode(df, relative_error: float | None = None) -> float | None:
-    """``None`` (exact) when the frame is provably small, else a sketch error.
-
-    The bound is checked with ``limit(n + 1).count()``, which stops early.
-    """
-    if relative_error:
-        return relative_error
-    if df.limit(EXACT_PERCENTILE_MAX_ROWS + 1).count() <= EXACT_PERCENTILE_MAX_ROWS:
-        return None
-    return 1.0 / SKETCH_ACCURACY
-
-
-def percentile_expr(c, q, relative_error: float | None):
-    """Exact ``percentile`` or ``approx_percentile`` for level(s) ``q``."""
-    from pyspark.sql import functions as F
-
-    if relative_error is None:
-        return F.percentile(c, q)
-    return F.percentile_approx(c, q, int(1.0 / relative_error))

@@ -1,8 +1,8 @@
 """Distribution drift (PSI, Jensen-Shannon), data-quality drift, retrain rule.
 
 All features are handled in one pass: both frames are unpivoted to
-``(feature, x)``; decile edges of the reference come from ONE grouped
-``percentile`` aggregate; each value's bin is the count of inner edges <= x
+``(feature, x)``; decile edges of the reference are exact
+distributed quantiles; each value's bin is the count of inner edges <= x
 (edges are a short array per feature, broadcast with the feature table); one
 grouped count gives both histograms. A complete bin list per feature makes
 empty bins explicit, so the rate clipping matches the reference.
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closecast.functions.columns import percentile_expr, percentile_mode
+from closecast.functions.quantiles import bin_of, exact_quantiles
 from closecast.schema import DIMENSIONS
 
 BINS = 10
@@ -43,13 +43,12 @@ def _raw_counts(reference: DataFrame, current: DataFrame, feats: list[str], bins
     whose reference has a single distinct value land in bin 0."""
     ref = _long(reference, feats, "ref")
     cur = _long(current, feats, "cur")
-    levels = F.array(*[F.lit(q) for q in quantile_levels(bins)])
-    qs = percentile_expr(F.col("x"), levels, percentile_mode(reference, relative_error))
-    edges = ref.groupBy("feature").agg(F.array_distinct(qs.cast("array<double>")).alias("edges"))
+    edges = exact_quantiles(ref.select("feature", "x"), quantile_levels(bins), relative_error).select(
+        "feature", F.array_distinct("q").alias("edges"))
     inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
     edges = edges.select("feature", F.size("edges").alias("n_edges"), inner.alias("inner"))
     both = ref.unionByName(cur).join(F.broadcast(edges), "feature", "inner")
-    bin_idx = F.size(F.filter("inner", lambda e: e <= F.col("x")))
+    bin_idx = bin_of(F.col("x"), F.col("inner"), bins - 1)
     counts = both.groupBy("feature", bin_idx.alias("bin")).agg(
         F.count_if(F.col("side") == "ref").alias("expected"),
         F.count_if(F.col("side") == "cur").alias("actual"))
@@ -115,7 +114,12 @@ def drift_summary(report: DataFrame) -> DataFrame:
 
 
 def js_distance(reference: DataFrame, current: DataFrame, columns: list[str], bins: int = BINS) -> DataFrame:
-    """Jensen-Shannon distance per feature on the same bins (natural log)."""
+    """Jensen-Shannon distance per feature on the same bins (natural log).
+
+    Every feature has a row: 0.0 where the reference has a single edge, NULL
+    where either side has no values.
+    """
+    feats = [c for c in columns if c in reference.columns and c in current.columns]
     counts = binned_counts(reference, current, columns, bins)
     p = F.try_divide(F.col("expected"), F.col("n_ref"))
     q = F.try_divide(F.col("actual"), F.col("n_cur"))
@@ -125,7 +129,13 @@ def js_distance(reference: DataFrame, current: DataFrame, columns: list[str], bi
         return F.when(x > 0, x * F.log(x / m)).otherwise(F.lit(0.0))
 
     js = counts.groupBy("feature").agg(F.sum(0.5 * kl_term(p) + 0.5 * kl_term(q)).alias("js"))
-    return js.select("feature", F.sqrt(F.greatest(F.col("js"), F.lit(0.0))).alias("js_distance"))
+    sides = reference.sparkSession.createDataFrame([(f,) for f in feats], "feature string")
+    for name, df in (("has_ref", reference), ("has_cur", current)):
+        seen = df.agg(*[F.count(F.nanvl(F.col(f"`{f}`").cast("double"), F.lit(None))).alias(f) for f in feats])
+        sides = sides.join(seen.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), (F.col(f"`{f}`") > 0).alias(name)) for f in feats])).alias("s"))
+                           .select("s.*"), "feature", "left")
+    value = F.when(F.col("has_ref") & F.col("has_cur"), F.coalesce(F.sqrt(F.greatest(F.col("js"), F.lit(0.0))), F.lit(0.0)))
+    return sides.join(js, "feature", "left").select("feature", value.alias("js_distance"))
 
 
 def missing_shares(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -179,9 +189,9 @@ def psi_by_group(reference: DataFrame, current: DataFrame, col: str, group_col:
     x = F.col(col).cast("double")
     ref = reference.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
     cur = current.select(F.col(group_col).alias("g"), x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    levels = F.array(*[F.lit(q) for q in quantile_levels(bins)])
-    qs = percentile_expr(F.col("x"), levels, percentile_mode(reference, relative_error))
-    edges = ref.agg(F.array_distinct(qs.cast("array<double>")).alias("e")).first()["e"]  # <= bins + 1 values
+    found = exact_quantiles(ref.select(F.lit(col).alias("feature"), "x"), quantile_levels(bins), relative_error).select(
+        F.array_distinct("q").alias("e")).first()  # <= bins + 1 values
+    edges = found["e"] if found else None
     groups = current.select(F.col(group_col).alias("g")).distinct()
     if not edges:
         return groups.select("g", F.lit(None).cast("double").alias("psi")).withColumnRenamed("g", group_col)
@@ -189,10 +199,10 @@ def psi_by_group(reference: DataFrame, current: DataFrame, col: str, group_col:
         return groups.select(F.col("g").alias(group_col), F.lit(0.0).alias("psi"))
     inner = F.array(*[F.lit(e) for e in edges[1:-1]])
     nb = len(edges) - 1
-    bin_of = F.size(F.filter(inner, lambda e: e <= F.col("x")))
-    ref_counts = ref.groupBy(bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("expected"))
+    bin_idx = bin_of(F.col("x"), inner, len(edges) - 2)
+    ref_counts = ref.groupBy(bin_idx.alias("bin")).agg(F.count(F.lit(1)).alias("expected"))
     n_ref = ref_counts.agg(F.sum("expected")).first()[0]
-    cur_counts = cur.groupBy("g", bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("actual"))
+    cur_counts = cur.groupBy("g", bin_idx.alias("bin")).agg(F.count(F.lit(1)).alias("actual"))
     n_cur = cur.groupBy("g").agg(F.count(F.lit(1)).alias("n_cur"))
     grid = groups.select("g", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("bin"))
     full = (grid.join(F.broadcast(ref_counts), "bin", "left").join(cur_counts, ["g", "bin"], "left")

@@ -1,7 +1,6 @@
 """The leakage-safe feature builder as a Spark ML stage.
 
-``LeakageSafeFeatures`` (Estimator) learns, from the TRAINING frame only and in
-ONE aggregate job, the median of every numeric column's finite values and the
+``LeakageSafeFeatures`` (Estimator) learns, from the TRAINING frame only, the median of every numeric column's finite values and the
 sorted category list of every dimension. The fitted model's ``transform`` is a
 single ``select``: derived ratios, NULL/NaN/Inf imputed with the train median
 (a literal, so it is constant-folded into codegen), one-hot columns, and an
@@ -19,7 +18,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from closecast.functions.columns import finite_or_null, percentile_expr, percentile_mode
+from closecast.functions.columns import finite_or_null
+from closecast.functions.quantiles import exact_quantiles, unpivoted
 from closecast.operators.contracts import check_forbidden
 from closecast.schema import DERIVED, DIMENSIONS, FEATURES, HISTORICAL, OPERATIONAL, TARGET
 
@@ -58,24 +58,21 @@ def numeric_inputs(df_cols: list[str]) -> list[str]:
 
 
 def fit_statistics(df: DataFrame, relative_error: float | None = None) -> DataFrame:
-    """M18 + M19 in one aggregate: a one-row frame of medians and category arrays.
+    """M18 + M19: a one-row frame of medians and category arrays.
 
-    Exact medians (``percentile``) when the frame is provably small; above
-    ``EXACT_PERCENTILE_MAX_ROWS`` rows, or when ``relative_error`` is given,
-    the bounded-memory ``approx_percentile`` sketch is used instead.
+    Medians are exact at every size (``exact_quantiles``), all columns in one
+    pass; ``relative_error`` asks for the bounded sketch instead. Category
+    lists are the one-hot columns of the model, so they must fit a plan anyway.
     """
     enriched = with_derived(df)
     numeric = numeric_inputs(enriched.columns)
-    mode = percentile_mode(df, relative_error)
-    aggs = []
-    for c in numeric:
-        v = finite_or_null(F.col(f"`{c}`").cast("double"))
-        med = percentile_expr(v, F.lit(0.5), mode)
-        aggs.append(F.coalesce(med.cast("double"), F.lit(0.0)).alias(f"median__{c}"))
-    for c in DIMENSIONS:
-        if c in df.columns:
-            aggs.append(F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"cats__{c}"))
-    return enriched.agg(*aggs)
+    values = unpivoted(enriched, {c: finite_or_null(F.col(f"`{c}`").cast("double")) for c in numeric}).where("x IS NOT NULL")
+    found = exact_quantiles(values, [0.5], relative_error)
+    by_name = F.map_from_entries(F.collect_list(F.struct("feature", F.col("q")[0])))
+    medians = found.agg(by_name.alias("m")).select(
+        *[F.coalesce(F.try_element_at("m", F.lit(c)), F.lit(0.0)).alias(f"median__{c}") for c in numeric])
+    cats = [F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"cats__{c}") for c in DIMENSIONS if c in df.columns]
+    return medians.crossJoin(df.agg(*cats)) if cats else medians  # one row each
 
 
 class _FeatureParams(Params):

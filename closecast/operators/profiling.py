@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closecast.functions import calendar as cal
-from closecast.functions.columns import finite_or_null, percentile_expr, percentile_mode
+from closecast.functions.columns import finite_or_null
+from closecast.functions.quantiles import quantile
 from closecast.operators.baselines import exact_mean
 from closecast.operators.features import fit_statistics
 from closecast.operators.metrics import METRIC_NAMES, metrics_overall
@@ -118,7 +119,7 @@ def outlier_count(df: DataFrame, col: str = "month_to_date_gross_charges", q: fl
                   factor: float = 1.5) -> DataFrame:
     """Rows above ``factor`` x the q-quantile. The quantile is one scalar
     (first job); the count is a filtered aggregate on it (second job)."""
-    p = df.agg(percentile_expr(F.col(col), F.lit(q), percentile_mode(df)).alias("p")).first()["p"]
+    p = quantile(df, F.col(col), q)
     thr = F.lit(p).cast("double")
     return df.agg(F.count_if(F.col(col) > F.lit(factor) * thr).alias("n_outliers")).select(
         F.round(thr, 4).alias("p99_gross"), "n_outliers")

@@ -778,11 +778,12 @@ def q_drift_summary(spark, sf_dir):
 
 
 @register("js_distance", W("""
-SELECT feature, round(sqrt(greatest(SUM(
+SELECT a.feature, CASE WHEN COALESCE(t.n_ref, 0) = 0 OR COALESCE(t.n_cur, 0) = 0 THEN NULL ELSE round(COALESCE(j.js, 0.0), 6) END AS js_distance
+FROM allf a LEFT JOIN tot t ON a.feature = t.feature LEFT JOIN (
+SELECT feature, sqrt(greatest(SUM(
    0.5 * CASE WHEN expected > 0 THEN (expected / n_ref) * ln((expected / n_ref) / ((expected / n_ref + actual / n_cur) / 2)) ELSE 0 END
- + 0.5 * CASE WHEN actual > 0 THEN (actual / n_cur) * ln((actual / n_cur) / ((expected / n_ref + actual / n_cur) / 2)) ELSE 0 END), 0)), 6)
-   AS js_distance
-FROM bins GROUP BY feature""", _drift_ctes(_DRIFT_COLS)))
+ + 0.5 * CASE WHEN actual > 0 THEN (actual / n_cur) * ln((actual / n_cur) / ((expected / n_ref + actual / n_cur) / 2)) ELSE 0 END), 0)) AS js
+FROM bins GROUP BY feature) j ON a.feature = j.feature""", _drift_ctes(_DRIFT_COLS)))
 def q_js_distance(spark, sf_dir):
     """Jensen-Shannon distance on the PSI bins."""
     ref, cur = _drift_frames(spark, sf_dir)

@@ -2,7 +2,6 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from closecast.functions import columns as COL
 from closecast.operators import profiling as PR
 from closecast.operators.joins import bounded_broadcast
 from closecast.operators.models import ModelConfig, build_estimator, fit_features, interval_columns
@@ -17,15 +16,6 @@ def test_bounded_broadcast_only_below_bound(spark):
     assert hinted is not small and "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
 
 
-def test_percentile_switches_to_sketch_above_bound(spark, monkeypatch):
-    df = spark.range(100)
-    assert COL.percentile_mode(df) is None
-    monkeypatch.setattr(COL, "EXACT_PERCENTILE_MAX_ROWS", 50)
-    assert COL.percentile_mode(df) == pytest.approx(1e-4)
-    got = df.agg(COL.percentile_expr(F.col("id"), F.lit(0.5), 1e-4).alias("m")).first()["m"]
-    assert abs(got - 49.5) <= 1
-
-
 def test_facility_filter_unknown_raises(snaps):
     fac = snaps.agg(F.min("facility_id")).first()[0]
     assert PR.facility_rows(snaps, fac).count() > 0
