@@ -2,7 +2,8 @@
 
 Every metric is a built-in aggregate, so partial aggregation happens map-side
 and a grouped metric table costs one small shuffle whatever the row count.
-Degenerate groups give NULL (the reference's NaN).
+Degenerate groups give NULL (the reference's NaN). A missing actual or
+prediction fails the job inside the same aggregate.
 """
 
 from __future__ import annotations
@@ -16,17 +17,31 @@ METRIC_NAMES = ["wape", "bias", "mae", "rmse", "mape", "smape", "r2"]
 _EPS = 1e-9
 
 
-def report_round(x: Column) -> Column:
-    """Report precision by magnitude: 6 places below 1e4, 3 below 1e8, else
-    whole units, so the printed digits stay well above floating-point noise
-    (a MAPE over near-zero actuals can reach 1e11)."""
-    a = F.abs(x)
-    return (F.when(a < 1e4, F.round(x, 6)).when(a < 1e8, F.round(x, 3)).otherwise(F.round(x, 0)))
+#: Places of each metric in a report. Operators return and compare full precision.
+REPORT_PLACES = {"wape": 6, "bias": 6, "mae": 3, "rmse": 3, "smape": 6, "r2": 6}
+
+
+def reported(df: DataFrame) -> DataFrame:
+    """A metric table rounded for a report; never read it to decide anything.
+
+    A MAPE has no scale (an actual near 0 makes it 1e12), so it is given in
+    single precision, about seven digits, instead of places."""
+    def one(c):
+        return F.col(c).cast("float").cast("double").alias(c) if c == "mape" else F.round(c, REPORT_PLACES[c]).alias(c) if c in REPORT_PLACES else F.col(c)
+    return df.select(*[one(c) for c in df.columns])
+
+
+def _guarded(y: str, p: str) -> tuple[Column, Column]:
+    """Actual and prediction; a row without either fails the job, in the same pass."""
+    yt, yp = F.col(y).cast("double"), F.col(p).cast("double")
+    bad = yt.isNull() | yp.isNull() | F.isnan(yt) | F.isnan(yp)
+    fail = F.raise_error(F.lit(f"a row has no {y} or no {p}")).cast("double")
+    return F.when(bad, fail).otherwise(yt), F.when(bad, fail).otherwise(yp)
 
 
 def metric_exprs(y: str = TARGET, p: str = PREDICTION) -> dict[str, Column]:
     """name -> aggregate Column for the seven metrics."""
-    yt, yp = F.col(y), F.col(p)
+    yt, yp = _guarded(y, p)
     err = yt - yp
     abs_err = F.abs(err)
     sum_abs_y = F.sum(F.abs(yt))
@@ -51,37 +66,36 @@ def metric_exprs(y: str = TARGET, p: str = PREDICTION) -> dict[str, Column]:
     }
 
 
-def _agg_list(y: str, p: str, rounded: bool) -> list[Column]:
-    """count + metrics; ``rounded`` applies the report precision."""
-    out = [F.count(F.lit(1)).alias("n")]
-    for name, expr in metric_exprs(y, p).items():
-        out.append((report_round(expr) if rounded else expr).alias(name))
-    return out
+def _agg_list(y: str, p: str, whole: bool = False) -> list[Column]:
+    """count + metrics; ``whole`` also fails on an input without rows."""
+    n = F.count(F.lit(1))
+    if whole:
+        n = F.when(n == 0, F.raise_error(F.lit("no rows to evaluate")).cast("bigint")).otherwise(n)
+    return [n.alias("n")] + [expr.alias(name) for name, expr in metric_exprs(y, p).items()]
 
 
-def metrics_overall(df: DataFrame, y: str = TARGET, p: str = PREDICTION, rounded: bool = False) -> DataFrame:
-    """M8: one row: n + seven metrics."""
-    return df.agg(*_agg_list(y, p, rounded))
+def metrics_overall(df: DataFrame, y: str = TARGET, p: str = PREDICTION) -> DataFrame:
+    """M8: one row: n + seven metrics, full precision. Missing values or no rows fail the job."""
+    return df.agg(*_agg_list(y, p, whole=True))
 
 
-def metrics_by(df: DataFrame, group_col: str, y: str = TARGET, p: str = PREDICTION,
-               rounded: bool = False) -> DataFrame:
+def metrics_by(df: DataFrame, group_col: str, y: str = TARGET, p: str = PREDICTION) -> DataFrame:
     """One row per group with ``n`` and the seven metrics, fixed order."""
-    return df.groupBy(group_col).agg(*_agg_list(y, p, rounded)).select(group_col, "n", *METRIC_NAMES)
+    return df.groupBy(group_col).agg(*_agg_list(y, p)).select(group_col, "n", *METRIC_NAMES)
 
 
-def metrics_by_facility(df: DataFrame, y: str = TARGET, p: str = PREDICTION, rounded: bool = False) -> DataFrame:
-    return metrics_by(df, FACILITY, y, p, rounded)
+def metrics_by_facility(df: DataFrame, y: str = TARGET, p: str = PREDICTION) -> DataFrame:
+    return metrics_by(df, FACILITY, y, p)
 
 
-def metrics_by_day(df: DataFrame, y: str = TARGET, p: str = PREDICTION, rounded: bool = False) -> DataFrame:
-    return metrics_by(df, SNAPSHOT_DAY, y, p, rounded)
+def metrics_by_day(df: DataFrame, y: str = TARGET, p: str = PREDICTION) -> DataFrame:
+    return metrics_by(df, SNAPSHOT_DAY, y, p)
 
 
-def metrics_cube(df: DataFrame, y: str = TARGET, p: str = PREDICTION, rounded: bool = False) -> DataFrame:
+def metrics_cube(df: DataFrame, y: str = TARGET, p: str = PREDICTION) -> DataFrame:
     """Overall + by facility + by day in ONE aggregation (grouping sets)."""
     g = df.groupingSets([[], [F.col(FACILITY)], [F.col(SNAPSHOT_DAY)]], FACILITY, SNAPSHOT_DAY)
-    out = g.agg(F.grouping_id().alias("_gid"), *_agg_list(y, p, rounded))
+    out = g.agg(F.grouping_id().alias("_gid"), *_agg_list(y, p))
     level = (F.when(F.col("_gid") == 3, F.lit("overall"))
              .when(F.col("_gid") == 1, F.lit("facility"))
              .otherwise(F.lit("snapshot_day")))

@@ -159,8 +159,8 @@ def train_medians(train: DataFrame) -> DataFrame:
 def baseline_comparison(scored: DataFrame, block: str = "test") -> DataFrame:
     """L11 input: one metric row per baseline on the chosen block."""
     rows = scored.where(F.col("split") == block)
-    a = metrics_overall(rows, TARGET, PREDICTION, rounded=True).select(F.lit("naive_prior").alias("model"), *METRIC_NAMES)
-    b = metrics_overall(rows, TARGET, "pred_seasonal", rounded=True).select(
+    a = metrics_overall(rows, TARGET, PREDICTION).select(F.lit("naive_prior").alias("model"), *METRIC_NAMES)
+    b = metrics_overall(rows, TARGET, "pred_seasonal").select(
         F.lit("seasonal_naive").alias("model"), *METRIC_NAMES)
     return a.unionByName(b)
 

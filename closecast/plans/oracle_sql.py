@@ -189,20 +189,19 @@ scored AS (
 def metric_sql(y: str = "actual_month_end_net_revenue", p: str = "predicted_month_end_net_revenue",
                rounded: bool = True) -> str:
     """SELECT-list of n + the seven metrics (report precision when rounded)."""
-    def r(expr, _places):
+    def r(expr, places):
         if not rounded:
             return expr
-        return (f"(CASE WHEN abs({expr}) < 1e4 THEN round({expr}, 6) WHEN abs({expr}) < 1e8 "
-                f"THEN round({expr}, 3) ELSE round({expr}, 0) END)")
+        return f"CAST(CAST({expr} AS REAL) AS DOUBLE)" if places is None else f"round({expr}, {places})"
 
     e = f"({y} - {p})"
     return ",\n".join([
         "COUNT(*) AS n",
         r(f"CASE WHEN SUM(abs({y})) < 1e-9 THEN NULL ELSE SUM(abs({e})) / SUM(abs({y})) END", 6) + " AS wape",
         r(f"CASE WHEN abs(SUM({y})) < 1e-9 THEN NULL ELSE SUM({p} - {y}) / SUM({y}) END", 6) + " AS bias",
-        r(f"AVG(abs({e}))", 4) + " AS mae",
-        r(f"sqrt(AVG({e} * {e}))", 4) + " AS rmse",
-        r(f"AVG(abs({e}) / CASE WHEN abs({y}) < 1e-9 THEN 1e-9 ELSE abs({y}) END)", 6) + " AS mape",
+        r(f"AVG(abs({e}))", 3) + " AS mae",
+        r(f"sqrt(AVG({e} * {e}))", 3) + " AS rmse",
+        r(f"AVG(abs({e}) / CASE WHEN abs({y}) < 1e-9 THEN 1e-9 ELSE abs({y}) END)", None) + " AS mape",
         r(f"AVG(2.0 * abs({p} - {y}) / CASE WHEN abs({y}) + abs({p}) = 0 THEN 1.0 ELSE abs({y}) + abs({p}) END)", 6)
         + " AS smape",
         r(f"CASE WHEN COUNT(*) <= 1 THEN NULL WHEN MIN({y}) = MAX({y}) THEN "

@@ -393,17 +393,17 @@ def q_latest_snapshot(spark, sf_dir):
 @register("metrics_overall", W(f"SELECT {O.metric_sql()} FROM scored", SPLIT))
 def q_metrics_overall(spark, sf_dir):
     """M1-M8 on every scored row."""
-    return M.metrics_overall(baseline_scored(spark, sf_dir), rounded=True)
+    return M.reported(M.metrics_overall(baseline_scored(spark, sf_dir)))
 
 
 @register("metrics_by_facility", W(f"SELECT facility_id, {O.metric_sql()} FROM scored GROUP BY facility_id", SPLIT))
 def q_metrics_by_facility(spark, sf_dir):
-    return M.metrics_by_facility(baseline_scored(spark, sf_dir), rounded=True)
+    return M.reported(M.metrics_by_facility(baseline_scored(spark, sf_dir)))
 
 
 @register("metrics_by_day", W(f"SELECT snapshot_day, {O.metric_sql()} FROM scored GROUP BY snapshot_day", SPLIT))
 def q_metrics_by_day(spark, sf_dir):
-    return M.metrics_by_day(baseline_scored(spark, sf_dir), rounded=True)
+    return M.reported(M.metrics_by_day(baseline_scored(spark, sf_dir)))
 
 
 _CUBE_SQL = f"""
@@ -415,7 +415,7 @@ FROM scored GROUP BY GROUPING SETS ((), (facility_id), (snapshot_day))"""
 @register("metrics_cube", W(_CUBE_SQL, SPLIT))
 def q_metrics_cube(spark, sf_dir):
     """The three metric tables in one grouping-sets aggregate."""
-    return M.metrics_cube(baseline_scored(spark, sf_dir), rounded=True)
+    return M.reported(M.metrics_cube(baseline_scored(spark, sf_dir)))
 
 
 @register("continuous_evaluation", W(_CUBE_SQL, SPLIT))
@@ -425,7 +425,7 @@ def q_continuous_evaluation(spark, sf_dir):
 
     snaps = snapshots(spark, sf_dir)
     preds = B.batch_score(naive_bundle(spark, sf_dir), snaps.drop(TARGET), scored_at="2001-11-01 00:00:00")
-    return continuous_evaluation(preds, snaps).cube
+    return M.reported(continuous_evaluation(preds, snaps).cube)
 
 
 # ---------------------------------------------------------------- profiling
@@ -634,18 +634,19 @@ SELECT *, row_number() OVER (ORDER BY wape ASC NULLS LAST, model) AS rank,
 FROM ({_SEL_TABLE})""", SPLIT))
 def q_comparison_table(spark, sf_dir):
     """Baseline candidates on the test block, ranked by WAPE."""
-    return S.ranked(PR.baseline_comparison(baseline_scored(spark, sf_dir)))
+    return M.reported(S.ranked(PR.baseline_comparison(baseline_scored(spark, sf_dir))))
 
 
 @register("select_champion", W(f"""
 SELECT MAX(CASE WHEN rank = 1 THEN model END) AS champion, MAX(CASE WHEN rank = 2 THEN model END) AS challenger,
-       MAX(CASE WHEN rank = 1 THEN wape END) AS champion_score, MAX(CASE WHEN rank = 2 THEN wape END) AS challenger_score,
+       round(MAX(CASE WHEN rank = 1 THEN wape END), 6) AS champion_score, round(MAX(CASE WHEN rank = 2 THEN wape END), 6) AS challenger_score,
        COALESCE((MAX(CASE WHEN rank = 1 THEN wape END) - MAX(CASE WHEN rank = 2 THEN wape END))
          / GREATEST(abs(MAX(CASE WHEN rank = 1 THEN wape END)), 1e-9) > 0.02, false) AS challenger_promotable
 FROM (SELECT *, row_number() OVER (ORDER BY wape ASC NULLS LAST, model) AS rank FROM ({_SEL_TABLE}))""", SPLIT))
 def q_select_champion(spark, sf_dir):
     """L12."""
-    return S.selection_frame(PR.baseline_comparison(baseline_scored(spark, sf_dir)))
+    s = S.selection_frame(PR.baseline_comparison(baseline_scored(spark, sf_dir)))
+    return s.withColumns({c: F.round(c, 6) for c in ("champion_score", "challenger_score")})
 
 
 @register("promotion_gate", W(f"""
@@ -994,21 +995,39 @@ def q_predictions_sink(spark, sf_dir):
     return back.select(*[F.col(c).cast(t) for c, t in preds.dtypes])
 
 
-@register("evaluation_reports", W(f"""
-SELECT facility_id, {O.metric_sql()} FROM scored GROUP BY facility_id""", SPLIT))
-def q_evaluation_reports(spark, sf_dir):
-    """K4 + A7: the continuous-evaluation job writes its four reports; the
-    by-facility CSV is read back with its declared schema."""
-    import os
-
+def _evaluation_job(spark, sf_dir) -> str:
+    """K4 + A7 as a job over every snapshot; the folder of its four reports."""
     from closecast.plans.evaluation import run_continuous_evaluation
 
     snaps = snapshots(spark, sf_dir)
     preds = B.batch_score(naive_bundle(spark, sf_dir), snaps.drop(TARGET), scored_at="2001-11-01 00:00:00")
     out = IO.scratch_path(spark, "evaluation").replace(".parquet", "")
-    run_continuous_evaluation(preds, snaps, out)
-    schema = "facility_id string, n bigint, " + ", ".join(f"{m} double" for m in M.METRIC_NAMES)
-    return spark.read.schema(schema).option("header", True).csv(os.path.join(out, "evaluation_by_facility.csv"))
+    base = baseline_scored(spark, sf_dir).agg(M.metric_exprs(Y, SEASONAL)["wape"]).first()[0]
+    run_continuous_evaluation(preds, snaps, out, baseline_wape=base)
+    return out
+
+
+@register("evaluation_reports", W(_CUBE_SQL, SPLIT))
+def q_evaluation_reports(spark, sf_dir):
+    """The overall, by-facility and by-day reports read back with their declared schemas."""
+    out = _evaluation_job(spark, sf_dir)
+    cols = "n bigint, " + ", ".join(f"{m} double" for m in M.METRIC_NAMES)
+    read = lambda name, keys: spark.read.schema(keys + cols).option("header", True).csv(f"{out}/{name}.csv")
+    total = spark.read.schema(cols).json(f"{out}/evaluation_overall.json").withColumn("level", F.lit("overall"))
+    fac = read("evaluation_by_facility", "facility_id string, ").withColumn("level", F.lit("facility"))
+    day = read("evaluation_by_snapshot_day", "snapshot_day int, ").withColumn("level", F.lit("snapshot_day"))
+    return M.reported(total.unionByName(fac, True).unionByName(day, True)).select("level", "facility_id", "snapshot_day", "n", *M.METRIC_NAMES)
+
+
+@register("evaluation_scorecard", W(_K1 + f"""
+UNION ALL
+SELECT 'Beat manual analyst baseline', CAST(NULL AS BIGINT), 'wape', round(cw, 4), round(bw, 4),
+       COALESCE(cw < bw, false), round(bw - cw, 4)
+FROM (SELECT {O.wape_sql()} AS cw, {O.wape_sql(p='pred_seasonal')} AS bw FROM scored)""", _KPI_CTE.replace("WHERE split = 'test'", "")))
+def q_evaluation_scorecard(spark, sf_dir):
+    """K4 + A7: the scorecard report read back; verdicts come from unrounded metrics."""
+    schema = "checkpoint string, snapshot_day bigint, metric string, value double, target double, met boolean, margin double"
+    return spark.read.schema(schema).option("header", True).csv(f"{_evaluation_job(spark, sf_dir)}/kpi_scorecard.csv")
 
 
 @register("lake_roundtrip", W(O.SNAPSHOT_SELECT))

@@ -46,7 +46,7 @@ def _fit_one(name: str, split: TemporalSplit, cache: FeatureCache | None, config
         fitted = PipelineModel(stages=[cache.model, reg])
         scored = reg.transform(cache.test)
     scored = scored.persist()
-    return TrainingResult(name, fitted, scored, metrics_overall(scored, rounded=True),
+    return TrainingResult(name, fitted, scored, metrics_overall(scored),
                           metrics_by_facility(scored), metrics_by_day(scored))
 
 

@@ -11,8 +11,8 @@ from closecast.schema import PREDICTION, TARGET
 
 def test_bounded_broadcast_only_below_bound(spark):
     small = spark.range(10)
-    assert bounded_broadcast(small, max_rows=5) is small          # above the bound: no hint
-    hinted = bounded_broadcast(small, max_rows=100)
+    assert bounded_broadcast(small, max_bytes=5) is small          # above the bound: no hint
+    hinted = bounded_broadcast(small, max_bytes=1000)
     assert hinted is not small and "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
 
 
