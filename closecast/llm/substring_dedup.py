@@ -10,7 +10,7 @@ suffixes are taken in stages, as difference-cover construction does:
 1. Cover sample. D is a difference cover modulo v: for any two places i and j
    some shift s < v puts both i + s and j + s into the sample (places whose
    offset in their document is in D modulo v). With v = q^2 + q + 1 the cover has
-   q + 1 members, so for 200 bytes (v = 133) 9 % of the places are sampled. Each
+   q + 1 members, so for 200 bytes (v = 57) 14 % of the places are sampled. Each
    sampled suffix is ranked by its first w = length - v + 1 bytes: a bucket (a
    range of a 64-bit key of those bytes) is sorted at a time, and a suffix
    whose rank it shares with no other is unique.
@@ -55,7 +55,7 @@ from closecast.session import ensure_checkpoint_dir
 
 LENGTH = 200
 PACK_BYTES = 4 << 20
-BLOCK_BYTES = 1 << 18
+BLOCK_BYTES = 1 << 15
 SAMPLE_KEY, WHOLE_KEY = 5, 8  # bytes of a key beyond its bucket
 BUCKET_BYTES = 16 << 20  # corpus bytes for each bucket of keys
 _M1, _M2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
@@ -66,12 +66,12 @@ _BITS = "bucket int, chunk long, bits binary"
 
 @lru_cache(maxsize=8)
 def difference_cover(length: int) -> tuple[int, tuple[int, ...]]:
-    """(v, D): the largest plane difference cover modulo v = q^2 + q + 1 with v <= 2/3 ``length``; (1, (0,)) if none.
+    """(v, D): the largest plane difference cover modulo v = q^2 + q + 1 with v <= 1/3 ``length``; (1, (0,)) if none.
 
     Members are the powers of a generator of the cubic extension of the field
     of q elements that have no square term (Singer's construction).
     """
-    fits = [q for q in range(2, length) if all(q % d for d in range(2, q)) and 3 * (q * q + q + 1) <= 2 * length]
+    fits = [q for q in range(2, length) if all(q % d for d in range(2, q)) and 3 * (q * q + q + 1) <= length]
     if not fits:
         return 1, (0,)
     q = fits[-1]
@@ -139,18 +139,17 @@ class _Chunk:
         self.buf = np.frombuffer(self.data, dtype=np.uint8)
         self.offsets = np.concatenate([[0], np.cumsum(row["sizes"], dtype=np.int64)])
 
-    def _blocks(self, wanted: np.ndarray | None = None) -> Iterator[tuple[int, int, int, int]]:
-        """Runs of whole texts of bounded bytes: text lo:hi, byte a:b; texts that are not ``wanted`` may be skipped."""
+    def _blocks(self) -> Iterator[tuple[int, int]]:
+        """Byte borders of runs of whole texts of bounded size."""
         lo, n = 0, len(self.offsets) - 1
         while lo < n:
             hi = min(max(int(np.searchsorted(self.offsets, self.offsets[lo] + BLOCK_BYTES, side="right")) - 1, lo + 1), n)
-            if wanted is None or wanted[lo:hi].any():
-                yield lo, hi, int(self.offsets[lo]), int(self.offsets[hi])
+            yield int(self.offsets[lo]), int(self.offsets[hi])
             lo = hi
 
     def keys_at(self, places: np.ndarray, width: int) -> np.ndarray:
         out = np.empty(len(places), dtype=np.uint64)
-        for _, _, a, b in self._blocks():
+        for a, b in self._blocks():
             i, j = np.searchsorted(places, (a, b))
             if i < j:
                 out[i:j] = _window_keys(self.buf[a:b], places[i:j] - a, width)
@@ -169,18 +168,17 @@ class _Chunk:
         nth = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count, count)
         return np.repeat(self.offsets[:-1], count) + pattern[nth], width
 
+    def spread(self, places: np.ndarray, before: int, after: int) -> np.ndarray:
+        """True from ``before`` bytes ahead of each place to ``after`` bytes behind it."""
+        step = np.bincount(np.maximum(places - before, 0), minlength=len(self.buf) + 1)
+        step -= np.bincount(np.minimum(places + after + 1, len(self.buf)), minlength=len(self.buf) + 1)
+        return np.cumsum(step[:-1]) > 0
+
     def doubtful(self, tied: np.ndarray) -> np.ndarray:
         """Places whose next v places hold a tied sample and whose string fits their text."""
         v, _ = difference_cover(self.length)
-        step = np.zeros(len(self.buf) + 1, dtype=np.int32)
-        np.add.at(step, np.maximum(tied - v + 1, 0), 1)
-        np.add.at(step, tied + 1, -1)
-        near = np.cumsum(step[:-1]) > 0
-        fits = np.zeros(len(self.buf) + 1, dtype=np.int32)
-        long = np.diff(self.offsets) >= self.length
-        fits[self.offsets[:-1][long]] += 1
-        np.add.at(fits, self.offsets[1:][long] - self.length + 1, -1)
-        return np.flatnonzero(near & (np.cumsum(fits[:-1]) > 0))
+        places = np.flatnonzero(self.spread(tied, v - 1, 0))
+        return places[self.offsets[np.searchsorted(self.offsets, places, side="right")] - places >= self.length]
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -282,12 +280,8 @@ def _removed(length: int, lg: int):
                 c = _Chunk(row, length)
                 places, width = c.sample()
                 left = c.doubtful(places[_tied(c.keys_at(places, width), row["ranks"], lg)])
-                step = np.zeros(len(c.buf) + 1, dtype=np.int32)
-                if len(left):
-                    starts = left[_tied(c.keys_at(left, length), row["repeats"], lg)]
-                    step[starts] += 1
-                    step[starts + length] -= 1
-                gone = np.cumsum(step[:-1]) > 0
+                starts = left[_tied(c.keys_at(left, length), row["repeats"], lg)] if len(left) else left
+                gone = c.spread(starts, 0, length - 1)
                 out = [[], [], [], []]
                 for a, b in zip(c.offsets[:-1], c.offsets[1:], strict=True):
                     own = gone[a:b]

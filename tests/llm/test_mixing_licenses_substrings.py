@@ -44,7 +44,7 @@ def test_all_rows_stay_and_blocks_are_whole(spark):
 def test_difference_covers():
     for length in (1, 5, 11, 20, 50, 200, 1000):
         v, cover = difference_cover(length)
-        assert {(a - b) % v for a in cover for b in cover} == set(range(v)) and v <= max(1, 2 * length / 3)
+        assert {(a - b) % v for a in cover for b in cover} == set(range(v)) and v <= max(1, length / 3)
 
 
 def brute(rows, length):
