@@ -39,6 +39,12 @@ def _session(args) -> SparkSession:
     return spark
 
 
+def _refused(why: str) -> int:
+    """A job that would lose or invent rows stops with its reason."""
+    print(json.dumps({"error": why}))
+    return 1
+
+
 def cmd_generate(spark, args) -> int:
     from closecast.sources.generator import GeneratorConfig, generate_snapshots
     from closecast.sources.snapshot_io import write_snapshots
@@ -63,9 +69,13 @@ def cmd_validate(spark, args) -> int:
     from pyspark.sql import functions as F
 
     from closecast.operators import contracts as C
-    from closecast.sources.snapshot_io import read_snapshots, write_snapshots
+    from closecast.sources.snapshot_io import missing_source_columns, read_snapshots, write_snapshots
 
     need_target = not args.inference
+    absent = missing_source_columns(spark, args.input, need_target)
+    if absent:
+        print(json.dumps({"valid": False, "errors": [f"missing columns {absent}"]}))
+        return 1
     if args.input.rstrip("/").lower().endswith(".csv"):
         # text input: coerce to the contract types, report unparseable values too
         text = spark.read.option("header", True).csv(args.input)
@@ -94,15 +104,21 @@ def cmd_validate(spark, args) -> int:
 def cmd_train(spark, args) -> int:
     from closecast.operators.models import ModelConfig
     from closecast.operators.scoring import save_bundle
+    from closecast.operators.contracts import ContractViolation
     from closecast.plans.training import run_training_pipeline
-    from closecast.sources.snapshot_io import read_snapshots, write_csv
+    from closecast.sources.snapshot_io import missing_source_columns, read_snapshots, write_csv
 
     cfg = ModelConfig(candidates=args.candidates.split(",")) if args.candidates else ModelConfig()
-    out = run_training_pipeline(read_snapshots(spark, args.input), cfg)
+    if absent := missing_source_columns(spark, args.input):
+        return _refused(f"missing columns {absent}")
+    try:
+        out = run_training_pipeline(read_snapshots(spark, args.input), cfg, quarantine_path=args.quarantine)
+    except ContractViolation as exc:
+        return _refused(str(exc))
     save_bundle(out.champion_bundle, os.path.join(args.output, "champion"))
     write_csv(out.selection.ranking, os.path.join(args.output, "comparison.csv"))
     print(json.dumps({"champion": out.selection.champion, "challenger": out.selection.challenger,
-                      "promotable": out.selection.challenger_promotable}))
+                      "promotable": out.selection.challenger_promotable, "quarantined": out.quarantined}))
     return 0
 
 
@@ -110,17 +126,22 @@ def cmd_predict(spark, args) -> int:
     from closecast.operators import contracts as C
     from closecast.operators.scoring import batch_score, load_bundle
     from closecast.schema import TARGET
-    from closecast.sources.snapshot_io import read_snapshots, write_csv, write_predictions
+    from closecast.sources.snapshot_io import missing_source_columns, read_snapshots, write_csv, write_predictions
 
     bundle = load_bundle(args.bundle)
+    if absent := missing_source_columns(spark, args.input, with_target=False):
+        return _refused(f"missing columns {absent}")
     raw = read_snapshots(spark, args.input, with_target=False)
-    good, _bad = C.quarantine(raw.drop(TARGET) if TARGET in raw.columns else raw, require_target=False)
+    try:
+        good, n_bad = C.accepted_rows(raw.drop(TARGET) if TARGET in raw.columns else raw, args.quarantine, require_target=False)
+    except C.ContractViolation as exc:
+        return _refused(str(exc))
     scored = batch_score(bundle, good, cutoff_day=args.cutoff_day)
     if args.output.rstrip("/").lower().endswith(".csv"):
         path = write_csv(scored, args.output)  # A6: batch-score CSV sink
     else:
         path = write_predictions(scored, args.output)
-    print(json.dumps({"written": path}))
+    print(json.dumps({"written": path, "quarantined": n_bad}))
     return 0
 
 
@@ -171,11 +192,13 @@ def build_parser() -> argparse.ArgumentParser:
     t.add_argument("--input", required=True)
     t.add_argument("--output", required=True)
     t.add_argument("--candidates", default=None)
+    t.add_argument("--quarantine", default=None, help="continue without rows that break the contract; they are written here (Parquet)")
     pr = sub.add_parser("predict")
     pr.add_argument("--bundle", required=True)
     pr.add_argument("--input", required=True)
     pr.add_argument("--output", required=True)
     pr.add_argument("--cutoff-day", type=int, default=None)
+    pr.add_argument("--quarantine", default=None, help="continue without rows that break the contract; they are written here (Parquet)")
     e = sub.add_parser("evaluate")
     e.add_argument("--predictions", required=True)
     e.add_argument("--actuals", required=True)

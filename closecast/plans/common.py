@@ -13,7 +13,7 @@ from closecast.operators.baselines import (
     naive_prior,
 )
 from closecast.operators.splits import SplitConfig, blocked_months, ordered_months, with_split_column
-from closecast.plans.snapshots import snapshot_table
+from closecast.plans.snapshots import input_key, snapshot_table
 
 SEASONAL = "pred_seasonal"
 
@@ -28,7 +28,7 @@ def split_frame(spark: SparkSession, sf_dir: str, config: SplitConfig | None = N
 
 def months(spark: SparkSession, sf_dir: str) -> list[str]:
     """The sorted month list of the (immutable) snapshot table, collected once."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = input_key(spark, sf_dir)
     if key not in _MONTHS:
         _MONTHS[key] = ordered_months(snapshots(spark, sf_dir))
     return _MONTHS[key]

@@ -223,26 +223,26 @@ def _leak_sql(table: str) -> str:
     return f"""
 SELECT 'unparseable_date' AS rule, COUNT(*) FILTER (WHERE try_strptime(snapshot_date, '%Y-%m-%d') IS NULL) AS violations,
        CASE WHEN COUNT(*) FILTER (WHERE try_strptime(snapshot_date, '%Y-%m-%d') IS NULL) > 0
-            THEN '{C.LEAK_MESSAGES["unparseable_date"]}' END AS message FROM {table}
+            THEN 'some values of snapshot_date are not dates' END AS message FROM {table}
 UNION ALL
 SELECT 'day_matches_date', CASE WHEN u > 0 THEN NULL ELSE v END,
-       CASE WHEN u = 0 AND v > 0 THEN '{C.LEAK_MESSAGES["day_matches_date"]}' END FROM (
+       CASE WHEN u = 0 AND v > 0 THEN 'snapshot_day is not the day of the month in snapshot_date' END FROM (
   SELECT COUNT(*) FILTER (WHERE try_strptime(snapshot_date, '%Y-%m-%d') IS NULL) AS u,
          COUNT(*) FILTER (WHERE NOT COALESCE(day(try_strptime(snapshot_date, '%Y-%m-%d')) = snapshot_day, false)) AS v
   FROM {table})
 UNION ALL
 SELECT 'date_in_month', CASE WHEN u > 0 THEN NULL ELSE v END,
-       CASE WHEN u = 0 AND v > 0 THEN '{C.LEAK_MESSAGES["date_in_month"]}' END FROM (
+       CASE WHEN u = 0 AND v > 0 THEN 'snapshot_date lies in another month than accounting_month' END FROM (
   SELECT COUNT(*) FILTER (WHERE try_strptime(snapshot_date, '%Y-%m-%d') IS NULL) AS u,
          COUNT(*) FILTER (WHERE NOT COALESCE(strftime(try_strptime(snapshot_date, '%Y-%m-%d'), '%Y-%m') = accounting_month, false)) AS v
   FROM {table})
 UNION ALL
 SELECT 'days_elapsed', COUNT(*) FILTER (WHERE NOT COALESCE(CAST(days_elapsed AS DOUBLE) = CAST(snapshot_day AS DOUBLE), false)),
        CASE WHEN COUNT(*) FILTER (WHERE NOT COALESCE(CAST(days_elapsed AS DOUBLE) = CAST(snapshot_day AS DOUBLE), false)) > 0
-            THEN '{C.LEAK_MESSAGES["days_elapsed"]}' END FROM {table}
+            THEN 'days_elapsed is not snapshot_day: the row may know later days' END FROM {table}
 UNION ALL
 SELECT 'target_constant', COUNT(*),
-       CASE WHEN COUNT(*) > 0 THEN 'target varies within facility-month(s) [' ||
+       CASE WHEN COUNT(*) > 0 THEN 'target varies inside facility-month [' ||
          (SELECT string_agg(o, ', ' ORDER BY o) FROM (
             SELECT '(''' || facility_id || ''', ''' || accounting_month || ''')' AS o
             FROM (SELECT facility_id, accounting_month FROM {table}
@@ -251,7 +251,7 @@ SELECT 'target_constant', COUNT(*),
                   HAVING MIN(CASE WHEN isnan({TARGET}) THEN NULL ELSE {TARGET} END)
                       <> MAX(CASE WHEN isnan({TARGET}) THEN NULL ELSE {TARGET} END)
                   ORDER BY facility_id, accounting_month LIMIT 3)))
-         || '] (leakage / inconsistency)' END
+         || ']' END
 FROM (SELECT facility_id, accounting_month FROM {table}
       WHERE facility_id IS NOT NULL AND accounting_month IS NOT NULL
       GROUP BY facility_id, accounting_month

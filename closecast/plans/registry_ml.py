@@ -14,6 +14,7 @@ from closecast.operators import metrics as M
 from closecast.operators import scoring as B
 from closecast.operators.models import ModelConfig, build_estimator, interval_columns, tune_learning_rate
 from closecast.plans.common import naive_bundle, snapshots
+from closecast.plans.snapshots import input_key
 from closecast.plans.registry import ORACLE_SQL, register
 from closecast.plans.training import TEST_PROFILE_CANDIDATES, memo_training
 from closecast.schema import KEYS, TARGET
@@ -99,7 +100,7 @@ _FOREST_LOCK = threading.Lock()
 
 
 def _forest(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = input_key(spark, sf_dir)
     with _FOREST_LOCK:
         return _forest_locked(spark, sf_dir, key)
 

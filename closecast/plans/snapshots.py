@@ -260,6 +260,17 @@ _LOCK = threading.Lock()
 _MEMO: dict[tuple, DataFrame] = {}
 
 
+def input_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """What the fact tables are just now: session, and each file's name, size and time. Rewritten input gets a new key."""
+    files = []
+    for name in ("lineitem", "supplier", "nation", "region"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for st in fs.listStatus(path):
+            files.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return (spark.sparkContext.applicationId, tuple(sorted(files)))
+
+
 def snapshot_table(spark: SparkSession, sf_dir: str, days: list[int] | None = None) -> DataFrame:
     """The snapshot table written once per session to the checkpoint dir.
 
@@ -267,7 +278,7 @@ def snapshot_table(spark: SparkSession, sf_dir: str, days: list[int] | None = No
     Parquet table, partitioned by ``accounting_month`` so month filters prune
     files, instead of re-running the fact aggregation.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(sorted(set(days or SNAPSHOT_DAYS))))
+    key = (*input_key(spark, sf_dir), tuple(sorted(set(days or SNAPSHOT_DAYS))))
     with _LOCK:
         cached = _MEMO.get(key)
         if cached is not None:
@@ -275,7 +286,7 @@ def snapshot_table(spark: SparkSession, sf_dir: str, days: list[int] | None = No
         from closecast.sources.snapshot_io import read_snapshots, scratch_path, write_snapshots
 
         path = scratch_path(spark, "snapshots")
-        write_snapshots(build_snapshots(spark, sf_dir, list(key[2])), path)
+        write_snapshots(build_snapshots(spark, sf_dir, list(key[-1])), path)
         df = read_snapshots(spark, path)
         _MEMO[key] = df
         return df

@@ -21,6 +21,7 @@ from closecast.operators.models import FeatureCache, ModelConfig, TrainingResult
 from closecast.operators.metrics import metrics_by_day, metrics_by_facility, metrics_overall
 from closecast.operators.scoring import ModelBundle
 from closecast.operators.splits import SplitConfig, TemporalSplit, blocked_temporal_split
+from closecast.plans.snapshots import input_key
 
 # The reference's small ("test") profile candidate list.
 TEST_PROFILE_CANDIDATES = ["naive_prior", "seasonal_naive", "elastic_net", "hist_gradient_boosting"]
@@ -34,6 +35,7 @@ class PipelineOutput:
     comparison: DataFrame
     selection: S.Selection
     champion_bundle: ModelBundle
+    quarantined: int = 0
 
 
 def _fit_one(name: str, split: TemporalSplit, cache: FeatureCache | None, config: ModelConfig) -> TrainingResult:
@@ -60,11 +62,14 @@ def train_all_concurrent(split: TemporalSplit, config: ModelConfig, max_workers:
 
 
 def run_training_pipeline(snapshots: DataFrame, config: ModelConfig | None = None,
-                          split_config: SplitConfig | None = None, validate: bool = True) -> PipelineOutput:
+                          split_config: SplitConfig | None = None, validate: bool = True,
+                          quarantine_path: str | None = None) -> PipelineOutput:
+    """R1. Rows that break the contract stop the run; with ``quarantine_path``
+    they are written there, counted in the output, and the rest is used."""
     config = config or ModelConfig()
+    n_bad = 0
     if validate:
-        good, _bad = C.quarantine(snapshots)
-        snapshots = good
+        snapshots, n_bad = C.accepted_rows(snapshots, quarantine_path)
         C.validate_leakage_rules(snapshots)
     split = blocked_temporal_split(snapshots, split_config)
     cache, results = train_all_concurrent(split, config)
@@ -74,7 +79,7 @@ def run_training_pipeline(snapshots: DataFrame, config: ModelConfig | None = Non
     bundle = ModelBundle(selection.champion, champ.model)
     if selection.champion == "random_forest":
         bundle.interval = champ.model.stages[-1]
-    return PipelineOutput(split, cache, results, table, selection, bundle)
+    return PipelineOutput(split, cache, results, table, selection, bundle, n_bad)
 
 
 _LOCK = threading.Lock()
@@ -84,7 +89,7 @@ _MEMO: dict[tuple, PipelineOutput] = {}
 def memo_training(spark, sf_dir: str, snapshots: DataFrame, candidates: list[str]) -> PipelineOutput:
     """One training run per (session, data, candidate list), shared by the
     explanation / scoring queries that need fitted models."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(candidates))
+    key = (*input_key(spark, sf_dir), tuple(candidates))
     with _LOCK:
         if key not in _MEMO:
             _MEMO[key] = run_training_pipeline(snapshots, ModelConfig(candidates=list(candidates)))

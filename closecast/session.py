@@ -37,16 +37,19 @@ def get_session(cpus: int | str = "*", app: str = "closecast", shuffle_partition
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint dir; create a scratch one only if unset.
+    """Return the cluster's shared checkpoint dir; create a scratch one only if unset in local mode.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is respected
-    as-is. Only an unconfigured (test / local) session gets a fresh scratch dir.
+    as-is; without it this raises, because a folder on the driver's disk is not
+    seen by the executors. Only a local session gets a fresh scratch dir.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that every executor of {sc.master} can reach")
     target = configured or tempfile.mkdtemp(prefix="closecast-ckpt-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target

@@ -2,8 +2,8 @@
 
 Readers always apply the declared schema (never infer: ``YYYY-MM`` strings
 must stay strings). Writers produce directories, partitioned where the data
-has a natural month key, with dynamic partition overwrite so a re-run of one
-month replaces only that month.
+has a natural month key; a write replaces the whole set or, on request, only
+the months it holds.
 """
 
 from __future__ import annotations
@@ -45,10 +45,23 @@ def read_snapshots(spark: SparkSession, path: str, with_target: bool = True) ->
     return df.select(*[c for c in ALL_COLUMNS if c in df.columns])
 
 
-def write_snapshots(df: DataFrame, path: str, partition_by: str | None = MONTH) -> str:
-    """A2: write by suffix; Parquet partitioned by month, dynamic overwrite."""
+def missing_source_columns(spark: SparkSession, path: str, with_target: bool = True) -> list[str]:
+    """C1d: declared columns that the files at ``path`` do not have (a declared read schema would fill them with NULL)."""
+    reader = spark.read.option("header", True)
+    present = set((reader.parquet(path) if _format_of(path) == "parquet" else reader.csv(path)).columns)
+    return [f.name for f in snapshot_schema(with_target).fields if f.name not in present]
+
+
+def write_snapshots(df: DataFrame, path: str, partition_by: str | None = MONTH, mode: str = "replace") -> str:
+    """A2: write by suffix, Parquet partitioned by month.
+
+    ``mode="replace"`` leaves exactly the rows of ``df``; ``mode="replace_months"``
+    replaces the months that ``df`` holds and keeps the others.
+    """
     fmt = _format_of(path)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if mode not in ("replace", "replace_months"):
+        raise ValueError(f"mode {mode!r}: replace or replace_months")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static" if mode == "replace" else "dynamic")
     if partition_by and partition_by in df.columns:
         writer = writer.partitionBy(partition_by)
     if fmt == "parquet":

@@ -44,8 +44,10 @@ def test_cli_build_validate_predict_evaluate(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "bad.parquet")).count() == 8
     assert jobs.main(["validate-data", "--input", snaps, "--inference"]) == 0
     out = str(tmp_path / "train")
-    assert jobs.main(["train-local", "--input", snaps, "--output", out,
-                      "--candidates", "naive_prior,seasonal_naive"]) == 0
+    train = ["train-local", "--input", snaps, "--output", out, "--candidates", "naive_prior,seasonal_naive"]
+    assert jobs.main(train) == 1  # bad rows stop the run ...
+    assert jobs.main([*train, "--quarantine", str(tmp_path / "bad_train")]) == 0  # ... unless they are kept somewhere
+    assert spark.read.parquet(str(tmp_path / "bad_train")).count() == 8
     preds = str(tmp_path / "preds")
     assert jobs.main(["predict", "--bundle", os.path.join(out, "champion"), "--input", snaps,
                       "--output", preds, "--cutoff-day", "15"]) == 0
@@ -64,6 +66,40 @@ def test_cli_build_validate_predict_evaluate(spark, tmp_path):
     assert jobs.main(["drift", "--reference", snaps, "--current", snaps, "--output", str(tmp_path / "drift")]) == 0
 
 
+def test_jobs_refuse_missing_columns_and_bad_rows(spark, tmp_path, snaps):
+    part = str(tmp_path / "part.parquet")
+    snaps.drop("quarter", "month_to_date_encounters").limit(20).write.parquet(part)
+    assert jobs.main(["validate-data", "--input", part]) == 1
+    assert jobs.main(["train-local", "--input", part, "--output", str(tmp_path / "o")]) == 1
+    bundle = str(tmp_path / "bundle")
+    from closecast.operators.baselines import naive_prior
+    from closecast.operators.scoring import ModelBundle, save_bundle
+    from pyspark.ml import PipelineModel
+
+    save_bundle(ModelBundle("naive_prior", PipelineModel(stages=[naive_prior().fit(snaps)])), bundle)
+    assert jobs.main(["predict", "--bundle", bundle, "--input", part, "--output", str(tmp_path / "p")]) == 1
+    bad = str(tmp_path / "rows.parquet")
+    one = snaps.agg(F.min("facility_id")).first()[0]
+    snaps.withColumn("month_to_date_payments", F.when(F.col("facility_id") == one, F.lit(-5.0)).otherwise(F.col("month_to_date_payments"))).write.parquet(bad)
+    want = snaps.where(F.col("facility_id") == one).count()
+    assert want > 0 and jobs.main(["predict", "--bundle", bundle, "--input", bad, "--output", str(tmp_path / "p")]) == 1
+    assert jobs.main(["predict", "--bundle", bundle, "--input", bad, "--output", str(tmp_path / "p"), "--quarantine", str(tmp_path / "q")]) == 0
+    assert spark.read.parquet(str(tmp_path / "q")).count() == want
+    assert spark.read.parquet(str(tmp_path / "p" / "predictions.parquet")).count() == snaps.count() - want
+
+
+def test_write_modes_and_rewritten_input(spark, tmp_path, snaps):
+    from closecast.sources.snapshot_io import read_snapshots, write_snapshots
+
+    path = str(tmp_path / "s.parquet")
+    months = [r[0] for r in snaps.select("accounting_month").distinct().orderBy("accounting_month").limit(3).collect()]
+    write_snapshots(snaps.where(F.col("accounting_month").isin(months)), path)
+    write_snapshots(snaps.where(F.col("accounting_month") == months[0]), path, mode="replace_months")
+    assert read_snapshots(spark, path).select("accounting_month").distinct().count() == 3
+    write_snapshots(snaps.where(F.col("accounting_month").isin(months[:2])), path)
+    assert read_snapshots(spark, path).select("accounting_month").distinct().count() == 2
+
+
 def test_cli_validates_text_input_with_coercion(spark, tmp_path, snaps):
     csv = str(tmp_path / "bad.csv")
     broken = snaps.where(F.col("actual_month_end_net_revenue") > 0).limit(10).withColumn(
