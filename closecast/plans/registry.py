@@ -860,20 +860,31 @@ def q_retrain_trigger(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- text scan
+# fixed values, written out here on their own so that a wrong engine pattern shows
+_SQL_PATTERNS = [
+    ("azure_subscription_guid", r"\b[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\b"),
+    ("connection_string", r"(?i)(AccountKey|SharedAccessKey|Password)=[^;\s]+"),
+    ("bearer_token", r"Bearer\s+[A-Za-z0-9\-\._~\+\/]+=*"),
+    ("sas_token", r"(?i)[?&]sig=[^&\s]+"),
+    ("email", r"\b[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}\b"),
+    ("us_phone", r"\b\(?\d{3}\)?[\s.\-]\d{3}[\s.\-]\d{4}\b"),
+]
+
+
 def _find_sql(col: str) -> str:
     return "concat_ws(',', " + ", ".join(
-        f"CASE WHEN regexp_matches({col}, '{pat}') THEN '{name}' END" for name, pat in ts.SENSITIVE_PATTERNS) + ")"
+        f"CASE WHEN regexp_matches({col}, '{pat}') THEN '{name}' END" for name, pat in _SQL_PATTERNS) + ")"
 
 
 def _redact_sql(col: str) -> str:
     out = col
-    for _, pat in ts.SENSITIVE_PATTERNS:
-        out = f"regexp_replace({out}, '{pat}', '{ts.REDACTED}', 'g')"
+    for _, pat in _SQL_PATTERNS:
+        out = f"regexp_replace({out}, '{pat}', '[REDACTED]', 'g')"
     return out
 
 
 @register("contains_secret", "SELECT doc_id, (" + " OR ".join(
-    f"COALESCE(regexp_matches(text, '{p}'), false)" for _, p in ts.SENSITIVE_PATTERNS) + ") AS has_secret FROM documents")
+    f"COALESCE(regexp_matches(text, '{p}'), false)" for _, p in _SQL_PATTERNS) + ") AS has_secret FROM documents")
 def q_contains_secret(spark, sf_dir):
     """Y1 over every document (whole texts)."""
     docs = ensure_parallelism(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
@@ -891,29 +902,40 @@ def q_redact_documents(spark, sf_dir):
                            "WHERE findings <> ''")
 def q_scan_findings(spark, sf_dir):
     """Pattern names found per document (documents with findings)."""
-    # no parallelism guard: the findings filter is pushed to the scan anyway
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    f = docs.select("doc_id", ts.findings(F.col("text")).alias("f"))
-    return f.where(F.size("f") > 0).select("doc_id", F.array_join("f", ",").alias("findings"))
+    docs = ensure_parallelism(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return ts.with_findings(docs, "text")
 
 
-@register("scan_corpus", f"""
+_CORPUS_SQL = f"""
 SELECT source, item_id, findings FROM (
   SELECT 'documents' AS source, CAST(doc_id AS VARCHAR) AS item_id, {_find_sql('text')} AS findings FROM documents
   UNION ALL SELECT 'pages', CAST(page_id AS VARCHAR), {_find_sql('html')} FROM pages
   UNION ALL SELECT 'conversations', CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR), {_find_sql('text')} FROM conversations
-) WHERE findings <> ''""")
+) WHERE findings <> ''"""
+
+
+@register("scan_corpus", _CORPUS_SQL)
 def q_scan_corpus(spark, sf_dir):
     """Scan documents, pages and conversation turns; report texts with findings."""
     conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "text"]).select(
         F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"), "text")
     return ts.scan_corpus([
-        ("documents", read_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text"),
-        ("pages", read_table(spark, sf_dir, "pages", ["page_id", "html"]), "page_id", "html"),
-        ("conversations", conv, "id", "text"),
+        ("documents", ensure_parallelism(read_table(spark, sf_dir, "documents", ["doc_id", "text"])), "doc_id", "text"),
+        ("pages", ensure_parallelism(read_table(spark, sf_dir, "pages", ["page_id", "html"])), "page_id", "html"),
+        ("conversations", ensure_parallelism(conv), "id", "text"),
     ])
 
 
+@register("scan_verdict", f"""
+SELECT COUNT(*) FILTER (WHERE source = 'pages' OR (source = 'documents' AND item_id = '22')) AS n_allowed,
+       COUNT(*) FILTER (WHERE NOT (source = 'pages' OR (source = 'documents' AND item_id = '22'))) AS n_violations,
+       COUNT(*) FILTER (WHERE NOT (source = 'pages' OR (source = 'documents' AND item_id = '22'))) = 0 AS passed
+FROM ({_CORPUS_SQL})""")
+def q_scan_verdict(spark, sf_dir):
+    """The scan's verdict with an allow-list (one source, one item)."""
+    return ts.scan_verdict(q_scan_corpus(spark, sf_dir), ["pages"], [("documents", "22")])
+
+
 # ---------------------------------------------------------------- flagship
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """facts -> snapshots -> naive baseline on the last 4 closed months ->

@@ -63,7 +63,9 @@ def test_redaction_removes_all_three(spark):
                     ts.findings(df["t"]).alias("f")).first()
     assert "abc123" not in out["r"] and "jane.doe@example.com" not in out["r"]
     assert "12345678-1234" not in out["r"] and out["s"]
-    assert out["f"] == ["subscription_guid", "connection_string", "bearer_token", "email"]
+    assert out["f"] == "azure_subscription_guid,connection_string,bearer_token,email"
+    plan = ts.with_findings(df, "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("AccountKey") == 1  # each pattern once
 
 
 def test_clean_text_has_no_findings(spark):
