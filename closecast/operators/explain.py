@@ -30,15 +30,10 @@ def dense_index(df: DataFrame, col: str = "_i") -> DataFrame:
     """
     tagged = (df.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))  # reliable: the index survives executor loss
-    counts = sorted((r["_pid"], r["count"]) for r in tagged.groupBy("_pid").count().collect())
-    offsets, run = {}, 0
-    for pid, c in counts:
-        offsets[pid] = run
-        run += c
-    off_map = F.create_map(*[x for pid, o in offsets.items() for x in (F.lit(pid), F.lit(o))]) if offsets \
-        else F.create_map(F.lit(0), F.lit(0))
+    counts = tagged.groupBy("_pid").count()  # one row per partition
+    offsets = counts.select("_pid", (F.sum("count").over(Window.orderBy("_pid")) - F.col("count")).alias("_off"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return tagged.withColumn(col, (off_map[F.col("_pid")] + local).cast("long")).drop("_pid", "_mid")
+    return tagged.join(F.broadcast(offsets), "_pid").withColumn(col, (F.col("_off") + local).cast("long")).drop("_pid", "_mid", "_off")
 
 
 def _r2_parts(df: DataFrame, group: list[str], y: str = TARGET, p: str = PREDICTION) -> DataFrame:
@@ -84,14 +79,18 @@ def permutation_importance(regressor, data: DataFrame, feature_names: list[str],
     starts = ordered.groupBy("feature", "repeat").agg(F.min("_g").alias("_g0"))
     donors = ordered.join(F.broadcast(starts), ["feature", "repeat"]).select(
         "feature", "repeat", (F.col("_g") - F.col("_g0")).alias("_i"), F.col("v").alias("_perm"))
-    swapped = donors.join(base, "_i").withColumns({
+    # the donated values of one row travel as one array (features x repeats), so the wide row is joined once
+    given = donors.groupBy("_i").agg(F.collect_list(F.struct("feature", "repeat", "_perm")).alias("_given"))
+    swapped = base.join(given, "_i").select("*", F.inline("_given")).drop("_given").withColumns({
         f: F.when(F.col("feature") == f, F.col("_perm")).otherwise(F.col(f"`{f}`")) for f in feature_names})
     parts = _r2_parts(score(swapped), ["feature", "repeat"])
     drop = F.lit(float(r2_base)) - _r2(parts)
     out = (parts.select("feature", drop.alias("drop")).groupBy("feature")
            .agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
            .orderBy(F.col("importance_mean").desc(), "feature"))
-    return out
+    rows = out.collect()  # one row per feature
+    base.unpersist()
+    return spark.createDataFrame(rows, out.schema)
 
 
 def native_importance(regressor, feature_names: list[str]) -> DataFrame | None:
@@ -107,13 +106,17 @@ def native_importance(regressor, feature_names: list[str]) -> DataFrame | None:
         F.col("importance").desc(), "feature")
 
 
-def shap_global(regressor, data: DataFrame, feature_names: list[str], max_samples: int = 200,
+def shap_global(regressor, data: DataFrame, feature_names: list[str], max_samples: int | None = None,
                 n_permutations: int = 10, seed: int = 42, top: int | None = None) -> DataFrame:
-    """Mean |Shapley value| per feature over the first ``max_samples`` rows
-    (key order), background = the same rows, by permutation sampling."""
+    """Mean |Shapley value| per feature over all rows, background = the same
+    rows, by permutation sampling. ``max_samples`` takes about that many rows, by key hash."""
+    spark = data.sparkSession
     nf = len(feature_names)
     order_cols = [k for k in KEYS if k in data.columns]
-    sample = data.orderBy(*order_cols).limit(max_samples) if order_cols else data.limit(max_samples)
+    sample = data
+    if max_samples is not None:
+        share = min(1.0, max_samples / max(1, data.count()))
+        sample = data.where(F.pmod(F.xxhash64(F.lit(seed), *(order_cols or feature_names)), F.lit(1 << 20)) < int(share * (1 << 20)))
     vec = VectorAssembler(inputCols=feature_names, outputCol="_v", handleInvalid="keep")
     s = dense_index(vec.transform(sample).select(vector_to_array("_v").alias("x"))).persist()
     n = s.count()
@@ -139,4 +142,7 @@ def shap_global(regressor, data: DataFrame, feature_names: list[str], max_sample
     names = F.array(*[F.lit(n) for n in feature_names])
     out = phi.groupBy("f").agg(F.avg(F.abs("phi")).alias("mean_abs_shap")).select(
         names[F.col("f")].alias("feature"), "mean_abs_shap").orderBy(F.col("mean_abs_shap").desc(), "feature")
-    return out.limit(top) if top else out
+    rows = out.collect()  # one row per feature
+    s.unpersist()
+    result = spark.createDataFrame(rows, out.schema)
+    return result.limit(top) if top else result

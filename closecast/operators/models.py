@@ -12,16 +12,16 @@ from dataclasses import dataclass, field
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closecast.operators.baselines import BASELINE_FEATURES, FeatureColumnBaseline
 from closecast.operators.features import LeakageSafeFeatures
-from closecast.operators.metrics import metrics_by_day, metrics_by_facility, metrics_overall
 from closecast.operators.splits import TemporalSplit
 from closecast.schema import PREDICTION, TARGET
 
 
+# fixed values: the published candidate list and hyper-parameters
 @dataclass
 class ModelConfig:
     candidates: list[str] = field(default_factory=lambda: [
@@ -38,11 +38,6 @@ class ModelConfig:
     elastic_net_params: dict = field(default_factory=lambda: {"alpha": 0.5, "l1_ratio": 0.3, "max_iter": 10000})
 
 
-def supported_models() -> list[str]:
-    return ["naive_prior", "seasonal_naive", "elastic_net", "gradient_boosting",
-            "hist_gradient_boosting", "random_forest", "xgboost"]
-
-
 class ScaledElasticNet(Estimator):
     """L3: elastic net whose penalties match the (alpha, l1_ratio) objective on
     standardized features. Spark scales the label inside the solver, so the L2
@@ -66,37 +61,41 @@ class ScaledElasticNet(Estimator):
         return lr.fit(dataset)
 
 
+def _elastic_net(config: ModelConfig, col: str, common: dict):
+    p = config.elastic_net_params
+    return Pipeline(stages=[
+        StandardScaler(inputCol=col, outputCol="scaled_features", withMean=True, withStd=True),
+        ScaledElasticNet(p["alpha"], p["l1_ratio"], p["max_iter"], featuresCol="scaled_features"),
+    ])
+
+
+def _boosted(p: dict, rounds: str, common: dict, **more):
+    return GBTRegressor(maxIter=p[rounds], maxDepth=p["max_depth"], stepSize=p["learning_rate"], checkpointInterval=10, **common, **more)
+
+
+#: name -> builder(config, features column, common tree arguments); ``xgboost`` is a
+#: stand-in: boosted trees with row and column subsampling (Spark has no L2 leaf penalty).
+BUILDERS = {
+    **{name: (lambda config, col, common, n=name: FeatureColumnBaseline(BASELINE_FEATURES[n])) for name in BASELINE_FEATURES},
+    "elastic_net": _elastic_net,
+    "gradient_boosting": lambda c, col, common: _boosted(c.gbr_params, "n_estimators", common, subsamplingRate=c.gbr_params["subsample"]),
+    "hist_gradient_boosting": lambda c, col, common: _boosted(c.hgb_params, "max_iter", common, maxBins=255, minInstancesPerNode=20),
+    "random_forest": lambda c, col, common: RandomForestRegressor(numTrees=c.rf_params["n_estimators"], maxDepth=c.rf_params["max_depth"], **common),
+    "xgboost": lambda c, col, common: _boosted(c.xgboost_params, "n_estimators", common, subsamplingRate=c.xgboost_params["subsample"],
+                                               featureSubsetStrategy=str(c.xgboost_params["colsample_bytree"])),
+}
+
+
+def supported_models() -> list[str]:
+    return list(BUILDERS)
+
+
 def build_estimator(name: str, config: ModelConfig | None = None, features_col: str = "features"):
     """Name -> unfitted estimator reading ``features_col`` (baselines read raw rows)."""
+    if name not in BUILDERS:
+        raise ValueError(f"Unknown model candidate {name!r}; known: {', '.join(BUILDERS)}")
     config = config or ModelConfig()
-    rs = config.random_state
-    if name in BASELINE_FEATURES:
-        return FeatureColumnBaseline(BASELINE_FEATURES[name])
-    if name == "elastic_net":
-        p = config.elastic_net_params
-        return Pipeline(stages=[
-            StandardScaler(inputCol=features_col, outputCol="scaled_features", withMean=True, withStd=True),
-            ScaledElasticNet(p["alpha"], p["l1_ratio"], p["max_iter"], featuresCol="scaled_features"),
-        ])
-    common = dict(featuresCol=features_col, labelCol=TARGET, predictionCol=PREDICTION, seed=rs)
-    if name == "gradient_boosting":
-        p = config.gbr_params
-        return GBTRegressor(maxIter=p["n_estimators"], maxDepth=p["max_depth"], stepSize=p["learning_rate"],
-                            subsamplingRate=p["subsample"], checkpointInterval=10, **common)
-    if name == "hist_gradient_boosting":
-        p = config.hgb_params
-        return GBTRegressor(maxIter=p["max_iter"], maxDepth=p["max_depth"], stepSize=p["learning_rate"],
-                            maxBins=255, minInstancesPerNode=20, checkpointInterval=10, **common)
-    if name == "random_forest":
-        p = config.rf_params
-        return RandomForestRegressor(numTrees=p["n_estimators"], maxDepth=p["max_depth"], **common)
-    if name == "xgboost":
-        # Stand-in: boosted trees with row and column subsampling; Spark has no L2 leaf penalty.
-        p = config.xgboost_params
-        return GBTRegressor(maxIter=p["n_estimators"], maxDepth=p["max_depth"], stepSize=p["learning_rate"],
-                            subsamplingRate=p["subsample"], featureSubsetStrategy=str(p["colsample_bytree"]),
-                            checkpointInterval=10, **common)
-    raise ValueError(f"Unknown model candidate {name!r}; known: {', '.join(supported_models())}")
+    return BUILDERS[name](config, features_col, dict(featuresCol=features_col, labelCol=TARGET, predictionCol=PREDICTION, seed=config.random_state))
 
 
 @dataclass
@@ -123,34 +122,19 @@ class FeatureCache:
             df.unpersist()
 
 
+TASK_BYTES = 32 << 20
+
+
+def _cached(df: DataFrame, width: int) -> DataFrame:
+    """``df`` cached in as many partitions as its bytes need: boosting runs many short jobs over it."""
+    rows = df.count()
+    return df.coalesce(max(1, -(-rows * width * 8 // TASK_BYTES))).cache()
+
+
 def fit_features(split: TemporalSplit) -> FeatureCache:
     fm = LeakageSafeFeatures(outputCol="features").fit(split.train)
-    return FeatureCache(fm, fm.transform(split.train).cache(), fm.transform(split.validation).cache(),
-                        fm.transform(split.test).cache())
-
-
-def train_candidate(name: str, split: TemporalSplit, features: FeatureCache | None = None,
-                    config: ModelConfig | None = None) -> TrainingResult:
-    """Fit on train, predict test, metrics overall / by facility / by day."""
-    est = build_estimator(name, config)
-    if name in BASELINE_FEATURES:
-        fitted = PipelineModel(stages=[est.fit(split.train)])
-        scored = fitted.transform(split.test)
-    else:
-        features = features or fit_features(split)
-        reg = est.fit(features.train)
-        fitted = PipelineModel(stages=[features.model, reg])
-        scored = reg.transform(features.test)
-    return TrainingResult(name, fitted, scored, metrics_overall(scored), metrics_by_facility(scored),
-                          metrics_by_day(scored))
-
-
-def train_all(split: TemporalSplit, config: ModelConfig | None = None) -> dict[str, TrainingResult]:
-    """Every configured candidate, in order, sharing one feature cache."""
-    config = config or ModelConfig()
-    need_features = any(n not in BASELINE_FEATURES for n in config.candidates)
-    cache = fit_features(split) if need_features else None
-    return {n: train_candidate(n, split, cache, config) for n in config.candidates}
+    width = len(fm.feature_names())
+    return FeatureCache(fm, *[_cached(fm.transform(f), width) for f in (split.train, split.validation, split.test)])
 
 
 def tune_learning_rate(split: TemporalSplit, rates=(0.03, 0.05, 0.1, 0.2), block: str = "validation",
@@ -165,6 +149,7 @@ def tune_learning_rate(split: TemporalSplit, rates=(0.03, 0.05, 0.1, 0.2), block
     from closecast.operators.metrics import metric_exprs
 
     config = config or ModelConfig()
+    own = cache is None
     cache = cache or fit_features(split)
     target = cache.validation if block == "validation" else cache.test
     fitted = fitted or {}
@@ -172,16 +157,15 @@ def tune_learning_rate(split: TemporalSplit, rates=(0.03, 0.05, 0.1, 0.2), block
     def one(lr):
         cfg = ModelConfig(**{**config.__dict__, "hgb_params": {**config.hgb_params, "learning_rate": lr}})
         m = fitted.get(lr) or build_estimator("hist_gradient_boosting", cfg).fit(cache.train)
-        w = m.transform(target).agg(F.round(metric_exprs()["wape"], 6).alias("wape"))
-        return w.select(F.lit(f"learning_rate={lr}").alias("setting"), F.lit(lr).alias("learning_rate"), "wape")
+        return f"learning_rate={lr}", float(lr), m.transform(target).agg(metric_exprs()["wape"]).first()[0]
 
     with ThreadPoolExecutor(max_workers=len(rates)) as pool:
-        frames = list(pool.map(one, rates))
-    rows = frames[0]
-    for f in frames[1:]:
-        rows = rows.unionByName(f)
-    best = F.min("wape").over(Window.partitionBy())  # one row per setting
-    return rows.withColumn("is_best", F.col("wape") == best)
+        rows = list(pool.map(one, rates))
+    if own:
+        cache.release()
+    best = min(w for *_, w in rows)
+    return split.train.sparkSession.createDataFrame([(*r, r[2] == best) for r in rows],
+                                                    "setting string, learning_rate double, wape double, is_best boolean")
 
 
 # -- B2: per-tree spread of a random forest ---------------------------------

@@ -23,12 +23,17 @@ def _unpivot_row(wide: DataFrame, names: list[str], key: str, value: str) -> Dat
         F.struct(F.lit(n).alias(key), F.col(f"`{n}`").alias(value)) for n in names])).alias("s")).select("s.*")
 
 
+def month_number(month):
+    """Calendar months since year 0 of a ``yyyy-MM`` label."""
+    return F.substring(month, 1, 4).cast("int") * 12 + F.substring(month, 6, 2).cast("int")
+
+
 def month_index(snaps: DataFrame) -> DataFrame:
-    """Distinct months with their 0-based position (bounded: one row per month)."""
+    """Distinct months with the number of calendar months since the first (a gap keeps its place)."""
     months = snaps.select(MONTH).distinct()
-    w = Window.orderBy(MONTH)
-    return months.select(
-        MONTH, (F.dense_rank().over(w) - 1).cast("bigint").alias("month_idx"),
+    first = months.agg(F.min(month_number(F.col(MONTH))).alias("_first"))  # one row
+    return months.crossJoin(F.broadcast(first)).select(
+        MONTH, (month_number(F.col(MONTH)) - F.col("_first")).cast("bigint").alias("month_idx"),
         F.substring(MONTH, 1, 4).cast("bigint").alias("year"), F.substring(MONTH, 6, 2).cast("bigint").alias("month"))
 
 
@@ -52,17 +57,19 @@ def facility_rows(snaps: DataFrame, facility: str) -> DataFrame:
 
 def month_history(series: DataFrame, value: str, partition: str = FACILITY, order: str = MONTH) -> DataFrame:
     """G4/W1/W2 on any month series: lag 1, lag 12 and trailing means over
-    strictly prior rows (exact DECIMAL window sums, partial windows allowed)."""
-    w = Window.partitionBy(partition).orderBy(order)
+    strictly prior calendar months (exact DECIMAL window sums, partial windows
+    allowed). Frames are ranges of months, so a missing month shifts nothing."""
+    w = Window.partitionBy(partition).orderBy("_m")
+    series = series.withColumn("_m", month_number(F.col(order)))
 
     def trailing(k: int):
-        frame = w.rowsBetween(-k, -1)
+        frame = w.rangeBetween(-k, -1)
         return (F.sum(F.col(value).cast("decimal(20,2)")).over(frame).cast("double")
                 / F.count(value).over(frame))
 
     return series.select(
         partition, order, value,
-        F.lag(value, 1).over(w).alias("prior_month"), F.lag(value, 12).over(w).alias("prior_year_same_month"),
+        F.max(value).over(w.rangeBetween(-1, -1)).alias("prior_month"), F.max(value).over(w.rangeBetween(-12, -12)).alias("prior_year_same_month"),
         trailing(3).alias("rolling_3"), trailing(6).alias("rolling_6"), trailing(12).alias("rolling_12"))
 
 

@@ -13,6 +13,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,7 +46,12 @@ class ModelBundle:
     model_version: str = "0.1.0"
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
     trained_at: str = field(default_factory=lambda: _dt.datetime.now(_dt.UTC).isoformat())
-    interval: object | None = None  # fitted random forest whose trees give the spread (B2)
+    interval: object | None = None  # fitted random forest whose trees give the spread (B2); found in the model itself
+
+    def __post_init__(self):
+        last = self.model.stages[-1] if getattr(self.model, "stages", None) else None
+        if self.interval is None and isinstance(last, RandomForestRegressionModel):
+            self.interval = last
 
     @property
     def is_baseline(self) -> bool:
@@ -94,10 +100,6 @@ def batch_score(bundle: ModelBundle, frame: DataFrame, cutoff_day: int | None =
     return scored.select(*cols)
 
 
-def available_days(frame: DataFrame) -> list[int]:
-    return sorted(r[0] for r in frame.select(SNAPSHOT_DAY).distinct().collect())
-
-
 def cutoff_filter(frame: DataFrame, day: int, fallback_day: int = DEMO_CUTOFF_DAY) -> DataFrame:
     """Rows at ``day``; when that day has no rows, the demo cutoff day.
 
@@ -137,7 +139,3 @@ def latest_snapshot(frame: DataFrame, cutoff_day: int) -> DataFrame:
     w = Window.partitionBy(FACILITY, MONTH).orderBy(F.col(SNAPSHOT_DAY).desc())
     return (frame.where(F.col(SNAPSHOT_DAY) <= cutoff_day)
             .withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn"))
-
-
-def bundle_metadata_json(bundle: ModelBundle) -> str:
-    return json.dumps({k: getattr(bundle, k) for k in ("model_name", "model_version", "run_id", "trained_at")})

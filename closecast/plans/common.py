@@ -12,7 +12,7 @@ from closecast.operators.baselines import (
     fallback_mean,
     naive_prior,
 )
-from closecast.operators.splits import SplitConfig, blocked_months, ordered_months, with_split_column
+from closecast.operators.splits import blocked_months, ordered_months
 from closecast.plans.snapshots import input_key, snapshot_table
 
 SEASONAL = "pred_seasonal"
@@ -22,10 +22,6 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_table(spark, sf_dir)
 
 
-def split_frame(spark: SparkSession, sf_dir: str, config: SplitConfig | None = None) -> DataFrame:
-    return with_split_column(snapshots(spark, sf_dir), config)
-
-
 def months(spark: SparkSession, sf_dir: str) -> list[str]:
     """The sorted month list of the (immutable) snapshot table, collected once."""
     key = input_key(spark, sf_dir)

@@ -103,7 +103,7 @@ def q_invalid_sample(spark, sf_dir):
 
 
 @register("month_index", W("""
-SELECT accounting_month, CAST(dense_rank() OVER (ORDER BY accounting_month) - 1 AS BIGINT) AS month_idx,
+SELECT accounting_month, CAST(date_diff('month', (SELECT MIN(strptime(accounting_month, '%Y-%m')) FROM snapshots), strptime(accounting_month, '%Y-%m')) AS BIGINT) AS month_idx,
        CAST(substr(accounting_month, 1, 4) AS BIGINT) AS year, CAST(substr(accounting_month, 6, 2) AS BIGINT) AS month
 FROM (SELECT DISTINCT accounting_month FROM snapshots)"""))
 def q_month_index(spark, sf_dir):
@@ -113,17 +113,18 @@ def q_month_index(spark, sf_dir):
 
 @register("month_history", W("""
 SELECT facility_id, accounting_month, target,
-  lag(target, 1) OVER w AS prior_month,
-  lag(target, 12) OVER w AS prior_year_same_month,
-  CAST(SUM(CAST(target AS DECIMAL(20,2))) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS DOUBLE)
-    / NULLIF(COUNT(target) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 0) AS rolling_3,
-  CAST(SUM(CAST(target AS DECIMAL(20,2))) OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS DOUBLE)
-    / NULLIF(COUNT(target) OVER (w ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING), 0) AS rolling_6,
-  CAST(SUM(CAST(target AS DECIMAL(20,2))) OVER (w ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS DOUBLE)
-    / NULLIF(COUNT(target) OVER (w ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING), 0) AS rolling_12
-FROM (SELECT facility_id, accounting_month, MIN(actual_month_end_net_revenue) AS target
+  MAX(target) OVER (w RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS prior_month,
+  MAX(target) OVER (w RANGE BETWEEN 12 PRECEDING AND 12 PRECEDING) AS prior_year_same_month,
+  CAST(SUM(CAST(target AS DECIMAL(20,2))) OVER (w RANGE BETWEEN 3 PRECEDING AND 1 PRECEDING) AS DOUBLE)
+    / NULLIF(COUNT(target) OVER (w RANGE BETWEEN 3 PRECEDING AND 1 PRECEDING), 0) AS rolling_3,
+  CAST(SUM(CAST(target AS DECIMAL(20,2))) OVER (w RANGE BETWEEN 6 PRECEDING AND 1 PRECEDING) AS DOUBLE)
+    / NULLIF(COUNT(target) OVER (w RANGE BETWEEN 6 PRECEDING AND 1 PRECEDING), 0) AS rolling_6,
+  CAST(SUM(CAST(target AS DECIMAL(20,2))) OVER (w RANGE BETWEEN 12 PRECEDING AND 1 PRECEDING) AS DOUBLE)
+    / NULLIF(COUNT(target) OVER (w RANGE BETWEEN 12 PRECEDING AND 1 PRECEDING), 0) AS rolling_12
+FROM (SELECT facility_id, accounting_month, MIN(actual_month_end_net_revenue) AS target,
+             CAST(substr(accounting_month, 1, 4) AS INT) * 12 + CAST(substr(accounting_month, 6, 2) AS INT) AS m
       FROM snapshots GROUP BY facility_id, accounting_month)
-WINDOW w AS (PARTITION BY facility_id ORDER BY accounting_month)"""))
+WINDOW w AS (PARTITION BY facility_id ORDER BY m)"""))
 def q_month_history(spark, sf_dir):
     """Lag and trailing-mean history over a facility-month series."""
     series = PR.facility_month_series(snapshots(spark, sf_dir)).withColumnRenamed("first_target", "target")
@@ -622,7 +623,7 @@ def q_feature_transform(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- selection / KPI
-_SEL_TABLE = f"""
+SEL_TABLE = f"""
 SELECT 'naive_prior' AS model, {O.metric_sql().split(',', 1)[1]} FROM scored WHERE split = 'test'
 UNION ALL
 SELECT 'seasonal_naive' AS model, {O.metric_sql(p='pred_seasonal').split(',', 1)[1]} FROM scored WHERE split = 'test'"""
@@ -631,7 +632,7 @@ SELECT 'seasonal_naive' AS model, {O.metric_sql(p='pred_seasonal').split(',', 1)
 @register("comparison_table", W(f"""
 SELECT *, row_number() OVER (ORDER BY wape ASC NULLS LAST, model) AS rank,
        row_number() OVER (ORDER BY wape ASC NULLS LAST, model) = 1 AS is_champion
-FROM ({_SEL_TABLE})""", SPLIT))
+FROM ({SEL_TABLE})""", SPLIT))
 def q_comparison_table(spark, sf_dir):
     """Baseline candidates on the test block, ranked by WAPE."""
     return M.reported(S.ranked(PR.baseline_comparison(baseline_scored(spark, sf_dir))))
@@ -642,7 +643,7 @@ SELECT MAX(CASE WHEN rank = 1 THEN model END) AS champion, MAX(CASE WHEN rank =
        round(MAX(CASE WHEN rank = 1 THEN wape END), 6) AS champion_score, round(MAX(CASE WHEN rank = 2 THEN wape END), 6) AS challenger_score,
        COALESCE((MAX(CASE WHEN rank = 1 THEN wape END) - MAX(CASE WHEN rank = 2 THEN wape END))
          / GREATEST(abs(MAX(CASE WHEN rank = 1 THEN wape END)), 1e-9) > 0.02, false) AS challenger_promotable
-FROM (SELECT *, row_number() OVER (ORDER BY wape ASC NULLS LAST, model) AS rank FROM ({_SEL_TABLE}))""", SPLIT))
+FROM (SELECT *, row_number() OVER (ORDER BY wape ASC NULLS LAST, model) AS rank FROM ({SEL_TABLE}))""", SPLIT))
 def q_select_champion(spark, sf_dir):
     """L12."""
     s = S.selection_frame(PR.baseline_comparison(baseline_scored(spark, sf_dir)))

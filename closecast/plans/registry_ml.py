@@ -15,8 +15,9 @@ from closecast.operators import scoring as B
 from closecast.operators.models import ModelConfig, build_estimator, interval_columns, tune_learning_rate
 from closecast.plans.common import naive_bundle, snapshots
 from closecast.plans.snapshots import input_key
-from closecast.plans.registry import ORACLE_SQL, register
-from closecast.plans.training import TEST_PROFILE_CANDIDATES, memo_training
+from closecast.plans.registry import ORACLE_SQL, QUERIES, SEL_TABLE, SPLIT, W, register
+from closecast.operators.splits import blocked_temporal_split
+from closecast.plans.training import TEST_PROFILE_CANDIDATES, known_training, memo_training
 from closecast.schema import KEYS, TARGET
 from closecast.sources.snapshot_io import scratch_path
 
@@ -30,7 +31,7 @@ def q_train_candidates(spark, sf_dir):
     """Contract -> blocked split -> the test-profile candidates
     (baselines, elastic net, histogram boosting) -> ranked comparison table."""
     out = _trained(spark, sf_dir)
-    return out.selection.ranking
+    return M.reported(out.selection.ranking)
 
 
 @register("candidate_metrics_by_day")
@@ -41,17 +42,19 @@ def q_candidate_metrics_by_day(spark, sf_dir):
     res = frames[0]
     for f in frames[1:]:
         res = res.unionByName(f)
-    return res
+    return M.reported(res)
 
 
 @register("tune_grid")
 def q_tune_grid(spark, sf_dir):
     """Learning-rate sweep of histogram boosting, scored on the validation
-    block; the default-rate model of the training run is reused."""
-    out = _trained(spark, sf_dir)
+    block; the default-rate model of this session's training run is reused if there is one."""
+    out = known_training(spark, sf_dir, TEST_PROFILE_CANDIDATES)  # not trained just for this
+    if out is None:
+        return tune_learning_rate(blocked_temporal_split(snapshots(spark, sf_dir))).withColumn("wape", F.round("wape", 6))
     default_lr = ModelConfig().hgb_params["learning_rate"]
     hgb = out.results["hist_gradient_boosting"].model.stages[-1]
-    return tune_learning_rate(out.split, cache=out.features, fitted={default_lr: hgb})
+    return tune_learning_rate(out.split, cache=out.features, fitted={default_lr: hgb}).withColumn("wape", F.round("wape", 6))
 
 
 def _learned_champion(out):
@@ -87,12 +90,12 @@ def q_native_importance(spark, sf_dir):
 
 @register("shap_global")
 def q_shap_global(spark, sf_dir):
-    """Mean |SHAP| of the boosted-tree candidate over the first 200 test rows."""
+    """Mean |SHAP| of the boosted-tree candidate over all test rows."""
     out = _trained(spark, sf_dir)
     fm, reg = out.results["hist_gradient_boosting"].model.stages
     names = fm.feature_names()
     test = fm.transform(out.split.test).select(*KEYS, *names)
-    return X.shap_global(reg, test, names, max_samples=200, n_permutations=10, top=12)
+    return X.shap_global(reg, test, names, n_permutations=10, top=12)
 
 
 _FOREST: dict = {}
@@ -188,7 +191,107 @@ def q_stream_mtd(spark, sf_dir):
 
 @register("backtest_models")
 def q_backtest_models(spark, sf_dir):
-    """T5: baselines and elastic net refitted on each expanding fold, scored on its validation months."""
+    """T5: baselines and elastic net refitted on each expanding and rolling fold, scored on its validation months."""
+    return M.reported(_backtest(spark, sf_dir))
+
+
+def _backtest(spark, sf_dir):
     from closecast.plans.training import backtest_candidates
 
-    return backtest_candidates(snapshots(spark, sf_dir), ["naive_prior", "seasonal_naive", "elastic_net"])
+    both = [backtest_candidates(snapshots(spark, sf_dir), ["naive_prior", "seasonal_naive", "elastic_net"], kind).withColumn("kind", F.lit(kind))
+            for kind in ("expanding", "rolling")]
+    return both[0].unionByName(both[1])
+
+
+# ------------------------------------------------- checkable facts of the model queries
+# A trained model has no SQL; these rows state what must hold of its full result.
+_N_NUMERIC = 43  # numeric model inputs: operational, historical and derived columns
+_N_FEATURES = (f"(SELECT {_N_NUMERIC} + COUNT(DISTINCT service_line_group) + COUNT(DISTINCT generic_payer_group) "
+               "+ COUNT(DISTINCT encounter_class_group) FROM split WHERE split = 'train')")
+
+
+def _ordered(df, key: str, value: str):
+    """n, and whether ``value`` is never negative and falls in the order of the rows as returned."""
+    rows = [r[value] for r in df.collect()]  # one row per feature
+    falls = all(a >= b for a, b in zip(rows, rows[1:]))
+    return len(rows), falls, all(v >= 0 for v in rows), sum(rows)
+
+
+@register("train_candidates_facts", W(f"SELECT * FROM ({SEL_TABLE})", SPLIT))
+def q_train_candidates_facts(spark, sf_dir):
+    """The baselines' rows of the training run's ranking equal SQL."""
+    return QUERIES["train_candidates"](spark, sf_dir).where(F.col("model").isin("naive_prior", "seasonal_naive")).select("model", *M.METRIC_NAMES)
+
+
+@register("candidate_metrics_by_day_facts", W("""
+SELECT model, snapshot_day, COUNT(*) AS n FROM scored, (VALUES ('naive_prior'), ('seasonal_naive'), ('elastic_net'), ('hist_gradient_boosting')) m(model)
+WHERE split = 'test' GROUP BY model, snapshot_day""", SPLIT))
+def q_candidate_metrics_by_day_facts(spark, sf_dir):
+    """Every candidate scores every test row of every day."""
+    return QUERIES["candidate_metrics_by_day"](spark, sf_dir).select("model", "snapshot_day", "n")
+
+
+@register("tune_grid_facts", "SELECT 4 AS n_settings, true AS best_is_least, CAST(0.38 AS DOUBLE) AS rates")
+def q_tune_grid_facts(spark, sf_dir):
+    """Four settings; exactly the least WAPE is marked best."""
+    g = QUERIES["tune_grid"](spark, sf_dir)
+    low = F.min("wape")
+    return g.agg(F.count(F.lit(1)).cast("int").alias("n_settings"), (F.min(F.when(F.col("is_best"), F.col("wape"))) == low).alias("best_is_least"),
+                 F.round(F.sum("learning_rate"), 2).alias("rates"))
+
+
+@register("permutation_importance_facts", W(f"SELECT {_N_FEATURES} AS n_features, true AS sorted", SPLIT))
+def q_permutation_importance_facts(spark, sf_dir):
+    n, falls, *_ = _ordered(QUERIES["permutation_importance"](spark, sf_dir), "feature", "importance_mean")
+    return spark.createDataFrame([(n, falls)], "n_features bigint, sorted boolean")
+
+
+@register("native_importance_facts", W(f"SELECT {_N_FEATURES} AS n_features, true AS sorted, true AS non_negative, CAST(1.0 AS DOUBLE) AS total", SPLIT))
+def q_native_importance_facts(spark, sf_dir):
+    n, falls, positive, total = _ordered(QUERIES["native_importance"](spark, sf_dir), "feature", "importance")
+    return spark.createDataFrame([(n, falls, positive, round(total, 6))], "n_features bigint, sorted boolean, non_negative boolean, total double")
+
+
+@register("shap_global_facts", "SELECT 12 AS n_features, true AS sorted, true AS non_negative")
+def q_shap_global_facts(spark, sf_dir):
+    n, falls, positive, _ = _ordered(QUERIES["shap_global"](spark, sf_dir), "feature", "mean_abs_shap")
+    return spark.createDataFrame([(n, falls, positive)], "n_features int, sorted boolean, non_negative boolean")
+
+
+@register("score_interval_facts", W("""
+SELECT facility_id, COUNT(*) AS n, true AS inside, true AS spread FROM split WHERE split = 'test' GROUP BY facility_id""", SPLIT))
+def q_score_interval_facts(spark, sf_dir):
+    """Every test row has lower <= prediction <= upper and a spread of at least 0."""
+    p = F.col("predicted_month_end_net_revenue")
+    return QUERIES["score_interval"](spark, sf_dir).groupBy("facility_id").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and((F.col("prediction_lower") <= p) & (p <= F.col("prediction_upper"))).alias("inside"),
+        F.bool_and(F.col("prediction_std") >= 0).alias("spread"))
+
+
+@register("interval_coverage_facts", W("SELECT snapshot_day, COUNT(*) AS n, true AS share FROM split WHERE split = 'test' GROUP BY snapshot_day", SPLIT))
+def q_interval_coverage_facts(spark, sf_dir):
+    return QUERIES["interval_coverage"](spark, sf_dir).select("snapshot_day", "n", F.col("coverage").between(0, 1).alias("share"))
+
+
+@register("backtest_models_facts", ORACLE_SQL["backtest_baselines"])
+def q_backtest_models_facts(spark, sf_dir):
+    """The baselines' WAPE on every expanding fold equals SQL."""
+    b = QUERIES["backtest_models"](spark, sf_dir).where("kind = 'expanding'")
+    wape = lambda m: F.max(F.when(F.col("model") == m, F.col("wape")))
+    return b.groupBy("fold_id").agg(F.max("n").alias("n"), wape("naive_prior").alias("wape_naive_prior"), wape("seasonal_naive").alias("wape_seasonal_naive"))
+
+
+def _one_candidate(name: str):
+    def q(spark, sf_dir):
+        from closecast.plans.training import train_all_concurrent
+
+        split = blocked_temporal_split(snapshots(spark, sf_dir))
+        cache, results = train_all_concurrent(split, ModelConfig(candidates=[name]))
+        cache.release()
+        return M.reported(results[name].metrics.select(F.lit(name).alias("model"), "n", *M.METRIC_NAMES))
+    q.__doc__ = f"L8/L9: the default candidate {name}, fitted on the training block and measured on the test block."
+    return q
+
+
+for _name in ("gradient_boosting", "xgboost", "random_forest"):
+    register(f"train_{_name}")(_one_candidate(_name))

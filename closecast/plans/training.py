@@ -13,15 +13,17 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from closecast.operators import contracts as C
 from closecast.operators import selection as S
 from closecast.operators.baselines import BASELINE_FEATURES
 from closecast.operators.models import FeatureCache, ModelConfig, TrainingResult, build_estimator, fit_features
-from closecast.operators.metrics import metrics_by_day, metrics_by_facility, metrics_overall
+from closecast.operators.metrics import METRIC_NAMES, metrics_cube
 from closecast.operators.scoring import ModelBundle
 from closecast.operators.splits import SplitConfig, TemporalSplit, blocked_temporal_split
 from closecast.plans.snapshots import input_key
+from closecast.schema import FACILITY, SNAPSHOT_DAY
 
 # The reference's small ("test") profile candidate list.
 TEST_PROFILE_CANDIDATES = ["naive_prior", "seasonal_naive", "elastic_net", "hist_gradient_boosting"]
@@ -47,9 +49,11 @@ def _fit_one(name: str, split: TemporalSplit, cache: FeatureCache | None, config
         reg = est.fit(cache.train)
         fitted = PipelineModel(stages=[cache.model, reg])
         scored = reg.transform(cache.test)
-    scored = scored.persist()
-    return TrainingResult(name, fitted, scored, metrics_overall(scored),
-                          metrics_by_facility(scored), metrics_by_day(scored))
+    # one pass for all three metric tables; a row per facility and day comes back, no frame stays cached
+    cube = metrics_cube(scored)
+    cube = scored.sparkSession.createDataFrame(cube.collect(), cube.schema)
+    level = lambda name, *keys: cube.where(F.col("level") == name).select(*keys, "n", *METRIC_NAMES)
+    return TrainingResult(name, fitted, scored, level("overall"), level("facility", FACILITY), level("snapshot_day", SNAPSHOT_DAY))
 
 
 def train_all_concurrent(split: TemporalSplit, config: ModelConfig, max_workers: int = 4) -> tuple:
@@ -77,8 +81,6 @@ def run_training_pipeline(snapshots: DataFrame, config: ModelConfig | None = Non
     selection = S.select_champion(table, config.primary_metric)
     champ = results[selection.champion]
     bundle = ModelBundle(selection.champion, champ.model)
-    if selection.champion == "random_forest":
-        bundle.interval = champ.model.stages[-1]
     return PipelineOutput(split, cache, results, table, selection, bundle, n_bad)
 
 
@@ -86,6 +88,12 @@ _LOCK = threading.Lock()
 _MEMO: dict[tuple, PipelineOutput] = {}
 
 
+def known_training(spark, sf_dir: str, candidates: list[str]) -> PipelineOutput | None:
+    """The run of ``memo_training`` that this session has already made, if any."""
+    with _LOCK:
+        return _MEMO.get((*input_key(spark, sf_dir), tuple(candidates)))
+
+
 def memo_training(spark, sf_dir: str, snapshots: DataFrame, candidates: list[str]) -> PipelineOutput:
     """One training run per (session, data, candidate list), shared by the
     explanation / scoring queries that need fitted models."""
@@ -106,9 +114,6 @@ def backtest_candidates(snapshots: DataFrame, candidates: list[str], kind: str =
     driver (a handful of folds); every fit and score is a Spark job, and the
     fold frames are month filters that prune the month-partitioned table.
     """
-    from pyspark.sql import functions as F
-
-    from closecast.operators.metrics import METRIC_NAMES
     from closecast.operators.splits import (
         SplitConfig as _SC,
         expanding_fold_windows,
@@ -131,4 +136,6 @@ def backtest_candidates(snapshots: DataFrame, candidates: list[str], kind: str =
             r = _fit_one(name, split, cache, config)
             row = r.metrics.select(F.lit(fold).alias("fold_id"), F.lit(name).alias("model"), "n", *METRIC_NAMES)
             out = row if out is None else out.unionByName(row)
+        if cache:
+            cache.release()
     return out
