@@ -23,7 +23,13 @@ from closecast.session import ensure_checkpoint_dir
 CHUNK_BYTES = 1 << 20
 
 
+ARROW_BYTES = "8m"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One input table. Long texts make large Arrow batches, so a default batch size is lowered to ARROW_BYTES."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") in ("67108864", "67108864b"):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

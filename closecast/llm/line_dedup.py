@@ -181,22 +181,50 @@ def _line_sets(rarity_of, threshold: float):
 
 
 _LINES = "doc long, tag long, line int, key long, n int, sig long, sig2 long, prefix binary"
-_POSTING = "token long, doc long, line int, n int, pos int, sig long, sig2 long"
+_POSTING = "token long, doc long, line int, n int, pos int, sig long, sig2 long, key long"
 
 
-def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _prefixes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All packed prefix words of a binary column, and each one's row."""
+    column = column.cast(pa.large_binary())
+    _, off, data = column.buffers()
+    ends = np.frombuffer(off, dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    wide = np.frombuffer(data, dtype=np.uint8)[ends[0]:ends[-1]].view(np.uint64) if ends[-1] > ends[0] else np.zeros(0, dtype=np.uint64)
+    return wide, np.repeat(np.arange(len(column)), np.diff(ends) // 8)
+
+
+def _token_place(token: np.ndarray) -> np.ndarray:
+    return (mix(token) >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
+
+
+def _postings(wanted=None):
+    """A row for each prefix word of a set; with ``wanted`` (packed bits over hashed words) only for words that may be in it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value if wanted is not None else None
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 10_000):
+                b = batch.slice(lo, 10_000)
+                wide, each = _prefixes(b.column("prefix"))
+                token = wide & np.uint64((1 << 44) - 1)
+                if bits is not None:
+                    at = _token_place(token)
+                    keep = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+                    wide, each, token = wide[keep], each[keep], token[keep]
+                own = {c: pa.array(np.asarray(b.column(c))[each]) for c in ("doc", "line", "n", "sig", "sig2", "key")}
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(token)), own["doc"], own["line"], own["n"], pa.array((wide >> _ID_BITS).astype(np.int32)), own["sig"], own["sig2"], own["key"]],
+                    names=["token", "doc", "line", "n", "pos", "sig", "sig2", "key"])
+    return run
+
+
+def _token_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The prefix words of some sets as a bitmap, in slices that hold any."""
+    bits = np.zeros(1 << SEEN_BITS, dtype=bool)
     for batch in batches:
-        for lo in range(0, batch.num_rows, 10_000):
-            b = batch.slice(lo, 10_000)
-            raw = [x.as_buffer() for x in b.column("prefix")]
-            p = np.array([len(x) // 8 for x in raw], dtype=np.int64)
-            wide = np.frombuffer(b"".join(raw), dtype=np.uint64)
-            each = np.repeat(np.arange(len(p)), p)
-            names = ["doc", "line", "n", "sig", "sig2"]
-            own = {c: pa.array(np.asarray(b.column(c))[each]) for c in names}
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(wide & np.uint64((1 << 44) - 1))), own["doc"], own["line"], own["n"], pa.array((wide >> _ID_BITS).astype(np.int32)), own["sig"], own["sig2"]],
-                names=["token", "doc", "line", "n", "pos", "sig", "sig2"])
+        wide, _ = _prefixes(batch.column("prefix"))
+        bits[_token_place(wide & np.uint64((1 << 44) - 1))] = True
+    parts = [(k, np.packbits(x)) for k, x in enumerate(np.split(bits, 1024)) if x.any()]
+    yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([x.tobytes() for _, x in parts], pa.binary())], names=["slice", "bits"])
 
 
 class _Posted(NamedTuple):
@@ -238,11 +266,12 @@ def _small_groups(g: _Posted, nth: np.ndarray, threshold: float):
 
 
 def _large_group(g: _Posted, begin: int, size: int, threshold: float, every: bool, wanted: np.ndarray):
-    """One group, members in blocks against all earlier ones; unless ``every``, a member stops at its first pair."""
+    """One group, members in blocks against all earlier ones; unless ``every``, a member stops at its second pair."""
     out_i, out_j = [], []
     for j0 in range(begin, begin + size, 256):
         js = np.arange(j0, min(j0 + 256, begin + size))
         js = js[wanted[js]]
+        seen = np.zeros(256, dtype=np.int64)
         for i0 in range(begin, min(j0 + 256, begin + size), 2048):
             if len(js) == 0:
                 break
@@ -252,12 +281,12 @@ def _large_group(g: _Posted, begin: int, size: int, threshold: float, every: boo
             ii, jj = ii[before], jj[before]
             ok = _passing(g, ii, jj, threshold)
             ii, jj = ii[ok], jj[ok]
-            if not every:
-                jj, at = np.unique(jj, return_index=True)  # the earliest of each
-                ii = ii[at]
-                js = np.setdiff1d(js, jj)
             out_i.append(ii)
             out_j.append(jj)
+            if not every:
+                n = np.bincount(jj - j0, minlength=256)
+                seen[:] += n
+                js = js[seen[js - j0] < 2]
     return out_i, out_j
 
 
@@ -282,7 +311,9 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
 
 
 def _candidates(threshold: float, every: bool):
-    """Pairs (later doc, line; earlier doc, line); ``every``: all that pass, for the wanted members only."""
+    """Pairs (later doc, line; earlier doc, line): of each member the earliest that passes, and whether there are ``more``.
+
+    ``every``: all that pass, for the wanted members only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in _groups(batches):
             g = _Posted(*got[:3], *(x.astype(np.int64) for x in got[3:5]), *(x.view(np.uint64) for x in got[5:7]))
@@ -300,16 +331,19 @@ def _candidates(threshold: float, every: bool):
             i, j = np.concatenate(out_i), np.concatenate(out_j)
             if every:
                 i, j = i[wanted[j]], j[wanted[j]]
+                more = np.zeros(len(j), dtype=bool)
             else:
                 order = np.lexsort((i, j))
                 i, j = i[order], j[order]
                 one = np.concatenate([[True], j[1:] != j[:-1]])[:len(j)]
+                more = np.diff(np.append(np.flatnonzero(one), len(j))) > 1
                 i, j = i[one], j[one]
-            yield pa.RecordBatch.from_arrays([pa.array(g.doc[j]), pa.array(g.line[j]), pa.array(g.doc[i]), pa.array(g.line[i])], names=["doc", "line", "doc2", "line2"])
+            yield pa.RecordBatch.from_arrays([pa.array(g.doc[j]), pa.array(g.line[j]), pa.array(g.doc[i]), pa.array(g.line[i]), pa.array(more)],
+                                             names=["doc", "line", "doc2", "line2", "more"])
     return run
 
 
-_PAIR = "doc long, line int, doc2 long, line2 int"
+_PAIR = "doc long, line int, doc2 long, line2 int, more boolean"
 
 
 def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,6 +390,22 @@ def _matched(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(a, ["doc", "line"]).join(b, ["doc2", "line2"]).select("doc", "line", "wa", "wb").mapInArrow(_verified(threshold), "doc long, line int").distinct()
 
 
+def _remaining(lines: DataFrame, doubtful: DataFrame, threshold: float) -> DataFrame:
+    """All passing pairs of the ``doubtful`` members (doc, line), from the postings of their words alone."""
+    spark = lines.sparkSession
+    own = KeyFilter(doubtful).split(lines.select("doc", "line", "prefix"), "doc", "line").where("maybe").join(doubtful, ["doc", "line"], "left_semi")
+    bits = np.zeros((1024, 1 << (SEEN_BITS - 13)), dtype=np.uint8)
+    for r in own.mapInArrow(_token_bits, "slice int, bits binary").toLocalIterator():  # a fixed number of bytes from each task
+        bits[r["slice"]] |= np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+    postings = lines.select("doc", "line", "n", "sig", "sig2", "prefix", "key").mapInArrow(_postings(spark.sparkContext.broadcast(bits.ravel())), _POSTING)
+    # equal sets have equal postings: the earliest place stands for them
+    first = postings.groupBy("token", "key").agg(F.min(F.struct("doc", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "pos", "sig", "sig2")])
+    wanted = first.select("token", "at.doc", "at.line", "n", "pos", "sig", "sig2").join(doubtful.withColumn("wanted", F.lit(True)), ["doc", "line"], "left")
+    wanted = wanted.select("token", "doc", "line", "n", "pos", "sig", "sig2", F.coalesce("wanted", F.lit(False)).alias("wanted"))
+    dealt = wanted.repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "doc", "line")
+    return dealt.mapInArrow(_candidates(threshold, True), _PAIR).drop("more").distinct()
+
+
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the lines listed in ``__gone``."""
     for batch in batches:
@@ -384,20 +434,15 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     lines = checkpointed(src.mapInArrow(_line_sets(rare, threshold), _LINES))
     # one row per distinct set: its earliest place, and what its postings need (equal for equal sets)
     sets = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "sig", "sig2", "prefix")])
-    postings = sets.select("at.doc", "at.line", "n", "sig", "sig2", "prefix").mapInArrow(_postings, _POSTING)
     parts = shuffle_partitions(spark)
+    postings = sets.select("at.doc", "at.line", "n", "sig", "sig2", "prefix", "key").mapInArrow(_postings(), _POSTING).drop("key")
     dealt = postings.repartition(parts, "token").sortWithinPartitions("token", "doc", "line")
-    pairs = checkpointed(dealt.mapInArrow(_candidates(threshold, False), _PAIR).distinct())
-    settled = checkpointed(_matched(src, pairs, threshold))
-    # members whose earliest pairs failed: compared with all earlier ones that pass the filters
-    doubtful = checkpointed(pairs.select("doc", "line").distinct().join(settled, ["doc", "line"], "left_anti"))
+    pairs = checkpointed(dealt.mapInArrow(_candidates(threshold, False), _PAIR).groupBy("doc", "line", "doc2", "line2").agg(F.max("more").alias("more")))
+    settled = checkpointed(_matched(src, pairs.drop("more"), threshold))
+    # members whose earliest pairs failed and that have others: compared with all earlier ones that pass the filters
+    doubtful = checkpointed(pairs.where("more").select("doc", "line").distinct().join(settled, ["doc", "line"], "left_anti"))
     if has_rows(doubtful):
-        theirs = KeyFilter(doubtful).split(postings, "doc", "line")  # thinned before the exact join
-        own = theirs.where("maybe").join(doubtful, ["doc", "line"], "left_semi").select("token").distinct()
-        theirs = KeyFilter(checkpointed(own)).split(postings, "token").where("maybe").drop("maybe")
-        again = theirs.join(doubtful.withColumn("wanted", F.lit(True)), ["doc", "line"], "left").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
-        again = again.select("token", "doc", "line", "n", "pos", "sig", "sig2", "wanted").repartition(parts, "token").sortWithinPartitions("token", "doc", "line")
-        more = checkpointed(again.mapInArrow(_candidates(threshold, True), _PAIR).distinct().join(pairs, ["doc", "line", "doc2", "line2"], "left_anti"))
+        more = checkpointed(_remaining(lines, doubtful, threshold).join(pairs, ["doc", "line", "doc2", "line2"], "left_anti"))
         settled = settled.union(_matched(src, more, threshold)) if has_rows(more) else settled
     settled = settled.withColumn("gone", F.lit(True))
     places = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("at")).select("key", "at.doc", "at.line")

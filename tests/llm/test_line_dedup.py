@@ -53,3 +53,20 @@ def test_empty_table_and_clashing_columns(spark):
     got = dedup_lines(docs)
     assert got.count() == len(rows) and got.columns.count("n_removed") == 1 and got.first()["key"] == "clash"
     assert dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_second_pass_finds_every_similar_pair(spark):
+    """The pairs of ``_remaining`` for all members hold every earlier similar set, not only the earliest."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(15)
+    base = prose(rng, 60)
+    texts = {k: edited(rng, base, 0.06) if k % 2 else prose(rng, 40) for k in range(40)}
+    docs = frame(spark, [(k, t, "en", "s", 1) for k, t in texts.items()])
+    src = docs.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("tag"), "text")
+    rare = spark.sparkContext.broadcast(line_dedup.rarity(docs))
+    lines = src.mapInArrow(line_dedup._line_sets(rare, 0.8), line_dedup._LINES)
+    got = {(r.doc, r.doc2) for r in line_dedup._remaining(lines, lines.select("doc", "line"), 0.8).collect()}
+    sets = {k: frozenset(words(t.encode())) for k, t in texts.items()}
+    want = {(j, i) for j in sets for i in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert len(want) > 50 and want <= got
