@@ -120,6 +120,21 @@ def score_cutoff_rows(scored_with_actual: DataFrame) -> DataFrame:
         F.round(ape, 4).alias("abs_pct_error"))
 
 
+def cutoff_wape(scored_with_actual: DataFrame) -> DataFrame:
+    """B4 block: rows and unrounded WAPE of all scored rows at the cutoff."""
+    from closecast.operators.metrics import metric_exprs
+
+    return scored_with_actual.agg(F.count(F.lit(1)).alias("n"), metric_exprs(TARGET, PREDICTION)["wape"].alias("wape"))
+
+
+def gross_to_net_rows(frame: DataFrame, day: int = DEMO_CUTOFF_DAY) -> DataFrame:
+    """P8 items: gross, net (2 places) and their ratio (3 places, NULL if net is 0) of every row at the cutoff."""
+    at = frame.where(F.col(SNAPSHOT_DAY) == day)
+    gross, net = F.col("month_to_date_gross_charges"), F.col(TARGET)
+    return at.select(FACILITY, MONTH, SNAPSHOT_DAY, F.round(gross, 2).alias("gross_charges"), F.round(net, 2).alias("net_revenue"),
+                     F.round(F.when(net != 0, gross / net), 3).alias("gross_to_net_ratio"))
+
+
 def gross_to_net(frame: DataFrame, day: int = DEMO_CUTOFF_DAY) -> DataFrame:
     """Gross / net at the cutoff: per facility-month row ratios are averaged
     over rows with a non-zero target (all rows, not a display sample)."""

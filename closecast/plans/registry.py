@@ -320,6 +320,15 @@ def q_gross_to_net(spark, sf_dir):
     return B.gross_to_net(snapshots(spark, sf_dir), 15)
 
 
+@register("gross_to_net_rows", W(f"""
+SELECT facility_id, accounting_month, snapshot_day, round(month_to_date_gross_charges, 2) AS gross_charges, round({TARGET}, 2) AS net_revenue,
+       round(CASE WHEN {TARGET} <> 0 THEN month_to_date_gross_charges / {TARGET} END, 3) AS gross_to_net_ratio
+FROM snapshots WHERE snapshot_day = 15"""))
+def q_gross_to_net_rows(spark, sf_dir):
+    """The per-row items at the cutoff, all rows."""
+    return B.gross_to_net_rows(snapshots(spark, sf_dir), 15)
+
+
 # ---------------------------------------------------------------- baselines / joins
 @register("naive_prior", W(f"SELECT {_cols(KEYS)}, {P} FROM scored", SPLIT))
 def q_naive_prior(spark, sf_dir):
@@ -381,6 +390,15 @@ def q_score_cutoff_preview(spark, sf_dir):
     return B.score_cutoff_rows(predictions_vs_actuals(preds, at))
 
 
+@register("score_cutoff_block", W(f"""
+SELECT COUNT(*) AS n, round({O.wape_sql()}, 6) AS wape FROM scored WHERE split = 'test' AND snapshot_day = 15""", SPLIT))
+def q_score_cutoff_block(spark, sf_dir):
+    """WAPE of the whole test block at the cutoff."""
+    at = B.cutoff_filter(T.blocked_temporal_split(snapshots(spark, sf_dir)).test, 15)
+    preds = B.batch_score(naive_bundle(spark, sf_dir), at, cutoff_day=15)
+    return B.cutoff_wape(predictions_vs_actuals(preds, at)).withColumn("wape", F.round("wape", 6))
+
+
 @register("latest_snapshot", W(f"""
 SELECT {_cols(ALL_COLUMNS)} FROM (
   SELECT *, row_number() OVER (PARTITION BY facility_id, accounting_month ORDER BY snapshot_day DESC) AS rn
@@ -612,16 +630,26 @@ def _feature_transform_sql() -> str:
 
 @register("feature_transform", _feature_transform_sql())
 def q_feature_transform(spark, sf_dir):
-    """Builder fitted on train, applied to every row (numeric block).
-
-    One-hot columns depend on the categories seen in training; they are
-    checked by ``train_categories`` and the unit tests.
-    """
+    """Builder fitted on train, applied to every row (numeric block; ``feature_onehot`` has the other)."""
     snaps = snapshots(spark, sf_dir)
     model = LeakageSafeFeatures(outputCol="").fit(T.blocked_temporal_split(snaps).train)
     return model.transform(snaps.drop(TARGET)).select(*KEYS, *_NUMERIC)
 
 
+@register("feature_onehot", W(f"""
+SELECT {_cols([f's.{k}' for k in KEYS])}, concat_ws(',', {', '.join(
+    f"CASE WHEN s.{d} IN (SELECT {d} FROM split WHERE split = 'train') THEN '{d}__' || s.{d} END" for d in DIMENSIONS)}) AS hot,
+       {' + '.join(f"(SELECT COUNT(DISTINCT {d}) FROM split WHERE split = 'train')" for d in DIMENSIONS)} AS n_columns
+FROM snapshots s""", SPLIT))
+def q_feature_onehot(spark, sf_dir):
+    """the one-hot block of every row: names of its set columns, and how many columns there are."""
+    snaps = snapshots(spark, sf_dir)
+    model = LeakageSafeFeatures(outputCol="").fit(T.blocked_temporal_split(snaps).train)
+    names = [n for n in model.feature_names() if n not in model.medians]
+    hot = F.concat_ws(",", *[F.when(F.col(f"`{n}`") == 1, F.lit(n)) for n in names])
+    return model.transform(snaps.drop(TARGET)).select(*KEYS, hot.alias("hot"), F.lit(len(names)).cast("bigint").alias("n_columns"))
+
+
 # ---------------------------------------------------------------- selection / KPI
 SEL_TABLE = f"""
 SELECT 'naive_prior' AS model, {O.metric_sql().split(',', 1)[1]} FROM scored WHERE split = 'test'

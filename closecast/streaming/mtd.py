@@ -54,12 +54,14 @@ def start_daily_rollup(spark: SparkSession, source: str, out_dir: str, checkpoin
     return writer.start()
 
 
-def dropped_by_watermark(spark: SparkSession, query, out_dir: str) -> int:
-    """Late rows dropped by the watermark: every input row either lands in a
-    daily window of the output or was dropped, so this is the input row count
-    from the query progress minus the events counted in the output."""
-    seen = sum(int(p.numInputRows if hasattr(p, "numInputRows") else p.get("numInputRows", 0))
-               for p in query.recentProgress or [])
+def dropped_by_watermark(spark: SparkSession, source: str, out_dir: str) -> int:
+    """Late rows dropped by the watermark, once the query has taken all of ``source``.
+
+    Every row either lands in a daily window of the output or was dropped, so
+    this is the rows of the source files minus the events counted in the
+    output. It needs no query progress, of which Spark keeps only the last batches.
+    """
+    seen = spark.read.schema(EVENTS_SCHEMA).parquet(source).count()
     counted = latest_daily(spark, out_dir).agg(F.sum("n_events")).first()[0] or 0
     return seen - int(counted)
 

@@ -10,7 +10,8 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_check import duck, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.oracle_sql())
+# the facts of the model queries train 300-round models; tools/oracle_check.py and the driver run them
+NAMES = sorted(n for n in E.oracle_sql() if not n.endswith("_facts"))
 
 
 @pytest.fixture(scope="module")
