@@ -12,7 +12,7 @@ Spark with map-side sums. Expectation-maximisation then runs over the distinct
 words: each task runs forward and backward passes and returns expected piece
 counts per language, a table of vocabulary x languages whatever the corpus.
 All words of a batch advance together, one byte a step, in numpy. Scoring
-computes each distinct word of a chunk of texts once. A word of over
+computes each distinct word of a task once, as long as they fit a bounded table. A word of over
 LONGEST_WORD bytes (text without spaces) is segmented run by run of that size.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; a
@@ -266,14 +266,40 @@ def has_letter(data: bytes) -> bool:
     return _LETTER.search(data.decode("utf-8", "replace")) is not None
 
 
-def classify(model: Model, data: bytes, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
+class KnownWords:
+    """Scores of words met so far in a task, by hash; starts anew beyond LIMIT words, so its memory is bounded."""
+
+    LIMIT = 400_000
+
+    def __init__(self, langs: int):
+        self.hash, self.scores = np.zeros(0, dtype=np.uint64), np.zeros((0, langs))
+
+    def scored(self, model: Model, data: bytes, start: np.ndarray, end: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Scores of words with distinct, sorted hashes ``h``."""
+        if len(self.hash) > self.LIMIT:
+            self.__init__(len(model.langs))
+        at = np.searchsorted(self.hash, h)
+        known = np.zeros(len(h), dtype=bool)
+        inside = at < len(self.hash)
+        known[inside] = self.hash[at[inside]] == h[inside]
+        out = np.empty((len(h), len(model.langs)))
+        out[known] = self.scores[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            out[new] = word_scores(model.vocab, model.prob, data, start[new], end[new])
+            self.hash = np.insert(self.hash, at[new], h[new])
+            self.scores = np.insert(self.scores, at[new], out[new], axis=0)
+        return out
+
+
+def classify(model: Model, data: bytes, offsets: np.ndarray, known: KnownWords) -> tuple[list[str], np.ndarray]:
     """Language and score of each text of a chunk."""
     n, langs = len(offsets) - 1, model.langs
     w = _cut_long(chunk_words(data, offsets), data)
-    _, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
+    h, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
     if len(first) == 0 or not langs:
         return ["und"] * n, np.zeros(n)
-    each = word_scores(model.vocab, model.prob, data, w.start[first], w.end[first])
+    each = known.scored(model, data, w.start[first], w.end[first], h)
     total = np.zeros((n, len(langs)))
     row = np.repeat(np.arange(n), np.diff(w.first))
     for j in range(len(langs)):
@@ -287,10 +313,11 @@ def classify(model: Model, data: bytes, offsets: np.ndarray) -> tuple[list[str],
 def _classified(model_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of.value
+        known = KnownWords(len(model.langs))
         for batch in batches:
             names, scores = [], []
             for c in text_chunks(batch.column("__text")):
-                lang, score = classify(model, c.data, c.offsets)
+                lang, score = classify(model, c.data, c.offsets, known)
                 names += lang
                 scores.append(score)
             keep = [i for i, c in enumerate(batch.schema.names) if c != "__text"]
