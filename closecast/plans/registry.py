@@ -271,6 +271,75 @@ def q_leakage_invalid_sample(spark, sf_dir):
     return C.leakage_report(IO.invalid_sample(snapshots(spark, sf_dir), 20))
 
 
+_FIRST_MONTH = "(SELECT MIN(accounting_month) FROM snapshots)"
+_SHIFTED_CTE = f"""shifted AS (SELECT * REPLACE (
+  CASE WHEN accounting_month = {_FIRST_MONTH} AND snapshot_day = 10
+       THEN strftime(CAST(strptime(snapshot_date, '%Y-%m-%d') AS DATE) + 40, '%Y-%m-%d') ELSE snapshot_date END AS snapshot_date,
+  CASE WHEN accounting_month = {_FIRST_MONTH} AND snapshot_day = 15 THEN {TARGET} + 1 ELSE {TARGET} END AS {TARGET}) FROM snapshots)"""
+_GARBLED_CTE = f"""garbled AS (SELECT * REPLACE (
+  CASE WHEN accounting_month = {_FIRST_MONTH} AND snapshot_day = 10 THEN 'soon' ELSE snapshot_date END AS snapshot_date) FROM snapshots)"""
+
+
+def _planted(spark, sf_dir):
+    snaps = snapshots(spark, sf_dir)
+    first = F.lit(snaps.agg(F.min("accounting_month")).first()[0])
+    return snaps, (F.col("accounting_month") == first) & (F.col("snapshot_day") == 10), (F.col("accounting_month") == first) & (F.col("snapshot_day") == 15)
+
+
+@register("leakage_planted_dates", W(_leak_sql("shifted"), _SHIFTED_CTE))
+def q_leakage_planted_dates(spark, sf_dir):
+    """C2, C3, C5 on the whole table with dates moved into another month and targets changed."""
+    snaps, day10, day15 = _planted(spark, sf_dir)
+    moved = F.date_format(F.date_add(F.to_date("snapshot_date"), 40), "yyyy-MM-dd")
+    return C.leakage_report(snaps.withColumns({
+        "snapshot_date": F.when(day10, moved).otherwise(F.col("snapshot_date")), TARGET: F.when(day15, F.col(TARGET) + 1).otherwise(F.col(TARGET))}))
+
+
+@register("leakage_planted_text", W(_leak_sql("garbled"), _GARBLED_CTE))
+def q_leakage_planted_text(spark, sf_dir):
+    """C6 on the whole table with dates that do not parse."""
+    snaps, day10, _ = _planted(spark, sf_dir)
+    return C.leakage_report(snaps.withColumn("snapshot_date", F.when(day10, F.lit("soon")).otherwise(F.col("snapshot_date"))))
+
+
+@register("coerced_failures", W(f"""
+SELECT {_cols(KEYS)}, '{TARGET}' AS "column", 'coerce_dtype(''double'')' AS "check", 'n/a' AS failure_case FROM snapshots
+WHERE snapshot_day = 10 AND {TARGET} > 0
+UNION ALL SELECT {_cols(KEYS)}, '{TARGET}', 'not_nullable', NULL FROM snapshots WHERE snapshot_day = 10 AND {TARGET} > 0"""))
+def q_coerced_failures(spark, sf_dir):
+    """C1 on text input: every value as text, the target unreadable on day 10, so also missing (rows whose target meets the contract)."""
+    snaps = snapshots(spark, sf_dir).where(F.col(TARGET) > 0)
+    text = snaps.select(*[F.col(c).cast("string").alias(c) for c in snaps.columns]).withColumn(
+        TARGET, F.when(F.col("snapshot_day") == "10", F.lit("n/a")).otherwise(F.col(TARGET)))
+    found = C.coerced_contract_failures(text)
+    return found.select(*[F.col(k).cast(dict(snaps.dtypes)[k]).alias(k) for k in KEYS], "column", "check", "failure_case")
+
+
+@register("orphan_facts", """
+SELECT COUNT(*) AS n_facts, COUNT(*) FILTER (WHERE s.s_suppkey IS NULL) AS n_without_supplier
+FROM lineitem l LEFT JOIN (SELECT DISTINCT s_suppkey FROM supplier) s ON l.l_suppkey = s.s_suppkey""")
+def q_orphan_facts(spark, sf_dir):
+    """G11 check row: facts whose supplier is unknown, which the snapshots leave out. Counted by key before the join."""
+    keys = read_table(spark, sf_dir, "lineitem", ["l_suppkey"]).groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    sup = read_table(spark, sf_dir, "supplier", ["s_suppkey"]).distinct()
+    j = keys.join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    return j.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_facts"),
+                 F.coalesce(F.sum(F.when(F.col("s_suppkey").isNull(), F.col("n"))), F.lit(0)).alias("n_without_supplier"))
+
+
+@register("quarantine_ledger", W(f"""
+SELECT accounting_month, COUNT(*) AS n_input, COUNT(*) FILTER (WHERE {TARGET} > 0) AS n_good, COUNT(*) FILTER (WHERE NOT ({TARGET} > 0)) AS n_bad
+FROM snapshots GROUP BY accounting_month"""))
+def q_quarantine_ledger(spark, sf_dir):
+    """By month, accepted + quarantined = input (the only rule that the derived snapshots break is target > 0)."""
+    snaps = snapshots(spark, sf_dir)
+    path = IO.scratch_path(spark, "quarantine")
+    good, _ = C.accepted_rows(snaps, path)
+    by = lambda df, name: df.groupBy("accounting_month").agg(F.count(F.lit(1)).alias(name))
+    both = by(snaps, "n_input").join(by(good, "n_good"), "accounting_month", "left").join(by(spark.read.parquet(path), "n_bad"), "accounting_month", "left")
+    return both.select("accounting_month", "n_input", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_good", "n_bad")])
+
+
 @register("quarantine_invalid_sample", W(f"""
 SELECT {_cols(KEYS)}, string_agg("column" || ':' || "check", ';' ORDER BY ord) AS contract_failures
 FROM ({_contract_union('invalid')}) GROUP BY {_cols(KEYS)}""", INVALID_CTE))
@@ -358,7 +427,9 @@ def q_batch_score(spark, sf_dir):
     return B.batch_score(bundle, snapshots(spark, sf_dir), scored_at="2001-11-01 00:00:00")
 
 
-@register("predictions_vs_actuals", W(f"SELECT {_cols(KEYS)}, {P}, {Y} FROM scored", SPLIT))
+@register("predictions_vs_actuals", W(f"""
+SELECT {_cols([f'p.{k}' for k in KEYS])}, p.{P}, a.{Y} FROM (SELECT {_cols(KEYS)}, {P} FROM scored) p
+JOIN (SELECT {_cols(KEYS)}, {Y} FROM snapshots) a ON {' AND '.join(f'p.{k} = a.{k}' for k in KEYS)}""", SPLIT))
 def q_predictions_vs_actuals(spark, sf_dir):
     """Scored predictions inner-joined to actuals on the four keys."""
     bundle = naive_bundle(spark, sf_dir)
