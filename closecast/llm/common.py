@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -20,7 +22,7 @@ from pyspark.sql import types as T
 
 from closecast.session import ensure_checkpoint_dir
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18  # the working arrays of a chunk take about 100 times its bytes
 
 
 ARROW_BYTES = "8m"
@@ -33,9 +35,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables that ``checkpointed`` writes inside are deleted at the end, but for those it is told to keep.
+
+    What leaves the block must read kept tables and inputs only.
+    """
+    paths: list[str] = []
+    token = _SCRATCH.set(paths)
+    try:
+        yield paths
+    finally:
+        _SCRATCH.reset(token)
+        for p in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def new_table_path(spark: SparkSession, name: str = "table", keep: bool = False) -> str:
+    """A fresh place in the shared checkpoint folder."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    paths = _SCRATCH.get()
+    if paths is not None and not keep:
+        paths.append(path)
+    return path
+
+
+def checkpointed(df: DataFrame, keep: bool = False) -> DataFrame:
     """``df`` written as a table in the shared checkpoint folder and read back: lineage is cut, columns are pruned."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = new_table_path(df.sparkSession, keep=keep)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -144,7 +175,7 @@ _FOLDED_VALUE = BYTE_VALUE[np.frombuffer(FOLD, dtype=np.uint8)]
 _BASE = 0x5851F42D4C957F2D
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n, _BASE, dtype=np.uint64), np.full(n, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
     up[0] = down[0] = 1
@@ -161,7 +192,7 @@ class Words(NamedTuple):
 def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.ndarray = _FOLDED_VALUE) -> np.ndarray:
     """64-bit hashes of the byte spans ``start:end`` of ``buf`` (folded to lower case by default)."""
     n = len(buf)
-    size = 1 << max(16, int(n).bit_length())
+    size = 1 << max(18, int(n).bit_length())
     up, down = _powers(size)
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(values[buf] * up[:n], out=total[1:])

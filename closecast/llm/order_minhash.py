@@ -32,7 +32,6 @@ copies of its text have ids; ties go to the smaller ``doc_id``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,9 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closecast.llm.common import KeyFilter, checkpointed, chunk_words, has_rows, mix, shuffle_partitions, signed, text_chunks
+from closecast.llm.common import KeyFilter, checkpointed, chunk_words, has_rows, mix, new_table_path, scratch_tables, shuffle_partitions, signed, text_chunks
 from closecast.llm.components import ROWS_PER_TASK, components
-from closecast.session import ensure_checkpoint_dir
 
 SHINGLE = 5
 SKETCHES = 24
@@ -299,8 +297,16 @@ def _candidates(entries: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, sketches: int = SKETCHES) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (smallest doc_id of its group), n_links (links of its text to different texts)."""
-    rows = checkpointed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                        .mapInArrow(_sketched(sketches), "doc_id long, k1 long, k2 long, n_words long, keys array<long>"))
+    with scratch_tables(docs.sparkSession):  # all but the keys of the rows and the classes of the texts
+        rows = checkpointed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+                            .mapInArrow(_sketched(sketches), "doc_id long, k1 long, k2 long, n_words long, keys array<long>"))
+        classes = checkpointed(_classes(docs, rows, threshold), keep=True)
+        rows = checkpointed(rows.select("doc_id", "k1", "k2"), keep=True)
+    return rows.join(classes, ["k1", "k2"]).select("doc_id", "class_id", "n_links")
+
+
+def _classes(docs: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
+    """(k1, k2, class_id, n_links) of each distinct text."""
     # copies: one document stands for all of a text; copies have equal sketches
     texts = checkpointed(rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.max("n_words").alias("n_words"), F.first("keys").alias("keys")))
     entries = (texts.where("rep is not null and n_words > 0")
@@ -309,10 +315,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, sketches: int
     entries = checkpointed(entries.join(shared, "key").select("key", "t", "n_words", "rep"))
     links, comp = _verified_links(docs, entries, threshold)
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    classes = (texts.select("k1", "k2", "rep").join(comp, F.col("rep") == F.col("node"), "left").drop("node")
-               .join(degree, F.col("rep") == F.col("node"), "left")
-               .select("k1", "k2", F.coalesce("component", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
-    return rows.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "class_id", "n_links")
+    return (texts.select("k1", "k2", "rep").join(comp, F.col("rep") == F.col("node"), "left").drop("node")
+            .join(degree, F.col("rep") == F.col("node"), "left")
+            .select("k1", "k2", F.coalesce("component", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
 
 def _tokens_table(docs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -322,8 +327,9 @@ def _tokens_table(docs: DataFrame, reps: DataFrame) -> DataFrame:
     # rows with equal ids count as one node: the longest of their word sequences stands for it
     tokens = (thin.join(reps, "rep", "left_semi").mapInArrow(_tokens, "rep long, tokens binary")
               .groupBy("rep").agg(F.max_by("tokens", F.struct(F.length("tokens"), "tokens")).alias("tokens")))
-    name = f"closecast_tokens_{uuid.uuid4().hex}"
-    (tokens.write.option("compression", "none").option("path", f"{ensure_checkpoint_dir(spark)}/{name}")
+    path = new_table_path(spark, "closecast_tokens")
+    name = path.rpartition("/")[2].replace("-", "_")
+    (tokens.write.option("compression", "none").option("path", path)
      .bucketBy(shuffle_partitions(spark), "rep").sortBy("rep").saveAsTable(name))
     return spark.table(name)
 
