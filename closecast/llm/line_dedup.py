@@ -5,10 +5,9 @@ line goes when an earlier line of the corpus, by (doc_id, line number), has
 Jaccard similarity ``threshold`` or more with it, whether or not that line
 itself stays. The join is exact; its steps only skip what cannot match:
 
-1. Rarity: word counts over the whole corpus in 2^18 hashed counters, and a
-   bitmap of 2^24 hashed words seen twice (tables of fixed size). Any fixed order of words
-   keeps the join exact; this one puts rare words first. A word seen once
-   matches nothing and is not posted.
+1. Rarity: word counts over the whole corpus in 2^18 hashed counters (a table
+   of fixed size). Any fixed order of words keeps the join exact; this one
+   puts rare words first.
 2. Equal sets collapse first, with map-side minimums: one row per distinct
    set, with its earliest place. Later equal lines are settled by that.
 3. Prefix filter: sets that overlap enough share one of their first
@@ -41,16 +40,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from closecast.llm.common import KeyFilter, checkpointed, chunk_words, has_rows, mix, shuffle_partitions, signed, text_chunks
+from closecast.llm.common import KeyFilter, checkpointed, chunk_words, has_rows, mix, scratch_tables, shuffle_partitions, signed, text_chunks
 
 THRESHOLD = 0.8
 COUNTER_BITS = 18
-SEEN_BITS = 24
+FILTER_BITS = 24  # hashed words in the second pass's filter
 _SLICES = 16
 _LAST = (1 << 63) - 1  # a null doc_id's place in the order
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ID_BITS = np.uint64(44)
 _BATCH = 200_000
+POSTINGS_PER_BUCKET = 200_000
 
 
 def line_borders(data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,68 +62,37 @@ def line_borders(data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.append(starts[starts < len(buf)], len(buf)), row[starts < len(buf)]
 
 
-class Rarity(NamedTuple):
-    classes: np.ndarray  # 12-bit rarity class of each hashed counter
-    twice: np.ndarray  # packed bits: hashed words that may occur more than once
-
-
-def _seen(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
-
-
-def _merge(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
-    """Sums of the counts; words seen on both sides have been seen twice."""
-    return [a[0] + b[0], a[1] | b[1], a[2] | b[2] | (a[1] & b[1])]
-
-
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
-    once, twice = np.zeros(1 << SEEN_BITS, dtype=bool), np.zeros(1 << SEEN_BITS, dtype=bool)
+    total = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
     for batch in batches:
         for c in text_chunks(batch.column("text")):
             w = chunk_words(c.data, c.offsets)
-            counts += np.bincount((w.hash >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(counts))
-            h = np.sort(w.hash)
-            new = np.concatenate([[True], h[1:] != h[:-1]])[:len(h)]
-            twice[_seen(h[~new])] = True
-            at = _seen(h[new])
-            twice[at[once[at]]] = True
-            once[at] = True
-            same = np.flatnonzero(np.diff(at) == 0)  # two words of one place
-            twice[at[same]] = True
-    yield _slices([np.split(counts, _SLICES), np.split(np.packbits(once), _SLICES), np.split(np.packbits(twice), _SLICES)], range(_SLICES))
-
-
-def _slices(parts: list[list[np.ndarray]], numbers) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(numbers), pa.int32())] + [pa.array([x.tobytes() for x in p], pa.binary()) for p in parts],
-                                      names=["slice", "counts", "once", "twice"])
+            total += np.bincount((w.hash >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(total))
+    yield _slices(np.split(total, _SLICES), range(_SLICES))
 
 
-def _parts(row: dict) -> list[np.ndarray]:
-    return [np.frombuffer(row["counts"], dtype=np.int64), np.frombuffer(row["once"], dtype=np.uint8), np.frombuffer(row["twice"], dtype=np.uint8)]
+def _slices(parts: list[np.ndarray], numbers) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(numbers), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names=["slice", "counts"])
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, list[np.ndarray]] = {}
+    total: dict[int, np.ndarray] = {}
     for batch in batches:
-        for k in range(batch.num_rows):
-            row = batch.slice(k, 1).to_pylist()[0]
-            got = _parts(row)
-            total[row["slice"]] = _merge(total[row["slice"]], got) if row["slice"] in total else got
-    yield _slices([[x[p] for x in total.values()] for p in range(3)], total)
+        for k, x in zip(batch.column("slice").to_pylist(), batch.column("counts"), strict=True):
+            got = np.frombuffer(x.as_buffer(), dtype=np.int64)
+            total[k] = total[k] + got if k in total else got
+    yield _slices(list(total.values()), total)
 
 
-def rarity(docs: DataFrame) -> Rarity:
-    """Rarity of hashed words over all texts; a fixed number of bytes comes back."""
-    schema = "slice int, counts binary, once binary, twice binary"
+def rarity(docs: DataFrame) -> np.ndarray:
+    """12-bit rarity class of each of the 2^COUNTER_BITS hashed word counters, over all texts."""
+    schema = "slice int, counts binary"
     rows = docs.select("text").mapInArrow(_counts, schema).repartition(_SLICES, "slice").mapInArrow(_summed, schema).collect()
-    counts, twice = np.zeros(1 << COUNTER_BITS, dtype=np.int64), np.zeros(1 << (SEEN_BITS - 3), dtype=np.uint8)
+    counts = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    each = len(counts) // _SLICES
     for r in rows:
-        own = _parts({c: bytes(r[c]) for c in ("counts", "once", "twice")})
-        k = r["slice"]
-        counts[k * len(own[0]):(k + 1) * len(own[0])] = own[0]
-        twice[k * len(own[2]):(k + 1) * len(own[2])] = own[2]
-    return Rarity(np.minimum(np.log2(counts + 1.0) * 100, 4095).astype(np.uint64), twice)
+        counts[r["slice"] * each:(r["slice"] + 1) * each] = np.frombuffer(bytes(r["counts"]), dtype=np.int64)
+    return np.minimum(np.log2(counts + 1.0) * 100, 4095).astype(np.uint64)
 
 
 def prefix_length(n: np.ndarray, threshold: float) -> np.ndarray:
@@ -133,7 +102,7 @@ def prefix_length(n: np.ndarray, threshold: float) -> np.ndarray:
 def _line_sets(rarity_of, threshold: float):
     """Per line with words: its place, a key of its word set, and what the filters need."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, twice = rarity_of.value
+        classes = rarity_of.value
         for batch in batches:
             doc_column, tag_column = np.asarray(batch.column("doc")), np.asarray(batch.column("tag"))
             for c in text_chunks(batch.column("text")):
@@ -142,12 +111,8 @@ def _line_sets(rarity_of, threshold: float):
                     continue
                 w = chunk_words(c.data, borders)
                 line = np.repeat(np.arange(len(row)), np.diff(w.first))
-                # the low hash bits name a word, the high ones its counter and its seen-twice bit
+                # the low hash bits name a word, the high ones its counter
                 rank = classes[(w.hash >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)] << np.uint64(32) | w.hash & np.uint64(0xFFFFFFFF)
-                at = _seen(w.hash)
-                lone = (twice[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 0
-                # words seen once come first in the order, whatever their counter says
-                rank = np.where(lone, w.hash & np.uint64(0xFFFFFFFF), rank + np.uint64(1 << 32))
                 packed = np.sort(line.astype(np.uint64) << _ID_BITS | rank)  # a chunk has under 2^20 lines with words
                 packed = packed[np.concatenate([[True], packed[1:] != packed[:-1]])] if len(packed) else packed
                 line = (packed >> _ID_BITS).astype(np.int64)
@@ -166,11 +131,8 @@ def _line_sets(rarity_of, threshold: float):
                 p = prefix_length(n[full], threshold)
                 ends = np.cumsum(p)
                 pos = np.arange(ends[-1]) - np.repeat(ends - p, p)
-                posted = rank[pos + np.repeat(begin, p)]
-                keep = posted >> np.uint64(32) > 0
-                raw = (pos.astype(np.uint64) << _ID_BITS | posted)[keep]
-                own = np.bincount(np.repeat(np.arange(len(full)), p)[keep], minlength=len(full))
-                prefix = pa.Array.from_buffers(pa.binary(), len(full), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(own) * 8]).astype(np.int32)), pa.py_buffer(raw.tobytes())])
+                raw = pos.astype(np.uint64) << _ID_BITS | rank[pos + np.repeat(begin, p)]
+                prefix = pa.Array.from_buffers(pa.binary(), len(full), [None, pa.py_buffer(np.concatenate([[0], ends * 8]).astype(np.int32)), pa.py_buffer(raw.tobytes())])
                 number = np.arange(len(row)) - np.searchsorted(row, row)
                 place = c.lo + row[full]
                 yield pa.RecordBatch.from_arrays([
@@ -194,22 +156,21 @@ def _prefixes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _token_place(token: np.ndarray) -> np.ndarray:
-    return (mix(token) >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
+    return (mix(token) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
-def _postings(wanted=None):
-    """A row for each prefix word of a set; with ``wanted`` (packed bits over hashed words) only for words that may be in it."""
+def _postings(wanted):
+    """A row for each prefix word of a set that may be among the ``wanted`` (packed bits over hashed words)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = wanted.value if wanted is not None else None
+        bits = wanted.value
         for batch in batches:
             for lo in range(0, batch.num_rows, 10_000):
                 b = batch.slice(lo, 10_000)
                 wide, each = _prefixes(b.column("prefix"))
                 token = wide & np.uint64((1 << 44) - 1)
-                if bits is not None:
-                    at = _token_place(token)
-                    keep = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
-                    wide, each, token = wide[keep], each[keep], token[keep]
+                at = _token_place(token)
+                keep = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+                wide, each, token = wide[keep], each[keep], token[keep]
                 own = {c: pa.array(np.asarray(b.column(c))[each]) for c in ("doc", "line", "n", "sig", "sig2", "key")}
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(signed(token)), own["doc"], own["line"], own["n"], pa.array((wide >> _ID_BITS).astype(np.int32)), own["sig"], own["sig2"], own["key"]],
@@ -217,12 +178,66 @@ def _postings(wanted=None):
     return run
 
 
+_COLUMNS = [("token", np.uint64), ("doc", np.int64), ("line", np.int32), ("n", np.int32), ("pos", np.int32), ("sig", np.int64), ("sig2", np.int64)]
+_WIDTH = sum(np.dtype(t).itemsize for _, t in _COLUMNS)
+
+
+def _packed_postings(buckets: int):
+    """Postings as in ``_postings``, but one packed row for each bucket of words and batch of sets: millions of rows less to shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 20_000):
+                b = batch.slice(lo, 20_000)
+                wide, each = _prefixes(b.column("prefix"))
+                token = wide & np.uint64((1 << 44) - 1)
+                bucket = (mix(token) % np.uint64(buckets)).astype(np.int32)
+                order = np.argsort(bucket, kind="stable")
+                bucket, each = bucket[order], each[order]
+                own = {"token": token[order], "pos": (wide[order] >> _ID_BITS)}
+                columns = [own[c].astype(t) if c in own else np.asarray(b.column(c))[each].astype(t) for c, t in _COLUMNS]
+                begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])[:len(bucket)])
+                end = np.append(begin[1:], len(bucket))
+                packed = [b"".join(c[x:y].tobytes() for c in columns) for x, y in zip(begin, end, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[begin]), pa.array(packed, pa.binary())], names=["bucket", "packed"])
+    return run
+
+
+def _unpacked(parts: list) -> list[np.ndarray]:
+    """The postings of one bucket that share their word with another, sorted by word and place."""
+    columns: list[list[np.ndarray]] = [[] for _ in _COLUMNS]
+    for part in parts:
+        n, at = len(part) // _WIDTH, 0
+        for k, (_, t) in enumerate(_COLUMNS):
+            columns[k].append(np.frombuffer(part, dtype=t, count=n, offset=at))
+            at += n * np.dtype(t).itemsize
+    whole = [np.concatenate(c) for c in columns]
+    order = np.argsort(whole[0])
+    token = whole[0][order]
+    same = np.concatenate([[False], token[1:] == token[:-1]])
+    order = order[same | np.append(same[1:], False)]
+    order = order[np.lexsort((whole[2][order], whole[1][order], whole[0][order]))]
+    return [c[order] for c in whole]
+
+
+def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Whole posting groups, bucket by bucket, from packed rows sorted by bucket."""
+    bucket, parts = None, []
+    for batch in batches:
+        for b, x in zip(batch.column("bucket").to_pylist(), batch.column("packed"), strict=True):
+            if b != bucket and parts:
+                yield _unpacked(parts)
+                parts = []
+            bucket = b
+            parts.append(x.as_buffer())
+    if parts:
+        yield _unpacked(parts)
+
+
 def _token_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The prefix words of some sets as a bitmap, in slices that hold any."""
-    bits = np.zeros(1 << SEEN_BITS, dtype=bool)
+    """Words as a bitmap over their hashes, in slices that hold any."""
+    bits = np.zeros(1 << FILTER_BITS, dtype=bool)
     for batch in batches:
-        wide, _ = _prefixes(batch.column("prefix"))
-        bits[_token_place(wide & np.uint64((1 << 44) - 1))] = True
+        bits[_token_place(np.asarray(batch.column("token")).view(np.uint64))] = True
     parts = [(k, np.packbits(x)) for k, x in enumerate(np.split(bits, 1024)) if x.any()]
     yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([x.tobytes() for _, x in parts], pa.binary())], names=["slice", "bits"])
 
@@ -248,17 +263,18 @@ def _passing(g: _Posted, i: np.ndarray, j: np.ndarray, threshold: float) -> np.n
     return ok
 
 
-SMALL = 32
+SMALL = 256
 
 
-def _small_groups(g: _Posted, nth: np.ndarray, threshold: float):
-    """Passing pairs (earlier, later) of groups of up to SMALL members: one sweep per distance. nth: place in the group, -1 elsewhere."""
+def _small_groups(g: _Posted, small: np.ndarray, threshold: float):
+    """Passing pairs (earlier, later) of groups of up to SMALL members: one sweep per distance over the whole batch."""
     out_i, out_j = [], []
-    j = np.flatnonzero(nth > 0)
-    for d in range(1, SMALL):
-        j = j[nth[j] >= d]
-        if len(j) == 0:
+    least = threshold * g.n - 1e-9
+    for d in range(1, min(SMALL, len(g.token))):
+        same = (g.token[d:] == g.token[:-d]) & small[d:]
+        if not same.any():
             break
+        j = np.flatnonzero(same & (g.n[d:] >= least[:-d]) & (g.n[:-d] >= least[d:])) + d
         ok = _passing(g, j - d, j, threshold)
         out_i.append((j - d)[ok])
         out_j.append(j[ok])
@@ -315,13 +331,14 @@ def _candidates(threshold: float, every: bool):
 
     ``every``: all that pass, for the wanted members only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for got in _groups(batches):
+        for got in (_groups if every else _bucket_groups)(batches):
+            if len(got[0]) == 0:
+                continue
             g = _Posted(*got[:3], *(x.astype(np.int64) for x in got[3:5]), *(x.view(np.uint64) for x in got[5:7]))
             wanted = got[7] if every else np.ones(len(g.token), dtype=bool)
             begin = np.flatnonzero(np.concatenate([[True], g.token[1:] != g.token[:-1]]))
             size = np.diff(np.append(begin, len(g.token)))
-            nth = np.where(np.repeat(size <= SMALL, size), np.arange(len(g.token)) - np.repeat(begin, size), -1)
-            out_i, out_j = _small_groups(g, nth, threshold)
+            out_i, out_j = _small_groups(g, np.repeat(size <= SMALL, size), threshold)
             for b, s in zip(begin[size > SMALL], size[size > SMALL], strict=True):
                 x, y = _large_group(g, int(b), int(s), threshold, every, wanted)
                 out_i += x
@@ -338,12 +355,12 @@ def _candidates(threshold: float, every: bool):
                 one = np.concatenate([[True], j[1:] != j[:-1]])[:len(j)]
                 more = np.diff(np.append(np.flatnonzero(one), len(j))) > 1
                 i, j = i[one], j[one]
-            yield pa.RecordBatch.from_arrays([pa.array(g.doc[j]), pa.array(g.line[j]), pa.array(g.doc[i]), pa.array(g.line[i]), pa.array(more)],
-                                             names=["doc", "line", "doc2", "line2", "more"])
+            yield pa.RecordBatch.from_arrays([pa.array(g.doc[j]), pa.array(g.line[j]), pa.array(g.doc[i]), pa.array(g.line[i]), pa.array(more), pa.array(g.token[j].view(np.int64))],
+                                             names=["doc", "line", "doc2", "line2", "more", "token"])
     return run
 
 
-_PAIR = "doc long, line int, doc2 long, line2 int, more boolean"
+_PAIR = "doc long, line int, doc2 long, line2 int, more boolean, token long"
 
 
 def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,19 +408,19 @@ def _matched(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
 
 
 def _remaining(lines: DataFrame, doubtful: DataFrame, threshold: float) -> DataFrame:
-    """All passing pairs of the ``doubtful`` members (doc, line), from the postings of their words alone."""
+    """All passing pairs of the ``doubtful`` members (doc, line) under the words (token) that hold more than one for them."""
     spark = lines.sparkSession
-    own = KeyFilter(doubtful).split(lines.select("doc", "line", "prefix"), "doc", "line").where("maybe").join(doubtful, ["doc", "line"], "left_semi")
-    bits = np.zeros((1024, 1 << (SEEN_BITS - 13)), dtype=np.uint8)
-    for r in own.mapInArrow(_token_bits, "slice int, bits binary").toLocalIterator():  # a fixed number of bytes from each task
+    bits = np.zeros((1024, 1 << (FILTER_BITS - 13)), dtype=np.uint8)
+    for r in doubtful.select("token").distinct().mapInArrow(_token_bits, "slice int, bits binary").toLocalIterator():  # a fixed number of bytes from each task
         bits[r["slice"]] |= np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
     postings = lines.select("doc", "line", "n", "sig", "sig2", "prefix", "key").mapInArrow(_postings(spark.sparkContext.broadcast(bits.ravel())), _POSTING)
     # equal sets have equal postings: the earliest place stands for them
     first = postings.groupBy("token", "key").agg(F.min(F.struct("doc", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "pos", "sig", "sig2")])
-    wanted = first.select("token", "at.doc", "at.line", "n", "pos", "sig", "sig2").join(doubtful.withColumn("wanted", F.lit(True)), ["doc", "line"], "left")
+    first = first.join(doubtful.select("token").distinct(), "token", "left_semi")
+    wanted = first.select("token", "at.doc", "at.line", "n", "pos", "sig", "sig2").join(doubtful.withColumn("wanted", F.lit(True)), ["doc", "line", "token"], "left")
     wanted = wanted.select("token", "doc", "line", "n", "pos", "sig", "sig2", F.coalesce("wanted", F.lit(False)).alias("wanted"))
     dealt = wanted.repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "doc", "line")
-    return dealt.mapInArrow(_candidates(threshold, True), _PAIR).drop("more").distinct()
+    return dealt.mapInArrow(_candidates(threshold, True), _PAIR).select("doc", "line", "doc2", "line2").distinct()
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -425,22 +442,23 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["n_removed" if c == "__gone" else c for c in names])
 
 
-def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with later matching lines cut out of ``text``, plus n_lines and n_removed (long)."""
-    spark = docs.sparkSession
-    place = [F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("tag"), F.col("text")]
-    src = docs.select(*place)
-    rare = spark.sparkContext.broadcast(rarity(docs))
+def _lines_to_cut(src: DataFrame, threshold: float) -> DataFrame:
+    """(doc, tag, __gone): numbers of the lines that go, for documents that lose any."""
+    spark = src.sparkSession
+    rare = spark.sparkContext.broadcast(rarity(src))
     lines = checkpointed(src.mapInArrow(_line_sets(rare, threshold), _LINES))
     # one row per distinct set: its earliest place, and what its postings need (equal for equal sets)
     sets = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "sig", "sig2", "prefix")])
     parts = shuffle_partitions(spark)
-    postings = sets.select("at.doc", "at.line", "n", "sig", "sig2", "prefix", "key").mapInArrow(_postings(), _POSTING).drop("key")
-    dealt = postings.repartition(parts, "token").sortWithinPartitions("token", "doc", "line")
-    pairs = checkpointed(dealt.mapInArrow(_candidates(threshold, False), _PAIR).groupBy("doc", "line", "doc2", "line2").agg(F.max("more").alias("more")))
-    settled = checkpointed(_matched(src, pairs.drop("more"), threshold))
+    words = lines.agg(F.sum(F.length("prefix"))).first()[0] or 0  # eight bytes each
+    buckets = max(parts, words // 8 // POSTINGS_PER_BUCKET)
+    postings = sets.select("at.doc", "at.line", "n", "sig", "sig2", "prefix").mapInArrow(_packed_postings(buckets), "bucket int, packed binary")
+    dealt = postings.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    found = checkpointed(dealt.mapInArrow(_candidates(threshold, False), _PAIR))
+    pairs = checkpointed(found.select("doc", "line", "doc2", "line2").distinct())
+    settled = checkpointed(_matched(src, pairs, threshold))
     # members whose earliest pairs failed and that have others: compared with all earlier ones that pass the filters
-    doubtful = checkpointed(pairs.where("more").select("doc", "line").distinct().join(settled, ["doc", "line"], "left_anti"))
+    doubtful = checkpointed(found.where("more").select("doc", "line", "token").join(settled, ["doc", "line"], "left_anti"))
     if has_rows(doubtful):
         more = checkpointed(_remaining(lines, doubtful, threshold).join(pairs, ["doc", "line", "doc2", "line2"], "left_anti"))
         settled = settled.union(_matched(src, more, threshold)) if has_rows(more) else settled
@@ -451,12 +469,21 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     cut = (lines.select("doc", "tag", "line", "key").join(fate, "key")
            .where(F.col("gone") | (F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0")))
            .groupBy("doc", "tag").agg(F.collect_set("line").alias("__gone")))
-    cut = checkpointed(cut)
+    return checkpointed(cut, keep=True)
+
+
+def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with later matching lines cut out of ``text``, plus n_lines and n_removed (long)."""
+    spark = docs.sparkSession
+    place = [F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("tag"), F.col("text")]
+    src = docs.select(*place)
+    with scratch_tables(spark):  # all but the list of lines to cut
+        cut = _lines_to_cut(src, threshold)
     thin = KeyFilter(cut.select("doc", "tag"))
     named = docs.withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn("__tag", F.xxhash64("text"))
     split = thin.split(named, "__doc", "__tag")
     cut = cut.select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), "__gone")
-    changed = split.where("maybe").join(cut, ["__doc", "__tag"], "left")
+    changed = split.where("maybe").join(cut.hint("merge"), ["__doc", "__tag"], "left")  # planned alike at every size
     same = split.where("not maybe").withColumn("__gone", F.lit(None).cast("array<int>"))
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     wide = [F.col(f"`{c}`") for c in kept] + [F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long").alias("n_lines"), F.col("__gone")]

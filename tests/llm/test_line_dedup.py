@@ -66,7 +66,16 @@ def test_second_pass_finds_every_similar_pair(spark):
     src = docs.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("tag"), "text")
     rare = spark.sparkContext.broadcast(line_dedup.rarity(docs))
     lines = src.mapInArrow(line_dedup._line_sets(rare, 0.8), line_dedup._LINES)
-    got = {(r.doc, r.doc2) for r in line_dedup._remaining(lines, lines.select("doc", "line"), 0.8).collect()}
+    def tokens(batches):  # every prefix word of every line
+        import numpy as np
+        import pandas as pd
+
+        for b in batches:
+            for doc, line, raw in zip(b["doc"], b["line"], b["prefix"]):
+                token = np.frombuffer(raw, dtype=np.uint64) & np.uint64((1 << 44) - 1)
+                yield pd.DataFrame({"doc": doc, "line": line, "token": token.astype(np.int64)})
+    own = lines.mapInPandas(tokens, "doc long, line int, token long").distinct()
+    got = {(r.doc, r.doc2) for r in line_dedup._remaining(lines, own, 0.8).collect()}
     sets = {k: frozenset(words(t.encode())) for k, t in texts.items()}
     want = {(j, i) for j in sets for i in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
     assert len(want) > 50 and want <= got
