@@ -42,8 +42,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # texts whose id is surely not listed need no join
     split = KeyFilter(groups.select("doc_id")).split(docs, "doc_id")
     listed = split.where("maybe").drop("maybe")
-    kept = listed.join(groups.select("doc_id"), "doc_id", "left_anti").unionByName(
-        listed.join(groups.where("doc_id = class_id").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    kept = listed.join(groups.select("doc_id").hint("merge"), "doc_id", "left_anti").unionByName(
+        listed.join(groups.where("doc_id = class_id").select("doc_id").hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     return split.where("not maybe").drop("maybe").unionByName(kept).select(*docs.columns)
 
 
