@@ -16,8 +16,15 @@
    L / (n + m - L), and 0.8 or more is a link. Any pair of texts whose ordered
    five-word shingles agree to 0.8 also aligns to 0.8.
 5. Linked texts form components. Further rounds compare, inside every bucket,
-   members that are still in different components, until a round finds no
-   link, so a link is not lost because its bucket's first member was unlike.
+   one member of each component in the same way, until a round finds no link.
+6. In the buckets that still hold several components, every pair of members of
+   different components that passes the length and the shared-word filter is
+   verified, in salted blocks of length bands. Both filters only skip pairs
+   that cannot be links, so no pair of a bucket is left untried. The likeliest
+   pair of each member and component goes first, as long as that joins
+   components, and what is still apart then follows in whole. A pair holds a
+   member outside its bucket's largest component: only those are set against
+   the others, so one large component costs no square of its size.
 
 A pair at word-level similarity 0.8 by scattered substitutions (one word in
 ten) shares a sketch with probability of about 0.18, hence one of 24 with 0.99;
@@ -305,6 +312,114 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, sketches: int
     return rows.join(classes, ["k1", "k2"]).select("doc_id", "class_id", "n_links")
 
 
+_COUNTERS = 128  # hashed word counters of a text for the shared-word filter, one byte each
+_BLOCK = 1024  # members of a block, about
+
+
+def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's words counted in hashed counters that stop at 255."""
+    for batch in batches:
+        out = []
+        for raw in batch.column("tokens"):
+            place = (mix(np.frombuffer(raw.as_buffer(), np.uint64)) % np.uint64(_COUNTERS)).astype(np.int64)
+            out.append(np.minimum(np.bincount(place, minlength=_COUNTERS), 255).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(out, pa.binary())], names=["rep", "counts"])
+
+
+def passing(n: np.ndarray, counts: np.ndarray, m: np.ndarray, counts2: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which texts (rows) may be links of which others (columns), by length and shared words, and how far they differ; every link passes.
+
+    Texts of n and m words with L aligned ones differ in n + m - 2 L words, and
+    their counters in no more.
+    """
+    share = np.ones((len(n), len(m)), dtype=np.float32)
+    ok = np.minimum(n[:, None], m) >= threshold * np.maximum(n[:, None], m) - 1e-9
+    i, j = np.nonzero(ok)
+    for lo in range(0, len(i), 1 << 16):
+        x, y = i[lo:lo + (1 << 16)], j[lo:lo + (1 << 16)]
+        a, b = counts[x], counts2[y]
+        differ = (np.maximum(a, b) - np.minimum(a, b)).sum(axis=1, dtype=np.int64)
+        ok[x, y] = differ <= (n[x] + m[y]) * (1 - threshold) / (1 + threshold) + 1e-9
+        share[x, y] = differ / (n[x] + m[y])
+    return ok, share
+
+
+def _across(threshold: float, every: bool):
+    """Pairs (a < b) of different components that pass the filters, from rows sorted by block: ``active`` members against the others.
+
+    Unless ``every``, of each active member and each other component only the pair that differs least."""
+    def pairs(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        rep, comp, n, role, other, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+        left, right = np.flatnonzero(role == 1), np.flatnonzero(role == 0)
+        out_a, out_b = [], []
+        for lo in range(0, len(left), 256):
+            x = left[lo:lo + 256]
+            # two active members meet twice: once is enough
+            ok, share = passing(n[x], counts[x], n[right], counts[right], threshold)
+            i, j = np.nonzero(ok & (comp[x][:, None] != comp[right]) & (~other[right] | (rep[x][:, None] < rep[right])))
+            if not every and len(i):
+                order = np.lexsort((share[i, j], comp[right[j]], i))
+                i, j = i[order], j[order]
+                c = comp[right[j]]
+                first = np.concatenate([[True], (i[1:] != i[:-1]) | (c[1:] != c[:-1])])
+                i, j = i[first], j[first]
+            out_a.append(rep[x[i]])
+            out_b.append(rep[right[j]])
+        a, b = (np.concatenate(v) if v else np.zeros(0, dtype=np.int64) for v in (out_a, out_b))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts = None, []
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            at = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("key", "band", "s", "u")])
+            raw = b"".join(batch.column("counts").to_pylist())
+            own = [*(np.asarray(batch.column(c)) for c in ("rep", "comp", "n_words")), np.asarray(batch.column("role")),
+                   np.asarray(batch.column("active").cast(pa.int8())) > 0, np.frombuffer(raw, dtype=np.uint8).reshape(-1, _COUNTERS)]
+            cuts = np.flatnonzero(np.concatenate([[True], (at[:, 1:] != at[:, :-1]).any(axis=0)]))
+            for lo, hi in zip(cuts, np.append(cuts[1:], batch.num_rows), strict=True):
+                name = tuple(at[:, lo])
+                if name != block and parts:
+                    yield pairs(parts)
+                    parts = []
+                block = name
+                parts.append([x[lo:hi] for x in own])
+        if parts:
+            yield pairs(parts)
+    return run
+
+
+def _untried(entries: DataFrame, comp: DataFrame, tokens: DataFrame, tried: DataFrame, threshold: float, every: bool) -> DataFrame:
+    """All pairs (a < b) that share a bucket, are in different components, pass the filters and are not in ``tried``.
+
+    Unless ``every``, the likeliest of each block only (see ``_across``)."""
+    parts = shuffle_partitions(entries.sparkSession)
+    placed = checkpointed(entries.select("key", "n_words", "rep").distinct().join(comp, F.col("rep") == F.col("node"), "left")
+                          .select("key", "n_words", "rep", F.coalesce("component", "rep").alias("comp")))
+    sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("most"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("key", "most")
+    # texts whose lengths allow a link are in one band or in neighbouring ones
+    width = max(-float(np.log(threshold)) * 1.001, 0.01)
+    open_ = checkpointed(placed.join(mixed, "key").select("key", "n_words", "rep", "comp", (F.col("comp") != F.col("most")).alias("active"),
+                                                          F.floor(F.log("n_words") / width).cast("int").alias("band")))
+    counts = checkpointed(tokens.join(open_.select("rep").distinct(), "rep", "left_semi").mapInArrow(_histograms, "rep long, counts binary"))
+    reach = F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band")
+    own = open_.groupBy("key", "band").agg(F.count(F.lit(1)).alias("n"), F.count_if("active").alias("n_active"))
+    near = own.select("key", reach, "n").groupBy("key", "band").agg(F.sum("n").alias("n"))
+    # blocks of a band: u salts of its active members times s salts of all members they may meet
+    salts = checkpointed(own.where("n_active > 0").select("key", "band", "n_active").join(near, ["key", "band"]).select(
+        "key", "band", F.ceil(F.col("n") / _BLOCK).cast("int").alias("ss"), F.ceil(F.col("n_active") / _BLOCK).cast("int").alias("us")))
+    salt = lambda of, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    columns = ["key", "band", "rep", "comp", "n_words", "active", "s", "u"]
+    left = open_.where("active").join(salts, ["key", "band"]).withColumn("u", salt("us", 1)).withColumn("s", every("ss")).select(*columns, F.lit(1).alias("role"))
+    right = (open_.select("key", "n_words", "rep", "comp", "active", reach).join(salts, ["key", "band"])
+             .withColumn("s", salt("ss", 2)).withColumn("u", every("us")).select(*columns, F.lit(0).alias("role")))
+    dealt = left.union(right).join(counts, "rep").repartition(parts, "key", "band", "s", "u").sortWithinPartitions("key", "band", "s", "u")
+    return dealt.mapInArrow(_across(threshold, every), _PAIR).distinct().join(tried, ["a", "b"], "left_anti")
+
+
 def _classes(docs: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
     """(k1, k2, class_id, n_links) of each distinct text."""
     # copies: one document stands for all of a text; copies have equal sketches
@@ -351,13 +466,32 @@ def _verified_links(docs: DataFrame, entries: DataFrame, threshold: float) -> tu
             placed = (placed.groupBy("key", "comp").agg(F.min(F.struct("n_words", "rep")).alias("x"))
                       .select("key", "x.n_words", "x.rep", "comp").coalesce(tasks))
         pairs = checkpointed(_candidates(placed).join(tried, ["a", "b"], "left_anti"))
-        found = checkpointed(
-            pairs.join(tokens.select(F.col("rep").alias("a"), F.col("tokens").alias("ta")), "a")
-            .join(tokens.select(F.col("rep").alias("b"), F.col("tokens").alias("tb")), "b")
-            .mapInArrow(_verified(threshold), _PAIR))
+        found = _links_of(pairs, tokens, threshold)
         number += 1
         if has_rows(found):
-            comp = components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found))
-        elif number > 2:
-            return links, comp
+            comp = _joined(comp, found)
+        tried, links = tried.union(pairs), links.union(found)
+        if number > 2 and not has_rows(found):
+            break
+    # what the samples left: the likeliest pairs until they join no more, then all others. No link can be outside these
+    every = False
+    while True:
+        pairs = checkpointed(_untried(entries, comp, tokens, tried, threshold, every))
+        found = _links_of(pairs, tokens, threshold)
+        if has_rows(found):
+            comp = _joined(comp, found)
         tried, links = tried.union(pairs), links.union(found)
+        if every:
+            return links, comp
+        every = not has_rows(found)
+
+
+def _links_of(pairs: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:
+    return checkpointed(
+        pairs.join(tokens.select(F.col("rep").alias("a"), F.col("tokens").alias("ta")), "a")
+        .join(tokens.select(F.col("rep").alias("b"), F.col("tokens").alias("tb")), "b")
+        .mapInArrow(_verified(threshold), _PAIR))
+
+
+def _joined(comp: DataFrame, found: DataFrame) -> DataFrame:
+    return components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found))

@@ -4,7 +4,7 @@ import numpy as np
 
 from closecast.llm.common import words
 from closecast.llm.components import components
-from closecast.llm.order_minhash import aligned_words, near_duplicates, order_sketches, similarity
+from closecast.llm.order_minhash import _verified_links, aligned_words, near_duplicates, order_sketches, passing, similarity
 from tests.llm.helpers import clashing, corpus, edited, frame, prose
 
 
@@ -84,3 +84,30 @@ def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + k: 100 for k in range(30)}}
+
+
+def test_every_pair_of_a_bucket_is_tried(spark):
+    """Links beside unlike texts of one bucket, neither neighbours nor with its first or shortest members."""
+    rng = random.Random(21)
+    a, b, c, e, f, g = (prose(rng, 60) for _ in range(6))
+    texts = [a, b, c, edited(rng, b, 0.03)]  # 1 to 4: only 2 and 4 are alike
+    # 12, 14 and 15 hang together by 15 alone
+    word = e.split(" ")
+    drift = [" ".join([f"x{k}" for k in range(n)] + word[n:]) for n in (0, 5)] + [" ".join(word[:-6] + [f"y{k}" for k in range(6)])]
+    rows = [(k + 1, t, "en", "s", 1) for k, t in enumerate(texts)]
+    rows += [(11 + k, t, "en", "s", 1) for k, t in enumerate([f, drift[1], g, drift[2], drift[0]])]
+    entries = spark.createDataFrame([(7 if r[0] < 10 else 8, 0, 60, r[0]) for r in rows], "key long, t int, n_words long, rep long")
+    links, comp = _verified_links(frame(spark, rows).select("doc_id", "text"), entries, 0.8)
+    assert {(r.node, r.component) for r in comp.collect()} == {(2, 2), (4, 2), (12, 12), (14, 12), (15, 12)}
+    assert {(r.a, r.b) for r in links.collect()} >= {(2, 4)}
+
+
+def test_filters_pass_every_link():
+    rng = random.Random(22)
+    for _ in range(200):
+        a = [rng.randrange(50) for _ in range(rng.randrange(1, 60))]
+        b = [rng.randrange(50) if rng.random() < 0.1 else x for x in a][:rng.randrange(1, 61)]
+        n, m = (np.array([len(x)]) for x in (a, b))
+        count = lambda x: np.bincount(np.array(x) % 7, minlength=7).astype(np.uint8)[None]
+        if similarity(np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64)) >= 0.8:
+            assert passing(n, count(a), m, count(b), 0.8)[0].all()
