@@ -303,13 +303,13 @@ def _candidates(entries: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, sketches: int = SKETCHES) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id (smallest doc_id of its group), n_links (links of its text to different texts)."""
+    """One row per row of ``docs``: doc_id and class_id (smallest doc_id of its group)."""
     with scratch_tables(docs.sparkSession):  # all but the keys of the rows and the classes of the texts
         rows = checkpointed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                             .mapInArrow(_sketched(sketches), "doc_id long, k1 long, k2 long, n_words long, keys array<long>"))
         classes = checkpointed(_classes(docs, rows, threshold), keep=True)
         rows = checkpointed(rows.select("doc_id", "k1", "k2"), keep=True)
-    return rows.join(classes, ["k1", "k2"]).select("doc_id", "class_id", "n_links")
+    return rows.join(classes, ["k1", "k2"]).select("doc_id", "class_id")
 
 
 _COUNTERS = 128  # hashed word counters of a text for the shared-word filter, one byte each
@@ -421,18 +421,16 @@ def _untried(entries: DataFrame, comp: DataFrame, tokens: DataFrame, tried: Data
 
 
 def _classes(docs: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
-    """(k1, k2, class_id, n_links) of each distinct text."""
+    """(k1, k2, class_id) of each distinct text."""
     # copies: one document stands for all of a text; copies have equal sketches
     texts = checkpointed(rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.max("n_words").alias("n_words"), F.first("keys").alias("keys")))
     entries = (texts.where("rep is not null and n_words > 0")
                .select("rep", "n_words", F.posexplode("keys").alias("t", "key")))
     shared = entries.groupBy("key").agg((F.min("rep") != F.max("rep")).alias("many")).where("many").select("key")
     entries = checkpointed(entries.join(shared, "key").select("key", "t", "n_words", "rep"))
-    links, comp = _verified_links(docs, entries, threshold)
-    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    _, comp = _verified_links(docs, entries, threshold)
     return (texts.select("k1", "k2", "rep").join(comp, F.col("rep") == F.col("node"), "left").drop("node")
-            .join(degree, F.col("rep") == F.col("node"), "left")
-            .select("k1", "k2", F.coalesce("component", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+            .select("k1", "k2", F.coalesce("component", "rep").alias("class_id")))
 
 
 def _tokens_table(docs: DataFrame, reps: DataFrame) -> DataFrame:

@@ -111,3 +111,7 @@ def test_filters_pass_every_link():
         count = lambda x: np.bincount(np.array(x) % 7, minlength=7).astype(np.uint8)[None]
         if similarity(np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64)) >= 0.8:
             assert passing(n, count(a), m, count(b), 0.8)[0].all()
+
+
+def test_result_holds_no_count_of_sampled_links(spark):
+    assert near_duplicates(frame(spark, [(1, "a b", "en", "s", 3)])).columns == ["doc_id", "class_id"]
