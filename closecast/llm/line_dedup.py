@@ -1,9 +1,10 @@
 """Line dedup across a corpus: an exact set-similarity join of lines.
 
 A line (text between newlines) is the set of its words (A-Z lower-cased). A
-line goes when an earlier line of the corpus, by (doc_id, line number), has
+line goes when an earlier line of the corpus, by (doc_id, tag, line number), has
 Jaccard similarity ``threshold`` or more with it, whether or not that line
-itself stays. The join is exact; its steps only skip what cannot match:
+itself stays. The tag is xxhash64 of the whole text: it tells rows with equal
+or null ids and different texts apart. The join is exact; its steps only skip what cannot match:
 
 1. Rarity: word counts over the whole corpus in 2^18 hashed counters (a table
    of fixed size). Any fixed order of words keeps the join exact; this one
@@ -143,7 +144,7 @@ def _line_sets(rarity_of, threshold: float):
 
 
 _LINES = "doc long, tag long, line int, key long, n int, sig long, sig2 long, prefix binary"
-_POSTING = "token long, doc long, line int, n int, pos int, sig long, sig2 long, key long"
+_POSTING = "token long, doc long, tag long, line int, n int, pos int, sig long, sig2 long, key long"
 
 
 def _prefixes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -171,14 +172,14 @@ def _postings(wanted):
                 at = _token_place(token)
                 keep = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
                 wide, each, token = wide[keep], each[keep], token[keep]
-                own = {c: pa.array(np.asarray(b.column(c))[each]) for c in ("doc", "line", "n", "sig", "sig2", "key")}
+                own = {c: pa.array(np.asarray(b.column(c))[each]) for c in ("doc", "tag", "line", "n", "sig", "sig2", "key")}
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(token)), own["doc"], own["line"], own["n"], pa.array((wide >> _ID_BITS).astype(np.int32)), own["sig"], own["sig2"], own["key"]],
-                    names=["token", "doc", "line", "n", "pos", "sig", "sig2", "key"])
+                    [pa.array(signed(token)), own["doc"], own["tag"], own["line"], own["n"], pa.array((wide >> _ID_BITS).astype(np.int32)), own["sig"], own["sig2"], own["key"]],
+                    names=["token", "doc", "tag", "line", "n", "pos", "sig", "sig2", "key"])
     return run
 
 
-_COLUMNS = [("token", np.uint64), ("doc", np.int64), ("line", np.int32), ("n", np.int32), ("pos", np.int32), ("sig", np.int64), ("sig2", np.int64)]
+_COLUMNS = [("token", np.uint64), ("doc", np.int64), ("tag", np.int64), ("line", np.int32), ("n", np.int32), ("pos", np.int32), ("sig", np.int64), ("sig2", np.int64)]
 _WIDTH = sum(np.dtype(t).itemsize for _, t in _COLUMNS)
 
 
@@ -215,7 +216,7 @@ def _unpacked(parts: list) -> list[np.ndarray]:
     token = whole[0][order]
     same = np.concatenate([[False], token[1:] == token[:-1]])
     order = order[same | np.append(same[1:], False)]
-    order = order[np.lexsort((whole[2][order], whole[1][order], whole[0][order]))]
+    order = order[np.lexsort((whole[3][order], whole[2][order], whole[1][order], whole[0][order]))]
     return [c[order] for c in whole]
 
 
@@ -245,6 +246,7 @@ def _token_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Posted(NamedTuple):
     token: np.ndarray
     doc: np.ndarray
+    tag: np.ndarray
     line: np.ndarray
     n: np.ndarray
     pos: np.ndarray
@@ -327,15 +329,15 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
 
 
 def _candidates(threshold: float, every: bool):
-    """Pairs (later doc, line; earlier doc, line): of each member the earliest that passes, and whether there are ``more``.
+    """Pairs (later doc, tag, line; earlier doc, tag, line): of each member the earliest that passes, and whether there are ``more``.
 
     ``every``: all that pass, for the wanted members only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in (_groups if every else _bucket_groups)(batches):
             if len(got[0]) == 0:
                 continue
-            g = _Posted(*got[:3], *(x.astype(np.int64) for x in got[3:5]), *(x.view(np.uint64) for x in got[5:7]))
-            wanted = got[7] if every else np.ones(len(g.token), dtype=bool)
+            g = _Posted(*got[:4], *(x.astype(np.int64) for x in got[4:6]), *(x.view(np.uint64) for x in got[6:8]))
+            wanted = got[8] if every else np.ones(len(g.token), dtype=bool)
             begin = np.flatnonzero(np.concatenate([[True], g.token[1:] != g.token[:-1]]))
             size = np.diff(np.append(begin, len(g.token)))
             out_i, out_j = _small_groups(g, np.repeat(size <= SMALL, size), threshold)
@@ -355,31 +357,34 @@ def _candidates(threshold: float, every: bool):
                 one = np.concatenate([[True], j[1:] != j[:-1]])[:len(j)]
                 more = np.diff(np.append(np.flatnonzero(one), len(j))) > 1
                 i, j = i[one], j[one]
-            yield pa.RecordBatch.from_arrays([pa.array(g.doc[j]), pa.array(g.line[j]), pa.array(g.doc[i]), pa.array(g.line[i]), pa.array(more), pa.array(g.token[j].view(np.int64))],
-                                             names=["doc", "line", "doc2", "line2", "more", "token"])
+            yield pa.RecordBatch.from_arrays([pa.array(g.doc[j]), pa.array(g.tag[j]), pa.array(g.line[j]), pa.array(g.doc[i]), pa.array(g.tag[i]), pa.array(g.line[i]), pa.array(more), pa.array(g.token[j].view(np.int64))],
+                                             names=["doc", "tag", "line", "doc2", "tag2", "line2", "more", "token"])
     return run
 
 
-_PAIR = "doc long, line int, doc2 long, line2 int, more boolean, token long"
+_PLACES = ["doc", "tag", "line", "doc2", "tag2", "line2"]
+_PAIR = "doc long, tag long, line int, doc2 long, tag2 long, line2 int, more boolean, token long"
 
 
 def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word hashes of the listed lines of each document."""
     for batch in batches:
-        docs, lists = batch.column("doc"), batch.column("lines")
+        docs, tags, lists = batch.column("doc"), batch.column("tag"), batch.column("lines")
         for c in text_chunks(batch.column("text")):
             borders, row = line_borders(c.data, c.offsets)
             w = chunk_words(c.data, borders)
             base = np.searchsorted(row, np.arange(c.hi - c.lo + 1))
-            out_doc, out_line, out_words = [], [], []
+            out_doc, out_tag, out_line, out_words = [], [], [], []
             for r in range(c.hi - c.lo):
                 for k in sorted(lists[c.lo + r].as_py()):
                     at = base[r] + k
                     if at < base[r + 1]:
                         out_doc.append(docs[c.lo + r].as_py())
+                        out_tag.append(tags[c.lo + r].as_py())
                         out_line.append(k)
                         out_words.append(np.unique(w.hash[w.first[at]:w.first[at + 1]]).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out_doc, pa.int64()), pa.array(out_line, pa.int32()), pa.array(out_words, pa.binary())], names=["doc", "line", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(out_doc, pa.int64()), pa.array(out_tag, pa.int64()), pa.array(out_line, pa.int32()), pa.array(out_words, pa.binary())],
+                                             names=["doc", "tag", "line", "words"])
 
 
 def _verified(threshold: float):
@@ -391,36 +396,41 @@ def _verified(threshold: float):
                 both = np.sort(np.concatenate([a, b]))
                 shared = int((both[1:] == both[:-1]).sum())
                 keep.append(shared >= threshold * (len(both) - shared) - 1e-9)
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["doc", "line"])
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["doc", "tag", "line"])
     return run
 
 
 def _matched(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """The (doc, line) of pairs whose lines really match, read again from the whole texts."""
-    need = pairs.select("doc", "line").union(pairs.select("doc2", "line2")).distinct().groupBy("doc").agg(F.collect_set("line").alias("lines"))
-    need = checkpointed(need)  # a document's own lines: bounded by its text
-    thin = KeyFilter(need.select("doc")).split(docs.select("doc", "text"), "doc").where("maybe").drop("maybe")
-    lines = thin.join(need, "doc").mapInArrow(_wanted_lines, "doc long, line int, words binary")
+    """The (doc, tag, line) of pairs whose lines really match, read again from the whole texts."""
+    need = pairs.select("doc", "tag", "line").union(pairs.select("doc2", "tag2", "line2")).distinct().groupBy("doc", "tag").agg(F.collect_set("line").alias("lines"))
+    need = checkpointed(need)  # a text's own lines: bounded by the text
+    thin = KeyFilter(need.select("doc", "tag")).split(docs.select("doc", "tag", "text"), "doc", "tag").where("maybe").drop("maybe")
+    one = thin.join(need, ["doc", "tag"]).groupBy("doc", "tag").agg(F.first("text").alias("text"), F.first("lines").alias("lines"))  # repeated rows are one place
+    lines = one.mapInArrow(_wanted_lines, "doc long, tag long, line int, words binary")
     lines = checkpointed(lines)
     a = lines.withColumnRenamed("words", "wa")
-    b = lines.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), F.col("words").alias("wb"))
-    return pairs.join(a, ["doc", "line"]).join(b, ["doc2", "line2"]).select("doc", "line", "wa", "wb").mapInArrow(_verified(threshold), "doc long, line int").distinct()
+    b = lines.select(F.col("doc").alias("doc2"), F.col("tag").alias("tag2"), F.col("line").alias("line2"), F.col("words").alias("wb"))
+    both = pairs.join(a, ["doc", "tag", "line"]).join(b, ["doc2", "tag2", "line2"]).select("doc", "tag", "line", "wa", "wb")
+    return both.mapInArrow(_verified(threshold), "doc long, tag long, line int").distinct()
 
 
 def _remaining(lines: DataFrame, doubtful: DataFrame, threshold: float) -> DataFrame:
-    """All passing pairs of the ``doubtful`` members (doc, line) under the words (token) that hold more than one for them."""
+    """All passing pairs of the ``doubtful`` members (doc, tag, line) under the words (token) that hold more than one for them.
+
+    Members without a tag are those of all texts with that doc."""
     spark = lines.sparkSession
     bits = np.zeros((1024, 1 << (FILTER_BITS - 13)), dtype=np.uint8)
     for r in doubtful.select("token").distinct().mapInArrow(_token_bits, "slice int, bits binary").toLocalIterator():  # a fixed number of bytes from each task
         bits[r["slice"]] |= np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
-    postings = lines.select("doc", "line", "n", "sig", "sig2", "prefix", "key").mapInArrow(_postings(spark.sparkContext.broadcast(bits.ravel())), _POSTING)
+    postings = lines.select("doc", "tag", "line", "n", "sig", "sig2", "prefix", "key").mapInArrow(_postings(spark.sparkContext.broadcast(bits.ravel())), _POSTING)
     # equal sets have equal postings: the earliest place stands for them
-    first = postings.groupBy("token", "key").agg(F.min(F.struct("doc", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "pos", "sig", "sig2")])
+    first = postings.groupBy("token", "key").agg(F.min(F.struct("doc", "tag", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "pos", "sig", "sig2")])
     first = first.join(doubtful.select("token").distinct(), "token", "left_semi")
-    wanted = first.select("token", "at.doc", "at.line", "n", "pos", "sig", "sig2").join(doubtful.withColumn("wanted", F.lit(True)), ["doc", "line", "token"], "left")
-    wanted = wanted.select("token", "doc", "line", "n", "pos", "sig", "sig2", F.coalesce("wanted", F.lit(False)).alias("wanted"))
-    dealt = wanted.repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "doc", "line")
-    return dealt.mapInArrow(_candidates(threshold, True), _PAIR).select("doc", "line", "doc2", "line2").distinct()
+    wanted = first.select("token", "at.doc", "at.tag", "at.line", "n", "pos", "sig", "sig2").join(
+        doubtful.withColumn("wanted", F.lit(True)), [c for c in ("doc", "tag", "line", "token") if c in doubtful.columns], "left")
+    wanted = wanted.select("token", "doc", "tag", "line", "n", "pos", "sig", "sig2", F.coalesce("wanted", F.lit(False)).alias("wanted"))
+    dealt = wanted.repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "doc", "tag", "line")
+    return dealt.mapInArrow(_candidates(threshold, True), _PAIR).select(*_PLACES).distinct()
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -448,26 +458,27 @@ def _lines_to_cut(src: DataFrame, threshold: float) -> DataFrame:
     rare = spark.sparkContext.broadcast(rarity(src))
     lines = checkpointed(src.mapInArrow(_line_sets(rare, threshold), _LINES))
     # one row per distinct set: its earliest place, and what its postings need (equal for equal sets)
-    sets = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "sig", "sig2", "prefix")])
+    sets = lines.groupBy("key").agg(F.min(F.struct("doc", "tag", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "sig", "sig2", "prefix")])
     parts = shuffle_partitions(spark)
     words = lines.agg(F.sum(F.length("prefix"))).first()[0] or 0  # eight bytes each
     buckets = max(parts, words // 8 // POSTINGS_PER_BUCKET)
-    postings = sets.select("at.doc", "at.line", "n", "sig", "sig2", "prefix").mapInArrow(_packed_postings(buckets), "bucket int, packed binary")
+    postings = sets.select("at.doc", "at.tag", "at.line", "n", "sig", "sig2", "prefix").mapInArrow(_packed_postings(buckets), "bucket int, packed binary")
     dealt = postings.repartition(parts, "bucket").sortWithinPartitions("bucket")
     found = checkpointed(dealt.mapInArrow(_candidates(threshold, False), _PAIR))
-    pairs = checkpointed(found.select("doc", "line", "doc2", "line2").distinct())
+    pairs = checkpointed(found.select(*_PLACES).where("doc != doc2 or tag != tag2 or line != line2").distinct())
     settled = checkpointed(_matched(src, pairs, threshold))
     # members whose earliest pairs failed and that have others: compared with all earlier ones that pass the filters
-    doubtful = checkpointed(found.where("more").select("doc", "line", "token").join(settled, ["doc", "line"], "left_anti"))
+    doubtful = checkpointed(found.where("more").select("doc", "tag", "line", "token").join(settled, ["doc", "tag", "line"], "left_anti"))
     if has_rows(doubtful):
-        more = checkpointed(_remaining(lines, doubtful, threshold).join(pairs, ["doc", "line", "doc2", "line2"], "left_anti"))
+        more = checkpointed(_remaining(lines, doubtful, threshold).join(pairs, _PLACES, "left_anti"))
         settled = settled.union(_matched(src, more, threshold)) if has_rows(more) else settled
     settled = settled.withColumn("gone", F.lit(True))
-    places = lines.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("at")).select("key", "at.doc", "at.line")
-    fate = places.join(settled.distinct(), ["doc", "line"], "left").select("key", F.col("doc").alias("doc0"), F.col("line").alias("line0"), F.coalesce("gone", F.lit(False)).alias("gone"))
+    places = lines.groupBy("key").agg(F.min(F.struct("doc", "tag", "line")).alias("at")).select("key", "at.doc", "at.tag", "at.line")
+    fate = places.join(settled.distinct(), ["doc", "tag", "line"], "left").select(
+        "key", F.col("doc").alias("doc0"), F.col("tag").alias("tag0"), F.col("line").alias("line0"), F.coalesce("gone", F.lit(False)).alias("gone"))
     # a line goes if its set matches an earlier set, or if it is not the set's earliest place
     cut = (lines.select("doc", "tag", "line", "key").join(fate, "key")
-           .where(F.col("gone") | (F.col("doc") != F.col("doc0")) | (F.col("line") != F.col("line0")))
+           .where(F.col("gone") | (F.col("doc") != F.col("doc0")) | (F.col("tag") != F.col("tag0")) | (F.col("line") != F.col("line0")))
            .groupBy("doc", "tag").agg(F.collect_set("line").alias("__gone")))
     return checkpointed(cut, keep=True)
 

@@ -79,3 +79,22 @@ def test_second_pass_finds_every_similar_pair(spark):
     sets = {k: frozenset(words(t.encode())) for k, t in texts.items()}
     want = {(j, i) for j in sets for i in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
     assert len(want) > 50 and want <= got
+
+
+def test_null_and_equal_ids_with_different_texts(spark):
+    """Places of rows with equal or null ids are told apart by their texts; earlier is by (doc, tag, line)."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(31)
+    base = [prose(rng, 30) for _ in range(6)]
+    rows = [(1, "\n".join([prose(rng, 9), base[0], prose(rng, 9)]), "en", "s", 1)]
+    for k in range(24):  # line 1 is a near copy in some, line 0 the same in all of one kind, line 2 clean in all
+        lines = [base[1 + k % 5], edited(rng, base[0], 0.05) if k % 3 == 0 else prose(rng, 20), prose(rng, 12)]
+        rows.append((None if k % 2 else 5 + k % 4, "\n".join(lines), "en", "s", 1))
+    docs = frame(spark, rows)
+    tag = {r.text: r.tag for r in docs.select("text", F.xxhash64("text").alias("tag")).collect()}
+    places = [((r[0] is None, r[0] or 0, tag[r[1]], k), frozenset(words(x.encode()))) for r in rows for k, x in enumerate(r[1].split("\n"))]
+    gone = {at for at, s in places for at2, s2 in places if at2 < at and len(s & s2) >= 0.8 * len(s | s2) - 1e-9}
+    want = sorted((repr(r[0]), "\n".join(x for k, x in enumerate(r[1].split("\n")) if (r[0] is None, r[0] or 0, tag[r[1]], k) not in gone)) for r in rows)
+    assert sorted((repr(r.doc_id), r.text) for r in dedup_lines(docs).collect()) == want
+    assert len(gone) > 20
