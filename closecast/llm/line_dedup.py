@@ -114,10 +114,14 @@ def _line_sets(rarity_of, threshold: float):
                 line = np.repeat(np.arange(len(row)), np.diff(w.first))
                 # the low hash bits name a word, the high ones its counter
                 rank = classes[(w.hash >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)] << np.uint64(32) | w.hash & np.uint64(0xFFFFFFFF)
-                packed = np.sort(line.astype(np.uint64) << _ID_BITS | rank)  # a chunk has under 2^20 lines with words
-                packed = packed[np.concatenate([[True], packed[1:] != packed[:-1]])] if len(packed) else packed
-                line = (packed >> _ID_BITS).astype(np.int64)
-                rank = packed & np.uint64((1 << 44) - 1)
+                if len(row) <= 1 << 20:
+                    packed = np.sort(line.astype(np.uint64) << _ID_BITS | rank)
+                    line, rank = (packed >> _ID_BITS).astype(np.int64), packed & np.uint64((1 << 44) - 1)
+                else:  # a long text is a chunk by itself; its lines do not fit the 20 bits
+                    order = np.lexsort((rank, line))
+                    line, rank = line[order], rank[order]
+                new = np.concatenate([[True], (line[1:] != line[:-1]) | (rank[1:] != rank[:-1])])[:len(line)]
+                line, rank = line[new], rank[new]
                 first = np.searchsorted(line, np.arange(len(row) + 1))
                 n = np.diff(first)
                 full = np.flatnonzero(n)
@@ -132,7 +136,8 @@ def _line_sets(rarity_of, threshold: float):
                 p = prefix_length(n[full], threshold)
                 ends = np.cumsum(p)
                 pos = np.arange(ends[-1]) - np.repeat(ends - p, p)
-                raw = pos.astype(np.uint64) << _ID_BITS | rank[pos + np.repeat(begin, p)]
+                # a place beyond 20 bits counts as an earlier one: its filter only lets more through
+                raw = np.minimum(pos, (1 << 20) - 1).astype(np.uint64) << _ID_BITS | rank[pos + np.repeat(begin, p)]
                 prefix = pa.Array.from_buffers(pa.binary(), len(full), [None, pa.py_buffer(np.concatenate([[0], ends * 8]).astype(np.int32)), pa.py_buffer(raw.tobytes())])
                 number = np.arange(len(row)) - np.searchsorted(row, row)
                 place = c.lo + row[full]

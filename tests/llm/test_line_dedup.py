@@ -98,3 +98,21 @@ def test_null_and_equal_ids_with_different_texts(spark):
     want = sorted((repr(r[0]), "\n".join(x for k, x in enumerate(r[1].split("\n")) if (r[0] is None, r[0] or 0, tag[r[1]], k) not in gone)) for r in rows)
     assert sorted((repr(r.doc_id), r.text) for r in dedup_lines(docs).collect()) == want
     assert len(gone) > 20
+
+
+def test_text_with_more_than_2_to_the_20_lines():
+    """Every line keeps its own words, also beyond 2^20 lines of one text."""
+    import numpy as np
+    import pyarrow as pa
+
+    class Rare:
+        value = np.zeros(1 << line_dedup.COUNTER_BITS, dtype=np.uint64)
+
+    n = (1 << 20) + 5
+    text = "\n".join(["a", "b c"] + ["x"] * (n - 4) + ["a", "b c"])
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([text])], names=["doc", "tag", "text"])
+    got = pa.Table.from_batches(list(line_dedup._line_sets(Rare, 0.8)(iter([batch]))))
+    assert got["line"].to_pylist() == list(range(n))
+    key, size = got["key"].to_numpy(), got["n"].to_numpy()
+    assert key[0] == key[n - 2] and key[1] == key[n - 1] and len(set(key.tolist())) == 3
+    assert (size == np.array([1, 2] + [1] * (n - 3) + [2])).all()
