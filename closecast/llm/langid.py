@@ -13,7 +13,8 @@ words: each task runs forward and backward passes and returns expected piece
 counts per language, a table of vocabulary x languages whatever the corpus.
 All words of a batch advance together, one byte a step, in numpy. Scoring
 computes each distinct word of a task once, as long as they fit a bounded table. A word of over
-LONGEST_WORD bytes (text without spaces) is segmented run by run of that size.
+LONGEST_WORD bytes (text without spaces) is segmented run by run of up to that size, cut at
+characters; in training the runs have up to _TRAIN_WORD bytes, so all text teaches.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; a
 document without a language or with a null id's teaches as its own fold says
@@ -193,12 +194,11 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lang = np.array(batch.column("lang").to_pylist(), dtype=object)
         for c in text_chunks(batch.column("text")):
-            w = chunk_words(c.data, c.offsets)
+            w = _cut_long(chunk_words(c.data, c.offsets), c.data, _TRAIN_WORD)
             own = lang[c.lo:c.hi][np.searchsorted(w.first, np.arange(len(w.hash)), side="right") - 1]
             data = c.data.translate(FOLD)
             for name in dict.fromkeys(lang[c.lo:c.hi]):
                 at = np.flatnonzero(own == name)
-                at = at[(w.end - w.start)[at] <= _TRAIN_WORD]
                 _, first, count = np.unique(w.hash[at], return_index=True, return_counts=True)
                 at = at[first]
                 yield pa.RecordBatch.from_arrays([
@@ -206,7 +206,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(count.astype(np.int64))], names=["lang", "word", "n"])
 
 
-_TRAIN_WORD = 64  # longest word (bytes) that teaches; scoring takes every word
+_TRAIN_WORD = 64  # longer words teach in runs of up to so many bytes
 
 
 def _expect(vocab_of, prob_of, langs: list[str]):
@@ -249,17 +249,21 @@ def train(docs: DataFrame, path: str = VOCABULARY, rounds: int = ROUNDS) -> Mode
     return Model(vocab, langs, np.round(prob, 12) + 1e-12)
 
 
-def _cut_long(w: Words, data: bytes) -> Words:
-    """Words with those over LONGEST_WORD bytes cut into runs of that size."""
+def _cut_long(w: Words, data: bytes, longest: int = LONGEST_WORD) -> Words:
+    """Words with those over ``longest`` bytes cut into runs of up to that size, at the borders of characters."""
     size = w.end - w.start
-    if not (size > LONGEST_WORD).any():
+    if not (size > longest).any():
         return w
-    runs = -(-size // LONGEST_WORD)
+    step = longest - 3  # a cut moves back by up to three bytes
+    runs = np.where(size > longest, -(-size // step), 1)
     at = np.repeat(np.arange(len(size)), runs)
     nth = np.arange(len(at)) - np.repeat(np.cumsum(runs) - runs, runs)
-    start = w.start[at] + nth * LONGEST_WORD
-    end = np.minimum(start + LONGEST_WORD, w.end[at])
-    return Words(start, end, span_hashes(np.frombuffer(data, dtype=np.uint8), start, end), np.concatenate([[0], np.cumsum(runs)])[w.first])
+    start = w.start[at] + nth * step
+    buf = np.frombuffer(data, dtype=np.uint8)
+    for _ in range(3):
+        start -= (nth > 0) & (buf[start] & 0xC0 == 0x80)
+    end = np.where(nth + 1 < runs[at], np.append(start[1:], 0), w.end[at])
+    return Words(start, end, span_hashes(buf, start, end), np.concatenate([[0], np.cumsum(runs)])[w.first])
 
 
 def has_letter(data: bytes) -> bool:

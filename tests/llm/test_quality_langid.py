@@ -99,3 +99,21 @@ def test_languages(spark):
     assert all((got[i].lang_pred, got[i].score) == ("und", 0.0) for i in (500, 501, 502)) and got[None].lang_pred == "aa" and got[503].lang_pred in own
     empty = langid.train(docs.limit(0))
     assert {r.lang_pred for r in langid.identify(docs, empty).collect()} == {"und"} and langid.identify(docs.limit(0), empty).count() == 0
+
+
+def test_text_without_spaces_teaches(spark):
+    """Languages whose words are all runs of hundreds of bytes are learned, from all of the runs."""
+    rng = random.Random(41)
+    letters = {"zh": "的一是不了人我在有他这为之大来以个中上们", "th": "กขคงจชซญดตถทนบปผพภมย"}
+    rows = [(k, "".join(rng.choice(letters[x]) for _ in range(300)), x, "s", 1) for k, x in enumerate(["zh", "th"] * 30)]
+    docs = frame(spark, rows)
+    model = langid.train(docs)
+    assert model.langs == ["th", "zh"]
+    assert {r.doc_id: r.lang_pred for r in langid.identify(docs, model).collect()} == {r[0]: r[2] for r in rows}
+    data = rows[0][1].encode() + b" short"
+    w = chunk_words(data, np.array([0, len(data)]))
+    for longest in (64, 256):
+        cut = langid._cut_long(w, data, longest)
+        pieces = [data[a:b] for a, b in zip(cut.start, cut.end)]
+        assert b"".join(pieces[:-1]).decode() == rows[0][1] and pieces[-1] == b"short" and max(map(len, pieces)) <= longest
+        assert all(p.decode() for p in pieces) and cut.first.tolist() == [0, len(pieces)]
