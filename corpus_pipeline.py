@@ -33,17 +33,26 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id.
+    """One row of each group of near copies: the one with the smallest doc_id (a null one last).
 
-    Of rows with equal ids one stays; rows without an id always stay.
+    A row's node is its id and text, so rows with equal or null ids take part by
+    their own texts; of rows equal in both one stays.
     """
-    groups = checkpointed(near_duplicates(docs).where("doc_id is not null").groupBy("doc_id").agg(
-        F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("n")).where("doc_id != class_id or n > 1"))
-    # texts whose id is surely not listed need no join
-    split = KeyFilter(groups.select("doc_id")).split(docs, "doc_id")
+    node = F.xxhash64(F.col("doc_id").cast("string"), F.col("doc_id").isNull(), F.col("text"))
+    named = docs.withColumn("__node", node)
+    nodes = near_duplicates(named.select(F.col("__node").alias("doc_id"), "text"))
+    classes = checkpointed(nodes.groupBy(F.col("doc_id").alias("__node")).agg(F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("n")))
+    many = classes.groupBy("class_id").agg(F.sum("n").alias("rows")).where("rows > 1").select("class_id")
+    several = checkpointed(classes.join(many, "class_id").select("__node", "class_id"))
+    thin = KeyFilter(several.select("__node"))
+    ids = thin.split(named.select("__node", "doc_id"), "__node").where("maybe").select("__node", "doc_id")
+    listed_ids = checkpointed(ids.join(several, "__node"))
+    first = listed_ids.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__node"))).alias("x")).select(F.col("x.__node").alias("__node"))
+    # texts whose node is surely not listed need no join
+    split = thin.split(named, "__node")
     listed = split.where("maybe").drop("maybe")
-    kept = listed.join(groups.select("doc_id").hint("merge"), "doc_id", "left_anti").unionByName(
-        listed.join(groups.where("doc_id = class_id").select("doc_id").hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    kept = listed.join(several.select("__node").hint("merge"), "__node", "left_anti").unionByName(
+        listed.join(first.hint("merge"), "__node", "left_semi").dropDuplicates(["__node"]))
     return split.where("not maybe").drop("maybe").unionByName(kept).select(*docs.columns)
 
 
