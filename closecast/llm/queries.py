@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from closecast.llm.ball_codes import vector_codes
 from closecast.llm.common import table
 from closecast.llm.decontaminate import decontaminate
 from closecast.llm.langid import identify
@@ -15,8 +16,10 @@ from closecast.llm.licenses import scan_licenses
 from closecast.llm.line_dedup import dedup_lines
 from closecast.llm.mixing import mix_sources
 from closecast.llm.nearest import nearest_vectors
+from closecast.llm.norm_topk import top_products
 from closecast.llm.order_minhash import near_duplicates
 from closecast.llm.quality import score_quality, train
+from closecast.llm.spelling import spelling_variants
 from closecast.llm.substring_dedup import dedup_substrings
 from closecast.llm.warc import archive_pages
 
@@ -170,3 +173,82 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole document, learned outside fold 2 of 4."""
     docs = table(spark, sf_dir, "documents")
     return identify(docs, train_languages(docs), columns=["doc_id"]).select("doc_id", "held_out", "lang_pred", "score")
+
+
+# Usable vectors as integers, each row by itself.
+_INTS = """SELECT row_number() OVER () AS r, *, list_transform(embedding::DOUBLE[], lambda x: floor(1024 * x)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"""
+
+OP11_SQL = f"""
+WITH v AS ({_INTS}),
+s AS (SELECT q.r, q.vec_id AS query_id, v.vec_id, coalesce(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * v.e[i])), 0)::BIGINT AS score
+      FROM v q JOIN v ON v.r <> q.r AND len(v.e) = len(q.e) WHERE q.vec_id % 100 = 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM o WHERE rank <= 10
+"""
+
+
+@register("op11_top_products", OP11_SQL)
+def op11_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 largest integer inner products of every vector whose id is divisible by 100."""
+    return top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = r"""
+WITH bits AS (SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b::BIGINT, range(8)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents) GROUP BY ALL),
+hexed AS (SELECT run, k, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs),
+hashed AS (SELECT run, k, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, len(x) // 2), lambda i: ('0x' || substr(x, 1 + 2 * i::INT, 2))::BIGINT)),
+         lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) AS h FROM hexed, bits),
+cut AS (SELECT k, CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+gaps AS (SELECT word, n, i, length(word) AS size, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS z FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (SELECT DISTINCT g.word, o.word AS other, o.n FROM gaps g JOIN gaps o ON o.size = g.size AND o.i = g.i AND o.a = g.a AND o.z = g.z AND o.word <> g.word
+         UNION SELECT DISTINCT g.word, o.word, o.n FROM gaps g JOIN words o ON o.word = g.a || g.z
+         UNION SELECT DISTINCT o.word, g.word, g.n FROM gaps g JOIN words o ON o.word = g.a || g.z),
+best AS (SELECT word, count(*) AS n_near, max(n) AS top, arg_min(other, struct_pack(m := -n, w := other)) AS other FROM near GROUP BY word),
+tree AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.top >= 2 * w.n THEN b.other END AS form, CASE WHEN b.top >= 2 * w.n THEN b.top END AS form_n
+         FROM words w LEFT JOIN best b USING (word)),
+walk AS (WITH RECURSIVE up(word, seen, step) AS (SELECT word, form, 1 FROM tree WHERE form IS NOT NULL
+         UNION ALL SELECT up.word, tree.form, step + 1 FROM up JOIN tree ON tree.word = up.seen WHERE tree.form IS NOT NULL) SELECT word, arg_max(seen, step) AS root FROM up GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM tree LEFT JOIN walk USING (word)
+"""
+
+
+@register("op12_spelling", OP12_SQL)
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the whole documents with its near words, its form and the root of that."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def _op13_sql(rounds: int = 4) -> str:
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS (SELECT r, p, min(dist * 256 + k) AS best FROM (
+  SELECT x.r, x.p, c.k, coalesce(list_sum(list_transform(range(1, len(x.x) + 1), lambda j: (x.x[j] - c.x[j]) * (x.x[j] - c.x[j]))), 0)::BIGINT AS dist
+  FROM parts x JOIN c{k} c ON c.p = x.p) GROUP BY r, p)""")
+        if k < rounds:
+            steps.append(f"""m{k} AS (SELECT p, k, list(v ORDER BY j) AS x FROM (SELECT p, k, j, floor(sum(v)::DOUBLE / count(*))::BIGINT AS v FROM (
+  SELECT x.p, a.best % 256 AS k, unnest(x.x) AS v, unnest(range(1, len(x.x) + 1)) AS j FROM parts x JOIN a{k} a ON a.r = x.r AND a.p = x.p) GROUP BY p, k, j) GROUP BY p, k),
+c{k + 1} AS (SELECT c.p, c.k, coalesce(m.x, c.x) AS x FROM c{k} c LEFT JOIN m{k} m ON m.p = c.p AND m.k = c.k)""")
+    return f"""
+WITH v AS MATERIALIZED ({_INTS}),
+parts AS MATERIALIZED (SELECT r, p, e[p * (len(e) // 4) + 1:(p + 1) * (len(e) // 4)] AS x FROM v, (SELECT unnest(range(4)) AS p)),
+first AS (SELECT r, k FROM (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, e) - 1 AS k FROM v) WHERE k < 256),
+c0 AS (SELECT p, k, x FROM parts JOIN first USING (r)),
+{", ".join(s.replace(" AS (SELECT", " AS MATERIALIZED (SELECT", 1) for s in steps)},
+coded AS (SELECT r, string_agg(format('{{:02x}}', best % 256), '' ORDER BY p) AS code, sum(best // 256)::BIGINT AS error FROM a{rounds} GROUP BY r),
+book AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY p, k, j)) AS codebooks_sha256 FROM (SELECT p, k, unnest(x) AS v, unnest(range(1, len(x) + 1)) AS j FROM c{rounds}))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded JOIN v USING (r), book
+"""
+
+
+OP13_SQL = _op13_sql()
+
+
+@register("op13_vector_codes", OP13_SQL)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every vector, their errors, the label's sum of errors and the codebooks' digest."""
+    return vector_codes(table(spark, sf_dir, "embeddings"))
