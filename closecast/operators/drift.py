@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from closecast.functions.quantiles import bin_of, exact_quantiles
+from closecast.functions.quantiles import bin_of, quantile_table
 from closecast.schema import DIMENSIONS
 
 BINS = 10
@@ -28,13 +28,18 @@ def quantile_levels(bins: int = BINS) -> list[float]:
     return [i * step for i in range(bins)] + [1.0]
 
 
+def _number(c):
+    """The values of a column that count: only NaN / NULL are dropped (infinities stay, as in the reference)."""
+    x = c.cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def _long(df: DataFrame, columns: list[str], side: str) -> DataFrame:
     cols = [c for c in columns if c in df.columns]
     stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("x")) for c in cols
+        F.struct(F.lit(c).alias("feature"), _number(F.col(f"`{c}`")).alias("x")) for c in cols
     ])).alias("s")).select("s.feature", "s.x")
-    # only NaN / NULL are dropped (infinities stay, as in the reference)
-    return stacked.where(F.col("x").isNotNull() & ~F.isnan("x")).withColumn("side", F.lit(side))
+    return stacked.where(F.col("x").isNotNull()).withColumn("side", F.lit(side))
 
 
 def _raw_counts(reference: DataFrame, current: DataFrame, feats: list[str], bins: int,
@@ -43,7 +48,8 @@ def _raw_counts(reference: DataFrame, current: DataFrame, feats: list[str], bins
     whose reference has a single distinct value land in bin 0."""
     ref = _long(reference, feats, "ref")
     cur = _long(current, feats, "cur")
-    edges = exact_quantiles(ref.select("feature", "x"), quantile_levels(bins), relative_error).select(
+    held = {c: _number(F.col(f"`{c}`")) for c in feats}
+    edges = quantile_table(reference, held, quantile_levels(bins), relative_error).select(
         "feature", F.array_distinct("q").alias("edges"))
     inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
     edges = edges.select("feature", F.size("edges").alias("n_edges"), inner.alias("inner"))
@@ -187,9 +193,9 @@ def psi_by_group(reference: DataFrame, current: DataFrame, col: str, group_col:
     values) are computed once; each group's counts come from one grouped
     aggregate over a complete (group, bin) grid."""
     x = F.col(col).cast("double")
-    ref = reference.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    ref = reference.select(_number(x).alias("x")).where(F.col("x").isNotNull())
     cur = current.select(F.col(group_col).alias("g"), x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    found = exact_quantiles(ref.select(F.lit(col).alias("feature"), "x"), quantile_levels(bins), relative_error).select(
+    found = quantile_table(reference, {col: _number(x)}, quantile_levels(bins), relative_error).select(
         F.array_distinct("q").alias("e")).first()  # <= bins + 1 values
     edges = found["e"] if found else None
     groups = current.select(F.col(group_col).alias("g")).distinct()

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from closecast.functions.columns import finite_or_null
-from closecast.functions.quantiles import exact_quantiles, unpivoted
+from closecast.functions.quantiles import column_quantiles
 from closecast.operators.contracts import check_forbidden
 from closecast.schema import DERIVED, DIMENSIONS, FEATURES, HISTORICAL, OPERATIONAL, TARGET
 
@@ -60,17 +60,14 @@ def numeric_inputs(df_cols: list[str]) -> list[str]:
 def fit_statistics(df: DataFrame, relative_error: float | None = None) -> DataFrame:
     """M18 + M19: a one-row frame of medians and category arrays.
 
-    Medians are exact at every size (``exact_quantiles``), all columns in one
+    Medians are exact at every size (``column_quantiles``), all columns in each
     pass; ``relative_error`` asks for the bounded sketch instead. Category
     lists are the one-hot columns of the model, so they must fit a plan anyway.
     """
     enriched = with_derived(df)
     numeric = numeric_inputs(enriched.columns)
-    values = unpivoted(enriched, {c: finite_or_null(F.col(f"`{c}`").cast("double")) for c in numeric}).where("x IS NOT NULL")
-    found = exact_quantiles(values, [0.5], relative_error)
-    by_name = F.map_from_entries(F.collect_list(F.struct("feature", F.col("q")[0])))
-    medians = found.agg(by_name.alias("m")).select(
-        *[F.coalesce(F.try_element_at("m", F.lit(c)), F.lit(0.0)).alias(f"median__{c}") for c in numeric])
+    found = column_quantiles(enriched, {c: finite_or_null(F.col(f"`{c}`").cast("double")) for c in numeric}, [0.5], relative_error)
+    medians = df.sparkSession.range(1).select(*[F.lit(found.get(c, [0.0])[0]).alias(f"median__{c}") for c in numeric])
     cats = [F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"cats__{c}") for c in DIMENSIONS if c in df.columns]
     return medians.crossJoin(df.agg(*cats)) if cats else medians  # one row each
 

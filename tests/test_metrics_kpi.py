@@ -136,3 +136,38 @@ def test_quantiles_do_not_depend_on_partitions(spark):
         got = {r.feature: r.q for r in exact_quantiles(df.repartition(parts), levels).collect()}
         assert all(np.allclose(got[k], np.quantile(v, levels), rtol=0, atol=1e-12) for k, v in data.items())
     assert exact_quantiles(df.where(F.lit(False)), levels).count() == 0
+
+
+def test_radix_quantiles_of_awkward_columns(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from closecast.functions.quantiles import column_quantiles, ordered_image, value_of
+
+    rng = np.random.default_rng(8)
+    hard = np.concatenate([rng.normal(size=400) * 10.0 ** rng.integers(-300, 300, 400), [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308], np.full(900, 7.25)])
+    near = 1.0 + np.arange(300) * 2.0 ** -52  # differ in the last bits only
+    n = max(len(hard), len(near))
+    rows = [(float(hard[i]) if i < len(hard) else None, float(near[i]) if i < len(near) else None, None) for i in range(n)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
+    levels = [0.0, 0.2, 0.5, 0.77, 0.99, 1.0]
+    got = column_quantiles(df, {c: F.col(c) for c in "abc"}, levels)
+    assert set(got) == {"a", "b"}
+    for name, values in (("a", np.sort(hard)), ("b", near)):
+        for level, q in zip(levels, got[name]):
+            p = level * (len(values) - 1)
+            lo, hi = values[int(np.floor(p))], values[int(np.ceil(p))]
+            assert lo <= q <= hi and (lo != hi or q == lo)
+    image = ordered_image(np.sort(hard))
+    assert (np.diff(image.astype(object)) >= 0).all() and [value_of(int(i)) for i in image] == np.sort(hard).tolist()
+    assert column_quantiles(df.where("false"), {"a": F.col("a")}, levels) == {}
+
+
+def test_quantile_passes_shuffle_counts_only(spark):
+    from pyspark.sql import functions as F
+
+    from closecast.functions.quantiles import _cell_counts
+
+    df = spark.range(0, 50_000, 1, 4).select((F.col("id") % 3).cast("double").alias("c0"))
+    counts = df.mapInArrow(_cell_counts(["c0"], None, 0, 16), "col int, cell long, n long, least long, largest long")
+    assert counts.count() <= 3 * 8 and counts.agg(F.sum("n")).first()[0] == 50_000
