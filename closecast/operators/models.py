@@ -2,7 +2,8 @@
 
 Features are fitted once on the training block and cached; every learned
 candidate trains on that cached frame (the reference rebuilt features per
-candidate). Tree learners are Spark's histogram-based distributed trees.
+candidate). Boosted candidates are ``boosting.HistogramBoosting``, fitted
+together in shared passes; the forest is Spark's.
 """
 
 from __future__ import annotations
@@ -11,11 +12,12 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closecast.operators.baselines import BASELINE_FEATURES, FeatureColumnBaseline
+from closecast.operators.boosting import Boosting, HistogramBoosting, fit_together
 from closecast.operators.features import LeakageSafeFeatures
 from closecast.operators.splits import TemporalSplit
 from closecast.schema import PREDICTION, TARGET
@@ -69,20 +71,25 @@ def _elastic_net(config: ModelConfig, col: str, common: dict):
     ])
 
 
-def _boosted(p: dict, rounds: str, common: dict, **more):
-    return GBTRegressor(maxIter=p[rounds], maxDepth=p["max_depth"], stepSize=p["learning_rate"], checkpointInterval=10, **common, **more)
-
+#: name -> settings of a boosted candidate. The histogram candidate grows best-first
+#: to 31 leaves of at least 20 rows; ``xgboost`` adds the L2 penalty to gains and leaves.
+BOOSTED = {
+    "gradient_boosting": lambda c: Boosting(c.gbr_params["n_estimators"], c.gbr_params["max_depth"], c.gbr_params["learning_rate"],
+                                            row_share=c.gbr_params["subsample"], seed=c.random_state),
+    "hist_gradient_boosting": lambda c: Boosting(c.hgb_params["max_iter"], c.hgb_params["max_depth"], c.hgb_params["learning_rate"],
+                                                 max_leaves=31, min_rows=20, seed=c.random_state),
+    "xgboost": lambda c: Boosting(c.xgboost_params["n_estimators"], c.xgboost_params["max_depth"], c.xgboost_params["learning_rate"],
+                                  l2=c.xgboost_params["reg_lambda"], row_share=c.xgboost_params["subsample"],
+                                  column_share=c.xgboost_params["colsample_bytree"], seed=c.random_state),
+}
 
-#: name -> builder(config, features column, common tree arguments); ``xgboost`` is a
-#: stand-in: boosted trees with row and column subsampling (Spark has no L2 leaf penalty).
+#: name -> builder(config, features column, common arguments)
 BUILDERS = {
     **{name: (lambda config, col, common, n=name: FeatureColumnBaseline(BASELINE_FEATURES[n])) for name in BASELINE_FEATURES},
     "elastic_net": _elastic_net,
-    "gradient_boosting": lambda c, col, common: _boosted(c.gbr_params, "n_estimators", common, subsamplingRate=c.gbr_params["subsample"]),
-    "hist_gradient_boosting": lambda c, col, common: _boosted(c.hgb_params, "max_iter", common, maxBins=255, minInstancesPerNode=20),
-    "random_forest": lambda c, col, common: RandomForestRegressor(numTrees=c.rf_params["n_estimators"], maxDepth=c.rf_params["max_depth"], **common),
-    "xgboost": lambda c, col, common: _boosted(c.xgboost_params, "n_estimators", common, subsamplingRate=c.xgboost_params["subsample"],
-                                               featureSubsetStrategy=str(c.xgboost_params["colsample_bytree"])),
+    **{name: (lambda config, col, common, n=name: HistogramBoosting(BOOSTED[n](config), featuresCol=col)) for name in BOOSTED},
+    "random_forest": lambda c, col, common: RandomForestRegressor(numTrees=c.rf_params["n_estimators"], maxDepth=c.rf_params["max_depth"],
+                                                                  maxMemoryInMB=1024, cacheNodeIds=True, **common),
 }
 
 
@@ -142,25 +149,20 @@ def tune_learning_rate(split: TemporalSplit, rates=(0.03, 0.05, 0.1, 0.2), block
                        fitted: dict | None = None) -> DataFrame:
     """Hist-gradient-boosting learning-rate sweep scored by WAPE on the
     validation block (``block='test'`` reproduces the optimistic variant).
-    The settings are fitted concurrently on one cached feature frame;
+    All rates are fitted together, in shared passes over one binned frame;
     ``fitted`` may pass models already trained for some rates (same data)."""
-    from concurrent.futures import ThreadPoolExecutor
-
     from closecast.operators.metrics import metric_exprs
 
     config = config or ModelConfig()
     own = cache is None
     cache = cache or fit_features(split)
     target = cache.validation if block == "validation" else cache.test
-    fitted = fitted or {}
-
-    def one(lr):
-        cfg = ModelConfig(**{**config.__dict__, "hgb_params": {**config.hgb_params, "learning_rate": lr}})
-        m = fitted.get(lr) or build_estimator("hist_gradient_boosting", cfg).fit(cache.train)
-        return f"learning_rate={lr}", float(lr), m.transform(target).agg(metric_exprs()["wape"]).first()[0]
-
-    with ThreadPoolExecutor(max_workers=len(rates)) as pool:
-        rows = list(pool.map(one, rates))
+    models = dict(fitted or {})
+    todo = [lr for lr in rates if lr not in models]
+    if todo:
+        settings = [ModelConfig(**{**config.__dict__, "hgb_params": {**config.hgb_params, "learning_rate": lr}}) for lr in todo]
+        models |= dict(zip(todo, fit_together([build_estimator("hist_gradient_boosting", c) for c in settings], cache.train), strict=True))
+    rows = [(f"learning_rate={lr}", float(lr), models[lr].transform(target).agg(metric_exprs()["wape"]).first()[0]) for lr in rates]
     if own:
         cache.release()
     best = min(w for *_, w in rows)

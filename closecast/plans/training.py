@@ -1,8 +1,8 @@
 """Train-and-select pipeline (contract -> split -> candidates -> champion).
 
-Candidates share one cached feature frame and are fitted concurrently from
-a small thread pool on the same session (each boosting round is a handful of
-tiny Spark jobs, so concurrency hides scheduling latency).
+Candidates share one cached feature frame. The boosted ones are fitted together,
+in shared passes over one binned frame; the others run beside them from a small
+thread pool on the same session.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from closecast.operators import contracts as C
 from closecast.operators import selection as S
 from closecast.operators.baselines import BASELINE_FEATURES
-from closecast.operators.models import FeatureCache, ModelConfig, TrainingResult, build_estimator, fit_features
+from closecast.operators.boosting import fit_together
+from closecast.operators.models import BOOSTED, FeatureCache, ModelConfig, TrainingResult, build_estimator, fit_features
 from closecast.operators.metrics import METRIC_NAMES, metrics_cube
 from closecast.operators.scoring import ModelBundle
 from closecast.operators.splits import SplitConfig, TemporalSplit, blocked_temporal_split
@@ -40,13 +41,14 @@ class PipelineOutput:
     quarantined: int = 0
 
 
-def _fit_one(name: str, split: TemporalSplit, cache: FeatureCache | None, config: ModelConfig) -> TrainingResult:
+def _fit_one(name: str, split: TemporalSplit, cache: FeatureCache | None, config: ModelConfig, reg=None) -> TrainingResult:
+    """One candidate fitted (unless ``reg`` is its fitted model) and measured on the test block."""
     est = build_estimator(name, config)
     if name in BASELINE_FEATURES:
         fitted = PipelineModel(stages=[est.fit(split.train)])
         scored = fitted.transform(split.test)
     else:
-        reg = est.fit(cache.train)
+        reg = reg or est.fit(cache.train)
         fitted = PipelineModel(stages=[cache.model, reg])
         scored = reg.transform(cache.test)
     # one pass for all three metric tables; a row per facility and day comes back, no frame stays cached
@@ -59,9 +61,13 @@ def _fit_one(name: str, split: TemporalSplit, cache: FeatureCache | None, config
 def train_all_concurrent(split: TemporalSplit, config: ModelConfig, max_workers: int = 4) -> tuple:
     need = any(n not in BASELINE_FEATURES for n in config.candidates)
     cache = fit_features(split) if need else None
+    boosted = [n for n in config.candidates if n in BOOSTED]
     with ThreadPoolExecutor(max_workers=max_workers) as pool:
-        futures = {n: pool.submit(_fit_one, n, split, cache, config) for n in config.candidates}
-        results = {n: f.result() for n, f in futures.items()}
+        together = pool.submit(lambda: fit_together([build_estimator(n, config) for n in boosted], cache.train)) if boosted else None
+        futures = {n: pool.submit(_fit_one, n, split, cache, config) for n in config.candidates if n not in BOOSTED}
+        fitted = dict(zip(boosted, together.result(), strict=True)) if together else {}
+        futures |= {n: pool.submit(_fit_one, n, split, cache, config, reg) for n, reg in fitted.items()}
+        results = {n: futures[n].result() for n in config.candidates}
     return cache, results
 
 
