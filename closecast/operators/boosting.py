@@ -528,3 +528,48 @@ class HistogramBoostingModel(Model, HasFeaturesCol, HasPredictionCol, DefaultPar
     def _transform(self, dataset: DataFrame) -> DataFrame:
         shared = dataset.sparkSession.sparkContext.broadcast(self.trees)  # the model: rounds x nodes, whatever the rows
         return dataset.withColumn(self.getPredictionCol(), over_vectors(self.getFeaturesCol(), lambda x: pa.array(shared.value.predict(x)), "double"))
+
+
+# ------------------------------------------- Spark's own tree ensembles
+def saved_nodes(model):
+    """The nodes of a fitted Spark tree ensemble as a pandas table, a row per node in preorder: tree, id, prediction, rows, gain, left, right, feature, threshold.
+
+    They are read from the model's saved form, one job in place of a call per
+    node. The table has the model's size, whatever the rows.
+    """
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    path = f"{ensure_checkpoint_dir(spark)}/nodes-{uuid.uuid4().hex}"
+    model.write().save(path)
+    n = "nodeData"
+    got = spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), F.col(f"{n}.id").alias("id"), F.col(f"{n}.prediction").alias("prediction"), F.col(f"{n}.rawCount").alias("rows"),
+        F.col(f"{n}.gain").alias("gain"), F.col(f"{n}.leftChild").alias("left"), F.col(f"{n}.rightChild").alias("right"),
+        F.col(f"{n}.split.featureIndex").alias("feature"), F.get(F.col(f"{n}.split.leftCategoriesOrThreshold"), F.lit(0)).alias("threshold")).toPandas()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return got.sort_values(["tree", "id"], ignore_index=True)
+
+
+def flat_trees(model) -> Trees | None:
+    """The trees of a fitted ensemble as arrays; None for models of another kind. Leaf values carry the tree's weight."""
+    if isinstance(model, HistogramBoostingModel):
+        return model.trees
+    if not hasattr(model, "treeWeights") or not hasattr(model, "getNumTrees"):
+        return None
+    nodes = saved_nodes(model)
+    weights = np.array(model.treeWeights)
+    if type(model).__name__.startswith("RandomForest"):
+        weights = np.full(len(weights), 1 / len(weights))
+    sizes = nodes.groupby("tree").size()
+    out = Trees(*[np.full((len(weights), int(sizes.max())), fill, dtype) for fill, dtype in (
+        (0, np.int32), (0, np.int16), (0, np.float64), (-1, np.int32), (-1, np.int32), (0, np.float64), (0, np.float64), (0, np.float64))])
+    for t, g in nodes.groupby("tree"):
+        k = len(g)
+        inner = g["left"].to_numpy() >= 0
+        out.left[t, :k], out.right[t, :k] = g["left"], g["right"]
+        out.feature[t, :k], out.threshold[t, :k] = np.where(inner, g["feature"], 0), np.where(inner, g["threshold"].fillna(0.0), 0.0)
+        out.value[t, :k] = np.where(inner, 0.0, g["prediction"] * weights[t])
+        out.cover[t, :k], out.gain[t, :k] = g["rows"], np.where(inner, g["gain"], 0.0)
+    return out

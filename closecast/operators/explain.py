@@ -1,22 +1,29 @@
 """Model explanation as Spark jobs.
 
-X1 permutation importance: every (feature, repeat) permutation is built with a
-distributed sort on a seeded hash (no single-partition window, nothing
-collected), all permuted rows are scored by ONE ``transform``, and R^2 comes
-from grouped sufficient sums.
+X1 permutation importance: a keyed bijection of the row numbers (a Feistel
+network with cycle walking) names by arithmetic the row that each value moves
+to, for every (feature, repeat); no sort. All permuted rows are scored by ONE
+``transform``, and R^2 comes from grouped sufficient sums.
 
-X3 global SHAP: Monte-Carlo permutation sampling (the public Shapley sampling
-estimator) over a bounded sample; windows are partitioned by (row,
+X3 global SHAP: exact Shapley values of tree ensembles, from the paths of the
+flattened trees (``tree_shapley``). Other models: permutation sampling (the
+public Shapley sampling estimator); windows are partitioned by (row,
 permutation), so no window partition grows with the data.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from math import factorial
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from closecast.operators.boosting import Trees, flat_trees
 from closecast.schema import KEYS, PREDICTION, TARGET
 
 
@@ -49,43 +56,62 @@ def _r2(parts: DataFrame) -> F.Column:
         .otherwise(F.lit(1.0) - F.col("sse") / sst)
 
 
+def _mixed(x: np.ndarray, key: int) -> np.ndarray:
+    x = (x ^ np.uint64(key)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def shuffled(i: np.ndarray, n: int, key: int, rounds: int = 6) -> np.ndarray:
+    """A bijection of 0..n-1 chosen by ``key``: a Feistel network on the next even power of two, walked until it is inside."""
+    half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
+    mask, width = np.uint64((1 << half) - 1), np.uint64(half)
+    out = i.astype(np.uint64)
+    outside = np.arange(len(out))
+    while len(outside):
+        left, right = out[outside] >> width, out[outside] & mask
+        for r in range(rounds):
+            left, right = right, left ^ (_mixed(right, (key * 0x100000001B3 + r + 1) % (1 << 64)) & mask)
+        out[outside] = (left << width) | right
+        outside = outside[out[outside] >= np.uint64(n)]
+    return out.astype(np.int64)
+
+
 def permutation_importance(regressor, data: DataFrame, feature_names: list[str], n_repeats: int = 5,
                            seed: int = 42, y: str = TARGET) -> DataFrame:
     """Mean / std (population) of the R^2 drop when one feature is shuffled.
 
     ``data`` holds one column per feature name plus the target; ``regressor``
-    is a fitted Spark ML model reading a ``features`` vector.
+    is a fitted Spark ML model reading a ``features`` vector. Each row sends one
+    value per (feature, repeat) to the row that ``shuffled`` names, in one shuffle.
     """
     spark = data.sparkSession
-    base = dense_index(data.select(*feature_names, y)).persist()
     assembler = VectorAssembler(inputCols=feature_names, outputCol="features", handleInvalid="keep")
+    base = dense_index(assembler.transform(data.select(*feature_names, y)).select(vector_to_array("features").alias("x"), F.col(y).alias(y))).persist()
+    n, k = base.count(), len(feature_names) * n_repeats
 
     def score(df):
-        return regressor.transform(assembler.transform(df))
+        return regressor.transform(df.select("*", array_to_vector("x").alias("features")))
 
     base_parts = _r2_parts(score(base), [])
-    r2_base = base_parts.select(_r2(base_parts).alias("r2")).first()["r2"]  # one scalar
-
-    plan = spark.createDataFrame([(f, r) for f in feature_names for r in range(n_repeats)],
-                                 "feature string, repeat int")
-    # donors: for each (feature, repeat) rows are sorted by a seeded hash; the row
-    # at sorted position p donates its value of that feature to the row with index p.
-    long_vals = base.select("_i", F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").cast("double").alias("v")) for f in feature_names
-    ])).alias("s")).select("_i", "s.feature", "s.v")
-    keyed = long_vals.join(F.broadcast(plan), "feature").withColumn(
-        "_h", F.xxhash64(F.lit(seed), "feature", "repeat", "_i"))
-    ordered = dense_index(keyed.orderBy("feature", "repeat", "_h"), "_g")
-    starts = ordered.groupBy("feature", "repeat").agg(F.min("_g").alias("_g0"))
-    donors = ordered.join(F.broadcast(starts), ["feature", "repeat"]).select(
-        "feature", "repeat", (F.col("_g") - F.col("_g0")).alias("_i"), F.col("v").alias("_perm"))
-    # the donated values of one row travel as one array (features x repeats), so the wide row is joined once
-    given = donors.groupBy("_i").agg(F.collect_list(F.struct("feature", "repeat", "_perm")).alias("_given"))
-    swapped = base.join(given, "_i").select("*", F.inline("_given")).drop("_given").withColumns({
-        f: F.when(F.col("feature") == f, F.col("_perm")).otherwise(F.col(f"`{f}`")) for f in feature_names})
-    parts = _r2_parts(score(swapped), ["feature", "repeat"])
-    drop = F.lit(float(r2_base)) - _r2(parts)
-    out = (parts.select("feature", drop.alias("drop")).groupBy("feature")
+    first = base_parts.select(_r2(base_parts).alias("r2")).first()  # one scalar
+    r2_base = first["r2"]
+
+    @F.arrow_udf("array<bigint>")
+    def goes_to(i: pa.Array) -> pa.Array:
+        rows = i.to_numpy(zero_copy_only=False)
+        to = np.stack([shuffled(rows, n, seed * 1_000_003 + j) for j in range(k)], axis=1)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * k, pa.int32()), pa.array(to.ravel()))
+
+    sent = base.select("x", goes_to("_i").alias("to")).select(F.inline(F.transform(
+        F.sequence(F.lit(0), F.lit(k - 1)), lambda j: F.struct(j.alias("j"), F.get("to", j).alias("_i"), F.get("x", F.floor(j / n_repeats).cast("int")).alias("v")))))
+    given = sent.groupBy("_i").agg(F.collect_list(F.struct("j", "v")).alias("given"))  # features x repeats values a row
+    swapped = base.join(given, "_i").select("x", y, F.inline("given")).withColumn("f", F.floor(F.col("j") / n_repeats).cast("int"))
+    swapped = swapped.select("f", "j", y, F.transform("x", lambda v, p: F.when(p == F.col("f"), F.col("v")).otherwise(v)).alias("x"))
+    parts = _r2_parts(score(swapped), ["f", "j"])
+    drop = F.lit(r2_base).cast("double") - _r2(parts)
+    names = F.array(*[F.lit(c) for c in feature_names])
+    out = (parts.select(F.get(names, F.col("f")).alias("feature"), drop.alias("drop")).groupBy("feature")
            .agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"))
            .orderBy(F.col("importance_mean").desc(), "feature"))
     rows = out.collect()  # one row per feature
@@ -106,10 +132,93 @@ def native_importance(regressor, feature_names: list[str]) -> DataFrame | None:
         F.col("importance").desc(), "feature")
 
 
+class _Paths:
+    """The paths of one tree to its leaves: per leaf its features, the range of each, and what each adds for every
+    pattern of ranges that a row can be in."""
+
+    def __init__(self, trees: Trees, t: int):
+        self.leaves: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        left, right, feature, threshold, cover, value = (getattr(trees, c)[t] for c in ("left", "right", "feature", "threshold", "cover", "value"))
+        todo: list[tuple[int, dict]] = [(0, {})]
+        while todo:
+            node, path = todo.pop()
+            if left[node] < 0:
+                if path and value[node] != 0:
+                    self._leaf(path, float(value[node]))
+                continue
+            f = int(feature[node])
+            low, high, share = path.get(f, (-np.inf, np.inf, 1.0))
+            for child, ends in ((left[node], (low, min(high, threshold[node]))), (right[node], (max(low, threshold[node]), high))):
+                todo.append((int(child), {**path, f: (*ends, share * cover[child] / cover[node])}))
+
+    def _leaf(self, path: dict, value: float) -> None:
+        m = len(path)
+        low, high, share = (np.array(c) for c in zip(*path.values(), strict=True))
+        inside = (np.arange(1 << m)[:, None] >> np.arange(m)) & 1  # pattern x feature: is the row in the feature's range
+        added = np.empty((1 << m, m))
+        weight = np.array([factorial(s) * factorial(m - 1 - s) / factorial(m) for s in range(m)])
+        for j in range(m):
+            # coefficients of the product over the other features of (share + inside * t), t counting those that are known
+            poly = np.zeros((1 << m, m))
+            poly[:, 0] = 1
+            for k in range(m):
+                if k != j:
+                    up = np.zeros_like(poly)
+                    up[:, 1:] = poly[:, :-1] * inside[:, k:k + 1]
+                    poly = poly * share[k] + up
+            added[:, j] = value * (poly @ weight) * (inside[:, j] - share[j])
+        self.leaves.append((np.array(list(path), dtype=np.int64), low, high, added))
+
+
+def tree_shapley(trees: Trees, x: np.ndarray) -> np.ndarray:
+    """Exact Shapley values (rows x features) of the trees' prediction.
+
+    The value of a set of known features is the expectation of a tree where a
+    split on an unknown feature sends a row both ways by the training rows'
+    shares. For one leaf that is its value times a product over the path's
+    features, so its Shapley values follow in closed form from which of the
+    path's ranges hold the row; they are tabulated per leaf and looked up.
+    The values of a row add up to its prediction less the expectation.
+    """
+    out = np.zeros(x.shape)
+    for t in range(len(trees)):
+        for features, low, high, added in _Paths(trees, t).leaves:
+            v = x[:, features]
+            pattern = ((v > low) & (v <= high)) @ (1 << np.arange(len(features)))
+            out[:, features] += added[pattern]
+    return out
+
+
+def expected_prediction(trees: Trees) -> float:
+    """The trees' prediction with no feature known."""
+    total = trees.base
+    for t in range(len(trees)):
+        leaf = (trees.left[t] < 0) & (trees.cover[t] > 0)
+        total += float((trees.value[t][leaf] * trees.cover[t][leaf]).sum() / trees.cover[t][0])
+    return total
+
+
+def _exact_shap(trees: Trees, rows: DataFrame, feature_names: list[str]) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(trees)  # the model: trees x nodes, whatever the rows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                sums = np.abs(tree_shapley(shared.value, x)).sum(axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(sums)), pa.int32()), pa.array(np.full(len(sums), batch.num_rows)), pa.array(sums)], names=["f", "n", "total"])
+
+    names = F.array(*[F.lit(c) for c in feature_names])
+    sums = rows.mapInArrow(run, "f int, n long, total double").groupBy("f").agg((F.sum("total") / F.sum("n")).alias("mean_abs_shap"))
+    return sums.select(F.get(names, F.col("f")).alias("feature"), "mean_abs_shap").orderBy(F.col("mean_abs_shap").desc(), "feature")
+
+
 def shap_global(regressor, data: DataFrame, feature_names: list[str], max_samples: int | None = None,
                 n_permutations: int = 10, seed: int = 42, top: int | None = None) -> DataFrame:
-    """Mean |Shapley value| per feature over all rows, background = the same
-    rows, by permutation sampling. ``max_samples`` takes about that many rows, by key hash."""
+    """Mean |Shapley value| per feature over all rows. ``max_samples`` takes about that many rows, by key hash.
+
+    Tree ensembles: exact, by ``tree_shapley``. Other models: by ``n_permutations``
+    sampled orders a row, with the same rows as background."""
     spark = data.sparkSession
     nf = len(feature_names)
     order_cols = [k for k in KEYS if k in data.columns]
@@ -118,6 +227,12 @@ def shap_global(regressor, data: DataFrame, feature_names: list[str], max_sample
         share = min(1.0, max_samples / max(1, data.count()))
         sample = data.where(F.pmod(F.xxhash64(F.lit(seed), *(order_cols or feature_names)), F.lit(1 << 20)) < int(share * (1 << 20)))
     vec = VectorAssembler(inputCols=feature_names, outputCol="_v", handleInvalid="keep")
+    trees = flat_trees(regressor)
+    if trees is not None:
+        # as many tasks as cores where there are rows for them: a row takes time in the number of leaves
+        arrays = vec.transform(sample).select(vector_to_array("_v").alias("x")).repartition(spark.sparkContext.defaultParallelism)
+        rows = _exact_shap(trees, arrays, feature_names).limit(top or nf).collect()  # one row per feature
+        return spark.createDataFrame(rows, "feature string, mean_abs_shap double")
     s = dense_index(vec.transform(sample).select(vector_to_array("_v").alias("x"))).persist()
     n = s.count()
     perms = s.select("_i", "x", F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))).alias("m"))

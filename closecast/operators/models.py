@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from closecast.operators.baselines import BASELINE_FEATURES, FeatureColumnBaseline
-from closecast.operators.boosting import Boosting, HistogramBoosting, fit_together
+from closecast.operators.boosting import Boosting, HistogramBoosting, fit_together, over_vectors, saved_nodes
 from closecast.operators.features import LeakageSafeFeatures
 from closecast.operators.splits import TemporalSplit
 from closecast.schema import PREDICTION, TARGET
@@ -130,12 +132,14 @@ class FeatureCache:
 
 
 TASK_BYTES = 32 << 20
+TASK_ROWS = 4096
 
 
 def _cached(df: DataFrame, width: int) -> DataFrame:
-    """``df`` cached in as many partitions as its bytes need: boosting runs many short jobs over it."""
+    """``df`` cached in as many partitions as its bytes need, or as its rows can keep cores busy: fitting runs many short jobs over it."""
     rows = df.count()
-    return df.coalesce(max(1, -(-rows * width * 8 // TASK_BYTES))).cache()
+    busy = min(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    return df.coalesce(max(1, busy, -(-rows * width * 8 // TASK_BYTES))).cache()
 
 
 def fit_features(split: TemporalSplit) -> FeatureCache:
@@ -171,26 +175,28 @@ def tune_learning_rate(split: TemporalSplit, rates=(0.03, 0.05, 0.1, 0.2), block
 
 
 # -- B2: per-tree spread of a random forest ---------------------------------
+def leaf_values(forest) -> tuple[np.ndarray, np.ndarray]:
+    """(values, starts): leaf k of member t predicts values[starts[t] + k], in the order that the model numbers its leaves."""
+    nodes = saved_nodes(forest)
+    leaves = nodes[nodes["left"] < 0].sort_values(["tree", "id"])
+    sizes = np.bincount(leaves["tree"], minlength=forest.getNumTrees)
+    return leaves["prediction"].to_numpy(), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+
+
 def interval_columns(scored: DataFrame, forest) -> tuple[DataFrame, list]:
     """Population std of the member trees' predictions and +-1.96 std bounds.
 
-    Each member tree is applied as a JVM-side model (no Python per row); the
-    tree outputs are gathered into one array column.
+    One JVM pass names each row's leaf in every member (``leafCol``); a look-up in the
+    forest's flat leaf values, which are broadcast, gives the members' predictions by batch.
     """
-    names = []
-    out = scored
-    for i, tree in enumerate(forest.trees):
-        col = f"_tree_{i}"
-        out = tree.copy().setFeaturesCol(forest.getFeaturesCol()).setPredictionCol(col).transform(out)
-        names.append(col)
-    arr = F.array(*[F.col(c) for c in names])
-    n = float(len(names))
-    mean = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x) / n
-    out = out.withColumn("_mean", mean).withColumn(
-        "prediction_std",
-        F.sqrt(F.greatest(F.aggregate(arr, F.lit(0.0), lambda a, x: a + (x - F.col("_mean")) * (x - F.col("_mean"))) / n,
-                          F.lit(0.0))))
-    out = out.drop(*names, "_mean")
+    shared = scored.sparkSession.sparkContext.broadcast(leaf_values(forest))  # the model's size
+
+    def spread(leaves: np.ndarray) -> pa.Array:
+        values, starts = shared.value
+        return pa.array(values[leaves.astype(np.int64) + starts].std(axis=1) if len(leaves) else np.zeros(0))
+
+    with_leaves = forest.copy().setLeafCol("_leaves").setPredictionCol("_again").transform(scored)
+    out = with_leaves.withColumn("prediction_std", over_vectors("_leaves", spread, "double")).drop("_leaves", "_again")
     p = F.col(PREDICTION)
     cols = [F.col("prediction_std"), (p - 1.96 * F.col("prediction_std")).alias("prediction_lower"),
             (p + 1.96 * F.col("prediction_std")).alias("prediction_upper")]
