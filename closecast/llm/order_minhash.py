@@ -411,11 +411,11 @@ def _untried(entries: DataFrame, comp: DataFrame, tokens: DataFrame, tried: Data
     salts = checkpointed(own.where("n_active > 0").select("key", "band", "n_active").join(near, ["key", "band"]).select(
         "key", "band", F.ceil(F.col("n") / _BLOCK).cast("int").alias("ss"), F.ceil(F.col("n_active") / _BLOCK).cast("int").alias("us")))
     salt = lambda of, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), F.col(of)).cast("int")
-    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    all_salts = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
     columns = ["key", "band", "rep", "comp", "n_words", "active", "s", "u"]
-    left = open_.where("active").join(salts, ["key", "band"]).withColumn("u", salt("us", 1)).withColumn("s", every("ss")).select(*columns, F.lit(1).alias("role"))
+    left = open_.where("active").join(salts, ["key", "band"]).withColumn("u", salt("us", 1)).withColumn("s", all_salts("ss")).select(*columns, F.lit(1).alias("role"))
     right = (open_.select("key", "n_words", "rep", "comp", "active", reach).join(salts, ["key", "band"])
-             .withColumn("s", salt("ss", 2)).withColumn("u", every("us")).select(*columns, F.lit(0).alias("role")))
+             .withColumn("s", salt("ss", 2)).withColumn("u", all_salts("us")).select(*columns, F.lit(0).alias("role")))
     dealt = left.union(right).join(counts, "rep").repartition(parts, "key", "band", "s", "u").sortWithinPartitions("key", "band", "s", "u")
     return dealt.mapInArrow(_across(threshold, every), _PAIR).distinct().join(tried, ["a", "b"], "left_anti")
 

@@ -67,7 +67,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op1_order_minhash")
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Group of near copies of each whole document: class id and links of its text."""
+    """Group of near copies of each whole document."""
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
