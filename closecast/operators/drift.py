@@ -10,7 +10,7 @@ empty bins explicit, so the rate clipping matches the reference.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closecast.functions.quantiles import bin_of, quantile_table
@@ -219,3 +219,50 @@ def psi_by_group(reference: DataFrame, current: DataFrame, col: str, group_col:
     return psi.select(F.col("g").alias(group_col),
                       F.when(F.coalesce(F.col("n_cur"), F.lit(0)) == 0, F.lit(None).cast("double"))
                       .otherwise(F.col("psi")).alias("psi"))
+
+
+def contract_failure_drift(reference: DataFrame, current: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """Share of rows that break the contract, reference against current, per column and over all.
+
+    Rows: ``column, reference_rate, current_rate, drifted``; the column ``*`` counts a row once however many rules it breaks.
+    """
+    from closecast.operators.contracts import with_contract_failures
+
+    def rates(df: DataFrame, name: str) -> DataFrame:
+        checked = with_contract_failures(df).select(F.array_distinct(F.transform("contract_failures", lambda x: x["column"])).alias("columns"))
+        broken = F.when(F.size("columns") > 0, F.concat(F.array(F.lit("*")), "columns")).otherwise(F.array(F.lit("*")))
+        # a row per row and broken column, added up before the shuffle; the star's rows are all rows
+        long = checked.select(F.explode(broken).alias("column"), (F.size("columns") > 0).alias("bad"))
+        per = long.groupBy("column").agg(F.count_if("bad").alias("bad"), F.count(F.lit(1)).alias("n"))
+        total = per.where(F.col("column") == "*").select(F.col("n").alias("total"))
+        return per.crossJoin(total).select("column", (F.col("bad") / F.col("total")).alias(name))  # one total
+
+    both = rates(reference, "r").join(rates(current, "c"), "column", "full")
+    r, c = (F.coalesce(x, F.lit(0.0)) for x in ("r", "c"))
+    return both.select("column", F.round(r, 6).alias("reference_rate"), F.round(c, 6).alias("current_rate"), (c - r > tolerance).alias("drifted"))
+
+
+def schema_fingerprint(df: DataFrame) -> dict[str, str]:
+    """Column names with their types, as kept for every accepted batch."""
+    return {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+
+def keep_fingerprint(df: DataFrame, batch: str, path: str) -> None:
+    """Append the batch's schema to the ledger at ``path`` (a row per column)."""
+    rows = [(batch, c, t) for c, t in schema_fingerprint(df).items()]
+    df.sparkSession.createDataFrame(rows, "batch string, column string, type string").coalesce(1).write.mode("append").parquet(path)
+
+
+def schema_changes(ledger: DataFrame) -> DataFrame:
+    """Per batch, against the batch before: columns added, removed and of another type; ``retrain`` if any.
+
+    The ledger has a row per batch and column, whatever the rows of the batches.
+    """
+    batches = ledger.select("batch").distinct().select("batch", F.lag("batch").over(Window.partitionBy(F.lit(1)).orderBy("batch")).alias("before")).where("before IS NOT NULL")
+    now = batches.join(ledger, "batch").select("batch", "before", "column", F.col("type").alias("now"))
+    was = batches.join(ledger.withColumnRenamed("batch", "before"), "before").select("batch", "before", "column", F.col("type").alias("was"))
+    both = now.join(was, ["batch", "before", "column"], "full")
+    named = lambda cond: F.array_join(F.array_sort(F.collect_set(F.when(cond, F.col("column")))), ",")
+    out = both.groupBy("batch").agg(named(F.col("was").isNull()).alias("added"), named(F.col("now").isNull()).alias("removed"),
+                                    named(F.col("now") != F.col("was")).alias("changed"))
+    return out.withColumn("retrain", F.concat("added", "removed", "changed") != "")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from closecast.operators.metrics import METRIC_NAMES, metric_exprs
-from closecast.schema import CHALLENGER_THRESHOLD, TARGET
+from closecast.schema import CHALLENGER_THRESHOLD, SNAPSHOT_DAY, TARGET
 
 
 def comparison_table(metric_rows: dict[str, DataFrame]) -> DataFrame:
@@ -86,3 +86,18 @@ def promotion_gate(scored: DataFrame, incumbent_col: str, candidate_col: str, y:
                     F.round(imp, 6).alias("improvement"),
                     F.coalesce(imp > threshold, F.lit(False)).alias("promote"))
 
+
+
+def release_gate(scored: DataFrame, incumbent_col: str, candidate_col: str, y: str = TARGET, day: int = 15,
+                 target: float = 0.04, threshold: float = CHALLENGER_THRESHOLD) -> DataFrame:
+    """L13, all conditions of a release: the candidate's WAPE at ``day`` is within the target (that of the primary checkpoint), it
+    beats the baseline on the same rows, and its improvement exceeds the threshold."""
+    at = F.col(SNAPSHOT_DAY) == day
+    only = lambda c: F.when(at, F.col(c))
+    gate = promotion_gate(scored, incumbent_col, candidate_col, y, threshold)
+    by_day = scored.select(only(y).alias(y), only(candidate_col).alias("c")).where(F.col(y).isNotNull()).agg(metric_exprs(y, "c")["wape"].alias("w"))
+    return gate.crossJoin(by_day).select(  # one row each
+        "n", "incumbent_wape", "candidate_wape", "improvement", F.round("w", 6).alias("day_wape"),
+        F.coalesce(F.col("w") <= target, F.lit(False)).alias("meets_day_target"),
+        F.coalesce(F.col("candidate_wape") < F.col("incumbent_wape"), F.lit(False)).alias("beats_baseline"),
+        (F.col("promote") & F.coalesce(F.col("w") <= target, F.lit(False))).alias("releasable"))

@@ -9,16 +9,19 @@ import threading
 
 from pyspark.sql import functions as F
 
+from closecast.operators import drift as D
 from closecast.operators import explain as X
 from closecast.operators import metrics as M
 from closecast.operators import scoring as B
 from closecast.operators.models import ModelConfig, build_estimator, fit_features, interval_columns, tune_learning_rate
-from closecast.plans.common import naive_bundle, snapshots
+from closecast.operators.selection import release_gate
+from closecast.plans import oracle_sql as O
+from closecast.plans.common import SEASONAL, baseline_scored, naive_bundle, snapshots
 from closecast.plans.snapshots import input_key
 from closecast.plans.registry import ORACLE_SQL, QUERIES, SEL_TABLE, SPLIT, W, register
 from closecast.operators.splits import blocked_temporal_split
 from closecast.plans.training import TEST_PROFILE_CANDIDATES, known_training, memo_training
-from closecast.schema import KEYS, TARGET
+from closecast.schema import KEYS, PREDICTION, TARGET
 from closecast.sources.snapshot_io import scratch_path
 
 
@@ -204,6 +207,33 @@ def q_stream_mtd(spark, sf_dir):
     return month_to_date(spark, out)
 
 
+_LATE_SQL = """
+WITH late AS (SELECT ts FROM events WHERE event_id % 50 = 0 AND ts < (SELECT min(ts) FROM events) + INTERVAL 10 DAY),
+seen AS (SELECT count(*) + (SELECT count(*) FROM late) AS n, max(ts) AS newest FROM events),
+gone AS (SELECT count(*) AS n FROM late, seen WHERE date_trunc('day', late.ts) + INTERVAL 1 DAY <= newest - INTERVAL 1 DAY)
+SELECT seen.n + 1 AS n_read, seen.n + 1 - gone.n AS n_counted, gone.n AS n_dropped FROM seen, gone"""
+
+
+@register("stream_late_rows", _LATE_SQL)
+def q_stream_late_rows(spark, sf_dir):
+    """Daily event windows of a stream with planted late rows: every fiftieth event of the first ten days comes
+    once more after the newest events; rows read are kept per epoch, those that reach no window are late."""
+    from closecast.sources.tables import read_table
+    from closecast.streaming.mtd import EVENTS_SCHEMA, late_rows, rollup_with_ledger
+
+    events = read_table(spark, sf_dir, "events").select(*[f.split()[0] for f in EVENTS_SCHEMA.split(", ")])
+    ends = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last"), (F.min("ts") + (F.max("ts") - F.min("ts")) / 2).alias("mid")).first()  # one row
+    folder = scratch_path(spark, "late_events").replace(".parquet", "")
+    newest = events.where(F.col("ts") == ends["last"]).orderBy("event_id").limit(1)
+    late = events.where((F.col("event_id") % 50 == 0) & (F.col("ts") < F.lit(ends["first"]) + F.expr("INTERVAL 10 DAYS")))
+    # the files come one per micro-batch, in the order of their writing; the third only moves the watermark on
+    for part in (events.where(F.col("ts") < F.lit(ends["mid"])), events.where(F.col("ts") >= F.lit(ends["mid"])), newest, late):
+        part.coalesce(1).write.mode("append").parquet(folder + "_src")
+    out = folder + "_out"
+    rollup_with_ledger(spark, folder + "_src", out, folder + "_ckpt", folder + "_ledger", max_files_per_trigger=1)
+    return late_rows(spark, folder + "_ledger", out)
+
+
 @register("backtest_models")
 def q_backtest_models(spark, sf_dir):
     """T5: baselines and elastic net refitted on each expanding and rolling fold, scored on its validation months."""
@@ -218,6 +248,49 @@ def _backtest(spark, sf_dir):
     return both[0].unionByName(both[1])
 
 
+@register("release_gate", W(f"""
+SELECT n, round(iw, 6) AS incumbent_wape, round(cw, 6) AS candidate_wape, round((iw - cw) / GREATEST(abs(iw), 1e-9), 6) AS improvement, round(dw, 6) AS day_wape,
+       COALESCE(dw <= 0.04, false) AS meets_day_target, COALESCE(cw < iw, false) AS beats_baseline,
+       COALESCE(dw <= 0.04, false) AND COALESCE((iw - cw) / GREATEST(abs(iw), 1e-9) > 0.02, false) AS releasable
+FROM (SELECT COUNT(*) AS n, {O.wape_sql(p='pred_seasonal')} AS iw, {O.wape_sql()} AS cw FROM scored WHERE split = 'test'),
+     (SELECT {O.wape_sql()} AS dw FROM scored WHERE split = 'test' AND snapshot_day = 15)""", SPLIT))
+def q_release_gate(spark, sf_dir):
+    """The promotion gate with its day-15 target and the baseline condition."""
+    test = baseline_scored(spark, sf_dir).where(F.col("split") == "test")
+    return release_gate(test, SEASONAL, PREDICTION)
+
+
+def _with_planted_rows(df):
+    """Every fifth facility reports negative payments on day 15."""
+    bad = (F.substring("facility_id", 5, 3).cast("int") % 5 == 0) & (F.col("snapshot_day") == 15)
+    return df.withColumn("month_to_date_payments", F.when(bad, F.lit(-5.0)).otherwise(F.col("month_to_date_payments")))
+
+
+@register("contract_failure_drift", W("""
+SELECT "column", 0.0 AS reference_rate, round(AVG(CASE WHEN CAST(substr(facility_id, 5, 3) AS INT) % 5 = 0 AND snapshot_day = 15 THEN 1.0 ELSE 0.0 END), 6) AS current_rate,
+       AVG(CASE WHEN CAST(substr(facility_id, 5, 3) AS INT) % 5 = 0 AND snapshot_day = 15 THEN 1.0 ELSE 0.0 END) > 0.01 AS drifted
+FROM split, (VALUES ('*'), ('month_to_date_payments')) v("column") WHERE split = 'test' GROUP BY "column" """, SPLIT))
+def q_contract_failure_drift(spark, sf_dir):
+    """Contract failures of the test block, with planted negative payments, against the training block."""
+    split = blocked_temporal_split(snapshots(spark, sf_dir))
+    return D.contract_failure_drift(split.train, _with_planted_rows(split.test))
+
+
+@register("schema_changes", W("""
+SELECT batch, added, removed, changed, added || removed || changed <> '' AS retrain FROM (VALUES
+  ('2', '', '', ''), ('3', 'days_elapsed_text', 'days_elapsed', ''), ('4', 'days_elapsed', 'days_elapsed_text', 'month_to_date_payments')) v(batch, added, removed, changed)
+WHERE (SELECT COUNT(*) FROM split WHERE split = 'train') > 0""", SPLIT))
+def q_schema_changes(spark, sf_dir):
+    """Schemas of four accepted batches, kept in a ledger: equal, a renamed column, a column of another type."""
+    split = blocked_temporal_split(snapshots(spark, sf_dir))
+    path = scratch_path(spark, "fingerprints")
+    batches = [split.train, split.validation, split.test.withColumnRenamed("days_elapsed", "days_elapsed_text"),
+               split.test.withColumn("month_to_date_payments", F.col("month_to_date_payments").cast("string"))]
+    for k, frame in enumerate(batches, 1):
+        D.keep_fingerprint(frame, str(k), path)
+    return D.schema_changes(spark.read.parquet(path))
+
+
 # ------------------------------------------------- checkable facts of the model queries
 # A trained model has no SQL; these rows state what must hold of its full result.
 _N_NUMERIC = 43  # numeric model inputs: operational, historical and derived columns

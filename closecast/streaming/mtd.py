@@ -3,8 +3,9 @@
 Events (wall-clock UTC timestamps) are aggregated into daily tumbling windows
 per event type with a watermark. Late rows are dropped by Spark's stateful
 aggregation, which checks them against the watermark of the previous
-micro-batch (a one-batch lag); the job counts them as input rows that reached
-no window. Updated windows are appended per micro-batch to an update
+micro-batch (a one-batch lag). With a ledger folder the job keeps the rows read
+of every epoch (an observed count, no second read of the source), and late rows
+are those that reached no window. Updated windows are appended per micro-batch to an update
 log (``batch_id=N``, idempotent overwrite); readers keep the newest version of
 each (day, type) and roll days up to month-to-date with a window whose
 partition is one type-month (at most 31 rows).
@@ -13,9 +14,11 @@ partition is one type-month (at most 31 rows).
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -32,13 +35,63 @@ def utc_event_time(ts_ntz):
     return F.timestamp_micros(micros)
 
 
+class InputLedger(StreamingQueryListener):
+    """Writes the rows that one query read in each epoch, as observed by it. An epoch that runs again overwrites its count."""
+
+    def __init__(self, spark: SparkSession, folder: str, name: str):
+        self.spark, self.folder, self.name = spark, folder, name
+        self.last, self.ended = -1, False
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        seen = event.progress.observedMetrics.get(self.name)
+        if seen is not None:
+            epoch = event.progress.batchId
+            self.spark.createDataFrame([(seen["n_read"],)], "n_read bigint").coalesce(1).write.mode("overwrite").parquet(os.path.join(self.folder, f"batch_id={epoch}"))
+            self.last = max(self.last, epoch)
+
+    def onQueryTerminated(self, event):
+        self.ended = True
+
+
+def rollup_with_ledger(spark: SparkSession, source: str, out_dir: str, checkpoint_dir: str, ledger_dir: str, wait_seconds: float = 120.0, **more) -> None:
+    """Run the rollup over all available files and keep the rows read per epoch in ``ledger_dir``."""
+    ledger = InputLedger(spark, ledger_dir, "rows_read")
+    spark.streams.addListener(ledger)
+    try:
+        query = start_daily_rollup(spark, source, out_dir, checkpoint_dir, observed=ledger.name, **more)
+        query.awaitTermination()
+        last = query.lastProgress["batchId"] if query.lastProgress else -1
+        stop = time.time() + wait_seconds
+        while ledger.last < last and time.time() < stop:  # events arrive after the query's end
+            time.sleep(0.05)
+        if ledger.last < last:
+            raise TimeoutError(f"epoch {last} of the rollup has no count in {ledger_dir}")
+    finally:
+        spark.streams.removeListener(ledger)
+
+
+def late_rows(spark: SparkSession, ledger_dir: str, out_dir: str) -> DataFrame:
+    """One row: rows read in all epochs, rows counted in windows, rows dropped by the watermark."""
+    read = spark.read.parquet(ledger_dir).agg(F.sum("n_read").alias("n_read"))
+    counted = latest_daily(spark, out_dir).agg(F.coalesce(F.sum("n_events"), F.lit(0)).cast("bigint").alias("n_counted"))
+    return read.crossJoin(counted).select("n_read", "n_counted", (F.col("n_read") - F.col("n_counted")).alias("n_dropped"))  # one row each
+
+
 def start_daily_rollup(spark: SparkSession, source: str, out_dir: str, checkpoint_dir: str,
                        watermark: str = "1 day", available_now: bool = True,
-                       max_files_per_trigger: int | None = None):
+                       max_files_per_trigger: int | None = None, observed: str | None = None):
     reader = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.parquet(source)
+    if observed:
+        events = events.observe(observed, F.count(F.lit(1)).alias("n_read"))
     daily = (events.withColumn("event_time", utc_event_time(F.col("ts")))
              .withWatermark("event_time", watermark)
              .groupBy(F.window("event_time", "1 day").alias("w"), "event_type")

@@ -83,3 +83,33 @@ def test_psi_by_group_matches_per_group_psi(spark):
     assert got["a"] == pytest.approx(numpy_psi(ref, [v for g, v in cur if g == "a"]), rel=1e-9)
     assert got["b"] == pytest.approx(numpy_psi(ref, [v for g, v in cur if g == "b"]), rel=1e-9)
     assert got["b"] > 0.25 > got["a"]
+
+
+def test_schema_changes_and_contract_failures_against_the_batch_before(spark, snaps, tmp_path):
+    from closecast.operators.drift import contract_failure_drift, keep_fingerprint, schema_changes
+
+    path = str(tmp_path / "ledger")
+    two = spark.createDataFrame([(1, "a")], "x int, y string")
+    for k, df in enumerate([two, two, two.drop("y"), two.selectExpr("cast(x as bigint) as x", "y", "1 as z")]):
+        keep_fingerprint(df, f"2024-0{k + 1}", path)
+    got = {r["batch"]: tuple(r)[1:] for r in schema_changes(spark.read.parquet(path)).collect()}
+    assert got == {"2024-02": ("", "", "", False), "2024-03": ("", "y", "", True), "2024-04": ("y,z", "", "x", True)}
+    good = contract_failure_drift(snaps, snaps).collect()
+    assert [(r["column"], r["current_rate"], r["drifted"]) for r in good] == [("*", 0.0, False)]
+    bad = snaps.withColumn("month_to_date_payments", F.lit(-1.0)).withColumn("days_elapsed", F.lit(99).cast(snaps.schema["days_elapsed"].dataType))
+    rates = {r["column"]: (r["current_rate"], r["drifted"]) for r in contract_failure_drift(snaps, bad).collect()}
+    assert rates["*"] == (1.0, True) and rates["month_to_date_payments"] == (1.0, True) and rates["days_elapsed"] == (1.0, True)
+
+
+def test_release_gate_needs_every_condition(spark):
+    from closecast.operators.selection import release_gate
+
+    def gate(day15, other):
+        rows = [("f", 15, 100.0, 100.0 - day15, 90.0), ("f", 21, 100.0, 100.0 - other, 90.0)]
+        df = spark.createDataFrame(rows, "facility_id string, snapshot_day int, actual_month_end_net_revenue double, cand double, inc double")
+        r = release_gate(df, "inc", "cand").first()
+        return r["meets_day_target"], r["beats_baseline"], r["releasable"]
+    assert gate(3.0, 3.0) == (True, True, True)
+    assert gate(5.0, 1.0) == (False, True, False)
+    assert gate(3.0, 30.0) == (True, False, False)
+    assert gate(4.0, 15.9) == (True, True, False)  # better by less than the threshold

@@ -4,7 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from closecast import jobs
-from closecast.streaming.mtd import EVENTS_SCHEMA, dropped_by_watermark, month_to_date, start_daily_rollup
+from closecast.streaming.mtd import EVENTS_SCHEMA, dropped_by_watermark, late_rows, month_to_date, rollup_with_ledger, start_daily_rollup
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,6 +30,10 @@ def test_late_events_beyond_watermark_are_dropped_and_counted(spark, tmp_path):
                            watermark="1 day", max_files_per_trigger=1)
     q.awaitTermination()
     assert dropped_by_watermark(spark, os.path.join(src, "part*"), out) == 1
+    kept = str(tmp_path / "kept")
+    rollup_with_ledger(spark, os.path.join(src, "part*"), kept, str(tmp_path / "ckpt2"), str(tmp_path / "ledger"), max_files_per_trigger=1)
+    assert tuple(late_rows(spark, str(tmp_path / "ledger"), kept).first()) == (5, 4, 1)
+    assert {r["batch_id"]: r["n_read"] for r in spark.read.parquet(str(tmp_path / "ledger")).collect() if r["n_read"]} == {0: 2, 1: 1, 2: 2}
     rows = {r["event_date"]: r for r in month_to_date(spark, out).collect()}
     assert "2024-01-02" not in rows
     assert rows["2024-01-13"]["n_events"] == 2 and rows["2024-01-13"]["value_sum"] == 1.25
