@@ -266,10 +266,18 @@ def _with_planted_rows(df):
     return df.withColumn("month_to_date_payments", F.when(bad, F.lit(-5.0)).otherwise(F.col("month_to_date_payments")))
 
 
-@register("contract_failure_drift", W("""
-SELECT "column", 0.0 AS reference_rate, round(AVG(CASE WHEN CAST(substr(facility_id, 5, 3) AS INT) % 5 = 0 AND snapshot_day = 15 THEN 1.0 ELSE 0.0 END), 6) AS current_rate,
-       AVG(CASE WHEN CAST(substr(facility_id, 5, 3) AS INT) % 5 = 0 AND snapshot_day = 15 THEN 1.0 ELSE 0.0 END) > 0.01 AS drifted
-FROM split, (VALUES ('*'), ('month_to_date_payments')) v("column") WHERE split = 'test' GROUP BY "column" """, SPLIT))
+_PLANTED = "CAST(substr(facility_id, 5, 3) AS INT) % 5 = 0 AND snapshot_day = 15 AND split = 'test'"
+_BAD_TARGET = "NOT COALESCE(actual_month_end_net_revenue > 0, false)"
+
+
+@register("contract_failure_drift", W(f"""
+SELECT "column", round(r, 6) AS reference_rate, round(c, 6) AS current_rate, c - r > 0.01 AS drifted FROM (
+  SELECT "column", COALESCE(AVG(bad) FILTER (WHERE split = 'train'), 0.0) AS r, COALESCE(AVG(bad) FILTER (WHERE split = 'test'), 0.0) AS c, SUM(bad) AS n FROM (
+    SELECT split, '*' AS "column", CASE WHEN ({_PLANTED}) OR {_BAD_TARGET} THEN 1.0 ELSE 0.0 END AS bad FROM split
+    UNION ALL SELECT split, 'month_to_date_payments', CASE WHEN {_PLANTED} THEN 1.0 ELSE 0.0 END FROM split
+    UNION ALL SELECT split, 'actual_month_end_net_revenue', CASE WHEN {_BAD_TARGET} THEN 1.0 ELSE 0.0 END FROM split)
+  WHERE split IN ('train', 'test') GROUP BY "column")
+WHERE "column" = '*' OR r > 0 OR c > 0""", SPLIT))
 def q_contract_failure_drift(spark, sf_dir):
     """Contract failures of the test block, with planted negative payments, against the training block."""
     split = blocked_temporal_split(snapshots(spark, sf_dir))
