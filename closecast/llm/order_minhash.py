@@ -20,11 +20,13 @@
 6. In the buckets that still hold several components, every pair of members of
    different components that passes the length and the shared-word filter is
    verified, in salted blocks of length bands. Both filters only skip pairs
-   that cannot be links, so no pair of a bucket is left untried. The likeliest
-   pair of each member and component goes first, as long as that joins
-   components, and what is still apart then follows in whole. A pair holds a
-   member outside its bucket's largest component: only those are set against
-   the others, so one large component costs no square of its size.
+   that cannot be links. A first pass over word counters finds the members that
+   have such a pair; the second takes their words into the blocks and verifies
+   there, likeliest pairs first, skipping pairs that the block's own links have
+   joined by then. So no pair leaves a block, only links that join components:
+   fewer than the block has members. A pair that shares several buckets is
+   tried in the first of them alone, and only members outside a bucket's
+   largest component are set against the others.
 
 A pair at word-level similarity 0.8 by scattered substitutions (one word in
 ten) shares a sketch with probability of about 0.18, hence one of 24 with 0.99;
@@ -32,9 +34,10 @@ with one word in twenty, above 0.9999.
 
 Defined cases: a text without words is compared as it stands (a null text
 equals an empty one), so wordless texts group only when equal; texts under five
-words have one shingle, the whole text; rows with equal ``doc_id`` are one
-node; a null ``doc_id`` is a class of its own with a null class id, unless
-copies of its text have ids; ties go to the smaller ``doc_id``.
+words have one shingle, the whole text. Every row takes part by its own text,
+also those with equal or null ids: rows with equal ``doc_id`` are one document,
+hence one class, whichever of its texts has links. A class is named by its
+smallest ``doc_id``; one whose rows are all without an id by a 64-bit hash of one of them.
 """
 
 from __future__ import annotations
@@ -148,9 +151,9 @@ def _sketched(sketches: int):
                 sk = order_sketches(w.hash, w.first, sketches)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(signed(sk.ravel())), sketches).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(c.lo, c.hi - c.lo), pa.array(signed(keys[:, 0].copy())), pa.array(signed(keys[:, 1].copy())),
+                    [*(batch.column(x).slice(c.lo, c.hi - c.lo) for x in ("doc_id", "node")), pa.array(signed(keys[:, 0].copy())), pa.array(signed(keys[:, 1].copy())),
                      pa.array(np.diff(w.first).astype(np.int64)), lists],
-                    names=["doc_id", "k1", "k2", "n_words", "keys"])
+                    names=["doc_id", "node", "k1", "k2", "n_words", "keys"])
     return run
 
 
@@ -304,25 +307,31 @@ def _candidates(entries: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, sketches: int = SKETCHES) -> DataFrame:
     """One row per row of ``docs``: doc_id and class_id (smallest doc_id of its group)."""
+    doc_id = F.col("doc_id").cast("long")
+    # a row's node is its id and text
+    named = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, doc_id.isNull(), F.col("text")).alias("node"), "text")
     with scratch_tables(docs.sparkSession):  # all but the keys of the rows and the classes of the texts
-        rows = checkpointed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                            .mapInArrow(_sketched(sketches), "doc_id long, k1 long, k2 long, n_words long, keys array<long>"))
-        classes = checkpointed(_classes(docs, rows, threshold), keep=True)
+        rows = checkpointed(named.mapInArrow(_sketched(sketches), "doc_id long, node long, k1 long, k2 long, n_words long, keys array<long>"))
+        classes = checkpointed(_classes(named.select(F.col("node").alias("doc_id"), "text"), rows, threshold), keep=True)
         rows = checkpointed(rows.select("doc_id", "k1", "k2"), keep=True)
     return rows.join(classes, ["k1", "k2"]).select("doc_id", "class_id")
 
 
 _COUNTERS = 128  # hashed word counters of a text for the shared-word filter, one byte each
 _BLOCK = 1024  # members of a block, about
+_BLOCK_WORDS = 1 << 21  # and their words
+
+
+def _counted(tokens: np.ndarray) -> np.ndarray:
+    """A text's words in hashed counters that stop at 255."""
+    place = (mix(tokens) % np.uint64(_COUNTERS)).astype(np.int64)
+    return np.minimum(np.bincount(place, minlength=_COUNTERS), 255).astype(np.uint8)
 
 
 def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's words counted in hashed counters that stop at 255."""
+    """Each text's word counters."""
     for batch in batches:
-        out = []
-        for raw in batch.column("tokens"):
-            place = (mix(np.frombuffer(raw.as_buffer(), np.uint64)) % np.uint64(_COUNTERS)).astype(np.int64)
-            out.append(np.minimum(np.bincount(place, minlength=_COUNTERS), 255).astype(np.uint8).tobytes())
+        out = [_counted(np.frombuffer(raw.as_buffer(), np.uint64)).tobytes() for raw in batch.column("tokens")]
         yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(out, pa.binary())], names=["rep", "counts"])
 
 
@@ -344,100 +353,162 @@ def passing(n: np.ndarray, counts: np.ndarray, m: np.ndarray, counts2: np.ndarra
     return ok, share
 
 
-def _across(threshold: float, every: bool):
-    """Pairs (a < b) of different components that pass the filters, from rows sorted by block: ``active`` members against the others.
-
-    Unless ``every``, of each active member and each other component only the pair that differs least."""
-    def pairs(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-        rep, comp, n, role, other, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-        left, right = np.flatnonzero(role == 1), np.flatnonzero(role == 0)
-        out_a, out_b = [], []
-        for lo in range(0, len(left), 256):
-            x = left[lo:lo + 256]
+class _Block:
+    """The members of one block: ``left`` (active ones) are set against ``right``."""
+
+    def __init__(self, rows: pa.Table, counts: np.ndarray):
+        self.counts = counts
+        self.rep, self.comp, self.n = (rows.column(c).to_numpy() for c in ("rep", "comp", "n_words"))
+        self.active = rows.column("active").to_numpy()
+        role = rows.column("role").to_numpy()
+        self.left, self.right = np.flatnonzero(role == 1), np.flatnonzero(role == 0)
+        lists = rows.column("keys").combine_chunks()
+        at = lists.flatten()
+        t, key = (at.field(c).to_numpy(zero_copy_only=False) for c in ("t", "key"))
+        self.key = rows.column("key")[0].as_py()
+        self.keys = np.zeros((len(rows), int(t.max()) + 1), dtype=np.int64)
+        self.has = np.zeros(self.keys.shape, dtype=bool)
+        member = np.repeat(np.arange(len(rows)), lists.value_lengths().to_numpy(zero_copy_only=False))
+        self.keys[member, t], self.has[member, t] = key, True
+
+    def candidates(self, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Pairs (left, right, how far they differ) of different components that pass the filters, 256 left members at a time."""
+        right = self.right
+        for lo in range(0, len(self.left), 256):
+            x = self.left[lo:lo + 256]
+            ok, share = passing(self.n[x], self.counts[x], self.n[right], self.counts[right], threshold)
             # two active members meet twice: once is enough
-            ok, share = passing(n[x], counts[x], n[right], counts[right], threshold)
-            i, j = np.nonzero(ok & (comp[x][:, None] != comp[right]) & (~other[right] | (rep[x][:, None] < rep[right])))
-            if not every and len(i):
-                order = np.lexsort((share[i, j], comp[right[j]], i))
-                i, j = i[order], j[order]
-                c = comp[right[j]]
-                first = np.concatenate([[True], (i[1:] != i[:-1]) | (c[1:] != c[:-1])])
-                i, j = i[first], j[first]
-            out_a.append(rep[x[i]])
-            out_b.append(rep[right[j]])
-        a, b = (np.concatenate(v) if v else np.zeros(0, dtype=np.int64) for v in (out_a, out_b))
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            i, j = np.nonzero(ok & (self.comp[x][:, None] != self.comp[right]) & (~self.active[right] | (self.rep[x][:, None] < self.rep[right])))
+            share, i, j = share[i, j], x[i], right[j]
+            first = np.ones(len(i), dtype=bool)
+            for at in range(0, len(i), 1 << 16):  # of the buckets that both are in, the first is theirs
+                a, b = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
+                same = (self.keys[a] == self.keys[b]) & self.has[a] & self.has[b]
+                first[at:at + (1 << 16)] = self.keys[a, same.argmax(axis=1)] == self.key
+            yield i[first], j[first], share[first]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Whole blocks from rows sorted by block."""
+    block, parts = None, []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        at = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("key", "band", "s", "u")])
+        cuts = np.flatnonzero(np.concatenate([[True], (at[:, 1:] != at[:, :-1]).any(axis=0)]))
+        for lo, hi in zip(cuts, np.append(cuts[1:], batch.num_rows), strict=True):
+            name = tuple(at[:, lo])
+            if name != block and parts:
+                yield pa.Table.from_batches(parts)
+                parts = []
+            block = name
+            parts.append(batch.slice(lo, hi - lo))
+    if parts:
+        yield pa.Table.from_batches(parts)
+
+
+def _live(threshold: float):
+    """The rows of a block's members that are in any pair to verify."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _blocks(batches):
+            counts = np.frombuffer(b"".join(rows.column("counts").to_pylist()), dtype=np.uint8).reshape(-1, _COUNTERS)
+            live = np.zeros(len(rows), dtype=bool)
+            for i, j, _ in _Block(rows, counts).candidates(threshold):
+                live[i] = live[j] = True
+            if live.any():
+                yield from rows.drop_columns(["counts"]).filter(pa.array(live)).to_batches()
+    return run
+
 
+def _joining(threshold: float):
+    """Links (a < b) that join components inside a block: all pairs are verified but those that earlier links have joined."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, parts = None, []
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            at = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("key", "band", "s", "u")])
-            raw = b"".join(batch.column("counts").to_pylist())
-            own = [*(np.asarray(batch.column(c)) for c in ("rep", "comp", "n_words")), np.asarray(batch.column("role")),
-                   np.asarray(batch.column("active").cast(pa.int8())) > 0, np.frombuffer(raw, dtype=np.uint8).reshape(-1, _COUNTERS)]
-            cuts = np.flatnonzero(np.concatenate([[True], (at[:, 1:] != at[:, :-1]).any(axis=0)]))
-            for lo, hi in zip(cuts, np.append(cuts[1:], batch.num_rows), strict=True):
-                name = tuple(at[:, lo])
-                if name != block and parts:
-                    yield pairs(parts)
-                    parts = []
-                block = name
-                parts.append([x[lo:hi] for x in own])
-        if parts:
-            yield pairs(parts)
+        for rows in _blocks(batches):
+            words_of = [np.frombuffer(x.as_buffer(), np.uint64) for chunk in rows.column("tokens").chunks for x in chunk]
+            block = _Block(rows, np.stack([_counted(x) for x in words_of]))
+            root = np.unique(block.comp, return_inverse=True)[1]  # each member's component, relabelled as components join
+            out = []
+            for i, j, share in block.candidates(threshold):
+                order = np.argsort(share, kind="stable")
+                for at in range(0, len(order), 4096):
+                    part = order[at:at + 4096]
+                    for x, y in zip(i[part].tolist(), j[part].tolist(), strict=True) if (root[i[part]] != root[j[part]]).any() else ():
+                        if root[x] != root[y] and similarity(words_of[x], words_of[y], threshold) >= threshold:
+                            root[root == root[y]] = root[x]
+                            out.append(sorted((int(block.rep[x]), int(block.rep[y]))))
+            if out:
+                a, b = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
     return run
 
 
-def _untried(entries: DataFrame, comp: DataFrame, tokens: DataFrame, tried: DataFrame, threshold: float, every: bool) -> DataFrame:
-    """All pairs (a < b) that share a bucket, are in different components, pass the filters and are not in ``tried``.
+_MEMBER = "key long, band int, rep long, comp long, n_words long, active boolean, s int, u int, keys array<struct<t:int,key:long>>, role int"
+
 
-    Unless ``every``, the likeliest of each block only (see ``_across``)."""
+def _remaining_links(entries: DataFrame, comp: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:
+    """Links that join all members of different components that share a bucket and are similar."""
     parts = shuffle_partitions(entries.sparkSession)
-    placed = checkpointed(entries.select("key", "n_words", "rep").distinct().join(comp, F.col("rep") == F.col("node"), "left")
-                          .select("key", "n_words", "rep", F.coalesce("component", "rep").alias("comp")))
+    placed = checkpointed(entries.select("key", "t", "n_words", "rep").join(comp, F.col("rep") == F.col("node"), "left")
+                          .select("key", "t", "n_words", "rep", F.coalesce("component", "rep").alias("comp")))
     sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("most"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("key", "most")
     # texts whose lengths allow a link are in one band or in neighbouring ones
     width = max(-float(np.log(threshold)) * 1.001, 0.01)
-    open_ = checkpointed(placed.join(mixed, "key").select("key", "n_words", "rep", "comp", (F.col("comp") != F.col("most")).alias("active"),
+    open_ = checkpointed(placed.join(mixed, "key").select("key", "t", "n_words", "rep", "comp", (F.col("comp") != F.col("most")).alias("active"),
                                                           F.floor(F.log("n_words") / width).cast("int").alias("band")))
-    counts = checkpointed(tokens.join(open_.select("rep").distinct(), "rep", "left_semi").mapInArrow(_histograms, "rep long, counts binary"))
+    # a member's buckets: as many as there are sketches, at most
+    keys = open_.groupBy("rep").agg(F.collect_list(F.struct("t", "key")).alias("keys"))
+    members = checkpointed(tokens.join(keys.select("rep"), "rep", "left_semi").mapInArrow(_histograms, "rep long, counts binary").join(keys, "rep"))
     reach = F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band")
-    own = open_.groupBy("key", "band").agg(F.count(F.lit(1)).alias("n"), F.count_if("active").alias("n_active"))
-    near = own.select("key", reach, "n").groupBy("key", "band").agg(F.sum("n").alias("n"))
+    own = open_.groupBy("key", "band").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("w"), F.count_if("active").alias("n_active"), F.sum(F.when(F.col("active"), F.col("n_words"))).alias("w_active"))
+    near = own.select("key", reach, "n", "w").groupBy("key", "band").agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
+    blocks = lambda n, w: F.ceil(F.greatest(F.col(n) / _BLOCK, F.col(w) / _BLOCK_WORDS)).cast("int")
     # blocks of a band: u salts of its active members times s salts of all members they may meet
-    salts = checkpointed(own.where("n_active > 0").select("key", "band", "n_active").join(near, ["key", "band"]).select(
-        "key", "band", F.ceil(F.col("n") / _BLOCK).cast("int").alias("ss"), F.ceil(F.col("n_active") / _BLOCK).cast("int").alias("us")))
+    salts = checkpointed(own.where("n_active > 0").select("key", "band", "n_active", "w_active").join(near, ["key", "band"]).select(
+        "key", "band", blocks("n", "w").alias("ss"), blocks("n_active", "w_active").alias("us")))
     salt = lambda of, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), F.col(of)).cast("int")
-    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    all_of = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
     columns = ["key", "band", "rep", "comp", "n_words", "active", "s", "u"]
-    left = open_.where("active").join(salts, ["key", "band"]).withColumn("u", salt("us", 1)).withColumn("s", every("ss")).select(*columns, F.lit(1).alias("role"))
+    left = open_.where("active").join(salts, ["key", "band"]).withColumn("u", salt("us", 1)).withColumn("s", all_of("ss")).select(*columns, F.lit(1).alias("role"))
     right = (open_.select("key", "n_words", "rep", "comp", "active", reach).join(salts, ["key", "band"])
-             .withColumn("s", salt("ss", 2)).withColumn("u", every("us")).select(*columns, F.lit(0).alias("role")))
-    dealt = left.union(right).join(counts, "rep").repartition(parts, "key", "band", "s", "u").sortWithinPartitions("key", "band", "s", "u")
-    return dealt.mapInArrow(_across(threshold, every), _PAIR).distinct().join(tried, ["a", "b"], "left_anti")
+             .withColumn("s", salt("ss", 2)).withColumn("u", all_of("us")).select(*columns, F.lit(0).alias("role")))
+    dealt = lambda x: x.repartition(parts, "key", "band", "s", "u").sortWithinPartitions("key", "band", "s", "u")
+    live = checkpointed(dealt(left.union(right).join(members, "rep").select(*columns, "keys", "role", "counts")).mapInArrow(_live(threshold), _MEMBER))
+    return checkpointed(dealt(live.join(tokens, "rep").select(*columns, "keys", "role", "tokens")).mapInArrow(_joining(threshold), _PAIR))
 
 
 def _classes(docs: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
-    """(k1, k2, class_id) of each distinct text."""
-    # copies: one document stands for all of a text; copies have equal sketches
-    texts = checkpointed(rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.max("n_words").alias("n_words"), F.first("keys").alias("keys")))
-    entries = (texts.where("rep is not null and n_words > 0")
-               .select("rep", "n_words", F.posexplode("keys").alias("t", "key")))
+    """(k1, k2, class_id) of each distinct text; ``docs`` has a row's node as its doc_id."""
+    # copies: one row stands for all of a text; copies have equal sketches
+    texts = checkpointed(rows.groupBy("k1", "k2").agg(
+        F.min("node").alias("rep"), F.min("doc_id").alias("low"), F.max("n_words").alias("n_words"), F.first("keys").alias("keys")))
+    entries = texts.where("n_words > 0").select("rep", "n_words", F.posexplode("keys").alias("t", "key"))
     shared = entries.groupBy("key").agg((F.min("rep") != F.max("rep")).alias("many")).where("many").select("key")
     entries = checkpointed(entries.join(shared, "key").select("key", "t", "n_words", "rep"))
     _, comp = _verified_links(docs, entries, threshold)
-    return (texts.select("k1", "k2", "rep").join(comp, F.col("rep") == F.col("node"), "left").drop("node")
-            .select("k1", "k2", F.coalesce("component", "rep").alias("class_id")))
+    one = _texts_of_one_id(rows, texts)
+    comp = _joined(comp, one) if has_rows(one) else comp
+    placed = texts.select("k1", "k2", "rep", "low").join(comp, F.col("rep") == F.col("node"), "left").drop("node")
+    lowest = placed.where("component is not null").groupBy("component").agg(F.min("low").alias("lowest"))
+    return placed.join(lowest, "component", "left").select("k1", "k2", F.coalesce("lowest", "low", "component", "rep").alias("class_id"))
+
+
+def _texts_of_one_id(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between the different texts of rows with equal ids."""
+    known = rows.where("doc_id is not null").select("doc_id", "k1", "k2")
+    several = known.groupBy("doc_id").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("k1", "k2")])
+    several = several.where("min_k1 != max_k1 or min_k2 != max_k2").select("doc_id")
+    reps = checkpointed(known.join(several, "doc_id").distinct().join(texts.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep"))
+    first = reps.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return reps.join(first, "doc_id").where("rep != a").select("a", F.col("rep").alias("b"))
 
 
 def _tokens_table(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(rep, tokens) of the texts that share a bucket, laid out by rep so that pairs join it without moving it."""
     spark = docs.sparkSession
     thin = KeyFilter(reps).split(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep").where("maybe").drop("maybe")
-    # rows with equal ids count as one node: the longest of their word sequences stands for it
+    # repeated rows are one node
     tokens = (thin.join(reps, "rep", "left_semi").mapInArrow(_tokens, "rep long, tokens binary")
               .groupBy("rep").agg(F.max_by("tokens", F.struct(F.length("tokens"), "tokens")).alias("tokens")))
     path = new_table_path(spark, "closecast_tokens")
@@ -471,17 +542,9 @@ def _verified_links(docs: DataFrame, entries: DataFrame, threshold: float) -> tu
         tried, links = tried.union(pairs), links.union(found)
         if number > 2 and not has_rows(found):
             break
-    # what the samples left: the likeliest pairs until they join no more, then all others. No link can be outside these
-    every = False
-    while True:
-        pairs = checkpointed(_untried(entries, comp, tokens, tried, threshold, every))
-        found = _links_of(pairs, tokens, threshold)
-        if has_rows(found):
-            comp = _joined(comp, found)
-        tried, links = tried.union(pairs), links.union(found)
-        if every:
-            return links, comp
-        every = not has_rows(found)
+    # what the samples left: no link can be outside these
+    found = _remaining_links(entries, comp, tokens, threshold)
+    return links.union(found), _joined(comp, found) if has_rows(found) else comp
 
 
 def _links_of(pairs: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:

@@ -55,13 +55,20 @@ def brute(rows):
         for j in range(i):
             same = (rows[i][1] or "") == (rows[j][1] or "") or (tok[i] and tok[i] == tok[j])
             near = not same and len(num[i]) and len(num[j]) and similarity(num[i], num[j]) >= 0.8
-            if same or rows[i][0] == rows[j][0] and rows[i][0] is not None or near and None not in (rows[i][0], rows[j][0]):
+            if same or rows[i][0] == rows[j][0] and rows[i][0] is not None or near:
                 parent[find(i)] = find(j)
     ids = {}
     for i, r in enumerate(rows):
         if r[0] is not None:
             ids[find(i)] = min(ids.get(find(i), r[0]), r[0])
-    return sorted((repr(r[0]), repr(ids.get(find(i)))) for i, r in enumerate(rows))
+    return sorted((repr(r[0]), r[1] or "", repr(ids.get(find(i), "no id"))) for i, r in enumerate(rows))
+
+
+def classes(spark, rows):
+    """near_duplicates over ``rows``, in the form of ``brute``: (doc_id, class)."""
+    known = {r[0] for r in rows}
+    got = near_duplicates(frame(spark, rows)).collect()
+    return sorted((repr(r.doc_id), repr(r.class_id if r.class_id in known else "no id")) for r in got)
 
 
 def test_classes_against_brute_force(spark):
@@ -69,9 +76,9 @@ def test_classes_against_brute_force(spark):
     rows = corpus(rng)
     base = prose(rng, 120)
     rows += [(400 + k, edited(rng, base, 0.02), "en", "s", 1) for k in range(15)] + [(450, "   " + base.upper() + " ...", "en", "s", 1), (451, base, "en", "s", 1)]
-    got = near_duplicates(frame(spark, rows)).collect()
-    assert sorted((repr(r.doc_id), repr(r.class_id)) for r in got) == brute(rows)
-    assert {r.class_id for r in got if r.doc_id in range(400, 452)} == {400}
+    want = sorted((i, c) for i, _, c in brute(rows))
+    assert classes(spark, rows) == want
+    assert {c for i, c in want if i in {str(k) for k in range(400, 452)}} == {"400"}
 
 
 def test_no_words_no_rows_and_clashing_columns(spark):
@@ -102,6 +109,43 @@ def test_every_pair_of_a_bucket_is_tried(spark):
     assert {(r.a, r.b) for r in links.collect()} >= {(2, 4)}
 
 
+def test_null_and_equal_ids_take_part(spark):
+    rng = random.Random(41)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "s", 1), (2, edited(rng, b, 0.02), "en", "s", 1), (None, edited(rng, a, 0.02), "en", "s", 1),
+            (None, edited(rng, a, 0.02), "en", "s", 1), (None, c, "en", "s", 1), (None, edited(rng, c, 0.02), "en", "s", 1), (None, d, "en", "s", 1), (3, prose(rng, 60), "en", "s", 1)]
+    assert classes(spark, rows) == sorted((i, k) for i, _, k in brute(rows))
+    got = [r.class_id for r in near_duplicates(frame(spark, rows)).collect() if r.doc_id is None]
+    assert sorted(got.count(x) for x in set(got)) == [1, 2, 2]  # those without any id: two copies in one class, one by itself
+
+
+def test_blocks_hand_on_links_only(spark, monkeypatch):
+    """A bucket of many unlike texts that all pass the filters: rows stay linear, however the blocks are cut."""
+    from closecast.llm import order_minhash
+
+    rng = random.Random(42)
+    words_ = [f"w{k}" for k in range(40)]
+    texts = {}
+    for k in range(60):  # the same words in another order each: the counters cannot tell them apart
+        texts[k] = " ".join(rng.sample(words_, 40))
+    for k in range(60, 120):
+        texts[k] = edited(rng, texts[k - 60 if k < 100 else 0], 0.05)
+    rows = [(k, t, "en", "s", 1) for k, t in texts.items()]
+    docs = frame(spark, rows).select("doc_id", "text")
+    entries = spark.createDataFrame([(7 + t, t, 40, k) for k in texts for t in range(2)], "key long, t int, n_words long, rep long")
+    none = spark.createDataFrame([], "node long, component long")
+    tokens = order_minhash._tokens_table(docs, entries.select("rep").distinct())
+    want = {}
+    for i, t, c in brute(rows):
+        want[int(i)] = int(c)
+    for size in (1024, 16):
+        monkeypatch.setattr(order_minhash, "_BLOCK", size)
+        links = order_minhash._remaining_links(entries, none, tokens, 0.8)
+        got = {r.node: r.component for r in components(links).collect()}
+        assert {k: got.get(k, k) for k in texts} == want
+        assert links.count() <= (120 if size == 1024 else 120 * 8)  # of 7,140 pairs a bucket
+
+
 def test_filters_pass_every_link():
     rng = random.Random(22)
     for _ in range(200):
