@@ -9,8 +9,11 @@ or null ids and different texts apart. The join is exact; its steps only skip wh
 1. Rarity: word counts over the whole corpus in 2^18 hashed counters (a table
    of fixed size). Any fixed order of words keeps the join exact; this one
    puts rare words first.
-2. Equal sets collapse first, with map-side minimums: one row per distinct
-   set, with its earliest place. Later equal lines are settled by that.
+2. Lines of the same words, as often, collapse first, with map-side minimums:
+   one row for each, with its earliest place. Later such lines are settled by
+   that. They are told by 96 bits of sums over the 64-bit hashes of all their
+   words, so that ten million million lines hold two unlike ones of one key
+   with a chance of about one in a thousand.
 3. Prefix filter: sets that overlap enough share one of their first
    n - ceil(t n) + 1 words in rarity order. Each set is posted under those.
 4. In a posting group, each set looks among the earlier ones and keeps the
@@ -20,8 +23,10 @@ or null ids and different texts apart. The join is exact; its steps only skip wh
    have others left, are compared with the rest in a second pass.
 5. Pairs are verified on the words of the whole lines.
 
-Word identity in steps 2 to 4 is a 44-bit number (12 bits of rarity, 32 of
-hash), in step 5 a 64-bit hash.
+Word identity in steps 3 and 4 is a 44-bit number (12 bits of rarity, 32 of
+hash): it only proposes pairs. In steps 2 and 5 it is a 64-bit hash. A line
+with two words of one number (a chance of about 2^-32 a pair of its words) counts
+one word less in the filters, so a match just at the threshold may be missed there.
 
 Defined cases: lines without words stay; a null text stays null, an empty one
 empty; a document that loses all lines keeps its row with an empty text; rows
@@ -49,6 +54,7 @@ FILTER_BITS = 24  # hashed words in the second pass's filter
 _SLICES = 16
 _LAST = (1 << 63) - 1  # a null doc_id's place in the order
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_SECOND = np.uint64(0xD1B54A32D192ED03)
 _ID_BITS = np.uint64(44)
 _BATCH = 200_000
 POSTINGS_PER_BUCKET = 200_000
@@ -100,6 +106,15 @@ def prefix_length(n: np.ndarray, threshold: float) -> np.ndarray:
     return n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
 
 
+def _line_keys(hashes: np.ndarray, first: np.ndarray, full: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64 and 32 bits that name the words, with their numbers, of each of the lines ``full``, from 64-bit word hashes."""
+    begin = first[full]  # lines without words lie between no two of these
+    size = (first[full + 1] - begin).astype(np.uint64)
+    key = mix(np.add.reduceat(mix(hashes * _ODD + np.uint64(1)), begin) + size)
+    key2 = mix(np.add.reduceat((hashes ^ (hashes >> np.uint64(31))) * _SECOND, begin) + size) >> np.uint64(32)
+    return key, key2.astype(np.uint32).view(np.int32)
+
+
 def _line_sets(rarity_of, threshold: float):
     """Per line with words: its place, a key of its word set, and what the filters need."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +144,7 @@ def _line_sets(rarity_of, threshold: float):
                     continue
                 begin = first[full]
                 spread = mix(rank)
-                key = mix(np.add.reduceat(mix(rank * _ODD + np.uint64(1)), begin) + n[full].astype(np.uint64))
+                key, key2 = _line_keys(w.hash, w.first, full)
                 bit = np.uint64(1) << (spread & np.uint64(63))
                 half = (spread >> np.uint64(6)) & np.uint64(1) > 0
                 sig, sig2 = (np.bitwise_xor.reduceat(np.where(side, bit, np.uint64(0)), begin) for side in (half, ~half))
@@ -142,14 +157,14 @@ def _line_sets(rarity_of, threshold: float):
                 number = np.arange(len(row)) - np.searchsorted(row, row)
                 place = c.lo + row[full]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(doc_column[place]), pa.array(tag_column[place]), pa.array(number[full].astype(np.int32)), pa.array(signed(key)),
+                    pa.array(doc_column[place]), pa.array(tag_column[place]), pa.array(number[full].astype(np.int32)), pa.array(signed(key)), pa.array(key2),
                     pa.array(n[full].astype(np.int32)), pa.array(signed(sig)), pa.array(signed(sig2)), prefix,
-                ], names=["doc", "tag", "line", "key", "n", "sig", "sig2", "prefix"])
+                ], names=["doc", "tag", "line", "key", "key2", "n", "sig", "sig2", "prefix"])
     return run
 
 
-_LINES = "doc long, tag long, line int, key long, n int, sig long, sig2 long, prefix binary"
-_POSTING = "token long, doc long, tag long, line int, n int, pos int, sig long, sig2 long, key long"
+_LINES = "doc long, tag long, line int, key long, key2 int, n int, sig long, sig2 long, prefix binary"
+_POSTING = "token long, doc long, tag long, line int, n int, pos int, sig long, sig2 long, key long, key2 int"
 
 
 def _prefixes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -177,14 +192,14 @@ def _postings(wanted):
                 at = _token_place(token)
                 keep = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
                 wide, each, token = wide[keep], each[keep], token[keep]
-                own = {c: pa.array(np.asarray(b.column(c))[each]) for c in ("doc", "tag", "line", "n", "sig", "sig2", "key")}
+                own = {c: pa.array(np.asarray(b.column(c))[each]) for c in ("doc", "tag", "line", "n", "sig", "sig2", "key", "key2")}
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(token)), own["doc"], own["tag"], own["line"], own["n"], pa.array((wide >> _ID_BITS).astype(np.int32)), own["sig"], own["sig2"], own["key"]],
-                    names=["token", "doc", "tag", "line", "n", "pos", "sig", "sig2", "key"])
+                    [pa.array(signed(token)), own["doc"], own["tag"], own["line"], own["n"], pa.array((wide >> _ID_BITS).astype(np.int32)), own["sig"], own["sig2"], own["key"], own["key2"]],
+                    names=["token", "doc", "tag", "line", "n", "pos", "sig", "sig2", "key", "key2"])
     return run
 
 
-_COLUMNS = [("token", np.uint64), ("doc", np.int64), ("tag", np.int64), ("line", np.int32), ("n", np.int32), ("pos", np.int32), ("sig", np.int64), ("sig2", np.int64)]
+_COLUMNS = [("wide", np.uint64), ("doc", np.int64), ("tag", np.int64), ("line", np.int32), ("n", np.int32), ("sig", np.int64), ("sig2", np.int64)]  # wide: position, word
 _WIDTH = sum(np.dtype(t).itemsize for _, t in _COLUMNS)
 
 
@@ -199,8 +214,7 @@ def _packed_postings(buckets: int):
                 bucket = (mix(token) % np.uint64(buckets)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
                 bucket, each = bucket[order], each[order]
-                own = {"token": token[order], "pos": (wide[order] >> _ID_BITS)}
-                columns = [own[c].astype(t) if c in own else np.asarray(b.column(c))[each].astype(t) for c, t in _COLUMNS]
+                columns = [wide[order] if c == "wide" else np.asarray(b.column(c))[each].astype(t) for c, t in _COLUMNS]
                 begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])[:len(bucket)])
                 end = np.append(begin[1:], len(bucket))
                 packed = [b"".join(c[x:y].tobytes() for c in columns) for x, y in zip(begin, end, strict=True)]
@@ -216,7 +230,8 @@ def _unpacked(parts: list) -> list[np.ndarray]:
         for k, (_, t) in enumerate(_COLUMNS):
             columns[k].append(np.frombuffer(part, dtype=t, count=n, offset=at))
             at += n * np.dtype(t).itemsize
-    whole = [np.concatenate(c) for c in columns]
+    wide, *whole = [np.concatenate(c) for c in columns]
+    whole = [wide & np.uint64((1 << 44) - 1), *whole[:4], (wide >> _ID_BITS).astype(np.int32), *whole[4:]]
     order = np.argsort(whole[0])
     token = whole[0][order]
     same = np.concatenate([[False], token[1:] == token[:-1]])
@@ -427,9 +442,9 @@ def _remaining(lines: DataFrame, doubtful: DataFrame, threshold: float) -> DataF
     bits = np.zeros((1024, 1 << (FILTER_BITS - 13)), dtype=np.uint8)
     for r in doubtful.select("token").distinct().mapInArrow(_token_bits, "slice int, bits binary").toLocalIterator():  # a fixed number of bytes from each task
         bits[r["slice"]] |= np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
-    postings = lines.select("doc", "tag", "line", "n", "sig", "sig2", "prefix", "key").mapInArrow(_postings(spark.sparkContext.broadcast(bits.ravel())), _POSTING)
-    # equal sets have equal postings: the earliest place stands for them
-    first = postings.groupBy("token", "key").agg(F.min(F.struct("doc", "tag", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "pos", "sig", "sig2")])
+    postings = lines.select("doc", "tag", "line", "n", "sig", "sig2", "prefix", "key", "key2").mapInArrow(_postings(spark.sparkContext.broadcast(bits.ravel())), _POSTING)
+    # lines of one key have equal postings: the earliest place stands for them
+    first = postings.groupBy("token", "key", "key2").agg(F.min(F.struct("doc", "tag", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "pos", "sig", "sig2")])
     first = first.join(doubtful.select("token").distinct(), "token", "left_semi")
     wanted = first.select("token", "at.doc", "at.tag", "at.line", "n", "pos", "sig", "sig2").join(
         doubtful.withColumn("wanted", F.lit(True)), [c for c in ("doc", "tag", "line", "token") if c in doubtful.columns], "left")
@@ -462,8 +477,8 @@ def _lines_to_cut(src: DataFrame, threshold: float) -> DataFrame:
     spark = src.sparkSession
     rare = spark.sparkContext.broadcast(rarity(src))
     lines = checkpointed(src.mapInArrow(_line_sets(rare, threshold), _LINES))
-    # one row per distinct set: its earliest place, and what its postings need (equal for equal sets)
-    sets = lines.groupBy("key").agg(F.min(F.struct("doc", "tag", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "sig", "sig2", "prefix")])
+    # one row per key: its earliest place, and what its postings need (equal for lines of the same words)
+    sets = lines.groupBy("key", "key2").agg(F.min(F.struct("doc", "tag", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "sig", "sig2", "prefix")])
     parts = shuffle_partitions(spark)
     words = lines.agg(F.sum(F.length("prefix"))).first()[0] or 0  # eight bytes each
     buckets = max(parts, words // 8 // POSTINGS_PER_BUCKET)
@@ -478,11 +493,11 @@ def _lines_to_cut(src: DataFrame, threshold: float) -> DataFrame:
         more = checkpointed(_remaining(lines, doubtful, threshold).join(pairs, _PLACES, "left_anti"))
         settled = settled.union(_matched(src, more, threshold)) if has_rows(more) else settled
     settled = settled.withColumn("gone", F.lit(True))
-    places = lines.groupBy("key").agg(F.min(F.struct("doc", "tag", "line")).alias("at")).select("key", "at.doc", "at.tag", "at.line")
+    places = lines.groupBy("key", "key2").agg(F.min(F.struct("doc", "tag", "line")).alias("at")).select("key", "key2", "at.doc", "at.tag", "at.line")
     fate = places.join(settled.distinct(), ["doc", "tag", "line"], "left").select(
-        "key", F.col("doc").alias("doc0"), F.col("tag").alias("tag0"), F.col("line").alias("line0"), F.coalesce("gone", F.lit(False)).alias("gone"))
+        "key", "key2", F.col("doc").alias("doc0"), F.col("tag").alias("tag0"), F.col("line").alias("line0"), F.coalesce("gone", F.lit(False)).alias("gone"))
     # a line goes if its set matches an earlier set, or if it is not the set's earliest place
-    cut = (lines.select("doc", "tag", "line", "key").join(fate, "key")
+    cut = (lines.select("doc", "tag", "line", "key", "key2").join(fate, ["key", "key2"])
            .where(F.col("gone") | (F.col("doc") != F.col("doc0")) | (F.col("tag") != F.col("tag0")) | (F.col("line") != F.col("line0")))
            .groupBy("doc", "tag").agg(F.collect_set("line").alias("__gone")))
     return checkpointed(cut, keep=True)

@@ -116,3 +116,10 @@ def test_text_with_more_than_2_to_the_20_lines():
     key, size = got["key"].to_numpy(), got["n"].to_numpy()
     assert key[0] == key[n - 2] and key[1] == key[n - 1] and len(set(key.tolist())) == 3
     assert (size == np.array([1, 2] + [1] * (n - 3) + [2])).all()
+
+
+def test_unlike_lines_of_one_word_number_stay(spark):
+    """Two words with the same 44-bit number; and lines of the same words, as often or not, go."""
+    rows = [(1, "id0172852", "en", "s", 1), (2, "id0405705", "en", "s", 1), (3, "b a\nx", "en", "s", 1), (4, "a A b\nB a", "en", "s", 1)]
+    got = {r.doc_id: (r.text, r.n_removed) for r in dedup_lines(frame(spark, rows)).collect()}
+    assert got == {1: ("id0172852", 0), 2: ("id0405705", 0), 3: ("b a\nx", 0), 4: ("", 2)}
