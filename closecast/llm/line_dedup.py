@@ -288,44 +288,68 @@ def _passing(g: _Posted, i: np.ndarray, j: np.ndarray, threshold: float) -> np.n
 SMALL = 256
 
 
-def _small_groups(g: _Posted, small: np.ndarray, threshold: float):
-    """Passing pairs (earlier, later) of groups of up to SMALL members: one sweep per distance over the whole batch."""
-    out_i, out_j = [], []
+class _Found:
+    """What the sweeps find: all pairs (earlier, later), or of each member only the earliest and the number of pairs seen."""
+
+    def __init__(self, members: int, every: bool):
+        self.every, self._i, self._j = every, [], []
+        self.earliest, self.hits = (np.zeros(0 if every else members, dtype=np.int64) for _ in range(2))
+
+    def later(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Pairs in which no j comes twice, and every i is earlier than those told before of the same j."""
+        if self.every:
+            self._i.append(i)
+            self._j.append(j)
+        else:
+            self.earliest[j] = i
+            self.hits[j] += 1
+
+    def block(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Pairs by ascending i, later than those told before of the same j."""
+        if self.every:
+            self._i.append(i)
+            self._j.append(j)
+            return
+        one, first, n = np.unique(j, return_index=True, return_counts=True)
+        new = self.hits[one] == 0
+        self.earliest[one[new]] = i[first[new]]
+        self.hits[one] += n
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.every:
+            j = np.flatnonzero(self.hits)
+            return self.earliest[j], j
+        none = [np.zeros(0, dtype=np.int64)]
+        return np.concatenate(self._i or none), np.concatenate(self._j or none)
+
+
+def _small_groups(g: _Posted, small: np.ndarray, threshold: float, found: _Found) -> None:
+    """Groups of up to SMALL members: one sweep per distance over the whole batch."""
     least = threshold * g.n - 1e-9
     for d in range(1, min(SMALL, len(g.token))):
         same = (g.token[d:] == g.token[:-d]) & small[d:]
         if not same.any():
             break
         j = np.flatnonzero(same & (g.n[d:] >= least[:-d]) & (g.n[:-d] >= least[d:])) + d
-        ok = _passing(g, j - d, j, threshold)
-        out_i.append((j - d)[ok])
-        out_j.append(j[ok])
-    return out_i, out_j
+        j = j[_passing(g, j - d, j, threshold)]
+        found.later(j - d, j)
 
 
-def _large_group(g: _Posted, begin: int, size: int, threshold: float, every: bool, wanted: np.ndarray):
-    """One group, members in blocks against all earlier ones; unless ``every``, a member stops at its second pair."""
-    out_i, out_j = [], []
+def _large_group(g: _Posted, begin: int, size: int, threshold: float, wanted: np.ndarray, found: _Found) -> None:
+    """One group, members in blocks against all earlier ones; unless all pairs are asked for, a member stops at its second."""
     for j0 in range(begin, begin + size, 256):
         js = np.arange(j0, min(j0 + 256, begin + size))
-        js = js[wanted[js]]
-        seen = np.zeros(256, dtype=np.int64)
-        for i0 in range(begin, min(j0 + 256, begin + size), 2048):
-            if len(js) == 0:
-                break
-            i = np.arange(i0, min(i0 + 2048, begin + size))
+        end, js, i0, step = int(js[-1]) + 1, js[wanted[js]], begin, 64
+        while i0 < end and len(js):
+            i = np.arange(i0, min(i0 + step, end))
+            i0, step = i0 + step, min(2 * step, 2048)  # most members find theirs among the first
             ii, jj = np.repeat(i, len(js)), np.tile(js, len(i))
             before = ii < jj
             ii, jj = ii[before], jj[before]
             ok = _passing(g, ii, jj, threshold)
-            ii, jj = ii[ok], jj[ok]
-            out_i.append(ii)
-            out_j.append(jj)
-            if not every:
-                n = np.bincount(jj - j0, minlength=256)
-                seen[:] += n
-                js = js[seen[js - j0] < 2]
-    return out_i, out_j
+            found.block(ii[ok], jj[ok])
+            if not found.every:
+                js = js[found.hits[js] < 2]
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -360,23 +384,16 @@ def _candidates(threshold: float, every: bool):
             wanted = got[8] if every else np.ones(len(g.token), dtype=bool)
             begin = np.flatnonzero(np.concatenate([[True], g.token[1:] != g.token[:-1]]))
             size = np.diff(np.append(begin, len(g.token)))
-            out_i, out_j = _small_groups(g, np.repeat(size <= SMALL, size), threshold)
+            found = _Found(len(g.token), every)
+            _small_groups(g, np.repeat(size <= SMALL, size), threshold, found)
             for b, s in zip(begin[size > SMALL], size[size > SMALL], strict=True):
-                x, y = _large_group(g, int(b), int(s), threshold, every, wanted)
-                out_i += x
-                out_j += y
-            if not out_i:
-                continue
-            i, j = np.concatenate(out_i), np.concatenate(out_j)
+                _large_group(g, int(b), int(s), threshold, wanted, found)
+            i, j = found.pairs()
             if every:
                 i, j = i[wanted[j]], j[wanted[j]]
-                more = np.zeros(len(j), dtype=bool)
-            else:
-                order = np.lexsort((i, j))
-                i, j = i[order], j[order]
-                one = np.concatenate([[True], j[1:] != j[:-1]])[:len(j)]
-                more = np.diff(np.append(np.flatnonzero(one), len(j))) > 1
-                i, j = i[one], j[one]
+            more = np.zeros(len(j), dtype=bool) if every else found.hits[j] > 1
+            if len(j) == 0:
+                continue
             yield pa.RecordBatch.from_arrays([pa.array(g.doc[j]), pa.array(g.tag[j]), pa.array(g.line[j]), pa.array(g.doc[i]), pa.array(g.tag[i]), pa.array(g.line[i]), pa.array(more), pa.array(g.token[j].view(np.int64))],
                                              names=["doc", "tag", "line", "doc2", "tag2", "line2", "more", "token"])
     return run
