@@ -236,16 +236,11 @@ def q_stream_late_rows(spark, sf_dir):
 
 @register("backtest_models")
 def q_backtest_models(spark, sf_dir):
-    """T5: baselines and elastic net refitted on each expanding and rolling fold, scored on its validation months."""
-    return M.reported(_backtest(spark, sf_dir))
+    """T5: baselines and elastic net of every expanding and rolling fold, from one moment matrix a month, measured on the fold's validation months."""
+    from closecast.operators.moments import backtest_linear
 
-
-def _backtest(spark, sf_dir):
-    from closecast.plans.training import backtest_candidates
-
-    both = [backtest_candidates(snapshots(spark, sf_dir), ["naive_prior", "seasonal_naive", "elastic_net"], kind).withColumn("kind", F.lit(kind))
-            for kind in ("expanding", "rolling")]
-    return both[0].unionByName(both[1])
+    p = ModelConfig().elastic_net_params
+    return M.reported(backtest_linear(snapshots(spark, sf_dir), alpha=p["alpha"], l1_ratio=p["l1_ratio"], max_iter=p["max_iter"]))
 
 
 @register("release_gate", W(f"""
