@@ -1106,6 +1106,32 @@ def q_feature_preview(spark, sf_dir):
         *[F.round(c, 4).alias(f"example_{c}") for c in _PREVIEW_RATIOS])
 
 
+_RAW_INPUTS = [c for c in DIMENSIONS + OPERATIONAL + HISTORICAL if c in ALL_COLUMNS]
+
+
+@register("feature_preview_columns", W(f"""
+SELECT 'raw' AS kind, position, name, CAST(NULL AS DOUBLE) AS example
+FROM (VALUES {_cols(f"({i}, '{c}')" for i, c in enumerate(_RAW_INPUTS))}) r(position, name)
+UNION ALL
+SELECT 'engineered', e.position, e.name, round(e.example, 4) FROM (
+  """ + " UNION ALL ".join(f"SELECT {i} AS position, '{c}' AS name, COALESCE({_feat_value(c, 'x.')}, med.{c}) AS example FROM x, med"
+                            for i, c in enumerate(_NUMERIC)) + f"""
+  UNION ALL SELECT {len(_NUMERIC) - 1} + row_number() OVER (ORDER BY h.dim, h.category), h.name || '__' || h.category, CAST(COALESCE(h.first_value = h.category, false) AS DOUBLE) FROM (
+    """ + " UNION ALL ".join(f"SELECT DISTINCT {i} AS dim, '{d}' AS name, CAST(s.{d} AS VARCHAR) AS category, CAST(x.{d} AS VARCHAR) AS first_value "
+                              f"FROM split s, x WHERE s.split = 'train' AND s.{d} IS NOT NULL" for i, d in enumerate(DIMENSIONS)) + """) h) e""",
+    _MEDIAN_CTES + f", x AS (SELECT * FROM split WHERE split = 'train' ORDER BY {_cols(KEYS)} LIMIT 1)"))
+def q_feature_preview_columns(spark, sf_dir):
+    """the raw and the engineered columns by name and place, each engineered one with its value in the first training row (key order)."""
+    snaps = snapshots(spark, sf_dir)
+    train = T.blocked_temporal_split(snaps).train
+    model = LeakageSafeFeatures(outputCol="").fit(train)
+    listed = lambda kind, pairs: F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(i).alias("position"), F.lit(c).alias("name"),
+                                                    F.round(v, 4).alias("example")) for i, (c, v) in enumerate(pairs)])
+    raw = listed("raw", [(c, F.lit(None).cast("double")) for c in _RAW_INPUTS if c in snaps.columns])
+    engineered = listed("engineered", [(c, F.col(f"`{c}`")) for c in model.feature_names()])
+    return model.transform(train.orderBy(*KEYS).limit(1)).select(F.inline(F.concat(raw, engineered)))
+
+
 @register("predictions_sink", ORACLE_SQL["batch_score"])
 def q_predictions_sink(spark, sf_dir):
     """A5: scored predictions written partitioned by month and cutoff day
