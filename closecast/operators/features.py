@@ -24,6 +24,7 @@ from closecast.operators.contracts import check_forbidden
 from closecast.schema import DERIVED, DIMENSIONS, FEATURES, HISTORICAL, OPERATIONAL, TARGET
 
 _EPS = 1.0
+MAX_CATEGORIES = 1000  # one-hot columns of one dimension; a column of more values is no dimension
 
 
 def _num(df_cols: set[str], name: str) -> Column:
@@ -68,7 +69,13 @@ def fit_statistics(df: DataFrame, relative_error: float | None = None) -> DataFr
     numeric = numeric_inputs(enriched.columns)
     found = column_quantiles(enriched, {c: finite_or_null(F.col(f"`{c}`").cast("double")) for c in numeric}, [0.5], relative_error)
     medians = df.sparkSession.range(1).select(*[F.lit(found.get(c, [0.0])[0]).alias(f"median__{c}") for c in numeric])
-    cats = [F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"cats__{c}") for c in DIMENSIONS if c in df.columns]
+    dims = [c for c in DIMENSIONS if c in df.columns]
+    if dims:
+        sizes = df.agg(*[F.approx_count_distinct(F.col(c).cast("string")).alias(c) for c in dims]).first()
+        wide = [c for c in dims if sizes[c] > MAX_CATEGORIES]
+        if wide:
+            raise ValueError(f"about {sizes[wide[0]]} categories in {wide[0]}; one-hot columns take at most {MAX_CATEGORIES}")
+    cats = [F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"cats__{c}") for c in dims]
     return medians.crossJoin(df.agg(*cats)) if cats else medians  # one row each
 
 

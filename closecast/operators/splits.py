@@ -16,13 +16,20 @@ from pyspark.sql import functions as F
 from closecast.schema import MONTH, N_BACKTEST_FOLDS, N_TEST_MONTHS, N_VAL_MONTHS
 
 
+# fixed values: the names of the split strategies
+STRATEGIES = ("blocked_temporal", "rolling_origin", "expanding_window")
+
+
 @dataclass(frozen=True)
 class SplitConfig:
     n_test_months: int = N_TEST_MONTHS
     n_val_months: int = N_VAL_MONTHS
     n_backtest_folds: int = N_BACKTEST_FOLDS
+    strategy: str = "blocked_temporal"
 
     def __post_init__(self):
+        if self.strategy not in STRATEGIES:
+            raise ValueError(f"unknown split strategy {self.strategy!r}; known: {', '.join(STRATEGIES)}")
         for v in (self.n_test_months, self.n_val_months, self.n_backtest_folds):
             if v < 1:
                 raise ValueError("split month/fold counts must be >= 1")
@@ -113,6 +120,25 @@ def expanding_fold_windows(n_months: int, config: SplitConfig | None = None) ->
     return out
 
 
+def temporal_splits(df: DataFrame, config: SplitConfig | None = None) -> list[TemporalSplit]:
+    """The splits of ``config.strategy``: one blocked split, or one a fold, whose validation months are its test months too.
+
+    Too few months for a split or a fold are an error.
+    """
+    config = config or SplitConfig()
+    if config.strategy == "blocked_temporal":
+        return [blocked_temporal_split(df, config)]
+    months, month = ordered_months(df), F.col(MONTH)
+    windows = (rolling_fold_windows if config.strategy == "rolling_origin" else expanding_fold_windows)(len(months), config)
+    if not windows:
+        raise ValueError(f"Not enough months ({len(months)}) for a fold of {config.n_val_months} validation months")
+    out = []
+    for lo, hi, vlo, vhi in windows:
+        held = df.where(month.isin(months[vlo:vhi]))
+        out.append(TemporalSplit(df.where(month.isin(months[lo:hi])), held, held, months[lo:hi], months[vlo:vhi], months[vlo:vhi]))
+    return out
+
+
 def fold_calendar(df: DataFrame, kind: str = "expanding", config: SplitConfig | None = None) -> DataFrame:
     """(fold_id, role, accounting_month) rows for T2 (``rolling``) or T3 (``expanding``)."""
     months = ordered_months(df)

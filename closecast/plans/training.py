@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import threading
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -22,7 +22,7 @@ from closecast.operators.boosting import fit_together
 from closecast.operators.models import BOOSTED, FeatureCache, ModelConfig, TrainingResult, build_estimator, fit_features
 from closecast.operators.metrics import METRIC_NAMES, metrics_cube
 from closecast.operators.scoring import ModelBundle
-from closecast.operators.splits import SplitConfig, TemporalSplit, blocked_temporal_split
+from closecast.operators.splits import SplitConfig, TemporalSplit, temporal_splits
 from closecast.plans.snapshots import input_key
 from closecast.schema import FACILITY, SNAPSHOT_DAY
 
@@ -75,13 +75,14 @@ def run_training_pipeline(snapshots: DataFrame, config: ModelConfig | None = Non
                           split_config: SplitConfig | None = None, validate: bool = True,
                           quarantine_path: str | None = None) -> PipelineOutput:
     """R1. Rows that break the contract stop the run; with ``quarantine_path``
-    they are written there, counted in the output, and the rest is used."""
+    they are written there, counted in the output, and the rest is used. Under a
+    fold strategy the latest fold is the split trained on."""
     config = config or ModelConfig()
     n_bad = 0
     if validate:
         snapshots, n_bad = C.accepted_rows(snapshots, quarantine_path)
         C.validate_leakage_rules(snapshots)
-    split = blocked_temporal_split(snapshots, split_config)
+    split = temporal_splits(snapshots, split_config)[-1]
     cache, results = train_all_concurrent(split, config)
     table = S.comparison_table({n: r.metrics for n, r in results.items()})
     selection = S.select_champion(table, config.primary_metric)
@@ -120,22 +121,10 @@ def backtest_candidates(snapshots: DataFrame, candidates: list[str], kind: str =
     driver (a handful of folds); every fit and score is a Spark job, and the
     fold frames are month filters that prune the month-partitioned table.
     """
-    from closecast.operators.splits import (
-        SplitConfig as _SC,
-        expanding_fold_windows,
-        ordered_months,
-        rolling_fold_windows,
-    )
-
     config = config or ModelConfig(candidates=list(candidates))
-    months = ordered_months(snapshots)
-    windows = (rolling_fold_windows if kind == "rolling" else expanding_fold_windows)(len(months), split_config or _SC())
+    strategy = "rolling_origin" if kind == "rolling" else "expanding_window"
     out = None
-    for fold, (tlo, thi, vlo, vhi) in enumerate(windows):
-        m = F.col("accounting_month")
-        split = TemporalSplit(snapshots.where(m.isin(months[tlo:thi])), snapshots.where(m.isin(months[vlo:vhi])),
-                              snapshots.where(m.isin(months[vlo:vhi])), months[tlo:thi], months[vlo:vhi],
-                              months[vlo:vhi])
+    for fold, split in enumerate(temporal_splits(snapshots, replace(split_config or SplitConfig(), strategy=strategy))):
         need = any(n not in BASELINE_FEATURES for n in candidates)
         cache = fit_features(split) if need else None
         for name in candidates:

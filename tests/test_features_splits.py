@@ -93,3 +93,26 @@ def test_fold_windows_match_the_published_rule():
     assert T.expanding_fold_windows(5, cfg) == []
     assert T.expanding_fold_windows(7, cfg) == [(0, 1, 1, 4), (0, 4, 4, 7)]  # first = 7 - 6 = 1
     assert T.rolling_fold_windows(5, cfg) == []
+
+
+def test_the_strategy_names_the_splits(snaps):
+    months = T.ordered_months(snaps)
+    one, = T.temporal_splits(snaps)
+    assert one.test_months == months[-4:]
+    for strategy, windows in (("rolling_origin", T.rolling_fold_windows), ("expanding_window", T.expanding_fold_windows)):
+        got = T.temporal_splits(snaps, T.SplitConfig(strategy=strategy, n_backtest_folds=2))
+        want = windows(len(months), T.SplitConfig(n_backtest_folds=2))
+        assert [(s.train_months, s.validation_months) for s in got] == [(months[a:b], months[c:d]) for a, b, c, d in want]
+        for s in got:
+            assert max(s.train_months) < min(s.validation_months) and s.test_months == s.validation_months
+            assert sorted({r[0] for r in s.train.select("accounting_month").distinct().collect()}) == s.train_months
+    with pytest.raises(ValueError):
+        T.SplitConfig(strategy="random")
+    with pytest.raises(ValueError):
+        T.temporal_splits(snaps.where(snaps.accounting_month == months[0]), T.SplitConfig(strategy="expanding_window"))
+
+
+def test_a_column_of_too_many_categories_is_refused(spark):
+    wide = spark.range(3000).selectExpr("cast(id as string) AS service_line_group", "1.0D AS days_elapsed")
+    with pytest.raises(ValueError, match="service_line_group"):
+        LeakageSafeFeatures().fit(wide)

@@ -8,6 +8,7 @@ from closecast.operators.features import LeakageSafeFeatures
 from closecast.operators.models import ModelConfig, build_estimator
 from closecast.operators.moments import backtest_linear, covariance_descent, fit_fold, fold_medians, month_moments
 from closecast.operators.splits import SplitConfig, ordered_months
+from closecast.plans.training import backtest_candidates
 from closecast.schema import MONTH, PREDICTION, TARGET
 
 
@@ -71,3 +72,7 @@ def test_the_backtest_covers_every_fold_and_model(gappy):
     assert sorted(got.groupby(["kind", "fold_id"]).size()) == [3] * 4
     wape = got.pivot_table(index=["kind", "fold_id"], columns="model", values="wape")
     assert (wape["elastic_net"] < wape["seasonal_naive"]).all()
+    by_fits = backtest_candidates(gappy, ["naive_prior", "elastic_net"], "rolling", SplitConfig(n_backtest_folds=2)).toPandas()
+    for r in by_fits.itertuples():
+        assert r.wape == pytest.approx(wape.loc[("rolling", r.fold_id), r.model], rel=1e-2)
+    assert len(by_fits) == 4
