@@ -471,7 +471,9 @@ def _remaining_links(entries: DataFrame, comp: DataFrame, tokens: DataFrame, thr
     all_of = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
     columns = ["key", "band", "rep", "comp", "n_words", "active", "s", "u"]
     left = open_.where("active").join(salts, ["key", "band"]).withColumn("u", salt("us", 1)).withColumn("s", all_of("ss")).select(*columns, F.lit(1).alias("role"))
-    right = (open_.select("key", "n_words", "rep", "comp", "active", reach).join(salts, ["key", "band"])
+    # the few bands with active members name the bands that they meet: members are joined to those, not copied to every band near them
+    met = salts.select("key", F.col("band").alias("at"), "ss", "us", reach)
+    right = (open_.join(met, ["key", "band"]).withColumn("band", F.col("at"))
              .withColumn("s", salt("ss", 2)).withColumn("u", all_of("us")).select(*columns, F.lit(0).alias("role")))
     dealt = lambda x: x.repartition(parts, "key", "band", "s", "u").sortWithinPartitions("key", "band", "s", "u")
     live = checkpointed(dealt(left.union(right).join(members, "rep").select(*columns, "keys", "role", "counts")).mapInArrow(_live(threshold), _MEMBER))

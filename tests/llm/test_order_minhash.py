@@ -159,3 +159,20 @@ def test_filters_pass_every_link():
 
 def test_result_holds_no_count_of_sampled_links(spark):
     assert near_duplicates(frame(spark, [(1, "a b", "en", "s", 3)])).columns == ["doc_id", "class_id"]
+
+
+def test_members_are_not_copied_to_bands_without_active_ones(spark, monkeypatch):
+    """A bucket of one big component and one other text: only the groups of a length band are spread over the bands near them."""
+    from closecast.llm import order_minhash
+
+    rng = random.Random(43)
+    base = prose(rng, 60)
+    rows = [(k, edited(rng, base, 0.02), "en", "s", 1) for k in range(12)] + [(50, prose(rng, 61), "en", "s", 1)]
+    entries = spark.createDataFrame([(7, 0, len(words(t)), k) for k, t, *_ in rows], "key long, t int, n_words long, rep long")
+    comp = spark.createDataFrame([(k, 0) for k in range(12)], "node long, component long")
+    tokens = order_minhash._tokens_table(frame(spark, rows).select("doc_id", "text"), entries.select("rep").distinct())
+    plans, kept = [], order_minhash.checkpointed
+    monkeypatch.setattr(order_minhash, "checkpointed", lambda df, *a, **k: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or kept(df, *a, **k))
+    order_minhash._remaining_links(entries, comp, tokens, 0.8)
+    spread = [line for plan in plans for line in plan.splitlines() if "Generate explode(sequence((band" in line]
+    assert spread and not [line for line in spread if "rep#" in line]
