@@ -95,8 +95,8 @@ class KeyFilter:
         same = [c.cast(t) for c, t in zip(cols, self._types, strict=True)]  # the hash depends on the type
         return F.pmod(F.xxhash64(*same), F.lit(1 << self.bits)) + 1
 
-    def split(self, df: DataFrame, *cols: str) -> DataFrame:
-        """``df`` with a boolean ``maybe``: False where the key is surely not in the table."""
+    def split(self, df: DataFrame, *cols: str, only: bool | None = None) -> DataFrame:
+        """``df`` with a boolean ``maybe``: False where the key is surely not in the table. ``only``: just the rows of that value."""
         bitmap = self._bitmap
 
         def run(batches):
@@ -104,6 +104,8 @@ class KeyFilter:
             for batch in batches:
                 p = np.asarray(batch.column("__place")) - 1
                 maybe = (got[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 > 0
+                if only is not None:
+                    batch, maybe = batch.filter(pa.array(maybe == only)), maybe[maybe == only]
                 keep = [i for i, c in enumerate(batch.schema.names) if c != "__place"]
                 yield pa.RecordBatch.from_arrays([batch.column(i) for i in keep] + [pa.array(maybe)], names=[batch.schema.names[i] for i in keep] + ["maybe"])
 
@@ -153,6 +155,7 @@ def _word_tables() -> tuple[np.ndarray, bytes]:
 
 #: Word bytes are ASCII letters and digits and every byte of a non-ASCII character.
 IS_WORD, FOLD = _word_tables()
+_WORD_FLAGS = IS_WORD.astype(np.uint8).tobytes()
 
 
 def words(data: bytes) -> list[bytes]:
@@ -195,7 +198,9 @@ def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.
     size = 1 << max(18, int(n).bit_length())
     up, down = _powers(size)
     total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(values[buf] * up[:n], out=total[1:])
+    terms = np.take(values, buf)
+    terms *= up[:n]
+    np.cumsum(terms, out=total[1:])
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 
@@ -206,14 +211,13 @@ def chunk_words(data: bytes, cuts: np.ndarray) -> Words:
     if n == 0:
         none = np.zeros(0, dtype=np.int64)
         return Words(none, none, np.zeros(0, dtype=np.uint64), np.zeros(len(cuts), dtype=np.int64))
-    word = IS_WORD[buf]
-    opens, closes = np.empty(n, dtype=bool), np.empty(n, dtype=bool)
-    opens[0], opens[1:] = word[0], word[1:] & ~word[:-1]
-    closes[-1], closes[:-1] = word[-1], word[:-1] & ~word[1:]
+    word = np.frombuffer(data.translate(_WORD_FLAGS), dtype=bool)
     inner = cuts[(cuts > 0) & (cuts < n)]
-    opens[inner] = word[inner]
-    closes[inner - 1] = word[inner - 1]
-    start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    split = np.unique(inner[word[inner] & word[inner - 1]])  # one word ends here and the next begins
+    edges = np.concatenate([np.flatnonzero(word[:1]), np.flatnonzero(word[1:] != word[:-1]) + 1, split, split, [n] * int(word[-1])]).astype(np.int64)
+    if len(split):
+        edges.sort()
+    start, end = edges[::2].copy(), edges[1::2].copy()
     return Words(start, end, span_hashes(buf, start, end), np.searchsorted(start, cuts))
 
 

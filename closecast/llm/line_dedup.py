@@ -9,11 +9,12 @@ or null ids and different texts apart. The join is exact; its steps only skip wh
 1. Rarity: word counts over the whole corpus in 2^18 hashed counters (a table
    of fixed size). Any fixed order of words keeps the join exact; this one
    puts rare words first.
-2. Lines of the same words, as often, collapse first, with map-side minimums:
-   one row for each, with its earliest place. Later such lines are settled by
-   that. They are told by 96 bits of sums over the 64-bit hashes of all their
+2. Lines of the same words, as often, collapse first, in each batch and then
+   in the bucket of their key: one set for each, with its earliest place. Later
+   such lines (copies) go by that. They are told by 96 bits of sums over the 64-bit hashes of all their
    words, so that ten million million lines hold two unlike ones of one key
-   with a chance of about one in a thousand.
+   with a chance of about one in a thousand. Lines travel as Arrow batches, a
+   row for each bucket, in place of millions of rows.
 3. Prefix filter: sets that overlap enough share one of their first
    n - ceil(t n) + 1 words in rarity order. Each set is posted under those.
 4. In a posting group, each set looks among the earlier ones and keeps the
@@ -42,6 +43,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +60,9 @@ _SECOND = np.uint64(0xD1B54A32D192ED03)
 _ID_BITS = np.uint64(44)
 _BATCH = 200_000
 POSTINGS_PER_BUCKET = 200_000
+WORDS_PER_BUCKET = 2_000_000  # of the texts whose lines a bucket of keys holds
+LINES_AT_ONCE = 50_000
+CHUNK = 1 << 17  # the working arrays of a chunk stay in a core's cache
 
 
 def line_borders(data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,10 +76,15 @@ def line_borders(data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    held, n = [np.zeros(0, dtype=np.int64)], 0
     for batch in batches:
-        for c in text_chunks(batch.column("text")):
-            w = chunk_words(c.data, c.offsets)
-            total += np.bincount((w.hash >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(total))
+        for c in text_chunks(batch.column("text"), CHUNK):
+            held.append((chunk_words(c.data, c.offsets).hash >> np.uint64(64 - COUNTER_BITS)).astype(np.int64))
+            n += len(held[-1])
+            if n >= 1 << 20:
+                total += np.bincount(np.concatenate(held), minlength=len(total))
+                held, n = held[:1], 0
+    total += np.bincount(np.concatenate(held), minlength=len(total))
     yield _slices(np.split(total, _SLICES), range(_SLICES))
 
 
@@ -91,17 +101,26 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _slices(list(total.values()), total)
 
 
-def rarity(docs: DataFrame) -> np.ndarray:
-    """12-bit rarity class of each of the 2^COUNTER_BITS hashed word counters, over all texts."""
+def _word_counts(docs: DataFrame) -> np.ndarray:
+    """The 2^COUNTER_BITS hashed word counters over all texts."""
     schema = "slice int, counts binary"
     rows = docs.select("text").mapInArrow(_counts, schema).repartition(_SLICES, "slice").mapInArrow(_summed, schema).collect()
     counts = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
     each = len(counts) // _SLICES
     for r in rows:
         counts[r["slice"] * each:(r["slice"] + 1) * each] = np.frombuffer(bytes(r["counts"]), dtype=np.int64)
+    return counts
+
+
+def _classes(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(counts + 1.0) * 100, 4095).astype(np.uint64)
 
 
+def rarity(docs: DataFrame) -> np.ndarray:
+    """12-bit rarity class of each of the hashed word counters."""
+    return _classes(_word_counts(docs))
+
+
 def prefix_length(n: np.ndarray, threshold: float) -> np.ndarray:
     return n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
 
@@ -121,7 +140,7 @@ def _line_sets(rarity_of, threshold: float):
         classes = rarity_of.value
         for batch in batches:
             doc_column, tag_column = np.asarray(batch.column("doc")), np.asarray(batch.column("tag"))
-            for c in text_chunks(batch.column("text")):
+            for c in text_chunks(batch.column("text"), CHUNK):
                 borders, row = line_borders(c.data, c.offsets)
                 if len(row) == 0:
                     continue
@@ -164,9 +183,114 @@ def _line_sets(rarity_of, threshold: float):
 
 
 _LINES = "doc long, tag long, line int, key long, key2 int, n int, sig long, sig2 long, prefix binary"
+_LINE_BATCH = pa.schema([(c, t) for c, t in zip(
+    ("doc", "tag", "line", "key", "key2", "n", "sig", "sig2", "prefix"),
+    (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)])
+_PLACE_BATCH = pa.schema([_LINE_BATCH.field(c) for c in ("doc", "tag", "line")])
 _POSTING = "token long, doc long, tag long, line int, n int, pos int, sig long, sig2 long, key long, key2 int"
 
 
+def _joined(batches: list[pa.RecordBatch], schema: pa.Schema) -> pa.RecordBatch:
+    table = pa.Table.from_batches(batches, schema).combine_chunks()
+    return pa.RecordBatch.from_arrays([c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in table.columns], schema=schema)
+
+
+def _packed(batch: pa.RecordBatch) -> bytes:
+    return batch.serialize().to_pybytes()
+
+
+def _earliest(lines: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+    """The earliest line of each key, by key, and the places of the others."""
+    doc, tag, line, key, key2 = (np.asarray(lines.column(c)) for c in ("doc", "tag", "line", "key", "key2"))
+    order = np.argsort(key)
+    same = key[order][1:] == key[order][:-1]
+    tied = np.flatnonzero(np.concatenate([[False], same]) | np.append(same, False)) if len(same) else np.zeros(0, dtype=np.int64)
+    sub = order[tied]
+    order[tied] = sub[np.lexsort((line[sub], tag[sub], doc[sub], key2[sub], key[sub]))]
+    k, k2 = key[order], key2[order]
+    new = np.concatenate([[True], (k[1:] != k[:-1]) | (k2[1:] != k2[:-1])])[:len(order)]
+    first, later = order[new], order[~new]
+    own = first[np.cumsum(new) - 1][~new]
+    later = later[(doc[later] != doc[own]) | (tag[later] != tag[own]) | (line[later] != line[own])]  # repeated rows are one place
+    return lines.take(pa.array(first)), lines.select(_PLACE_BATCH.names).take(pa.array(later))
+
+
+_DEALT = "bucket int, sets binary, copies binary"
+
+
+def _dealt_lines(rarity_of, threshold: float, buckets: int):
+    """Lines as in ``_line_sets``, collapsed within a batch: a row for each bucket of keys, copies with any one of them."""
+    def dealt(lines: pa.RecordBatch) -> pa.RecordBatch:
+        sets, copies = _earliest(lines)
+        key = np.asarray(sets.column("key")).view(np.uint64)
+        bucket = (key % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket)
+        sets, bucket = sets.take(pa.array(order)), bucket[order]
+        begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        size = np.diff(np.append(begin, len(bucket)))
+        packed = [None] * len(begin)
+        if len(copies):
+            packed[int(key[0] >> np.uint64(32)) % len(begin)] = _packed(copies)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[begin]), pa.array([_packed(sets.slice(b, n)) for b, n in zip(begin.tolist(), size.tolist(), strict=True)], pa.binary()), pa.array(packed, pa.binary())],
+            names=["bucket", "sets", "copies"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for lines in _line_sets(rarity_of, threshold)(batches):
+            held.append(lines)
+            if sum(len(b) for b in held) >= LINES_AT_ONCE:
+                yield dealt(_joined(held, _LINE_BATCH))
+                held = []
+        if held:
+            yield dealt(_joined(held, _LINE_BATCH))
+    return run
+
+
+_SETS = "sets binary, words long, copies binary"
+
+
+def _collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of each bucket, each with its earliest place, the number of their prefix words, and the places of their copies."""
+    def whole(parts: list, copies: list) -> pa.RecordBatch:
+        sets, more = _earliest(_joined([pa.ipc.read_record_batch(x, _LINE_BATCH) for x in parts], _LINE_BATCH))
+        copies = _joined([*(pa.ipc.read_record_batch(x, _PLACE_BATCH) for x in copies), more], _PLACE_BATCH)
+        cut = [sets.slice(lo, 20_000) for lo in range(0, len(sets), 20_000)]
+        words = [int(pc.sum(pc.binary_length(x.column("prefix"))).as_py()) // 8 for x in cut]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([_packed(x) for x in cut], pa.binary()), pa.array(words, pa.int64()), pa.array([_packed(copies) if len(copies) and k == 0 else None for k in range(len(cut))], pa.binary())],
+            names=["sets", "words", "copies"])
+
+    bucket, parts, copies = None, [], []
+    for batch in batches:
+        for b, x, y in zip(batch.column("bucket").to_pylist(), batch.column("sets"), batch.column("copies"), strict=True):
+            if b != bucket and parts:
+                yield whole(parts, copies)
+                parts, copies = [], []
+            bucket = b
+            parts.append(x.as_buffer())
+            if y.is_valid:
+                copies.append(y.as_buffer())
+    if parts:
+        yield whole(parts, copies)
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns of packed ``sets``; other batches as they are."""
+    for batch in batches:
+        if "sets" not in batch.schema.names:
+            yield batch
+            continue
+        for x in batch.column("sets"):
+            yield pa.ipc.read_record_batch(x.as_buffer(), _LINE_BATCH)
+
+
+def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for x in batch.column("copies"):
+            yield pa.ipc.read_record_batch(x.as_buffer(), _PLACE_BATCH)
+
+
 def _prefixes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All packed prefix words of a binary column, and each one's row."""
     column = column.cast(pa.large_binary())
@@ -184,7 +308,7 @@ def _postings(wanted):
     """A row for each prefix word of a set that may be among the ``wanted`` (packed bits over hashed words)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
-        for batch in batches:
+        for batch in _sets(batches):
             for lo in range(0, batch.num_rows, 10_000):
                 b = batch.slice(lo, 10_000)
                 wide, each = _prefixes(b.column("prefix"))
@@ -206,7 +330,7 @@ _WIDTH = sum(np.dtype(t).itemsize for _, t in _COLUMNS)
 def _packed_postings(buckets: int):
     """Postings as in ``_postings``, but one packed row for each bucket of words and batch of sets: millions of rows less to shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sets(batches):
             for lo in range(0, batch.num_rows, 20_000):
                 b = batch.slice(lo, 20_000)
                 wide, each = _prefixes(b.column("prefix"))
@@ -236,10 +360,23 @@ def _unpacked(parts: list) -> list[np.ndarray]:
     token = whole[0][order]
     same = np.concatenate([[False], token[1:] == token[:-1]])
     order = order[same | np.append(same[1:], False)]
-    order = order[np.lexsort((whole[3][order], whole[2][order], whole[1][order], whole[0][order]))]
+    order = order[_by_word_and_place(*(c[order] for c in whole[:4]))]
     return [c[order] for c in whole]
 
 
+def _by_word_and_place(token: np.ndarray, doc: np.ndarray, tag: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """The order by (token, doc, tag, line); by single numbers where they fit, which numpy sorts several times as fast."""
+    by_doc = np.argsort(doc)
+    d, t = doc[by_doc], tag[by_doc]
+    new = d[1:] != d[:-1]
+    if len(doc) >= 1 << 20 or (~new & (t[1:] != t[:-1])).any():  # or one doc with several texts
+        return np.lexsort((line, tag, doc, token))
+    number = np.concatenate([[0], np.cumsum(new)])[:len(doc)].astype(np.uint64)
+    by_place = by_doc[np.argsort(number << np.uint64(32) | line[by_doc].astype(np.uint64))]
+    rank = np.sort(token[by_place] << np.uint64(20) | np.arange(len(doc), dtype=np.uint64)) & np.uint64((1 << 20) - 1)
+    return by_place[rank.astype(np.int64)]
+
+
 def _bucket_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """Whole posting groups, bucket by bucket, from packed rows sorted by bucket."""
     bucket, parts = None, []
@@ -285,7 +422,7 @@ def _passing(g: _Posted, i: np.ndarray, j: np.ndarray, threshold: float) -> np.n
     return ok
 
 
-SMALL = 256
+SMALL = 1024
 
 
 class _Found:
@@ -295,13 +432,13 @@ class _Found:
         self.every, self._i, self._j = every, [], []
         self.earliest, self.hits = (np.zeros(0 if every else members, dtype=np.int64) for _ in range(2))
 
-    def later(self, i: np.ndarray, j: np.ndarray) -> None:
-        """Pairs in which no j comes twice, and every i is earlier than those told before of the same j."""
+    def some(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Pairs in which no j comes twice."""
         if self.every:
             self._i.append(i)
             self._j.append(j)
         else:
-            self.earliest[j] = i
+            self.earliest[j] = np.where(self.hits[j] > 0, np.minimum(self.earliest[j], i), i)
             self.hits[j] += 1
 
     def block(self, i: np.ndarray, j: np.ndarray) -> None:
@@ -323,16 +460,23 @@ class _Found:
         return np.concatenate(self._i or none), np.concatenate(self._j or none)
 
 
-def _small_groups(g: _Posted, small: np.ndarray, threshold: float, found: _Found) -> None:
-    """Groups of up to SMALL members: one sweep per distance over the whole batch."""
-    least = threshold * g.n - 1e-9
-    for d in range(1, min(SMALL, len(g.token))):
-        same = (g.token[d:] == g.token[:-d]) & small[d:]
-        if not same.any():
+def _small_groups(g: _Posted, small: np.ndarray, threshold: float, wanted: np.ndarray, found: _Found) -> None:
+    """Groups of up to SMALL members: one sweep per distance over the whole batch, by size, until the sizes are too far apart."""
+    members = np.flatnonzero(small)
+    group = np.cumsum(np.concatenate([[True], g.token[1:] != g.token[:-1]]))[members]
+    members = members[np.argsort(group << 31 | g.n[members])]
+    s = _Posted(*(c[members] for c in g))
+    left = np.arange(len(members))
+    for d in range(1, SMALL):
+        left = left[np.searchsorted(left, d):]
+        left = left[(s.n[left - d] >= threshold * s.n[left] - 1e-9) & (s.token[left - d] == s.token[left])]
+        if len(left) == 0:
             break
-        j = np.flatnonzero(same & (g.n[d:] >= least[:-d]) & (g.n[:-d] >= least[d:])) + d
-        j = j[_passing(g, j - d, j, threshold)]
-        found.later(j - d, j)
+        k = left[_passing(s, left - d, left, threshold)]
+        x, y = members[k - d], members[k]
+        for i, j in ((x, y), (y, x)):  # places go by number
+            keep = (i < j) & wanted[j]
+            found.some(i[keep], j[keep])
 
 
 def _large_group(g: _Posted, begin: int, size: int, threshold: float, wanted: np.ndarray, found: _Found) -> None:
@@ -385,12 +529,10 @@ def _candidates(threshold: float, every: bool):
             begin = np.flatnonzero(np.concatenate([[True], g.token[1:] != g.token[:-1]]))
             size = np.diff(np.append(begin, len(g.token)))
             found = _Found(len(g.token), every)
-            _small_groups(g, np.repeat(size <= SMALL, size), threshold, found)
+            _small_groups(g, np.repeat(size <= SMALL, size), threshold, wanted, found)
             for b, s in zip(begin[size > SMALL], size[size > SMALL], strict=True):
                 _large_group(g, int(b), int(s), threshold, wanted, found)
             i, j = found.pairs()
-            if every:
-                i, j = i[wanted[j]], j[wanted[j]]
             more = np.zeros(len(j), dtype=bool) if every else found.hits[j] > 1
             if len(j) == 0:
                 continue
@@ -441,7 +583,7 @@ def _matched(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """The (doc, tag, line) of pairs whose lines really match, read again from the whole texts."""
     need = pairs.select("doc", "tag", "line").union(pairs.select("doc2", "tag2", "line2")).distinct().groupBy("doc", "tag").agg(F.collect_set("line").alias("lines"))
     need = checkpointed(need)  # a text's own lines: bounded by the text
-    thin = KeyFilter(need.select("doc", "tag")).split(docs.select("doc", "tag", "text"), "doc", "tag").where("maybe").drop("maybe")
+    thin = KeyFilter(need.select("doc", "tag")).split(docs.select("doc", "tag", "text"), "doc", "tag", only=True).drop("maybe")
     one = thin.join(need, ["doc", "tag"]).groupBy("doc", "tag").agg(F.first("text").alias("text"), F.first("lines").alias("lines"))  # repeated rows are one place
     lines = one.mapInArrow(_wanted_lines, "doc long, tag long, line int, words binary")
     lines = checkpointed(lines)
@@ -454,12 +596,15 @@ def _matched(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
 def _remaining(lines: DataFrame, doubtful: DataFrame, threshold: float) -> DataFrame:
     """All passing pairs of the ``doubtful`` members (doc, tag, line) under the words (token) that hold more than one for them.
 
+    ``lines``: rows as of ``_line_sets``, or packed ``sets`` of them.
+
     Members without a tag are those of all texts with that doc."""
     spark = lines.sparkSession
     bits = np.zeros((1024, 1 << (FILTER_BITS - 13)), dtype=np.uint8)
     for r in doubtful.select("token").distinct().mapInArrow(_token_bits, "slice int, bits binary").toLocalIterator():  # a fixed number of bytes from each task
         bits[r["slice"]] |= np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
-    postings = lines.select("doc", "tag", "line", "n", "sig", "sig2", "prefix", "key", "key2").mapInArrow(_postings(spark.sparkContext.broadcast(bits.ravel())), _POSTING)
+    lines = lines.select("sets") if "sets" in lines.columns else lines.select("doc", "tag", "line", "n", "sig", "sig2", "prefix", "key", "key2")
+    postings = lines.mapInArrow(_postings(spark.sparkContext.broadcast(bits.ravel())), _POSTING)
     # lines of one key have equal postings: the earliest place stands for them
     first = postings.groupBy("token", "key", "key2").agg(F.min(F.struct("doc", "tag", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "pos", "sig", "sig2")])
     first = first.join(doubtful.select("token").distinct(), "token", "left_semi")
@@ -475,31 +620,28 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = batch.schema.names
         gone, text = batch.column(names.index("__gone")), batch.column(names.index("text"))
-        out, removed = [], []
-        for r in range(batch.num_rows):
-            drop = set(gone[r].as_py() or ())
-            value = text[r].as_py()
-            if drop and value is not None:
-                lines = value.split("\n")
-                drop = {k for k in drop if k < len(lines)}
-                value = "\n".join(x for k, x in enumerate(lines) if k not in drop)
-            removed.append(len(drop))
-            out.append(value)
-        columns = [pa.array(out, text.type) if c == "text" else pa.array(removed, pa.int64()) if c == "__gone" else batch.column(i) for i, c in enumerate(names)]
+        mask, removed = np.asarray(pc.and_(gone.is_valid(), text.is_valid())), np.zeros(batch.num_rows, dtype=np.int64)
+        out = []
+        for r in np.flatnonzero(mask).tolist():
+            lines = text[r].as_py().split("\n")
+            drop = {k for k in gone[r].as_py() if k < len(lines)}
+            out.append("\n".join(x for k, x in enumerate(lines) if k not in drop))
+            removed[r] = len(drop)
+        text = pc.replace_with_mask(text, pa.array(mask), pa.array(out, text.type)) if out else text
+        columns = [text if c == "text" else pa.array(removed) if c == "__gone" else batch.column(i) for i, c in enumerate(names)]
         yield pa.RecordBatch.from_arrays(columns, names=["n_removed" if c == "__gone" else c for c in names])
 
 
 def _lines_to_cut(src: DataFrame, threshold: float) -> DataFrame:
     """(doc, tag, __gone): numbers of the lines that go, for documents that lose any."""
     spark = src.sparkSession
-    rare = spark.sparkContext.broadcast(rarity(src))
-    lines = checkpointed(src.mapInArrow(_line_sets(rare, threshold), _LINES))
-    # one row per key: its earliest place, and what its postings need (equal for lines of the same words)
-    sets = lines.groupBy("key", "key2").agg(F.min(F.struct("doc", "tag", "line")).alias("at"), *[F.first(c).alias(c) for c in ("n", "sig", "sig2", "prefix")])
+    counts = _word_counts(src)
+    rare = spark.sparkContext.broadcast(_classes(counts))
     parts = shuffle_partitions(spark)
-    words = lines.agg(F.sum(F.length("prefix"))).first()[0] or 0  # eight bytes each
-    buckets = max(parts, words // 8 // POSTINGS_PER_BUCKET)
-    postings = sets.select("at.doc", "at.tag", "at.line", "n", "sig", "sig2", "prefix").mapInArrow(_packed_postings(buckets), "bucket int, packed binary")
+    lines = src.mapInArrow(_dealt_lines(rare, threshold, max(parts, int(counts.sum()) // WORDS_PER_BUCKET)), _DEALT)
+    sets = checkpointed(lines.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_collapsed, _SETS))
+    buckets = max(parts, (sets.agg(F.sum("words")).first()[0] or 0) // POSTINGS_PER_BUCKET)
+    postings = sets.select("sets").mapInArrow(_packed_postings(buckets), "bucket int, packed binary")
     dealt = postings.repartition(parts, "bucket").sortWithinPartitions("bucket")
     found = checkpointed(dealt.mapInArrow(_candidates(threshold, False), _PAIR))
     pairs = checkpointed(found.select(*_PLACES).where("doc != doc2 or tag != tag2 or line != line2").distinct())
@@ -507,16 +649,11 @@ def _lines_to_cut(src: DataFrame, threshold: float) -> DataFrame:
     # members whose earliest pairs failed and that have others: compared with all earlier ones that pass the filters
     doubtful = checkpointed(found.where("more").select("doc", "tag", "line", "token").join(settled, ["doc", "tag", "line"], "left_anti"))
     if has_rows(doubtful):
-        more = checkpointed(_remaining(lines, doubtful, threshold).join(pairs, _PLACES, "left_anti"))
+        more = checkpointed(_remaining(sets, doubtful, threshold).join(pairs, _PLACES, "left_anti"))
         settled = settled.union(_matched(src, more, threshold)) if has_rows(more) else settled
-    settled = settled.withColumn("gone", F.lit(True))
-    places = lines.groupBy("key", "key2").agg(F.min(F.struct("doc", "tag", "line")).alias("at")).select("key", "key2", "at.doc", "at.tag", "at.line")
-    fate = places.join(settled.distinct(), ["doc", "tag", "line"], "left").select(
-        "key", "key2", F.col("doc").alias("doc0"), F.col("tag").alias("tag0"), F.col("line").alias("line0"), F.coalesce("gone", F.lit(False)).alias("gone"))
     # a line goes if its set matches an earlier set, or if it is not the set's earliest place
-    cut = (lines.select("doc", "tag", "line", "key", "key2").join(fate, ["key", "key2"])
-           .where(F.col("gone") | (F.col("doc") != F.col("doc0")) | (F.col("tag") != F.col("tag0")) | (F.col("line") != F.col("line0")))
-           .groupBy("doc", "tag").agg(F.collect_set("line").alias("__gone")))
+    copies = sets.select("copies").where("copies IS NOT NULL").mapInArrow(_copies, "doc long, tag long, line int")
+    cut = settled.union(copies).groupBy("doc", "tag").agg(F.collect_set("line").alias("__gone"))
     return checkpointed(cut, keep=True)
 
 
@@ -529,13 +666,13 @@ def dedup_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         cut = _lines_to_cut(src, threshold)
     thin = KeyFilter(cut.select("doc", "tag"))
     named = docs.withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn("__tag", F.xxhash64("text"))
-    split = thin.split(named, "__doc", "__tag")
     cut = cut.select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), "__gone")
-    changed = split.where("maybe").join(cut.hint("merge"), ["__doc", "__tag"], "left")  # planned alike at every size
-    same = split.where("not maybe").withColumn("__gone", F.lit(None).cast("array<int>"))
+    changed = thin.split(named, "__doc", "__tag", only=True).join(cut.hint("merge"), ["__doc", "__tag"], "left")  # planned alike at every size
+    same = thin.split(named, "__doc", "__tag", only=False)
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    wide = [F.col(f"`{c}`") for c in kept] + [F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long").alias("n_lines"), F.col("__gone")]
-    both = changed.select(*wide).unionByName(same.select(*wide))
-    schema = T.StructType([T.StructField("n_removed", T.LongType()) if f.name == "__gone" else f for f in both.schema.fields])
-    out = both.mapInArrow(_without, schema)
+    lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    wide = [F.col(f"`{c}`") for c in kept] + [F.coalesce(lines, F.lit(0)).cast("long").alias("n_lines")]
+    changed = changed.select(*wide, "__gone")
+    schema = T.StructType([T.StructField("n_removed", T.LongType()) if f.name == "__gone" else f for f in changed.schema.fields])
+    out = changed.mapInArrow(_without, schema).unionByName(same.select(*wide, F.lit(0).cast("long").alias("n_removed")))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in kept else out

@@ -123,3 +123,70 @@ def test_unlike_lines_of_one_word_number_stay(spark):
     rows = [(1, "id0172852", "en", "s", 1), (2, "id0405705", "en", "s", 1), (3, "b a\nx", "en", "s", 1), (4, "a A b\nB a", "en", "s", 1)]
     got = {r.doc_id: (r.text, r.n_removed) for r in dedup_lines(frame(spark, rows)).collect()}
     assert got == {1: ("id0172852", 0), 2: ("id0405705", 0), 3: ("b a\nx", 0), 4: ("", 2)}
+
+
+def test_lines_collapse_by_bucket():
+    """Lines travel as one row a bucket; of each set the earliest place stays, all others but repeated rows are copies."""
+    import numpy as np
+    import pyarrow as pa
+
+    class Rare:
+        value = np.zeros(1 << line_dedup.COUNTER_BITS, dtype=np.uint64)
+
+    rng = random.Random(41)
+    common = [prose(rng, n) for n in (1, 2, 9, 30)]
+    rows = [(d, d % 3, "\n".join(rng.choice(common) if rng.random() < 0.5 else prose(rng, 8) for _ in range(6))) for d in range(60)]
+    rows += rows[:5]
+    rng.shuffle(rows)
+    batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[lo:lo + 20], strict=True)], names=["doc", "tag", "text"]) for lo in range(0, len(rows), 20)]
+    dealt = [b for x in batches for b in line_dedup._dealt_lines(Rare, 0.8, 4)(iter([x]))]
+    assert sum(b.num_rows for b in dealt) <= 4 * len(batches)
+    whole = pa.Table.from_batches(dealt).sort_by("bucket").combine_chunks()
+    out = list(line_dedup._collapsed(iter(whole.to_batches())))
+    first, later = {}, set()
+    for d, t, text in sorted(set(rows)):
+        for k, line in enumerate(text.split("\n")):
+            key = tuple(sorted(words(line.encode())))
+            if first.setdefault(key, (d, t, k)) != (d, t, k):
+                later.add((d, t, k))
+    sets = pa.Table.from_batches(list(line_dedup._sets(iter(out))))
+    assert sorted(zip(*(sets[c].to_pylist() for c in ("doc", "tag", "line")), strict=True)) == sorted(first.values())
+    assert sum(sum(b.column("words").to_pylist()) for b in out) * 8 == sum(len(x) for x in sets["prefix"].to_pylist())
+    copies = pa.Table.from_batches([x for b in out for x in line_dedup._copies(iter([b.filter(b.column("copies").is_valid())]))])
+    assert set(zip(*(copies[c].to_pylist() for c in ("doc", "tag", "line")), strict=True)) == later and later
+
+
+def test_members_of_unlike_sizes_are_not_compared(monkeypatch):
+    """In a word's group only sets of near sizes meet the filters, and each keeps its earliest that passes."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    size = 600
+    n = rng.integers(1, 2000, size)
+    zero = np.zeros(size, dtype=np.int64)
+    g = line_dedup._Posted(zero, np.arange(size), zero, zero, n, zero, zero.view(np.uint64), zero.view(np.uint64))
+    asked, passing = [], line_dedup._passing
+    monkeypatch.setattr(line_dedup, "_passing", lambda g, i, j, t: asked.append(len(i)) or passing(g, i, j, t))
+    near = np.minimum(n[:, None], n) >= 0.8 * np.maximum(n[:, None], n)
+    want = {j: (int(np.flatnonzero(near[:j, j])[0]), int(near[:j, j].sum())) for j in range(size) if near[:j, j].any()}
+    wide = [x.astype(t) if t else x for x, t in zip(g, (np.uint64, None, None, np.int32, np.int32, np.int32, np.int64, np.int64), strict=True)]
+    monkeypatch.setattr(line_dedup, "_bucket_groups", lambda batches: iter([wide]))
+    out = next(line_dedup._candidates(0.8, False)(iter([])))
+    got = {j: (i, more) for j, i, more in zip(*(out.column(c).to_pylist() for c in ("doc", "doc2", "more")), strict=True)}
+    assert got == {j: (i, k > 1) for j, (i, k) in want.items()}
+    assert sum(asked) == sum(k for _, k in want.values())
+
+
+def test_words_between_borders():
+    """No word crosses a border; borders may repeat and stand inside, at the edge of or between words."""
+    import numpy as np
+
+    from closecast.llm.common import chunk_words
+
+    rng = random.Random(3)
+    for _ in range(300):
+        rows = ["".join(rng.choice("aB9 \n.é") for _ in range(rng.randrange(6))).encode() for _ in range(rng.randrange(1, 6))]
+        w = chunk_words(b"".join(rows), np.cumsum([0, *map(len, rows)]))
+        data = b"".join(rows)
+        got = [[data[a:b].lower() for a, b in zip(w.start[x:y], w.end[x:y], strict=True)] for x, y in zip(w.first[:-1], w.first[1:], strict=True)]
+        assert got == [[x.lower() for x in words(r)] for r in rows]
